@@ -1 +1,210 @@
+"""Evaluation and correlation of several factors over the week panel."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import correlation as co
+from ..operators import evaluate as ev
+from ..operators.lineage import cut_lineage
+from ..plans import factors as plan
+from .base import WEEK, avg_rank, lag, pearson, rounded, select, sr, week_fits, week_panel
+from .factors import LONG, MANY, raw_sql, standardised_sql
+
+GROUP = ["factor_id", "trade_date"]
+PAIR = ["factor_a", "factor_b"]
+HORIZON, BUCKETS = 5, 10
+WINDOW_END, WINDOW_DAYS, MIN_DAYS = "2001-06-30", 2000, 120
 QUERIES, SQL = {}, {}
+
+
+def _values(spark: SparkSession, sf_dir: str, fits: bool) -> DataFrame:
+    """Factor values, written once as the evaluation reads them several times."""
+    return cut_lineage(plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY), fits))
+
+
+def _paired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    fits = week_fits(spark, sf_dir)
+    return ev.pair_with_returns(_values(spark, sf_dir, fits), week_panel(spark, sf_dir), HORIZON), fits
+
+
+def ic_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ev.ic_daily(*_paired(spark, sf_dir)), [*GROUP, "n"])
+
+
+def ic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = ev.ic_daily(*_paired(spark, sf_dir))
+    return rounded(daily.groupBy("factor_id").agg(*[c.alias(k) for k, c in ev.ic_metrics().items()]), ["factor_id"])
+
+
+def quantile_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paired, fits = _paired(spark, sf_dir)
+    return rounded(ev.quantile_returns(paired, BUCKETS, fits), [*GROUP, "q", "n"])
+
+
+def _buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paired, fits = _paired(spark, sf_dir)
+    return ev.bucketed(paired, BUCKETS, fits).select(*ev.BUCKET_COLUMNS)
+
+
+def long_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = ev.daily_metrics(_buckets(spark, sf_dir), BUCKETS).where("ordinal is not null")
+    return rounded(ev.with_curve(daily).select(*GROUP, "ls_ret", "drawdown"), GROUP)
+
+
+def turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = cut_lineage(_buckets(spark, sf_dir))
+    return rounded(ev.turnover_daily(buckets, ev.daily_metrics(buckets, BUCKETS)), GROUP)
+
+
+def sharpe_maxdd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = ev.daily_metrics(_buckets(spark, sf_dir), BUCKETS).where("ordinal is not null")
+    curve = ev.with_curve(daily)
+    risk = curve.groupBy("factor_id").agg(
+        ev.sharpe().alias("sharpe_ratio"), F.min("drawdown").alias("max_drawdown"), F.count("ls_ret").alias("days")
+    )
+    return rounded(risk, ["factor_id", "days"])
+
+
+def evaluate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fits = week_fits(spark, sf_dir)
+    out = ev.evaluate(_values(spark, sf_dir, fits), week_panel(spark, sf_dir), HORIZON, BUCKETS, "ALL", fits)
+    return rounded(out, ["factor_id", "test_universe", "backtest_period", "horizon"])
+
+
+def _window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fits = week_fits(spark, sf_dir)
+    values = plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY), fits)
+    end = F.lit(WINDOW_END).cast("date")
+    return cut_lineage(values.where(F.col("trade_date").between(F.date_sub(end, WINDOW_DAYS), end)))
+
+
+def corr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(co.correlation_pairs(_window_values(spark, sf_dir)), [*PAIR, "overlap_days", "n"])
+
+
+def corr_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co.overlap_days(co.widen(_window_values(spark, sf_dir), MANY), MANY)
+
+
+def corr_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = co.passing_pairs(co.correlation_pairs(_window_values(spark, sf_dir)), MIN_DAYS)
+    return rounded(pairs, [*PAIR, "overlap_days"])
+
+
+def corr_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co.pair_counts(co.correlation_pairs(_window_values(spark, sf_dir)), MIN_DAYS)
+
+
+def snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = co.passing_pairs(co.correlation_pairs(_window_values(spark, sf_dir)), MIN_DAYS)
+    return co.nested_document(rounded(pairs, PAIR), WINDOW_END, "ALL", WINDOW_DAYS, "2001-07-01T00:00:00")
+
+
+for _q in (
+    ic_daily, ic_summary, quantile_returns, long_short, turnover, sharpe_maxdd, evaluate_all,
+    corr_pairs, corr_overlap, corr_passing, corr_counts, snapshot_json,
+):
+    QUERIES[_q.__name__] = _q
+
+_BY = "factor_id, trade_date"
+_PAIRED = f"""WITH {WEEK},{raw_sql()},{standardised_sql()},
+fr AS (
+  SELECT trade_date, stock_code, ln(nullif({lag('close', -HORIZON)} / nullif(close, 0), 0)) AS ret,
+    {lag('trade_date', -HORIZON)} AS ret_date
+  FROM w
+),
+span AS (SELECT factor_id, min(trade_date) AS d0, max(trade_date) AS d1 FROM z GROUP BY factor_id),
+p AS (
+  SELECT factor_id, trade_date, stock_code, round(factor_value, 10) AS v, round(ret, 10) AS ret
+  FROM z JOIN fr USING (trade_date, stock_code) JOIN span USING (factor_id)
+  WHERE factor_value IS NOT NULL AND ret IS NOT NULL AND ret_date <= d1
+),
+rk AS (SELECT *, {avg_rank('v', _BY)} AS rv, {avg_rank('ret', _BY)} AS rr FROM p),
+ic AS (
+  SELECT factor_id, trade_date, count(*) AS n, count(DISTINCT v) AS nv, {pearson('rv', 'rr')} AS ic,
+    count(DISTINCT ret) AS nr
+  FROM rk GROUP BY factor_id, trade_date
+),
+ic_ok AS (SELECT * FROM ic WHERE nv >= 2 AND nr >= 2 AND ic IS NOT NULL)"""
+_LIST = "list(v ORDER BY v)"
+_BUCKETED = f"""{_PAIRED},
+l AS (SELECT factor_id, trade_date, {_LIST} AS l, count(*) AS n, count(DISTINCT v) AS nv FROM p GROUP BY factor_id, trade_date),
+e AS (
+  SELECT factor_id, trade_date, nv, list_distinct(list_transform(range(0, {BUCKETS + 1}), lambda k:
+    l[(n - 1) * k // {BUCKETS} + 1] + (l[((n - 1) * k + {BUCKETS - 1}) // {BUCKETS} + 1] - l[(n - 1) * k // {BUCKETS} + 1])
+      * (((n - 1) * k % {BUCKETS}) / {BUCKETS}.0)
+  )) AS edges
+  FROM l WHERE nv >= {BUCKETS}
+),
+b AS (
+  SELECT p.*, greatest(len(list_filter(edges, lambda g: g < v)) - 1, 0) AS q FROM p JOIN e USING (factor_id, trade_date)
+),
+qr AS (SELECT factor_id, trade_date, q, avg(ret) AS mean_ret, count(*) AS n FROM b GROUP BY factor_id, trade_date, q),
+ls AS (
+  SELECT factor_id, trade_date, arg_max(mean_ret, q) - arg_min(mean_ret, q) AS ls_ret, max(q) AS top FROM qr
+  GROUP BY factor_id, trade_date
+),
+o AS (SELECT *, row_number() OVER (PARTITION BY factor_id ORDER BY trade_date) AS ord FROM ls),
+hold AS (SELECT b.factor_id, b.trade_date, ord, stock_code FROM b JOIN o USING (factor_id, trade_date) WHERE q = top),
+tn AS (
+  SELECT a.factor_id, a.trade_date, 1 - count(h.stock_code) / CAST(count(*) AS DOUBLE) AS turnover
+  FROM hold a LEFT JOIN hold h ON h.factor_id = a.factor_id AND h.ord = a.ord - 1 AND h.stock_code = a.stock_code
+  WHERE a.ord > 1 GROUP BY a.factor_id, a.trade_date
+),
+cu AS (
+  SELECT *, product(1 + ls_ret) OVER (PARTITION BY factor_id ORDER BY trade_date ROWS UNBOUNDED PRECEDING) AS cum FROM o
+),
+pk AS (SELECT *, max(cum) OVER (PARTITION BY factor_id ORDER BY trade_date ROWS UNBOUNDED PRECEDING) AS peak FROM cu),
+dd AS (SELECT *, cum / nullif(peak, 0) - 1 AS drawdown FROM pk)"""
+_SHARPE = "avg(ls_ret) / nullif(stddev_samp(ls_ret), 0) * sqrt(252.0)"
+
+SQL["ic_daily"] = f"{_PAIRED}\nSELECT factor_id, trade_date, n, {sr('ic')} AS ic FROM ic_ok"
+SQL["ic_summary"] = (
+    f"{_PAIRED}\nSELECT factor_id, {sr('avg(ic)')} AS ic_value, {sr('avg(ic) / nullif(stddev_samp(ic), 0)')} AS ic_ir"
+    " FROM ic_ok GROUP BY factor_id"
+)
+SQL["quantile_returns"] = (
+    f"{_BUCKETED}\nSELECT factor_id, trade_date, CAST(q AS INTEGER) AS q, n, {sr('mean_ret')} AS mean_ret FROM qr"
+)
+SQL["long_short"] = f"{_BUCKETED}\n" + select(
+    {c: c for c in ("ls_ret", "drawdown")}, "dd", keys="factor_id, trade_date"
+)
+SQL["turnover"] = f"{_BUCKETED}\nSELECT factor_id, trade_date, {sr('turnover')} AS turnover FROM tn"
+SQL["sharpe_maxdd"] = (
+    f"{_BUCKETED}\nSELECT factor_id, {sr(_SHARPE)} AS sharpe_ratio, {sr('min(drawdown)')} AS max_drawdown,"
+    " count(ls_ret) AS days FROM dd GROUP BY factor_id"
+)
+SQL["evaluate_all"] = f"""{_BUCKETED},
+a AS (SELECT factor_id, avg(ic) AS ic_value, avg(ic) / nullif(stddev_samp(ic), 0) AS ic_ir FROM ic_ok GROUP BY factor_id),
+g AS (SELECT factor_id, {_SHARPE} AS sharpe_ratio, min(drawdown) AS max_drawdown FROM dd GROUP BY factor_id),
+h AS (SELECT factor_id, avg(turnover) AS turnover FROM tn GROUP BY factor_id)
+SELECT factor_id, 'ALL' AS test_universe, d0 || ' 至 ' || d1 AS backtest_period, '{HORIZON}d' AS horizon,
+  {', '.join(f"{sr(c)} AS {c}" for c in ('ic_value', 'ic_ir', 'sharpe_ratio', 'max_drawdown', 'turnover'))}
+FROM span LEFT JOIN a USING (factor_id) LEFT JOIN g USING (factor_id) LEFT JOIN h USING (factor_id)"""
+
+_WINDOW = f"""WITH {WEEK},{raw_sql()},{standardised_sql()},
+v AS (
+  SELECT * FROM z
+  WHERE trade_date BETWEEN DATE '{WINDOW_END}' - {WINDOW_DAYS} AND DATE '{WINDOW_END}' AND factor_value IS NOT NULL
+),
+days AS (SELECT DISTINCT factor_id, trade_date FROM v),
+ov AS (
+  SELECT a.factor_id AS factor_a, b.factor_id AS factor_b, count(*) AS overlap_days
+  FROM days a JOIN days b USING (trade_date) WHERE a.factor_id < b.factor_id GROUP BY 1, 2
+),
+cp AS (
+  SELECT a.factor_id AS factor_a, b.factor_id AS factor_b, {pearson('a.factor_value', 'b.factor_value')} AS corr, count(*) AS n
+  FROM v a JOIN v b USING (trade_date, stock_code) WHERE a.factor_id < b.factor_id GROUP BY 1, 2
+),
+pr AS (SELECT factor_a, factor_b, corr, overlap_days, n FROM cp JOIN ov USING (factor_a, factor_b)),
+ok AS (SELECT * FROM pr WHERE corr IS NOT NULL AND overlap_days >= {MIN_DAYS}),
+both_ways AS (SELECT factor_a, factor_b, corr, overlap_days FROM ok UNION ALL SELECT factor_b, factor_a, corr, overlap_days FROM ok)"""
+SQL["corr_pairs"] = f"{_WINDOW}\nSELECT factor_a, factor_b, {sr('corr')} AS corr, overlap_days, n FROM pr"
+SQL["corr_overlap"] = f"{_WINDOW}\nSELECT * FROM ov"
+SQL["corr_passing"] = f"{_WINDOW}\nSELECT factor_a, factor_b, {sr('corr')} AS corr, overlap_days FROM both_ways"
+SQL["corr_counts"] = f"""{_WINDOW}
+SELECT 2 * count(*) AS total_pairs, 2 * count(corr) AS known_pairs,
+  2 * count(CASE WHEN corr IS NOT NULL AND overlap_days >= {MIN_DAYS} THEN 1 END) AS passing_pairs
+FROM pr"""

@@ -43,7 +43,7 @@ EXACT = {c: 8 for c in ("ref_3", "lead_2", "delta_2", "max_10", "min_10")}
 _rolling(
     "ts_basic",
     lambda: {
-        "ma_5": ts.ma("close", 5),
+        "ma_7": ts.ma("close", 7),
         "ref_3": ts.ref("close", 3),
         "lead_2": ts.ref("close", -2),
         "delta_2": ts.delta("close", 2),
@@ -53,7 +53,7 @@ _rolling(
         "std_10": ts.std("close", 10),
     },
     {
-        "ma_5": full(5, "close", "avg(close) {w}"),
+        "ma_7": full(7, "close", "avg(close) {w}"),
         "ref_3": lag("close", 3),
         "lead_2": lag("close", -2),
         "delta_2": f"close - {lag('close', 2)}",
@@ -164,7 +164,7 @@ _rolling(
 )
 
 
-DERIVED_EXACT = {c: 8 for c in ("prev_open", "prev_close", "prev_high", "prev_low", "dtm", "dbm", "tr", "hd", "ld")}
+DERIVED_EXACT = {"vwap": 10} | {c: 8 for c in ("prev_open", "prev_close", "prev_high", "prev_low", "dtm", "dbm", "tr", "hd", "ld")}
 
 
 def derived_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,14 +19,15 @@ WINDOW_END, WINDOW_DAYS, MIN_DAYS = "2001-06-30", 2000, 120
 QUERIES, SQL = {}, {}
 
 
-def _values(spark: SparkSession, sf_dir: str, fits: bool) -> DataFrame:
-    """Factor values, written once as the evaluation reads them several times."""
-    return cut_lineage(plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY), fits))
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, bool]:
+    """Factor values and bars as stored tables, and whether a date fits one task."""
+    fits, bars = week_fits(spark, sf_dir), cut_lineage(week_panel(spark, sf_dir))
+    return cut_lineage(plan.compute_factors(bars, plan.library(*MANY), fits)), bars, fits
 
 
 def _paired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
-    fits = week_fits(spark, sf_dir)
-    return ev.pair_with_returns(_values(spark, sf_dir, fits), week_panel(spark, sf_dir), HORIZON), fits
+    values, bars, fits = _stored(spark, sf_dir)
+    return ev.pair_with_returns(values, bars, HORIZON), fits
 
 
 def ic_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +69,8 @@ def sharpe_maxdd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fits = week_fits(spark, sf_dir)
-    out = ev.evaluate(_values(spark, sf_dir, fits), week_panel(spark, sf_dir), HORIZON, BUCKETS, "ALL", fits)
+    values, bars, fits = _stored(spark, sf_dir)
+    out = ev.evaluate(values, bars, HORIZON, BUCKETS, "ALL", fits)
     return rounded(out, ["factor_id", "test_universe", "backtest_period", "horizon"])
 
 
@@ -85,7 +86,7 @@ def corr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corr_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return co.overlap_days(co.widen(_window_values(spark, sf_dir), MANY), MANY)
+    return co.overlap_days(_window_values(spark, sf_dir), MANY)
 
 
 def corr_passing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,7 +122,7 @@ _rolling(
         ),
         "cov_10": full(10, "close + volume", "covar_samp(close, volume) {w}"),
     },
-    {"cov_10": 3},
+    {"cov_10": 2},
 )
 
 _BETA = "covar_samp(close, volume) {w} / nullif(var_samp(volume) {w}, 0)"
@@ -161,6 +161,7 @@ _rolling(
         "seq": f"row_number() OVER {SERIES}",
         "std_all": f"stddev_samp(close) OVER {SO_FAR}",
     },
+    {"std_all": 4},
 )
 
 

@@ -21,11 +21,10 @@ def universe_code(u, blank: str = "CUSTOM") -> Column:
 
 
 def _swap(code: Column, pairs: dict[str, str]) -> Column:
-    # the first suffix that ends the code is replaced wherever it occurs
-    out = code
-    for old, new in reversed(pairs.items()):
-        out = F.when(code.endswith(old), F.replace(code, F.lit(old), F.lit(new))).otherwise(out)
-    return out
+    """The suffix that ends the code, replaced wherever it occurs in it; one pattern and one lookup."""
+    suffix = F.regexp_extract(code, "(?:" + "|".join(s.replace(".", r"\.") for s in pairs) + ")$", 0)
+    table = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    return F.replace(code, suffix, F.coalesce(F.try_element_at(table, suffix), F.lit("")))
 
 
 def vendor_to_internal(code) -> Column:
@@ -56,10 +55,8 @@ def infer_suffix(code) -> Column:
 def to_date(v) -> Column:
     """A date from 'YYYY-MM-DD' or 'YYYYMMDD' text; blank or unreadable gives NULL."""
     s = F.trim(col(v))
-    return F.coalesce(
-        F.try_to_date(F.when(s.contains("-"), s), "yyyy-MM-dd"),
-        F.try_to_date(F.when(s.rlike(r"^\d{8}$"), s), "yyyyMMdd"),
-    )
+    dashed = F.concat_ws("-", s.substr(1, 4), s.substr(5, 2), s.substr(7, 2))
+    return F.when(s.contains("-"), s).when(s.rlike(r"^\d{8}$"), dashed).try_cast("date")
 
 
 def to_yyyymmdd(v) -> Column:

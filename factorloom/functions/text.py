@@ -81,50 +81,55 @@ def plain_text(markup: Column) -> Column:
     return unescape(strip(F.regexp_replace(markup, r"(?U)\s*(?:<[^>]*>\s*)+", " ")))
 
 
-def factor_blocks(html, heading: str = "h4", id_prefix: str = "alpha") -> Column:
+def block_segments(html, heading: str = "h4", id_prefix: str = "alpha") -> Column:
+    """A page cut before each heading whose id has the prefix; what comes before the first is left out."""
+    start = rf"""<{heading}\b[^>]*\bid=["']{id_prefix}"""
+    return F.filter(F.split(col(html), rf"(?is)(?={start})"), lambda s: s.rlike(rf"(?is)^{start}"))
+
+
+def block_parts(segment: Column, heading: str = "h4", id_prefix: str = "alpha") -> Column:
+    """Struct of a segment's alpha_name, formula and the note before the formula; NULL where it has none."""
+    no_item = r"(?:(?!</?li\b).)*"
+    item = rf"(?is)<li\b[^>]*>({no_item}{FORMULA_LABEL}.*?)</li>"
+    labels = "|".join(DESCRIPTION_LABELS)
+    labelled = F.regexp_extract(segment, item, 1)
+    inner = F.regexp_extract(labelled, r"(?is)<ul\b[^>]*>.*?<li\b[^>]*>(.*)$", 1)
+    own = F.regexp_replace(plain_text(labelled), rf"(?U)^{FORMULA_LABEL}[:：]\s*", "")
+    formula = strip(unescape(F.coalesce(F.nullif(plain_text(inner), F.lit("")), own)))
+    before = F.regexp_replace(segment, rf"(?is)<li\b[^>]*>{no_item}{FORMULA_LABEL}.*$", "")
+    note = plain_text(F.regexp_extract(before, rf"(?is)<li\b[^>]*>({no_item}(?:{labels}){no_item})", 1))
+    title = plain_text(F.regexp_extract(segment, rf"(?is)<{heading}\b[^>]*>(.*?)</{heading}>", 1))
+    named = F.nullif(F.regexp_extract(title, r"(?i)(alpha_?\d+)", 1), F.lit(""))
+    own_id = F.regexp_extract(segment, rf"""(?is)\bid=["']({id_prefix}[^"']*)""", 1)
+    from_id = F.concat(F.lit("alpha_"), zero_pad(F.regexp_replace(own_id, r"\D", ""), 3))
+    return F.struct(
+        F.coalesce(named, from_id).alias("alpha_name"),
+        F.nullif(formula, F.lit("")).alias("formula"),
+        F.nullif(note, F.lit("")).alias("note"),
+    )
+
+
+def resolve_blocks(parts) -> Column:
     """Array of structs (alpha_name, factor_id, raw_formula, description), one per heading with a formula.
 
-    A block starts at a heading whose id has the prefix. Its formula is the first list item with the
-    formula label at or after the heading, its description the first labelled item before that formula.
+    A heading's formula is the first one at or after it, its description the first note up to that formula.
     """
-    start = rf"""<{heading}\b[^>]*\bid=["']{id_prefix}"""
-    body = F.regexp_replace(col(html), rf"(?is)^.*?(?={start}|$)", "")
-    segments = F.filter(F.split(body, rf"(?is)(?={start})"), lambda s: s != "")
-    item = rf"(?is)<li\b[^>]*>((?:(?!</?li\b).)*{FORMULA_LABEL}.*?)</li>"
-    about = rf"(?is)<li\b[^>]*>((?:(?!</?li\b).)*(?:{'|'.join(DESCRIPTION_LABELS)})(?:(?!</?li\b).)*)"
-
-    def parse(seg: Column) -> Column:
-        labelled = F.regexp_extract(seg, item, 1)
-        inner = F.regexp_extract(labelled, r"(?is)<ul\b[^>]*>.*?<li\b[^>]*>(.*)$", 1)
-        own = F.regexp_replace(plain_text(labelled), rf"(?U)^{FORMULA_LABEL}[:：]\s*", "")
-        formula = strip(unescape(F.when(inner != "", plain_text(inner)).otherwise(own)))
-        before = F.regexp_replace(seg, rf"(?is)<li\b[^>]*>(?:(?!</?li\b).)*{FORMULA_LABEL}.*$", "")
-        note = plain_text(F.regexp_extract(before, about, 1))
-        title = plain_text(F.regexp_extract(seg, rf"(?is)<{heading}\b[^>]*>(.*?)</{heading}>", 1))
-        named = F.regexp_extract(title, r"(?i)(alpha_?\d+)", 1)
-        digits = F.regexp_replace(F.regexp_extract(seg, rf"""(?is)\bid=["']({id_prefix}[^"']*)""", 1), r"\D", "")
+    parts = col(parts)
+
+    def one(part: Column, i: Column) -> Column:
+        rest = F.slice(parts, i + 1, F.size(parts))
+        source = F.filter(rest, lambda p: p["formula"].isNotNull())
+        place = F.array_position(F.transform(rest, lambda p: p["formula"].isNotNull()), True)
+        upto = F.slice(rest, 1, F.greatest(place, F.lit(1)).cast("int"))
+        notes = F.filter(upto, lambda p: p["note"].isNotNull())
         return F.struct(
-            F.when(named != "", named).otherwise(F.concat(F.lit("alpha_"), zero_pad(digits, 3))).alias("alpha_name"),
-            F.when(formula != "", formula).alias("formula"),
-            F.when(note != "", note).alias("note"),
+            part["alpha_name"].alias("alpha_name"),
+            id_from_name(part["alpha_name"]).alias("factor_id"),
+            F.get(source, F.lit(0))["formula"].alias("raw_formula"),
+            F.coalesce(F.get(notes, F.lit(0))["note"], F.lit("")).alias("description"),
         )
 
-    def resolve(parts: Column) -> Column:
-        def one(part: Column, i: Column) -> Column:
-            rest = F.slice(parts, i + 1, F.size(parts))
-            source = F.filter(rest, lambda p: p["formula"].isNotNull())
-            skipped = F.array_position(F.transform(rest, lambda p: p["formula"].isNotNull()), True)
-            notes = F.filter(F.slice(rest, 1, F.greatest(skipped, F.lit(1)).cast("int")), lambda p: p["note"].isNotNull())
-            return F.struct(
-                part["alpha_name"].alias("alpha_name"),
-                id_from_name(part["alpha_name"]).alias("factor_id"),
-                F.get(source, F.lit(0))["formula"].alias("raw_formula"),
-                F.coalesce(F.get(notes, F.lit(0))["note"], F.lit("")).alias("description"),
-            )
-
-        return F.filter(F.transform(parts, one), lambda b: b["raw_formula"].isNotNull())
-
-    return resolve(F.transform(segments, parse))
+    return F.filter(F.transform(parts, one), lambda b: b["raw_formula"].isNotNull())
 
 
 def clean_formula(raw) -> Column:

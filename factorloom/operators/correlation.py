@@ -49,10 +49,11 @@ def widen(values: DataFrame, factor_ids: Sequence[str]) -> DataFrame:
     return values.groupBy("trade_date", "stock_code").pivot("factor_id", list(factor_ids)).agg(F.first("factor_value"))
 
 
-def overlap_days(wide: DataFrame, factor_ids: Sequence[str]) -> DataFrame:
+def overlap_days(values: DataFrame, factor_ids: Sequence[str]) -> DataFrame:
     """Dates on which both factors of a pair have a value, not necessarily for the same instrument."""
-    has = [F.max(F.when(F.col(f"`{f}`").isNotNull(), 1.0)).alias(f) for f in factor_ids]
-    pairs = gram(wide.groupBy("trade_date").agg(*has), factor_ids)
+    rows = values.groupBy("trade_date").pivot("factor_id", list(factor_ids)).agg(F.count("factor_value"))
+    has = [F.when(F.col(f"`{f}`") > 0, 1.0).alias(f) for f in factor_ids]
+    pairs = gram(rows.select(*has), factor_ids)
     return pairs.select("factor_a", "factor_b", F.col("n").cast("long").alias("overlap_days"))
 
 
@@ -76,7 +77,7 @@ def correlation_pairs(values: DataFrame) -> DataFrame:
     corr = F.when(real & (n > 1), F.try_divide(cov, F.sqrt(F.when(real, vx)) * F.sqrt(F.when(real, vy))))
     corr = F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0))
     pairs = sums.select("factor_a", "factor_b", F.when(corr.isNotNull(), corr).alias("corr"), n.cast("long").alias("n"))
-    return pairs.join(overlap_days(wide, ids), ["factor_a", "factor_b"]).select(
+    return pairs.join(overlap_days(values, ids), ["factor_a", "factor_b"]).select(
         "factor_a", "factor_b", "corr", "overlap_days", "n"
     )
 

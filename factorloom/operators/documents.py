@@ -34,10 +34,17 @@ def parse_documents(docs: DataFrame, text: str = "text", path: str = "doc_path")
     return good, bad
 
 
-def extract_blocks(pages: DataFrame, keep: list[str], html: str = "html", **kwargs) -> DataFrame:
-    """One row per factor block found in a page, next to the page's ``keep`` columns."""
-    blocks = pages.select(*keep, F.explode(T.factor_blocks(html, **kwargs)).alias("b"))
-    return blocks.select(*keep, "b.*")
+def extract_blocks(
+    pages: DataFrame, keep: list[str], html: str = "html", heading: str = "h4", id_prefix: str = "alpha"
+) -> DataFrame:
+    """One row per factor block found in a page, next to the page's ``keep`` columns.
+
+    Each step is a column of its own, so that a page is cut and its segments parsed once.
+    """
+    cut = pages.select(*keep, T.block_segments(html, heading, id_prefix).alias("_segments"))
+    cut = cut.where(F.size("_segments") > 0)
+    parsed = cut.select(*keep, F.transform("_segments", lambda s: T.block_parts(s, heading, id_prefix)).alias("_parts"))
+    return parsed.select(*keep, F.explode(T.resolve_blocks("_parts")).alias("b")).select(*keep, "b.*")
 
 
 # Label of each rendered line, in order.

@@ -118,15 +118,15 @@ fr AS (
 ),
 span AS (SELECT factor_id, min(trade_date) AS d0, max(trade_date) AS d1 FROM z GROUP BY factor_id),
 p AS (
-  SELECT factor_id, trade_date, stock_code, round(factor_value, 10) AS v, round(ret, 10) AS ret
+  SELECT factor_id, trade_date, stock_code, round(factor_value, 10) AS v, ret, round(ret, 10) AS rk
   FROM z JOIN fr USING (trade_date, stock_code) JOIN span USING (factor_id)
   WHERE factor_value IS NOT NULL AND ret IS NOT NULL AND ret_date <= d1
 ),
-rk AS (SELECT *, {avg_rank('v', _BY)} AS rv, {avg_rank('ret', _BY)} AS rr FROM p),
+ranked AS (SELECT *, {avg_rank('v', _BY)} AS rv, {avg_rank('rk', _BY)} AS rr FROM p),
 ic AS (
   SELECT factor_id, trade_date, count(*) AS n, count(DISTINCT v) AS nv, {pearson('rv', 'rr')} AS ic,
-    count(DISTINCT ret) AS nr
-  FROM rk GROUP BY factor_id, trade_date
+    count(DISTINCT rk) AS nr
+  FROM ranked GROUP BY factor_id, trade_date
 ),
 ic_ok AS (SELECT * FROM ic WHERE nv >= 2 AND nr >= 2 AND ic IS NOT NULL)"""
 _LIST = "list(v ORDER BY v)"

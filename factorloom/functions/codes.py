@@ -20,16 +20,16 @@ def universe_code(u, blank: str = "CUSTOM") -> Column:
     return F.when(u == "", blank).when(u == "ALL_A", "ALL").otherwise(u)
 
 
-def _swap(code: Column, pairs: dict[str, str]) -> Column:
-    """The suffix that ends the code, replaced wherever it occurs in it; one pattern and one lookup."""
-    suffix = F.regexp_extract(code, "(?:" + "|".join(s.replace(".", r"\.") for s in pairs) + ")$", 0)
-    table = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
-    return F.replace(code, suffix, F.coalesce(F.try_element_at(table, suffix), F.lit("")))
+def _suffix_end(*suffixes: str) -> str:
+    return "(?:" + "|".join(s.replace(".", r"\.") for s in suffixes) + ")$"
 
 
 def vendor_to_internal(code) -> Column:
     """000001.XSHE -> 000001.SZ, 600000.XSHG -> 600000.SH; futures lose their suffix."""
-    return _swap(col(code), VENDOR_TO_INTERNAL | {s: "" for s in VENDOR_DROPPED})
+    out = col(code)
+    for vendor, internal in VENDOR_TO_INTERNAL.items():
+        out = F.regexp_replace(out, _suffix_end(vendor), internal)
+    return F.regexp_replace(out, _suffix_end(*VENDOR_DROPPED), "")
 
 
 def source_to_internal(symbol) -> Column:
@@ -38,7 +38,10 @@ def source_to_internal(symbol) -> Column:
 
 
 def internal_to_vendor(code) -> Column:
-    return _swap(F.trim(col(code)), {new: old for old, new in VENDOR_TO_INTERNAL.items()})
+    out = F.trim(col(code))
+    for vendor, internal in VENDOR_TO_INTERNAL.items():
+        out = F.regexp_replace(out, _suffix_end(internal), vendor)
+    return out
 
 
 def infer_suffix(code) -> Column:
@@ -54,9 +57,8 @@ def infer_suffix(code) -> Column:
 
 def to_date(v) -> Column:
     """A date from 'YYYY-MM-DD' or 'YYYYMMDD' text; blank or unreadable gives NULL."""
-    s = F.trim(col(v))
-    dashed = F.concat_ws("-", s.substr(1, 4), s.substr(5, 2), s.substr(7, 2))
-    return F.when(s.contains("-"), s).when(s.rlike(r"^\d{8}$"), dashed).try_cast("date")
+    iso = F.regexp_replace(F.trim(col(v)), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return iso.try_cast("date")
 
 
 def to_yyyymmdd(v) -> Column:

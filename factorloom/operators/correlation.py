@@ -74,9 +74,11 @@ def correlation_pairs(values: DataFrame) -> DataFrame:
     vx, vy = [F.col(q) - F.try_divide(F.col(s) * F.col(s), n) for q, s in (("sxx", "sx"), ("syy", "sy"))]
     real = (vx > F.lit(1e-20) * (1 + n)) & (vy > F.lit(1e-20) * (1 + n))
     cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    corr = F.when(real & (n > 1), F.try_divide(cov, F.sqrt(F.when(real, vx)) * F.sqrt(F.when(real, vy))))
-    corr = F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0))
-    pairs = sums.select("factor_a", "factor_b", F.when(corr.isNotNull(), corr).alias("corr"), n.cast("long").alias("n"))
+    known = real & (n > 1)
+    corr = F.try_divide(cov, F.sqrt(F.when(known, vx)) * F.sqrt(F.when(known, vy)))
+    # greatest and least skip NULLs, so the bounds stand inside the condition
+    corr = F.when(known, F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))
+    pairs = sums.select("factor_a", "factor_b", corr.alias("corr"), n.cast("long").alias("n"))
     return pairs.join(overlap_days(values, ids), ["factor_a", "factor_b"]).select(
         "factor_a", "factor_b", "corr", "overlap_days", "n"
     )

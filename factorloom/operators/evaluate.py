@@ -54,11 +54,14 @@ def pair_with_returns(values: DataFrame, bars: DataFrame, horizon: int = 5) -> D
 
 
 def ranked_pairs(paired: DataFrame, one_task: bool | None = None, decimals: int = 10) -> DataFrame:
-    """Add average ranks (``factor_rank``, ``ret_rank``) and tie counts; values equal to 10 decimals tie."""
+    """Add average ranks (``factor_rank``, ``ret_rank``) and tie counts.
+
+    Values that agree to 10 decimals tie: ``factor_key`` and ``ret_key`` are what is ranked.
+    """
     fits = groups_fit(paired, *GROUP) if one_task is None else one_task
-    df = paired.withColumns({c: F.round(c, decimals) for c in ("factor_value", "ret")})
-    df = average_rank(df, "factor_value", "factor_rank", GROUP, fits, ties="factor_ties")
-    return average_rank(df, "ret", "ret_rank", GROUP, fits, ties="ret_ties")
+    df = paired.withColumns({"factor_key": F.round("factor_value", decimals), "ret_key": F.round("ret", decimals)})
+    df = average_rank(df, "factor_key", "factor_rank", GROUP, fits, ties="factor_ties")
+    return average_rank(df, "ret_key", "ret_rank", GROUP, fits, ties="ret_ties")
 
 
 def _distinct(ties: str) -> Column:
@@ -90,7 +93,7 @@ def bucketed(paired: DataFrame, n_quantiles: int = 10, one_task: bool | None = N
     """``ranked_pairs`` with bucket ``q`` and the flags of the extreme occupied buckets."""
     fits = groups_fit(paired, *GROUP) if one_task is None else one_task
     df = ranked_pairs(paired, fits)
-    df = quantile_bucket(df, "factor_value", n_quantiles, "q", GROUP, fits)
+    df = quantile_bucket(df, "factor_key", n_quantiles, "q", GROUP, fits)
     return extreme_buckets(df, "q", GROUP, fits)
 
 

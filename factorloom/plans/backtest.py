@@ -17,46 +17,63 @@ from ..operators.lineage import cut_lineage
 from ..operators.upsert import insert_if_absent, update_flags, upsert
 from ..schema import BATCH_KEYS, DAILY_KEYS, STATUS_KEYS
 from ..sources import writers
+from ..sources.readers import read_documents, scan_bars
 from .factors import Factor, compute_day, compute_factors, usable_factors
 
 RUN_KEYS = ("factor_id", "test_universe")
 
 
-def registry_rows(values: DataFrame, path: str, now, daily: bool = False) -> DataFrame:
-    """Registry entries of freshly written values, one per factor and universe (and day)."""
-    by = ["universe", "factor_id", *(["trade_date"] if daily else [])]
-    span = values.groupBy(*by).agg(F.min("trade_date").alias("d0"), F.max("trade_date").alias("d1"))
-    folders = ["universe", "day", "factor_id"] if daily else ["universe", "factor_id"]
-    parts = [F.concat(F.lit(f"{k}="), F.col("trade_date" if k == "day" else k).cast("string")) for k in folders]
+def registry_rows(values: DataFrame, path: str, now, span: tuple | None = None) -> DataFrame:
+    """Registry entries of written values: per factor and universe with their date span, else also per day."""
+    day = span is None
+    keys = ["universe", "factor_id", *(["trade_date"] if day else [])]
     none = F.lit(None).cast("date")
-    return span.select(
-        F.abs(F.xxhash64(*by, "d0", "d1")).alias("id"),
+    start, end = (none, none) if day else [F.lit(str(d)).cast("date") for d in span]
+    folders = [F.concat(F.lit("universe="), "universe"), F.concat(F.lit("factor_id="), "factor_id")]
+    if day:
+        folders.insert(1, F.concat(F.lit("day="), F.col("trade_date").cast("string")))
+    else:
+        folders.append(F.lit(f"span={span[0]}_{span[1]}"))
+    rows = values.select(*keys).distinct()
+    return rows.select(
+        F.abs(F.xxhash64(*keys, start, end)).alias("id"),
         "factor_id",
         "universe",
-        F.lit("daily_csv" if daily else "batch_csv").alias("artifact_type"),
-        codes.rel_path(path, *parts).alias("rel_path"),
-        (none if daily else F.col("d0")).alias("date_start"),
-        (none if daily else F.col("d1")).alias("date_end"),
-        (F.col("trade_date") if daily else none).alias("trade_date"),
+        F.lit("daily_csv" if day else "batch_csv").alias("artifact_type"),
+        codes.rel_path(path, *folders).alias("rel_path"),
+        start.alias("date_start"),
+        end.alias("date_end"),
+        (F.col("trade_date") if day else none).alias("trade_date"),
         F.lit(now).cast("timestamp").alias("created_at"),
         F.lit(None).cast("string").alias("comment"),
     )
 
 
 def run_batch(
-    panel: DataFrame, factors: Mapping[str, Factor], universe: str, path: str, registry: DataFrame, now
+    bars: DataFrame,
+    factors: Mapping[str, Factor],
+    universe: str,
+    start,
+    end,
+    path: str,
+    registry: DataFrame,
+    now,
+    membership: DataFrame | None = None,
+    stock_codes: str = "",
 ) -> tuple[DataFrame, dict[str, str]]:
-    """Compute, write and register many factors; returns the new registry and the factors left out.
+    """Compute, write and register many factors over a date range and universe.
 
-    ``registry`` must not be read from the place the caller then overwrites without a cut in between.
+    Returns the new registry and, with their reasons, the factors left out.
     """
+    panel = scan_bars(bars, start, end, universe, membership, stock_codes)
     good, bad = usable_factors(panel, factors)
-    values = compute_factors(panel, good).withColumn("universe", F.lit(universe))
+    span = (str(start), str(end))
+    values = compute_factors(panel, good).withColumns({"universe": F.lit(universe), "span": F.lit("_".join(span))})
     writers.write_batch_values(values, path)
-    stored = panel.sparkSession.read.parquet(path).where(
-        (F.col("universe") == universe) & F.col("factor_id").isin(*good)
+    written = panel.sparkSession.read.parquet(path).where(
+        (F.col("universe") == universe) & F.col("factor_id").isin(*good) & (F.col("span") == "_".join(span))
     )
-    return upsert(registry, registry_rows(stored, path, now), BATCH_KEYS), bad
+    return cut_lineage(upsert(registry, registry_rows(written, path, now, span), BATCH_KEYS)), bad
 
 
 def run_daily(
@@ -73,7 +90,7 @@ def run_daily(
     good, bad = usable_factors(bars, factors)
     values = cut_lineage(compute_day(bars, good, requested, days).withColumn("universe", F.lit(universe)))
     writers.write_daily_values(values, path)
-    return upsert(registry, registry_rows(values, path, now, daily=True), DAILY_KEYS), bad
+    return cut_lineage(upsert(registry, registry_rows(values, path, now), DAILY_KEYS)), bad
 
 
 def registered_paths(registry: DataFrame, universe: str, factor_ids=None) -> DataFrame:
@@ -214,6 +231,4 @@ def run_correlation(
 
 def load_definitions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Factor definitions of all documents below a folder, and the rejected documents."""
-    from ..sources.readers import read_documents
-
     return parse_documents(read_documents(spark, folder))

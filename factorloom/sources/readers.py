@@ -169,7 +169,7 @@ def landed_bars(df: DataFrame, mapping: dict[str, str], **fixed: Column) -> Data
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*.[mM][dD]") -> DataFrame:
     """Whole text files below a folder as (doc_path, text)."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
+    df = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return df.select(F.col("_metadata.file_path").alias("doc_path"), F.col("value").alias("text"))
 
 

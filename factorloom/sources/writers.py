@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import codes
 from ..operators.documents import render_document
+from ..operators.latest import latest_per_key
 from ..operators.lineage import cut_lineage
 from ..operators.upsert import keep_recent, upsert
 
@@ -20,8 +22,8 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str =
 
 
 def write_batch_values(values: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Factor values by universe and factor."""
-    overwrite_partitions(values, path, ["universe", "factor_id"], fmt, **({"header": True} if fmt == "csv" else {}))
+    """Factor values by universe, factor and date span."""
+    overwrite_partitions(values, path, ["universe", "factor_id", "span"], fmt, **({"header": True} if fmt == "csv" else {}))
 
 
 def write_daily_values(values: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -43,12 +45,25 @@ def upsert_table(
 
     Only partitions the source has rows in are read and rewritten.
     """
+    if not _has_rows(spark, path):
+        first = latest_per_key(source, keys, order) if order else source
+        overwrite_partitions(first, path, by)
+        return
+    stored = spark.read.parquet(path)
+    types = dict(source.dtypes)
+    stored = stored.withColumns({c: F.col(c).cast(types[c]) for c in by})  # folder names come back untyped
     touched = source.select(*by).distinct()
-    target = spark.read.parquet(path).join(touched, list(by), "left_semi")
-    merged = upsert(target, source, keys, rule, order)
+    merged = upsert(stored.join(touched, list(by), "left_semi"), source, keys, rule, order)
     overwrite_partitions(cut_lineage(merged), path, by)
 
 
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    try:
+        return len(spark.read.parquet(path).take(1)) > 0
+    except AnalysisException:
+        return False
+
+
 def append_backtests(rows: DataFrame, path: str) -> None:
     """Append evaluation rows; the universe is normalised and the pass flag not yet set."""
     rows.withColumns(

@@ -1,0 +1 @@
+"""Nothing here runs: the work is batch, and ``plans.ingest`` merges late rows by pulling a lookback again."""

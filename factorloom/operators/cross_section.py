@@ -1,8 +1,9 @@
 """Cross-sectional operators: each row against the other rows of its date (or of its factor and date).
 
 Every function takes and returns a DataFrame. ``one_task`` says whether a whole group may go to one task:
-True or False when the caller knows, None to measure it (``groups_fit``). Both ways give the same result;
-the first costs one exchange on the group, shared by all functions called in a row.
+True or False when the caller knows, None to measure it (``groups_fit``). Both ways give the same result.
+The first costs one exchange on the group, shared by all functions called in a row. The second reads its
+input several times, so each public function first writes it once.
 """
 
 from __future__ import annotations
@@ -13,13 +14,16 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import between, groups_fit, interpolate, join_keys, spread_average_rank, spread_quantiles
+from .groups import between, groups_fit, interpolate, join_keys, per_group, spread_average_rank, spread_quantiles
+from .lineage import cut_lineage
 
 DATE = ("trade_date",)
 
 
-def _fits(df: DataFrame, by: Sequence[str], one_task: bool | None) -> bool:
-    return groups_fit(df, *by) if one_task is None else one_task
+def _settle(df: DataFrame, by: Sequence[str], one_task: bool | None) -> tuple[DataFrame, bool]:
+    """The input and whether its groups fit one task; written once if they do not."""
+    fits = groups_fit(df, *by) if one_task is None else one_task
+    return (df if fits else cut_lineage(df)), fits
 
 
 def _with_stats(df: DataFrame, by: Sequence[str], one_task: bool, **aggs) -> DataFrame:
@@ -28,7 +32,7 @@ def _with_stats(df: DataFrame, by: Sequence[str], one_task: bool, **aggs) -> Dat
         w = Window.partitionBy(*by)
         return df.withColumns({name: agg.over(w) for name, agg in aggs.items()})
     stats = df.groupBy(*by).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return join_keys(df, stats, by)
+    return join_keys(df, per_group(stats, row_bytes=100 + 16 * len(aggs)), by)
 
 
 def average_rank(
@@ -43,7 +47,12 @@ def average_rank(
 
     Also adds ``ties``, the rows sharing the value; ``sum(1 / ties)`` of a group is its distinct count.
     """
-    if not _fits(df, by, one_task):
+    df, fits = _settle(df, by, one_task)
+    return _average_rank(df, value, out, by, fits, ties)
+
+
+def _average_rank(df: DataFrame, value: str, out: str, by: Sequence[str], fits: bool, ties: str) -> DataFrame:
+    if not fits:
         return spread_average_rank(df, value, out, by, ties)
     x = F.col(value)
     order = Window.partitionBy(*by).orderBy(x.asc_nulls_last())
@@ -58,9 +67,9 @@ def rank01(
     df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, one_task: bool | None = None
 ) -> DataFrame:
     """(average rank - 1) / (rows - 1); rows with a missing value count in the divisor, a lone row gives 0."""
-    fits = _fits(df, by, one_task)
-    df = average_rank(df, value, "_rank", by, fits)
+    df, fits = _settle(df, by, one_task)
     df = _with_stats(df, by, fits, _rows=F.count(F.lit(1)))
+    df = _average_rank(df, value, "_rank", by, fits, "_ties")
     r = F.when(F.col("_rows") == 1, 0.0).otherwise(F.try_divide(F.col("_rank") - 1, F.col("_rows") - 1))
     return df.withColumn(out, r).drop("_rank", "_rows", "_ties")
 
@@ -69,7 +78,8 @@ def scale(
     df: DataFrame, value: str, out: str, k: float = 1.0, by: Sequence[str] = DATE, one_task: bool | None = None
 ) -> DataFrame:
     """Scaled so that the absolute values of the group add up to k."""
-    df = _with_stats(df, by, _fits(df, by, one_task), _total=F.sum(F.abs(F.col(value))))
+    df, fits = _settle(df, by, one_task)
+    df = _with_stats(df, by, fits, _total=F.sum(F.abs(F.col(value))))
     return df.withColumn(out, F.try_divide(F.col(value), F.col("_total")) * F.lit(float(k))).drop("_total")
 
 
@@ -82,7 +92,14 @@ def with_quantiles(
     one_task: bool | None = None,
 ) -> DataFrame:
     """Add the exact linear quantiles of the row's group as an array (NULLs skipped)."""
-    if not _fits(df, by, one_task):
+    df, fits = _settle(df, by, one_task)
+    return _with_quantiles(df, value, probs, out, by, fits)
+
+
+def _with_quantiles(
+    df: DataFrame, value: str, probs: Sequence[Fraction | float], out: str, by: Sequence[str], fits: bool
+) -> DataFrame:
+    if not fits:
         q = spread_quantiles(df, value, probs, by).withColumnRenamed("q", out)
         return join_keys(df, q, by, "left")
     x, group = F.col(value), Window.partitionBy(*by)
@@ -107,7 +124,12 @@ def winsorize(
     one_task: bool | None = None,
 ) -> DataFrame:
     """Clip to the group's quantiles; missing values stay missing."""
-    df = with_quantiles(df, value, (lower, upper), "_q", by, one_task)
+    df, fits = _settle(df, by, one_task)
+    return _winsorize(df, value, out, lower, upper, by, fits)
+
+
+def _winsorize(df: DataFrame, value: str, out: str, lower, upper, by: Sequence[str], fits: bool) -> DataFrame:
+    df = _with_quantiles(df, value, (lower, upper), "_q", by, fits)
     x, q = F.col(value), F.col("_q")
     return df.withColumn(out, F.when(x.isNotNull(), F.least(F.greatest(x, q[0]), q[1]))).drop("_q")
 
@@ -125,8 +147,13 @@ def zscore(
     Where the deviation is 0 or undefined every row of the group becomes 0.0, missing ones too; pass
     ``undefined="null"`` to leave them NULL. A deviation below 1e-10 counts as 0.
     """
+    df, fits = _settle(df, by, one_task)
+    return _zscore(df, value, out, by, fits, undefined)
+
+
+def _zscore(df: DataFrame, value: str, out: str, by: Sequence[str], fits: bool, undefined: str) -> DataFrame:
     x = F.col(value)
-    df = _with_stats(df, by, _fits(df, by, one_task), _mean=F.avg(x), _sd=F.stddev_samp(x))
+    df = _with_stats(df, by, fits, _mean=F.avg(x), _sd=F.stddev_samp(x))
     flat = F.col("_sd").isNull() | (F.round("_sd", 10) == 0)
     other = F.lit(0.0 if undefined == "zero" else None).cast("double")
     z = F.when(flat, other).otherwise((x - F.col("_mean")) / F.col("_sd"))
@@ -142,9 +169,9 @@ def winsorize_and_standardize(
     undefined: str = "zero",
 ) -> DataFrame:
     """The post-processing of a factor: clip to the 1 % and 99 % quantiles, then z-score the clipped values."""
-    fits = _fits(df, by, one_task)
-    df = winsorize(df, value, "_clipped", by=by, one_task=fits)
-    return zscore(df, "_clipped", out, by, fits, undefined).drop("_clipped")
+    df, fits = _settle(df, by, one_task)
+    df = _winsorize(df, value, "_clipped", 0.01, 0.99, by, fits)
+    return _zscore(df, "_clipped", out, by, fits, undefined).drop("_clipped")
 
 
 def quantile_bucket(
@@ -158,8 +185,9 @@ def quantile_bucket(
     computed and counted.
     """
     x = F.col(value)
-    if not _fits(df, by, one_task):
-        df = with_quantiles(df, value, [Fraction(i, n) for i in range(n + 1)], "_edges", by, False)
+    df, fits = _settle(df, by, one_task)
+    if not fits:
+        df = _with_quantiles(df, value, [Fraction(i, n) for i in range(n + 1)], "_edges", by, False)
         below = F.size(F.filter(F.array_distinct("_edges"), lambda e: e < x))
         return df.withColumn(out, F.when(x.isNotNull(), F.greatest(below - 1, F.lit(0)))).drop("_edges")
     group = Window.partitionBy(*by)
@@ -189,5 +217,6 @@ def extreme_buckets(
 ) -> DataFrame:
     """Flag rows of the highest and lowest occupied bucket: ``in_top`` and ``in_bottom``."""
     b = F.col(bucket)
-    df = _with_stats(df, by, _fits(df, by, one_task), _top=F.max(b), _low=F.min(b))
+    df, fits = _settle(df, by, one_task)
+    df = _with_stats(df, by, fits, _top=F.max(b), _low=F.min(b))
     return df.withColumns({"in_top": b == F.col("_top"), "in_bottom": b == F.col("_low")}).drop("_top", "_low")

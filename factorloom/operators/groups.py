@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .lineage import cut_lineage
 
 GROUP_ROWS = 5_000_000  # rows one task sorts for one group without strain
+BROADCAST_BYTES = 64 << 20  # largest per-group table sent to every executor
 ACCURACY = 10_000  # rank error of the first quantile pass is at most rows / ACCURACY
 
 
@@ -39,6 +40,16 @@ def join_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "
     return df.join(other, cond, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def per_group(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A table of one row per group, written once, and marked for broadcast if its counted rows are few enough.
+
+    Beyond ``BROADCAST_BYTES`` it stays unmarked and a join shuffles, with adaptive execution splitting the
+    partitions of large groups.
+    """
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def interpolate(n: Column, p: Fraction | float) -> tuple[Column, Column, Column]:
     """Lower and upper 0-based positions and the fraction between them, linear interpolation.
 
@@ -61,7 +72,7 @@ def spread_quantiles(
 
     A first pass brackets every wanted position with an approximate quantile of bounded rank error. The
     second counts the rows outside the brackets and keeps the distinct values inside with their counts, a
-    few ten-thousandths of the group. Only those few are sorted by group.
+    few ten-thousandths of the group. Only those few are sorted by group. ``df`` is read twice.
     """
     by, eps = list(by), 3.0 / accuracy  # sketch error, doubled, and one position of rounding
     rows = df.select(*by, F.col(value).alias("x")).where(F.col("x").isNotNull())
@@ -74,7 +85,7 @@ def spread_quantiles(
         # a group of at most ``accuracy`` rows is its own bracket
         return F.col(extreme) if clamped else F.when(F.col("n") <= accuracy, F.col(extreme)).otherwise(F.col("b")[i])
 
-    brackets = cut_lineage(
+    brackets = per_group(
         rows.groupBy(*by)
         .agg(F.count("x").alias("n"), wide.alias("b"), F.min("x").alias("x0"), F.max("x").alias("x1"))
         .select(
@@ -82,7 +93,8 @@ def spread_quantiles(
             "n",
             F.array(*[end("x0", i, p == 0.0) for i, p in enumerate(low)]).alias("lo"),
             F.array(*[end("x1", k + i, p == 1.0) for i, p in enumerate(high)]).alias("hi"),
-        )
+        ),
+        row_bytes=100 + 32 * k,
     )
     # brackets already passed give the order of the rows outside; a NULL value stands for such rows
     placed = join_keys(rows, brackets.drop("n"), by).select(
@@ -112,7 +124,7 @@ def spread_quantiles(
     for i, p in enumerate(probs):
         lo, hi = F.col("v")[2 * i], F.col("v")[2 * i + 1]
         q.append(F.coalesce(between(lo, hi, interpolate(n, p)[2]), outside.cast("double")))
-    return found.select(*by, F.array(*q).alias("q"))
+    return per_group(found.select(*by, F.array(*q).alias("q")), row_bytes=100 + 16 * k)
 
 
 def spread_average_rank(df: DataFrame, value: str, out: str, by: Sequence[str], ties: str = "_ties") -> DataFrame:
@@ -121,7 +133,7 @@ def spread_average_rank(df: DataFrame, value: str, out: str, by: Sequence[str],
     Equal values are counted first, so a value held by many rows is one row from there on. The distinct
     values are range-partitioned by (group, value); a row's rank is the rows in earlier partitions of its
     group, plus those before it in its own partition, plus half of its ties. The join back meets a value held by very many rows as skew on the left side, which
-    adaptive execution splits.
+    adaptive execution splits. ``df`` is read twice.
     """
     by = list(by)
     distinct = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias(ties))

@@ -9,7 +9,8 @@ from ..operators import correlation as co
 from ..operators import evaluate as ev
 from ..operators.lineage import cut_lineage
 from ..plans import factors as plan
-from .base import WEEK, avg_rank, lag, pearson, rounded, select, sr, week_fits, week_panel
+from ..sources import writers
+from .base import WEEK, avg_rank, lag, pearson, r, rounded, select, sr, week_fits, week_panel
 from .factors import LONG, MANY, raw_sql, standardised_sql
 
 GROUP = ["factor_id", "trade_date"]
@@ -99,13 +100,54 @@ def corr_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = co.passing_pairs(co.correlation_pairs(_window_values(spark, sf_dir)), MIN_DAYS)
-    return co.nested_document(rounded(pairs, PAIR), WINDOW_END, "ALL", WINDOW_DAYS, "2001-07-01T00:00:00")
+    """The snapshot's JSON document, read back into one row per ordered pair."""
+    pairs = rounded(co.passing_pairs(co.correlation_pairs(_window_values(spark, sf_dir)), MIN_DAYS), PAIR)
+    doc = co.nested_document(pairs, WINDOW_END, "ALL", WINDOW_DAYS, "2001-07-01T00:00:00")
+    layout = "as_of_date string, test_universe string, window string, corr map<string,map<string,double>>, generated_at string"
+    head = doc.select("as_of_date", F.from_json("payload", layout).alias("d"))
+    rows = head.select("as_of_date", "d", F.explode("d.corr").alias("factor_a", "row"))
+    rows = rows.select("as_of_date", "d", "factor_a", F.explode("row").alias("factor_b", "corr"))
+    return rows.select(
+        "as_of_date",
+        F.col("d.as_of_date").alias("written_date"),
+        "d.test_universe",
+        "d.window",
+        "d.generated_at",
+        *PAIR,
+        "corr",
+    )
+
+
+def evaluation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON document of each factor's evaluation, read back; one factor has no metadata."""
+    values, bars, fits = _stored(spark, sf_dir)
+    results = ev.evaluate(values, bars, HORIZON, BUCKETS, "all_a", fits)
+    meta = results.where("factor_id <> 'trend_12'").select(
+        "factor_id",
+        F.upper("factor_id").alias("factor_name"),
+        F.lit("price").alias("factor_type"),
+        F.lit("week").alias("trading_cycle"),
+        F.lit(None).cast("string").alias("source_url"),
+    )
+    doc = writers.evaluation_document(F.lit("2001-07-01 00:00:00"))
+    layout = (
+        "factor_id string, factor_name string, factor_type string, test_universe string, trading_cycle string,"
+        " source_url string, horizon string, key_metrics struct<ic_value double, sharpe_ratio double, turnover double>,"
+        " pass_standard boolean, backtest_time string"
+    )
+    back = results.join(meta, "factor_id", "left").select(F.from_json(doc, layout).alias("d"))
+    names = ["factor_id", "factor_name", "factor_type", "test_universe", "trading_cycle", "source_url", "horizon"]
+    return back.select(
+        *[f"d.{n}" for n in names],
+        "d.backtest_time",
+        F.col("d.pass_standard").isNull().alias("undecided"),
+        *[r(f"d.key_metrics.{m}").alias(m) for m in ("ic_value", "sharpe_ratio", "turnover")],
+    )
 
 
 for _q in (
     ic_daily, ic_summary, quantile_returns, long_short, turnover, sharpe_maxdd, evaluate_all,
-    corr_pairs, corr_overlap, corr_passing, corr_counts, snapshot_json,
+    corr_pairs, corr_overlap, corr_passing, corr_counts, snapshot_json, evaluation_json,
 ):
     QUERIES[_q.__name__] = _q
 
@@ -177,13 +219,22 @@ SQL["sharpe_maxdd"] = (
     f"{_BUCKETED}\nSELECT factor_id, {sr(_SHARPE)} AS sharpe_ratio, {sr('min(drawdown)')} AS max_drawdown,"
     " count(ls_ret) AS days FROM dd GROUP BY factor_id"
 )
-SQL["evaluate_all"] = f"""{_BUCKETED},
+_SUMMARY = f"""{_BUCKETED},
 a AS (SELECT factor_id, avg(ic) AS ic_value, avg(ic) / nullif(stddev_samp(ic), 0) AS ic_ir FROM ic_ok GROUP BY factor_id),
 g AS (SELECT factor_id, {_SHARPE} AS sharpe_ratio, min(drawdown) AS max_drawdown FROM dd GROUP BY factor_id),
-h AS (SELECT factor_id, avg(turnover) AS turnover FROM tn GROUP BY factor_id)
+h AS (SELECT factor_id, avg(turnover) AS turnover FROM tn GROUP BY factor_id),
+res AS (SELECT * FROM span LEFT JOIN a USING (factor_id) LEFT JOIN g USING (factor_id) LEFT JOIN h USING (factor_id))"""
+SQL["evaluate_all"] = f"""{_SUMMARY}
 SELECT factor_id, 'ALL' AS test_universe, d0 || ' 至 ' || d1 AS backtest_period, '{HORIZON}d' AS horizon,
   {', '.join(f"{sr(c)} AS {c}" for c in ('ic_value', 'ic_ir', 'sharpe_ratio', 'max_drawdown', 'turnover'))}
-FROM span LEFT JOIN a USING (factor_id) LEFT JOIN g USING (factor_id) LEFT JOIN h USING (factor_id)"""
+FROM res"""
+SQL["evaluation_json"] = f"""{_SUMMARY}
+SELECT factor_id, CASE WHEN factor_id = 'trend_12' THEN factor_id ELSE upper(factor_id) END AS factor_name,
+  CASE WHEN factor_id <> 'trend_12' THEN 'price' END AS factor_type, 'ALL' AS test_universe,
+  CASE WHEN factor_id <> 'trend_12' THEN 'week' END AS trading_cycle, CAST(NULL AS VARCHAR) AS source_url,
+  '{HORIZON}d' AS horizon, '2001-07-01 00:00:00' AS backtest_time, true AS undecided,
+  {', '.join(f"{sr(c)} AS {c}" for c in ('ic_value', 'sharpe_ratio', 'turnover'))}
+FROM res"""
 
 _WINDOW = f"""WITH {WEEK},{raw_sql()},{standardised_sql()},
 v AS (
@@ -209,3 +260,7 @@ SQL["corr_counts"] = f"""{_WINDOW}
 SELECT 2 * count(*) AS total_pairs, 2 * count(corr) AS known_pairs,
   2 * count(CASE WHEN corr IS NOT NULL AND overlap_days >= {MIN_DAYS} THEN 1 END) AS passing_pairs
 FROM pr"""
+SQL["snapshot_json"] = f"""{_WINDOW}
+SELECT DATE '{WINDOW_END}' AS as_of_date, '{WINDOW_END}' AS written_date, 'ALL' AS test_universe, '{WINDOW_DAYS}d' AS window,
+  '2001-07-01T00:00:00' AS generated_at, factor_a, factor_b, {sr('corr')} AS corr
+FROM both_ways"""

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import elem, ts
+from ..operators import conform
 from ..operators import cross_section as xs
 from ..plans import factors as plan
-from .base import SERIES, WEEK, full, lag, rank01, rounded, select, sr, week_fits, week_panel
+from .base import SERIES, WEEK, full, lag, rank01, rounded, select, week_fits, week_panel
 
 KEYS = ["trade_date", "stock_code"]
 LONG_KEYS = ["factor_id", *KEYS]
@@ -50,7 +51,13 @@ def factor_asof_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(df, LONG_KEYS)
 
 
+def factor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = plan.wide_factors(week_panel(spark, sf_dir), plan.library(*MANY), week_fits(spark, sf_dir))
+    return conform.value_counts(plan.long_values(raw, MANY), "1995-03-13")
+
+
 QUERIES.update(
+    factor_counts=factor_counts,
     factor_momentum=factor_momentum,
     factor_nested=factor_nested,
     factor_conditional=factor_conditional,
@@ -103,6 +110,10 @@ LONG = "factor_id, trade_date, stock_code"
 SQL["factors_long"] = f"WITH {WEEK},{raw_sql()},{standardised_sql()}\n" + select(
     {"factor_value": "factor_value"}, "z", keys=LONG
 )
+SQL["factor_counts"] = f"""WITH {WEEK},{raw_sql()}
+SELECT factor_id, count(*) AS n_rows, CAST(count_if(trade_date = DATE '1995-03-13') AS BIGINT) AS n_day,
+  CAST(count_if(trade_date = DATE '1995-03-13' AND x IS NOT NULL) AS BIGINT) AS n_day_known
+FROM raw_long GROUP BY factor_id"""
 SQL["factor_momentum"] = f"""WITH {WEEK},
 raw_long AS (
   SELECT 'm' AS factor_id, trade_date, stock_code, (close - {lag('close', 20)}) / nullif({lag('close', 20)}, 0) AS x FROM w

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -95,3 +95,25 @@ def log_summary(bars: DataFrame) -> DataFrame:
         F.min("trade_date").alias("start_date"),
         F.max("trade_date").alias("end_date"),
     )
+
+
+def observe_load(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its rows, date range and approximate instruments, filled as it is written."""
+    seen = Observation(name)
+    return df.observe(
+        seen,
+        F.count(F.lit(1)).alias("n_rows"),
+        F.approx_count_distinct("stock_code").alias("n_stocks"),
+        F.min("trade_date").alias("start_date"),
+        F.max("trade_date").alias("end_date"),
+    ), seen
+
+
+def value_counts(values: DataFrame, day) -> DataFrame:
+    """Per factor: rows written, rows of the day, and how many of those have a value."""
+    today = F.col("trade_date") == F.lit(day).cast("date")
+    return values.groupBy("factor_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(today).alias("n_day"),
+        F.count_if(today & F.col("factor_value").isNotNull()).alias("n_day_known"),
+    )

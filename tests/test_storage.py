@@ -195,3 +195,28 @@ def test_load_summary_and_preview(bars):
     row = cf.log_summary(bars).first()
     assert (row["n_rows"], row["n_stocks"], row["start_date"]) == (480, 12, day(0))
     assert [r["trade_date"] for r in writers.preview(bars, ["trade_date", "stock_code"], 3).collect()] == [day(0)] * 3
+
+
+def test_observed_load(bars, tmp_path):
+    df, seen = cf.observe_load(bars)
+    df.write.parquet(f"{tmp_path}/o")
+    assert (seen.get["n_rows"], seen.get["start_date"], seen.get["end_date"]) == (480, day(0), day(39))
+
+
+def test_document_pointer_falls_back(spark):
+    runs = spark.createDataFrame(
+        [("a", "ALL", "docs\\a.json"), ("b", "ALL", "gone.json"), ("c", "ETF", "docs/c.json"), ("d", "ALL", None)],
+        "factor_id string, test_universe string, result_json_rel_path string",
+    )
+    there = ["docs/a.json", "docs/c.json", "res/by_universe/ALL/b_ALL_backtest.json", "res/b_backtest.json", "res/c_backtest.json"]
+    files = spark.createDataFrame([(p,) for p in there], "rel_path string")
+    got = {r["factor_id"]: r["backtest_json_path"] for r in bt.document_pointers(runs, files, "ALL", "res").collect()}
+    assert got == {"a": "docs/a.json", "b": "res/by_universe/ALL/b_ALL_backtest.json", "c": "res/c_backtest.json"}
+
+
+def test_spread_factors_equal_those_of_one_task(bars):
+    mine = plan.library("momentum_20", "rank_corr_10")
+    one, spread = (plan.compute_factors(bars, mine, f) for f in (True, False))
+    both = one.join(spread.withColumnRenamed("factor_value", "s"), ["factor_id", "trade_date", "stock_code"])
+    assert both.count() == one.count() == spread.count()
+    assert both.where("not (round(factor_value, 9) <=> round(s, 9))").count() == 0

@@ -122,9 +122,9 @@ def first_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def asof_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
     days = days.where(F.weekday("d") < 5)
-    found = lt.latest_date_upto(days, "d", F.lit("2000-06-11").cast("date"))
-    early = lt.latest_date_upto(days, "d", F.lit("1990-01-01").cast("date"))
-    return found.crossJoin(early.withColumnRenamed("effective_date", "earliest_date"))
+    asked = ("2000-06-11", "1990-01-01")
+    found = [lt.latest_date_upto(days, "d", F.lit(a).cast("date")).withColumn("asked", F.lit(a)) for a in asked]
+    return found[0].unionByName(found[1])
 
 
 def threshold_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +255,8 @@ SQL["latest_per_key"] = f"WITH {_HISTORY}, l AS ({_LATEST})\nSELECT {', '.join(_
 SQL["first_latest"] = f"WITH {_HISTORY},{_BASIC},{_FIRST_LAST}\nSELECT * FROM fl"
 SQL["asof_date"] = """
 WITH d AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE isodow(o_orderdate) <= 5)
-SELECT (SELECT max(d) FROM d WHERE d <= DATE '2000-06-11') AS effective_date, (SELECT min(d) FROM d) AS earliest_date"""
+SELECT max(d) AS effective_date, '2000-06-11' AS asked FROM d WHERE d <= DATE '2000-06-11'
+UNION ALL SELECT min(d), '1990-01-01' FROM d"""
 SQL["threshold_pass"] = f"WITH {_HISTORY}, l AS ({_LATEST})\nSELECT factor_id, test_universe, id, {_PASS} AS passed FROM l"
 SQL["deprecate"] = f"""WITH {_HISTORY},{_BASIC},{_FIRST_LAST},
 g AS (SELECT factor_id FROM fl WHERE {_GONE})

@@ -87,9 +87,10 @@ def correlation_pairs(values: DataFrame) -> DataFrame:
 def passing_pairs(pairs: DataFrame, min_overlap_days: int) -> DataFrame:
     """Pairs with a correlation and enough common dates, in both directions."""
     kept = pairs.where(F.col("corr").isNotNull() & (F.col("overlap_days") >= min_overlap_days))
-    cols = ["factor_a", "factor_b", "corr", "overlap_days"]
-    back = kept.select(F.col("factor_b").alias("factor_a"), F.col("factor_a").alias("factor_b"), *cols[2:])
-    return kept.select(*cols).unionByName(back)
+    a, b = F.col("factor_a"), F.col("factor_b")
+    both = F.array(F.struct(a.alias("a"), b.alias("b")), F.struct(b.alias("a"), a.alias("b")))
+    turned = kept.select(F.explode(both).alias("p"), "corr", "overlap_days")
+    return turned.select(F.col("p.a").alias("factor_a"), F.col("p.b").alias("factor_b"), "corr", "overlap_days")
 
 
 def pair_counts(pairs: DataFrame, min_overlap_days: int) -> DataFrame:

@@ -11,7 +11,7 @@ from ..operators.lineage import cut_lineage
 from ..plans import factors as plan
 from ..sources import writers
 from .base import WEEK, avg_rank, lag, pearson, r, rounded, select, sr, week_fits, week_panel
-from .factors import LONG, MANY, raw_sql, standardised_sql
+from .factors import MANY, raw_sql, standardised_sql
 
 GROUP = ["factor_id", "trade_date"]
 PAIR = ["factor_a", "factor_b"]

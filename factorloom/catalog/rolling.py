@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import elem, ts
 from ..functions.derived import with_derived
-from .base import SERIES, SO_FAR, USER_DAY, WEEK, frame, full, lag, r, rounded, select, sr, user_panel, week_panel
+from .base import SERIES, SO_FAR, USER_DAY, WEEK, full, lag, r, rounded, select, user_panel, week_panel
 
 KEYS = ["trade_date", "stock_code"]
 QUERIES, SQL = {}, {}

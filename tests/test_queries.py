@@ -8,9 +8,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from factorloom import catalog
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

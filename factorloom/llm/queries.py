@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, shards, urls
+from . import bpe, decon, linededup, quality, shards, urls
 from .base import table
 
 #: Host, path, action; fixed values.
@@ -33,12 +33,21 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, decoded=True)
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decon.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_deleted")
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
@@ -47,7 +56,9 @@ QUERIES = {
     "op2_quality_rules": quality_rules,
     "op3_url_filter": url_filter,
     "op4_bpe_codec": bpe_codec,
+    "op6_decontamination": decontamination,
     "op8_sharding": sharding,
+    "op10_line_dedup": line_dedup,
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \x09-\x0D]+'), lambda w: w <> '')"
@@ -103,4 +114,58 @@ m AS (
   FROM b JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r
 )
 SELECT page_id, host, path, best[1] AS rule, coalesce(best[2], 'allow') AS verdict FROM b LEFT JOIN m ON b.r = m.r""",
+    # a run of four tokens is left however four of twenty change
+    "op6_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
+),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark
+),
+dg AS (SELECT doc_id, i, w[i : i + 3] AS g FROM d, unnest(range(1, CAST(len(w) AS BIGINT) - 2)) AS u(i)),
+bg AS (SELECT item_id, i, w[i : i + 3] AS g FROM b, unnest(range(1, CAST(len(w) AS BIGINT) - 2)) AS u(i)),
+diag AS (SELECT DISTINCT doc_id, item_id, dg.i - bg.i AS shift FROM dg JOIN bg USING (g)),
+runs AS (
+  SELECT doc_id, item_id, shift, s, least(20, len(b.w)) AS n,
+         len(list_filter(range(s, s + least(20, len(b.w))), lambda k: k + shift >= 1 AND d.w[k + shift] = b.w[k])) AS matches
+  FROM diag JOIN d USING (doc_id) JOIN b USING (item_id), unnest(range(1, greatest(2, CAST(len(b.w) AS BIGINT) - 18))) AS u(s)
+),
+best AS (
+  SELECT doc_id, item_id, max(row(matches, -(s + shift - 1), -(s - 1))) AS x FROM runs
+  WHERE matches >= CASE WHEN n = 20 THEN 16 ELSE n END GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, CAST(x[1] AS INTEGER) AS matches, CAST(-x[2] AS INTEGER) AS doc_start, CAST(-x[3] AS INTEGER) AS item_start FROM best""",
+    "op10_line_dedup": r"""
+WITH t AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS all_lines FROM documents
+),
+l AS (
+  SELECT doc_id, pos, all_lines[pos] AS line,
+         len(list_filter(string_split_regex(all_lines[pos], '[ \x09-\x0D]+'), lambda w: w <> '')) AS n
+  FROM t, unnest(range(1, CAST(len(all_lines) AS BIGINT) + 1)) AS u(pos)
+  WHERE regexp_matches(all_lines[pos], '[^ \x09-\x0D]')
+),
+c AS (
+  SELECT doc_id, pos, line, n, row_number() OVER w AS i, sum(n) OVER w - n AS before, sum(n) OVER w AS upto
+  FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+f AS (
+  SELECT doc_id, i AS s, count(*) OVER w AS m, sum(n) OVER w AS words, string_agg(line, chr(10)) OVER w AS run
+  FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+),
+g AS (
+  SELECT doc_id, i - count(*) OVER w + 1 AS s, count(*) OVER w AS m, sum(n) OVER w AS words, string_agg(line, chr(10)) OVER w AS run
+  FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+),
+later AS (
+  SELECT doc_id, s, m FROM (SELECT DISTINCT * FROM (FROM f UNION ALL FROM g) WHERE words >= 50)
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, s) > 1
+),
+gone AS (SELECT DISTINCT doc_id, i FROM later, unnest(range(s, s + m)) AS u(i)),
+lost AS (SELECT doc_id, list(pos) AS lost FROM c JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id,
+       CASE WHEN lost IS NULL THEN text ELSE
+         array_to_string(list_filter(all_lines, lambda x, i: NOT list_contains(lost, i)), chr(10)) END AS text,
+       coalesce(len(lost), 0) AS n_deleted
+FROM t LEFT JOIN lost USING (doc_id)""",
 }

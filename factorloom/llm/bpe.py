@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A worker's cache: matches up to this many characters, and so many of them before it starts anew.
-CACHED_CHARS, CACHED = 48, 400_000
+CACHED_CHARS, CACHED = 48, 150_000
 #: Rows an output batch holds at most, and the characters after which it ends.
-BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
+BATCH_ROWS, BATCH_CHARS = 512, 1_000_000
 #: Matches of a text encoded at a time if the text makes a batch of its own.
-MATCHES = 500_000
+MATCHES = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -134,15 +134,19 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     offsets: bool = False,
+    decoded: bool = False,
 ) -> DataFrame:
     """Columns ``id_col``, n_tokens, ids (binary, uint32 little-endian); with ``offsets`` also starts, ends.
 
+    With ``decoded`` also the bytes that the ids decode to, made by the same worker.
+
     One row out for each row in, repeated or not. A NULL text encodes as the empty one: no tokens, empty
     ``ids``. Special tokens are not recognised: their strings are ordinary text. Other columns are not
     read, so their names cannot clash. ``path`` must be readable on every executor.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    more = ", starts array<int>, ends array<int>" if offsets else ""
+    more = ", starts array<int>, ends array<int>" * offsets + ", decoded binary" * decoded
+    names = ["key", "n_tokens", "ids", *["starts", "ends"] * offsets, *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -154,7 +158,9 @@ def encode(
                 if offsets:
                     spans = [c.offsets(x) for x in ids]
                     out += [pa.array([x[k] for x in spans], pa.list_(pa.int32())) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(out, names=["key", "n_tokens", "ids", "starts", "ends"][: len(out)])
+                if decoded:
+                    out.append(pa.array(map(c.decode, ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
     narrow = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     done = narrow.mapInArrow(run, f"key {kind}, n_tokens long, ids binary{more}")

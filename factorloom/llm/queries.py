@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decon, linededup, quality, shards, urls
+from . import bpe, decon, jaccard, linededup, quality, shards, urls
 from .base import table
 
 #: Host, path, action; fixed values.
@@ -44,6 +44,10 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_deleted")
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_bpe_codec": bpe_codec,
     "op6_decontamination": decontamination,
     "op8_sharding": sharding,
+    "op9_jaccard_join": jaccard_join,
     "op10_line_dedup": line_dedup,
 }
 

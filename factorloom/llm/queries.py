@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decon, jaccard, linededup, quality, shards, urls
+from . import bpe, decon, html, jaccard, linededup, packing, quality, secrets, shards, urls
 from .base import table
 
 #: Host, path, action; fixed values.
@@ -20,6 +20,10 @@ URL_RULES = [
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     extra = quality.order_rules(docs, quality.RULES[len(quality.BASE) :])
@@ -39,11 +43,22 @@ def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte ids (the UTF-8 bytes themselves) in rows of 8192."""
+    ids = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("ids"))
+    return packing.pack(ids, length=8192, width=1)
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decon.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages))
+
+
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"))
 
@@ -57,10 +72,13 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": secret_scan,
     "op2_quality_rules": quality_rules,
     "op3_url_filter": url_filter,
     "op4_bpe_codec": bpe_codec,
+    "op5_packed_rows": packed_rows,
     "op6_decontamination": decontamination,
+    "op7_html_text": html_text,
     "op8_sharding": sharding,
     "op9_jaccard_join": jaccard_join,
     "op10_line_dedup": line_dedup,

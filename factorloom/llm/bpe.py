@@ -55,18 +55,17 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         import regex
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import models
 
         ranks = read_ranks(path)
-        char = byte_characters()
-        shown = lambda token: "".join(char[b] for b in token)
+        self.char = byte_characters()
+        shown = lambda token: "".join(map(self.char.__getitem__, token))
         merges = []
         for token in sorted((t for t in ranks if len(t) > 1), key=ranks.__getitem__):
             parts = split_token(token, ranks)
             if len(parts) == 2:
                 merges.append((shown(parts[0]), shown(parts[1])))
-        self.library = Tokenizer(models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=merges))
-        self.library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=merges)
         self.pattern = regex.compile(pattern)
         self.matches = self.pattern.findall
         self.bytes = [b""] * (max(ranks.values()) + 1)
@@ -84,13 +83,18 @@ class Codec:
         found = (m.group() for m in self.pattern.finditer(text))
         return b"".join(self.joined([list(p)])[0] for p in itertools.batched(found, MATCHES))
 
+    def merged(self, match: str) -> bytes:
+        """The ids of one match."""
+        shown = "".join(map(self.char.__getitem__, match.encode()))
+        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+
     def joined(self, parts: list[list[str]]) -> list[bytes]:
         """The ids of each list of matches."""
         if len(self.seen) > CACHED:
             self.seen.clear()
         new = list(set().union(*parts).difference(self.seen))
         if new:
-            self.seen.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(new))))
+            self.seen.update((match, self.merged(match)) for match in new)
         ids = [b"".join(map(self.seen.__getitem__, p)) for p in parts]
         for match in new:
             if len(match) > CACHED_CHARS:

@@ -169,13 +169,13 @@ class Weights:
     words: dict[str, float]
     tags: dict[str, float]
     word: float = 1.0
-    tag: float = -0.5
+    tag: float = -0.3
 
     def of_word(self, context: str) -> float:
         return self.words.get(context, -1.0 if context == "boilerplate" else self.word)
 
     def of_tag(self, name: str) -> float:
-        return self.tags.get(name, self.tag)
+        return self.tags.get(name, -0.1 if name.lstrip("/") in INLINE_TAGS else self.tag)
 
 
 def counts(page: str) -> Counter:
@@ -205,10 +205,12 @@ def fit(seen: Counter) -> Weights:
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
-    """First and past-the-last place of the contiguous run with the largest sum, (0, 0) if none is above zero; the first of equals."""
+    """First and past-the-last place of the contiguous run with the largest sum, (0, 0) if none is above zero.
+
+    Of equals the first to end, with all that it can start with."""
     best, at, total, start = 0.0, (0, 0), 0.0, 0
     for i, s in enumerate(scores):
-        if total <= 0:
+        if total < 0 or not i:
             total, start = 0.0, i
         total += s
         if total > best:

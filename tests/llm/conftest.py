@@ -7,6 +7,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from brute import ODD  # noqa: E402
+
 #: Names the operators use inside; as columns of the input they must do no harm.
 CLASHING = "key id th n i a b r k x h u v at node rep bits part kept rule ids size shard slot stratum seed item label path score html".split()
 
@@ -24,15 +26,6 @@ def make(spark):
     return docs
 
 
-LONG = " ".join(f"word{i % 977}x{i}" for i in range(30_000))
-
-#: NULLs, empty and long texts, ties, repeated rows.
-ODD = [
-    (1, None, None), (2, "", "a"), (3, " \n\t ", "a"), (4, LONG, "b"), (5, LONG, "b"), (5, LONG, "b"), (6, "one", None),
-    (None, "two words", None), (None, None, None), (7, "Ünïcode 漢字 \U0001f600 " * 30, "b"), (8, "same " * 40, "a"), (8, "other text of one id", "a"),
-]
-
-
 @pytest.fixture(scope="session")
 def odd(make):
     return make(ODD)

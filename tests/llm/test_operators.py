@@ -11,7 +11,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import LONG, ODD
+from brute import LONG, ODD
 from pyspark.sql import functions as F
 
 from factorloom.llm import bpe, decon, graph, html, jaccard, linededup, packing, quality, secrets, shards, urls

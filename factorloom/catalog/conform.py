@@ -89,7 +89,7 @@ FROM orders"""
 def id_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.when(F.col("p_size") < 10, "fd").when(F.col("p_size") < 20, "jq").when(F.col("p_size") < 30, "bq").otherwise("web")
     raw = table(spark, sf_dir, "part").select("p_partkey", source.alias("source"))
-    numbered = number_raw_factors(raw, "p_partkey", "2024-03-05", 1100)
+    numbered = number_raw_factors(raw, "p_partkey", "2024-03-05")
     return numbered.select(
         "p_partkey", "factor_id", codes.id_from_name(F.concat(F.lit("alpha_"), "p_partkey")).alias("alpha_id")
     )
@@ -101,7 +101,7 @@ WITH s AS (
 ),
 n AS (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY p_partkey) AS k FROM s)
 SELECT p_partkey, format('FACTOR_{}_20240305_{:03d}', tag, k) AS factor_id, format('JQ_ALPHA_{:03d}', p_partkey) AS alpha_id
-FROM n WHERE k <= 1100"""
+FROM n"""
 
 
 # --- universes ---

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,33 +74,73 @@ def direction(raw: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    for entity, char in {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references resolved in one pass, numeric ones and all names of HTML; no-break spaces become blanks."""
+    names = {n[:-1]: " " if n == "nbsp;" else c for n, c in html5.items() if n.endswith(";")}
+    known = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+    def one(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});", 1)
+        hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+        point = F.when(hexadecimal, F.conv(F.substring(name, 3, 9), 16, 10)).otherwise(F.substring(name, 2, 9)).cast("int")
+        valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        code = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        number = F.when(point == 160, F.lit(" ")).when(valid, code).otherwise("\ufffd")
+        char = F.when(F.startswith(name, F.lit("#")), number).when(name != "", F.try_element_at(known, name))
+        return F.coalesce(F.concat(char, F.substr(piece, F.length(name) + 2)), F.concat(F.lit("&"), piece))
+
+    parts = F.split(text, "&", -1)
+    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))).otherwise(text)
 
 
 def plain_text(markup: Column) -> Column:
     """Text of a piece of markup, tags replaced by single blanks, entities resolved."""
-    return unescape(strip(F.regexp_replace(markup, r"(?U)\s*(?:<[^>]*>\s*)+", " ")))
+    return unescape(strip(F.regexp_replace(markup, r"(?U)\s*+(?:<[^>]*+>\s*+)++", " ")))
+
+
+def page_scope(html, name: str = "preview-contents") -> Column:
+    """The element with that id or class from its start tag to its end; the whole page if there is none."""
+    page = col(html)
+    cut = F.split(page, rf"""(?i)(?=<[a-z][^<>]*\b(?:id|class)=["'][^"'<>]*\b{name}\b)""", 2)
+    tag = F.regexp_extract(cut[1], r"^<([A-Za-z][A-Za-z0-9]*)", 1)
+    pieces = F.split(cut[1], F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"\b)")), -1)
+
+    def step(acc: Column, piece: Column) -> Column:
+        depth = acc["depth"] + F.when(F.startswith(piece, F.lit("</")), -1).when(F.startswith(piece, F.lit("<")), 1).otherwise(0)
+        return F.struct(
+            depth.alias("depth"), (acc["n"] + F.when(acc["open"], 1).otherwise(0)).alias("n"), (acc["open"] & (depth > 0)).alias("open")
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+    inside = F.aggregate(pieces, start, step)["n"]
+    return F.when(F.size(cut) < 2, page).otherwise(F.array_join(F.slice(pieces, 1, inside), ""))
 
 
 def block_segments(html, heading: str = "h4", id_prefix: str = "alpha") -> Column:
     """A page cut before each heading whose id has the prefix; what comes before the first is left out."""
     start = rf"""<{heading}\b[^>]*\bid=["']{id_prefix}"""
-    return F.filter(F.split(col(html), rf"(?is)(?={start})"), lambda s: s.rlike(rf"(?is)^{start}"))
+    return F.filter(F.split(page_scope(html), rf"(?is)(?={start})"), lambda s: s.rlike(rf"(?is)^{start}"))
 
 
 def block_parts(segment: Column, heading: str = "h4", id_prefix: str = "alpha") -> Column:
-    """Struct of a segment's alpha_name, formula and the note before the formula; NULL where it has none."""
-    no_item = r"(?:(?!</?li\b).)*"
-    item = rf"(?is)<li\b[^>]*>({no_item}{FORMULA_LABEL}.*?)</li>"
-    labels = "|".join(DESCRIPTION_LABELS)
-    labelled = F.regexp_extract(segment, item, 1)
-    inner = F.regexp_extract(labelled, r"(?is)<ul\b[^>]*>.*?<li\b[^>]*>(.*)$", 1)
+    """Struct of a segment's alpha_name, formula and the note before the formula; NULL where it has none.
+
+    The segment is cut at its list items first, so no pattern has to step over text one character at a time.
+    """
+    items = F.filter(F.split(segment, r"(?i)(?=<li\b)"), lambda x: x.rlike(r"(?i)^<li\b"))
+    content = lambda x: F.split(F.regexp_replace(x, r"(?i)^<li\b[^>]*>", ""), r"(?i)</li\b", 2)
+    own_text = F.transform(items, lambda x: content(x)[0])
+    place = F.coalesce(F.array_position(F.transform(own_text, lambda x: F.contains(x, F.lit(FORMULA_LABEL))), True), F.lit(0)).cast("int")
+    # the labelled item up to the first item end, its own or a nested item's
+    tail = content(F.array_join(F.slice(items, F.greatest(place, F.lit(1)), F.size(items)), ""))
+    labelled = F.when((place > 0) & (F.size(tail) > 1), tail[0]).otherwise("")
+    nested = F.split(labelled, r"(?i)<ul\b[^>]*>", 2)
+    nested = F.split(F.when(F.size(nested) > 1, nested[1]).otherwise(""), r"(?i)<li\b[^>]*>", 2)
+    inner = F.when(F.size(nested) > 1, nested[1]).otherwise("")
     own = F.regexp_replace(plain_text(labelled), rf"(?U)^{FORMULA_LABEL}[:：]\s*", "")
-    formula = strip(unescape(F.coalesce(F.nullif(plain_text(inner), F.lit("")), own)))
-    before = F.regexp_replace(segment, rf"(?is)<li\b[^>]*>{no_item}{FORMULA_LABEL}.*$", "")
-    note = plain_text(F.regexp_extract(before, rf"(?is)<li\b[^>]*>({no_item}(?:{labels}){no_item})", 1))
+    formula = strip(F.coalesce(F.nullif(plain_text(inner), F.lit("")), own))
+    before = F.when(place > 0, F.slice(own_text, 1, place - 1)).otherwise(own_text)
+    is_note = lambda x: F.contains(x, F.lit(DESCRIPTION_LABELS[0])) | F.contains(x, F.lit(DESCRIPTION_LABELS[1]))
+    note = plain_text(F.coalesce(F.get(F.filter(before, is_note), F.lit(0)), F.lit("")))
     title = plain_text(F.regexp_extract(segment, rf"(?is)<{heading}\b[^>]*>(.*?)</{heading}>", 1))
     named = F.nullif(F.regexp_extract(title, r"(?i)(alpha_?\d+)", 1), F.lit(""))
     own_id = F.regexp_extract(segment, rf"""(?is)\bid=["']({id_prefix}[^"']*)""", 1)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.codes import generated_id
+from .lineage import cut_lineage
+from .upsert import same_keys
 
 
 def parse_documents(docs: DataFrame, text: str = "text", path: str = "doc_path") -> tuple[DataFrame, DataFrame]:
@@ -71,11 +73,20 @@ def render_document(title: str = "因子说明文档") -> Column:
     return F.concat(F.lit(f"# {title}\n\n"), F.concat_ws("\n", *lines), F.lit("\n"))
 
 
-def number_raw_factors(raw: DataFrame, order: str, day, max_factors: int) -> DataFrame:
-    """Generated ids by ordinal within each source, at most ``max_factors`` per source.
+def number_raw_factors(raw: DataFrame, order: str, day, max_factors: int | None = None) -> DataFrame:
+    """Generated ids by ordinal within each source, which may have any number of rows.
 
-    Rows beyond the limit are cut before the shuffle (a rank filter Spark pushes down).
+    Rows are sorted by (source, order) over all partitions; a row's ordinal is its place in its partition plus
+    the source's rows in the partitions before. ``max_factors`` keeps the first of each source only.
     """
-    rn = F.row_number().over(Window.partitionBy("source").orderBy(order))
-    top = raw.withColumn("ordinal", rn).where(F.col("ordinal") <= max_factors)
-    return top.withColumn("factor_id", generated_id("source", F.lit(day).cast("date"), "ordinal"))
+    at = F.monotonically_increasing_id()  # the partition above 33 bits of row number
+    ranged = raw.repartitionByRange("source", order).sortWithinPartitions("source", order).withColumn("_at", at)
+    placed = cut_lineage(ranged.withColumn("_part", F.shiftright("_at", 33)))
+    blocks = placed.groupBy("source", "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    upto = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = blocks.select("source", "_part", (F.sum("_n").over(upto) - F.col("_n") + 1 - F.col("_first")).alias("_shift"))
+    ordinal = (F.col("_at") + F.col("_shift")).cast("int")
+    numbered = same_keys(placed, blocks, ["source", "_part"], "inner").withColumn("ordinal", ordinal).drop("_at", "_part", "_shift")
+    if max_factors is not None:
+        numbered = numbered.where(F.col("ordinal") <= max_factors)
+    return numbered.withColumn("factor_id", generated_id("source", F.lit(day).cast("date"), "ordinal"))

@@ -16,6 +16,15 @@ from .latest import latest_per_key
 RULES = ("replace", "patch", "coalesce")
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join of ``left`` with ``right`` on ``keys``, NULLs equal, with the columns of ``left`` and the others of ``right``."""
+    right = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return left.join(right, cond, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -60,13 +69,13 @@ def upsert(
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` plus the source rows whose key it lacks; existing rows are never touched."""
-    new = source.join(target, list(keys), "left_anti")
+    new = same_keys(source, target.select(*keys), keys, "left_anti")
     return target.unionByName(new, allowMissingColumns=True)
 
 
 def update_flags(target: DataFrame, decisions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Overwrite columns of existing rows from a decision set; a NULL decision keeps the old value."""
-    known = decisions.join(target.select(*keys), list(keys), "left_semi")
+    known = same_keys(decisions, target.select(*keys), keys, "left_semi")
     return upsert(target, known, keys, rule="coalesce")
 
 
@@ -74,4 +83,4 @@ def keep_recent(df: DataFrame, date: str, by: Sequence[str], run_date, keep_days
     """Drop snapshots older than ``keep_days`` before ``run_date``, never the latest one of its group."""
     newest = df.groupBy(*by).agg(F.max(date).alias("_newest"))
     kept = F.col(date) >= F.date_sub(F.lit(run_date).cast("date"), keep_days)
-    return df.join(newest, list(by)).where(kept | (F.col(date) == F.col("_newest"))).drop("_newest")
+    return same_keys(df, newest, by, "inner").where(kept | (F.col(date) == F.col("_newest"))).drop("_newest")

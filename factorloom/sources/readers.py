@@ -167,7 +167,7 @@ def landed_bars(df: DataFrame, mapping: dict[str, str], **fixed: Column) -> Data
     return conform_bars(rename(df, mapping).withColumns(fixed) if fixed else rename(df, mapping))
 
 
-def read_documents(spark: SparkSession, folder: str, glob: str = "*.[mM][dD]") -> DataFrame:
+def read_documents(spark: SparkSession, folder: str, glob: str = "*.{[mM][dD],txt}") -> DataFrame:
     """Whole text files below a folder as (doc_path, text)."""
     df = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return df.select(F.col("_metadata.file_path").alias("doc_path"), F.col("value").alias("text"))

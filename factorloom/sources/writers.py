@@ -15,9 +15,16 @@ from ..operators.lineage import cut_lineage
 from ..operators.upsert import keep_recent, upsert
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", **options) -> None:
-    """Write ``df``, replacing exactly the partitions it has rows in."""
-    w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").options(**options)
+def overwrite_partitions(
+    df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", files: int = 1, **options
+) -> None:
+    """Write ``df``, replacing exactly the partitions it has rows in, into about ``files`` files each.
+
+    Rows meet by partition first, so a partition is not scattered over a file from every task. Give ``files``
+    more than 1 where one partition is too much for a task.
+    """
+    dealt = df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(files))) if files > 1 else df.repartition(*by)
+    w = dealt.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").options(**options)
     w.partitionBy(*by).save(path)
 
 
@@ -52,16 +59,27 @@ def upsert_table(
     stored = spark.read.parquet(path)
     types = dict(source.dtypes)
     stored = stored.withColumns({c: F.col(c).cast(types[c]) for c in by})  # folder names come back untyped
-    touched = source.select(*by).distinct()
-    merged = upsert(stored.join(touched, list(by), "left_semi"), source, keys, rule, order)
+    # folders are as many as the calendar has parts; their values as literals prune the stored table's files
+    touched = source.select(*by).distinct().collect()
+    here = F.lit(False)
+    for t in touched:
+        one = F.lit(True)
+        for c in by:
+            one = one & F.col(c).eqNullSafe(F.lit(t[c]))
+        here = here | one
+    merged = upsert(stored.where(here), source, keys, rule, order)
     overwrite_partitions(cut_lineage(merged), path, by)
 
 
 def _has_rows(spark: SparkSession, path: str) -> bool:
+    """False only where nothing lies at ``path``; what lies there and cannot be read is an error."""
     try:
-        return len(spark.read.parquet(path).take(1)) > 0
-    except AnalysisException:
-        return False
+        stored = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return len(stored.take(1)) > 0
 
 
 def append_backtests(rows: DataFrame, path: str) -> None:
@@ -120,8 +138,9 @@ def retain_snapshots(spark: SparkSession, path: str, kept_path: str, run_date, k
 
 
 def write_documents(factors: DataFrame, path: str, title: str = "因子说明文档") -> None:
-    """Labelled text documents, one folder per factor."""
-    overwrite_partitions(factors.select(render_document(title).alias("value"), "factor_id"), path, ["factor_id"], "text")
+    """Labelled text documents, which ``read_documents`` finds again, one folder per factor."""
+    docs = factors.select(render_document(title).alias("value"), "factor_id")
+    overwrite_partitions(docs, path, ["factor_id"], "text")
 
 
 def preview(df: DataFrame, keys: Sequence[str], rows: int = 5) -> DataFrame:

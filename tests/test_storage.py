@@ -12,6 +12,7 @@ from factorloom import schema
 from factorloom.operators import conform as cf
 from factorloom.operators import documents as dc
 from factorloom.operators import universe as un
+from factorloom.operators import upsert as up
 from factorloom.plans import backtest as bt
 from factorloom.plans import factors as plan
 from factorloom.plans import ingest
@@ -174,8 +175,6 @@ def test_documents_there_and_back(spark, tmp_path):
     cols = "factor_id string, factor_name string, formula string, description string, factor_type string, test_universe string, trading_cycle string, factor_direction string, source_url string"
     rows = [("F1", "one", "RANK(close)", "d", "t", "ALL", "daily", "Short", "http://a"), ("F2", "two", "close", "d", "t", "ALL", "daily", "sideways", "u")]
     writers.write_documents(spark.createDataFrame(rows, cols), f"{tmp_path}/md")
-    for i, f in enumerate(sorted((tmp_path / "md").rglob("*.txt"))):
-        (tmp_path / f"{i}.MD").write_text(f.read_text())
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "x.md").write_text("因子ID：F3\n公式: close\n公式(DSL):  open \n")
     good, bad = bt.load_definitions(spark, str(tmp_path))
@@ -184,6 +183,39 @@ def test_documents_there_and_back(spark, tmp_path):
     assert [r["missing_fields"] for r in bad.collect()] == [["factor_name", "factor_direction"]]
 
 
+def test_pages_of_mixed_planes(spark):
+    filler = "ab\U0001f600" * 60000
+    html = (
+        f'<h4 id="alpha9">out</h4><div class="a preview-contents"><div>{filler}</div><h4 id="alpha1">alpha_1</h4><ul><li>{filler}</li>'
+        f'<li>说明: {filler}</li><li>因子公式: A &ge; B &times; &#60;&#x3E; &amp;lt; {filler}</li></ul></div><h4 id="alpha2">x</h4>'
+    )
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    rows = dc.extract_blocks(pages, ["page_id"]).collect()
+    assert [(r["alpha_name"], r["raw_formula"], r["description"]) for r in rows] == [("alpha_1", f"A ≥ B × <> &lt; {filler}", f"说明: {filler}")]
+
+
+def test_null_keys_meet(spark):
+    t = spark.createDataFrame([(None, 1, "2024-01-01"), (None, 2, "2024-01-09"), ("a", 3, "2024-01-02")], "k string, v int, d string")
+    t = t.withColumn("d", F.col("d").cast("date"))
+    assert sorted(r["v"] for r in up.keep_recent(t, "d", ["k"], "2024-01-10", 3).collect()) == [2, 3]
+    assert up.insert_if_absent(t, t.where("v = 1"), ["k"]).count() == 3
+    flags = up.update_flags(t.where("v = 1"), t.where("v = 1").withColumn("v", F.lit(7)), ["k"])
+    assert [r["v"] for r in flags.collect()] == [7]
+
+
+def test_unreadable_table_is_an_error(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        writers.upsert_table(spark, f"{tmp_path}/t", spark.createDataFrame([(1, 2)], "k int, m int"), ["k"], ["m"])
+
+
+def test_few_files_per_partition(spark, tmp_path):
+    df = spark.range(2000).select("id", (F.col("id") % 20).alias("m")).repartition(8)
+    writers.overwrite_partitions(df, f"{tmp_path}/few", ["m"])
+    assert len(list((tmp_path / "few").rglob("part-*.parquet"))) == 20
+
+
 def test_very_long_pages(spark):
     filler = "<p>" + "word <b>bold</b> " * 20000 + "</p>"
     html = f'{filler}<h4 id="alpha1">alpha_1</h4><ul><li>{filler}</li><li>因子公式: A &lt; B</li></ul>{filler}<h4 id="alpha2">x</h4>'

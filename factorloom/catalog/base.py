@@ -67,6 +67,12 @@ def sr(expr: str, digits: int = 6) -> str:
     return f"round({expr}, {digits}) + 0.0"
 
 
+def significant(x: str) -> str:
+    """Rounded to 12 significant digits."""
+    p = f"pow(10.0, 11 - floor(log10(nullif(abs({x}), 0))))"
+    return f"CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} * {p}) / {p} END"
+
+
 def select(cols: dict[str, str], source: str, digits: int | dict[str, int] = 6, keys="trade_date, stock_code") -> str:
     d = digits if isinstance(digits, dict) else {}
     default = digits if isinstance(digits, int) else 6

@@ -50,6 +50,18 @@ def xs_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(*KEYS, "q", "in_top", "in_bottom")
 
 
+def scale_invariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column and the same column times 1e-9 through every cross-sectional operator."""
+    df, fits = _input(spark, sf_dir)
+    df = df.withColumn("tiny", F.col("volume") * F.lit(1e-9))
+    for c in ("volume", "tiny"):
+        df = xs.rank01(df, c, f"rank_{c}", one_task=fits)
+        df = xs.winsorize_and_standardize(df, c, f"z_{c}", one_task=fits)
+        df = xs.quantile_bucket(df, c, 10, f"q_{c}", one_task=fits)
+    return rounded(df.select(*KEYS, *[f"{k}_{c}" for c in ("volume", "tiny") for k in ("rank", "z", "q")]), KEYS)
+
+
+QUERIES.update(scale_invariance=scale_invariance)
 QUERIES.update(xs_rank=xs_rank, xs_scale=xs_scale, xs_winsor_zscore=xs_winsor_zscore, xs_buckets=xs_buckets)
 
 SQL["xs_rank"] = f"WITH {WEEK},\n{_X}\n" + select({"rank_mom": rank01("mom"), "rank_volume": rank01("volume")}, "x")
@@ -65,14 +77,15 @@ SQL["xs_winsor_zscore"] = f"""WITH {WEEK},
 q AS (SELECT trade_date, quantile_cont(mom, 0.01) AS lo, quantile_cont(mom, 0.99) AS hi FROM x GROUP BY trade_date),
 c AS (SELECT x.*, CASE WHEN mom IS NOT NULL THEN least(greatest(mom, lo), hi) END AS clipped FROM x JOIN q USING (trade_date)),
 s AS (
-  SELECT trade_date, avg(clipped) AS m, stddev_samp(clipped) AS sd, avg(volume) AS vm, stddev_samp(volume) AS vsd
+  SELECT trade_date, avg(clipped) AS m, stddev_samp(clipped) AS sd, avg(volume) AS vm, stddev_samp(volume) AS vsd,
+    min(clipped) = max(clipped) AS flat, min(volume) = max(volume) AS vflat
   FROM c GROUP BY trade_date
 )
 """ + select(
     {
         "clipped": "clipped",
-        "z_volume": "CASE WHEN vsd IS NULL OR round(vsd, 10) = 0 THEN 0.0 ELSE (volume - vm) / vsd END",
-        "z": "CASE WHEN sd IS NULL OR round(sd, 10) = 0 THEN 0.0 ELSE (clipped - m) / sd END",
+        "z_volume": "CASE WHEN vsd IS NULL OR vflat THEN 0.0 ELSE (volume - vm) / vsd END",
+        "z": "CASE WHEN sd IS NULL OR flat THEN 0.0 ELSE (clipped - m) / sd END",
     },
     "c JOIN s USING (trade_date)",
 )
@@ -90,3 +103,24 @@ b AS (
 SELECT trade_date, stock_code, q, q = max(q) OVER (PARTITION BY trade_date) AS in_top,
   q = min(q) OVER (PARTITION BY trade_date) AS in_bottom
 FROM b"""
+_Z = "CASE WHEN sd IS NULL OR flat THEN 0.0 ELSE (c - m) / sd END"
+SQL["scale_invariance"] = f"""WITH {WEEK},
+{_X},
+v AS (
+  SELECT trade_date, list(volume ORDER BY volume) AS l, count(volume) AS n, quantile_cont(volume, 0.01) AS lo, quantile_cont(volume, 0.99) AS hi
+  FROM x GROUP BY trade_date
+),
+e AS (
+  SELECT trade_date, lo, hi, list_distinct(list_transform(range(0, 11), lambda k:
+    l[(n - 1) * k // 10 + 1] + (l[((n - 1) * k + 9) // 10 + 1] - l[(n - 1) * k // 10 + 1]) * (((n - 1) * k % 10) / 10.0)
+  )) AS edges FROM v
+),
+c AS (
+  SELECT trade_date, stock_code, {rank01("volume")} AS k, least(greatest(volume, lo), hi) AS c,
+    CAST(greatest(len(list_filter(edges, lambda g: g < volume)) - 1, 0) AS DOUBLE) AS q
+  FROM x JOIN e USING (trade_date)
+),
+s AS (SELECT trade_date, avg(c) AS m, stddev_samp(c) AS sd, min(c) = max(c) AS flat FROM c GROUP BY trade_date)
+""" + select(
+    {"rank_volume": "k", "z_volume": _Z, "q_volume": "q", "rank_tiny": "k", "z_tiny": _Z, "q_tiny": "q"}, "c JOIN s USING (trade_date)"
+)

@@ -10,7 +10,7 @@ from ..operators import evaluate as ev
 from ..operators.lineage import cut_lineage
 from ..plans import factors as plan
 from ..sources import writers
-from .base import WEEK, avg_rank, lag, pearson, r, rounded, select, sr, week_fits, week_panel
+from .base import WEEK, avg_rank, lag, pearson, r, rounded, select, significant, sr, week_fits, week_panel
 from .factors import MANY, raw_sql, standardised_sql
 
 GROUP = ["factor_id", "trade_date"]
@@ -160,7 +160,7 @@ fr AS (
 ),
 span AS (SELECT factor_id, min(trade_date) AS d0, max(trade_date) AS d1 FROM z GROUP BY factor_id),
 p AS (
-  SELECT factor_id, trade_date, stock_code, round(factor_value, 10) AS v, ret, round(ret, 10) AS rk
+  SELECT factor_id, trade_date, stock_code, {significant('factor_value')} AS v, ret, {significant('ret')} AS rk
   FROM z JOIN fr USING (trade_date, stock_code) JOIN span USING (factor_id)
   WHERE factor_value IS NOT NULL AND ret IS NOT NULL AND ret_date <= d1
 ),

@@ -8,7 +8,7 @@ from ..functions import elem, ts
 from ..operators import conform
 from ..operators import cross_section as xs
 from ..plans import factors as plan
-from .base import SERIES, WEEK, full, lag, rank01, rounded, select, week_fits, week_panel
+from .base import SERIES, WEEK, full, lag, rank01, rounded, select, significant, week_fits, week_panel
 
 KEYS = ["trade_date", "stock_code"]
 LONG_KEYS = ["factor_id", *KEYS]
@@ -82,7 +82,7 @@ raw AS (
   FROM f
 ),
 raw_long AS (
-  {' UNION ALL '.join(f"SELECT '{n}' AS factor_id, trade_date, stock_code, round({n}, 10) AS x FROM raw" for n in MANY)}
+  {' UNION ALL '.join(f"SELECT '{n}' AS factor_id, trade_date, stock_code, {significant(n)} AS x FROM raw" for n in MANY)}
 )"""
 
 
@@ -97,10 +97,10 @@ zc AS (
   SELECT l.*, CASE WHEN x IS NOT NULL THEN least(greatest(x, lo), hi) END AS c
   FROM {source} l JOIN zq USING (factor_id, trade_date)
 ),
-zs AS (SELECT factor_id, trade_date, avg(c) AS m, stddev_samp(c) AS sd FROM zc GROUP BY factor_id, trade_date),
+zs AS (SELECT factor_id, trade_date, avg(c) AS m, stddev_samp(c) AS sd, min(c) = max(c) AS flat FROM zc GROUP BY factor_id, trade_date),
 z AS (
   SELECT factor_id, trade_date, stock_code,
-    CASE WHEN sd IS NULL OR round(sd, 10) = 0 THEN 0.0 ELSE (c - m) / sd END AS factor_value
+    CASE WHEN sd IS NULL OR flat THEN 0.0 ELSE (c - m) / sd END AS factor_value
   FROM zc JOIN zs USING (factor_id, trade_date)
 )"""
 

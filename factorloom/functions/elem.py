@@ -23,6 +23,13 @@ def finite(x) -> Column:
     return F.when(F.abs(x) < F.lit(float("inf")), x)
 
 
+def significant(x, digits: int = 12) -> Column:
+    """Rounded to so many significant digits, whatever its size: what differs by less ties."""
+    x = col(x)
+    p = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(F.abs(x))))
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.coalesce(finite(F.try_divide(F.round(x * p), p)), x))
+
+
 def div(x, y) -> Column:
     return F.try_divide(col(x), col(y))
 

@@ -70,9 +70,13 @@ def correlation_pairs(values: DataFrame) -> DataFrame:
     wide = widen(values, ids)
     sums = gram(wide, ids, [r["m"] or 0.0 for r in means])
     n = F.col("n")
-    # a spread this far below the size of the values is rounding noise of a constant column
+    sizes = values.sparkSession.createDataFrame([(r["factor_id"], r["m"] or 0.0) for r in means], "f string, m double")
+    for side, m in (("factor_a", "mx"), ("factor_b", "my")):
+        sums = sums.join(sizes.select(F.col("f").alias(side), F.col("m").alias(m)), side)
     vx, vy = [F.col(q) - F.try_divide(F.col(s) * F.col(s), n) for q, s in (("sxx", "sx"), ("syy", "sy"))]
-    real = (vx > F.lit(1e-20) * (1 + n)) & (vy > F.lit(1e-20) * (1 + n))
+    # a spread this far below the size of the values is rounding noise of a constant column
+    noise = lambda m: n * F.col(m) * F.col(m) * F.lit(1e-24)
+    real = (vx > noise("mx")) & (vy > noise("my"))
     cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
     known = real & (n > 1)
     corr = F.try_divide(cov, F.sqrt(F.when(known, vx)) * F.sqrt(F.when(known, vy)))

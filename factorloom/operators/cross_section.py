@@ -144,8 +144,8 @@ def zscore(
 ) -> DataFrame:
     """(x - mean) / sample standard deviation of the group.
 
-    Where the deviation is 0 or undefined every row of the group becomes 0.0, missing ones too; pass
-    ``undefined="null"`` to leave them NULL. A deviation below 1e-10 counts as 0.
+    Where all values are equal, or there are fewer than two, every row of the group becomes 0.0, missing ones
+    too; pass ``undefined="null"`` to leave them NULL. The size of the values makes no difference.
     """
     df, fits = _settle(df, by, one_task)
     return _zscore(df, value, out, by, fits, undefined)
@@ -153,11 +153,11 @@ def zscore(
 
 def _zscore(df: DataFrame, value: str, out: str, by: Sequence[str], fits: bool, undefined: str) -> DataFrame:
     x = F.col(value)
-    df = _with_stats(df, by, fits, _mean=F.avg(x), _sd=F.stddev_samp(x))
-    flat = F.col("_sd").isNull() | (F.round("_sd", 10) == 0)
+    df = _with_stats(df, by, fits, _mean=F.avg(x), _sd=F.stddev_samp(x), _least=F.min(x), _most=F.max(x))
+    flat = F.col("_sd").isNull() | (F.col("_least") == F.col("_most"))
     other = F.lit(0.0 if undefined == "zero" else None).cast("double")
     z = F.when(flat, other).otherwise((x - F.col("_mean")) / F.col("_sd"))
-    return df.withColumn(out, z).drop("_mean", "_sd")
+    return df.withColumn(out, z).drop("_mean", "_sd", "_least", "_most")
 
 
 def winsorize_and_standardize(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ts
+from ..functions.elem import significant
 from .cross_section import average_rank, extreme_buckets, quantile_bucket
 from .groups import groups_fit
 from .lineage import cut_lineage
@@ -53,13 +54,13 @@ def pair_with_returns(values: DataFrame, bars: DataFrame, horizon: int = 5) -> D
     return paired.join(spans, "factor_id").where(F.col("ret_date") <= F.col("last_date")).drop("ret_date", "last_date")
 
 
-def ranked_pairs(paired: DataFrame, one_task: bool | None = None, decimals: int = 10) -> DataFrame:
+def ranked_pairs(paired: DataFrame, one_task: bool | None = None, digits: int = 12) -> DataFrame:
     """Add average ranks (``factor_rank``, ``ret_rank``) and tie counts.
 
-    Values that agree to 10 decimals tie: ``factor_key`` and ``ret_key`` are what is ranked.
+    Values that agree to ``digits`` significant digits tie: ``factor_key`` and ``ret_key`` are what is ranked.
     """
     fits = groups_fit(paired, *GROUP) if one_task is None else one_task
-    df = paired.withColumns({"factor_key": F.round("factor_value", decimals), "ret_key": F.round("ret", decimals)})
+    df = paired.withColumns({"factor_key": significant("factor_value", digits), "ret_key": significant("ret", digits)})
     df = average_rank(df, "factor_key", "factor_rank", GROUP, fits, ties="factor_ties")
     return average_rank(df, "ret_key", "ret_rank", GROUP, fits, ties="ret_ties")
 

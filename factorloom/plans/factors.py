@@ -112,7 +112,7 @@ def wide_factors(
     for name, f in factors.items():
         if not isinstance(f, Column):
             df = add_factor(df, name, f, fits)
-    values = [F.round(F.col(n).cast("double"), 10).alias(n) for n in factors]
+    values = [elem.significant(F.col(n).cast("double")).alias(n) for n in factors]  # rounding noise ties
     return df.select("trade_date", "stock_code", *keep, *values)
 
 

@@ -250,7 +250,10 @@ def train(pages: DataFrame, html_col: str = "html", rows: int = LABELLED) -> Wei
     """
     page = F.col(html_col)
     labelled = pages.where(page.rlike(r"(?i)<(article|main)[\s>]") & (F.length(page) <= LABELLED_CHARS))
-    some = labelled.select(page.alias("html"), F.xxhash64(page).alias("h")).orderBy("h", "html").limit(rows)
+    hashed = labelled.select(page.alias("html"), F.xxhash64(page).alias("h"))
+    # the bound first, from hashes alone: else every task would send its own first pages
+    last = hashed.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    some = hashed.where(F.col("h") <= F.lit(last).cast("long")).orderBy("h", "html").limit(rows)
     seen = Counter()
     for r in some.select("html").collect():
         seen.update(counts(r[0]))

@@ -16,17 +16,17 @@ QUERIES, SQL = {}, {}
 NOW, COOLDOWN = "2001-01-01 00:00:00", 30
 CUT = "2000-01-01"
 THRESHOLDS = {
-    "ic_min": 0.02,
-    "ic_ir_min": 0.5,
-    "sharpe_min": 0.8,
-    "max_drawdown_max": -0.2,
-    "turnover_max": 0.6,
-    "ic_decay_threshold": 0.5,
-    "latest_ic_min": 0.02,
-    "ic_min_reactivate": 0.03,
-    "ic_ir_min_reactivate": 0.6,
-    "sharpe_min_reactivate": 1.0,
-    "max_drawdown_max_reactivate": -0.15,
+    "ic_min": 0.013,
+    "ic_ir_min": 0.41,
+    "sharpe_min": 0.72,
+    "max_drawdown_max": -0.27,
+    "turnover_max": 0.66,
+    "ic_decay_threshold": 0.45,
+    "latest_ic_min": 0.017,
+    "ic_min_reactivate": 0.026,
+    "ic_ir_min_reactivate": 0.52,
+    "sharpe_min_reactivate": 0.93,
+    "max_drawdown_max_reactivate": -0.19,
 }
 
 
@@ -84,8 +84,8 @@ b AS (
 )"""
 _LATEST = "SELECT DISTINCT ON (factor_id, test_universe) * FROM h ORDER BY factor_id, test_universe, backtest_time DESC, id DESC"
 _PASS = (
-    "coalesce(ic_value >= 0.02, false) AND coalesce(ic_ir >= 0.5, false) AND coalesce(sharpe_ratio >= 0.8, false)"
-    " AND coalesce(max_drawdown >= -0.2, false) AND coalesce(turnover <= 0.6, false)"
+    "coalesce(ic_value >= 0.013, false) AND coalesce(ic_ir >= 0.41, false) AND coalesce(sharpe_ratio >= 0.72, false)"
+    " AND coalesce(max_drawdown >= -0.27, false) AND coalesce(turnover <= 0.66, false)"
 )
 _FIRST_LAST = """
 fl AS (
@@ -93,8 +93,8 @@ fl AS (
     arg_min(id, row(backtest_time, id)) AS id_init, arg_max(id, row(backtest_time, id)) AS id_latest
   FROM h WHERE factor_id IN (SELECT factor_id FROM b WHERE is_valid) GROUP BY factor_id
 )"""
-_GONE = """coalesce(CASE WHEN ic_init <= 0 OR abs(ic_init) <= 1e-8 THEN ic_latest < 0.02
-  ELSE (ic_init - ic_latest) / ic_init > 0.5 AND ic_latest < 0.02 END, false)"""
+_GONE = """coalesce(CASE WHEN ic_init <= 0 OR abs(ic_init) <= 1e-8 THEN ic_latest < 0.017
+  ELSE (ic_init - ic_latest) / ic_init > 0.45 AND ic_latest < 0.017 END, false)"""
 _KEEP = ["factor_id", "test_universe", "id", "ic_value", "turnover", "backtest_time"]
 
 
@@ -274,7 +274,7 @@ SQL["reactivate"] = f"""WITH {_HISTORY},{_BASIC},{_CANDIDATES},
 l AS (SELECT DISTINCT ON (factor_id) * FROM h JOIN cand USING (factor_id) ORDER BY factor_id, backtest_time DESC, id DESC),
 y AS (
   SELECT factor_id FROM l
-  WHERE ic_value >= 0.03 AND ic_ir >= 0.6 AND sharpe_ratio >= 1.0 AND max_drawdown >= -0.15
+  WHERE ic_value >= 0.026 AND ic_ir >= 0.52 AND sharpe_ratio >= 0.93 AND max_drawdown >= -0.19
 )
 SELECT b.factor_id, is_valid OR y.factor_id IS NOT NULL AS is_valid, deprecate_reason,
   CASE WHEN y.factor_id IS NOT NULL THEN TIMESTAMP '{NOW}' END AS reactivated_time

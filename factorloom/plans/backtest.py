@@ -14,6 +14,7 @@ from ..operators.documents import parse_documents
 from ..operators.evaluate import evaluate
 from ..operators.latest import latest_per_key
 from ..operators.lineage import cut_lineage
+from ..operators.universe import filter_universe
 from ..operators.upsert import insert_if_absent, update_flags, upsert
 from ..schema import BATCH_KEYS, DAILY_KEYS, STATUS_KEYS
 from ..sources import writers
@@ -85,8 +86,15 @@ def run_daily(
     registry: DataFrame,
     now,
     days: int = 380,
+    membership: DataFrame | None = None,
+    stock_codes: str = "",
 ) -> tuple[DataFrame, dict[str, str]]:
-    """Compute, write and register one day's values; other days stay as they are."""
+    """Compute, write and register one day's values; other days stay as they are.
+
+    A blank universe is ALL; any other keeps its members as of the requested day.
+    """
+    universe = (universe or "").strip() or "ALL"
+    bars = filter_universe(bars, universe, membership, requested, stock_codes)
     good, bad = usable_factors(bars, factors)
     values = cut_lineage(compute_day(bars, good, requested, days).withColumn("universe", F.lit(universe)))
     writers.write_daily_values(values, path)

@@ -147,9 +147,10 @@ def read_jdbc_quotes(
     text = "%Y%m%d" if date_format == "yyyymmdd" else "%Y-%m-%d"
     cuts, day = [], first
     while day <= last:
-        cuts.append((day.strftime(text), min(day + timedelta(days=step - 1), last).strftime(text)))
+        cuts.append((day.strftime(text), (min(day + timedelta(days=step - 1), last) + timedelta(days=1)).strftime(text)))
         day += timedelta(days=step)
-    predicates = [f"TradeDate BETWEEN '{a}' AND '{b}'" for a, b in cuts]
+    # half-open, so a time of day on a range's last day is in it
+    predicates = [f"TradeDate >= '{a}' AND TradeDate < '{b}'" for a, b in cuts]
     opts = dict(options)
     df = spark.read.jdbc(opts.pop("url"), opts.pop("dbtable"), predicates=predicates, properties=opts)
     df = df.where(F.col("Symbol").isin(*symbols)) if symbols else df

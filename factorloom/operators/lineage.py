@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -13,7 +14,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Both users of the result then see the same rows even if executors are lost and tasks rerun. The
     folder comes from ``spark.checkpoint.dir``; only a local session without one gets a temporary folder.
     """
-    spark = df.sparkSession
+    _ensure_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, for tables of one run."""
+    _ensure_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def _ensure_folder(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -22,4 +33,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="factorloom-checkpoint-")
         sc.setCheckpointDir(shared)
-    return df.checkpoint()

@@ -6,6 +6,8 @@ FALSE (``ne``: TRUE), so booleans are never NULL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def col(x) -> Column:
     return F.col(x) if isinstance(x, str) else F.lit(float(x))
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def finite(x) -> Column:
     """NaN and both infinities become NULL."""
     x = col(x)

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .codes import id_from_name, zero_pad
-from .elem import col
+from .elem import col, once
 
 # Labels of the document fields; several labels of one field are synonyms.
 FIELD_LABELS = {
@@ -64,7 +64,7 @@ def labelled_field(text, labels: list[str]) -> Column:
     """Rest of the line after the first ``label:`` (either colon), trimmed; NULL when absent or empty."""
     names = "|".join(label.replace("(", r"\(").replace(")", r"\)") for label in labels)
     found = strip(F.regexp_extract(col(text), rf"(?U)(?:{names})[:：]\s*([^\n]+)", 1))
-    return F.when(found != "", found)
+    return F.nullif(found, F.lit(""))
 
 
 def direction(raw: Column) -> Column:
@@ -79,7 +79,10 @@ def unescape(text: Column) -> Column:
     known = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
     def one(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});", 1)
+        named = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});", 1)
+        return once(named, lambda name: of_name(piece, name))
+
+    def of_name(piece: Column, name: Column) -> Column:
         hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
         point = F.when(hexadecimal, F.conv(F.substring(name, 3, 9), 16, 10)).otherwise(F.substring(name, 2, 9)).cast("int")
         valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
@@ -88,8 +91,10 @@ def unescape(text: Column) -> Column:
         char = F.when(F.startswith(name, F.lit("#")), number).when(name != "", F.try_element_at(known, name))
         return F.coalesce(F.concat(char, F.substr(piece, F.length(name) + 2)), F.concat(F.lit("&"), piece))
 
-    parts = F.split(text, "&", -1)
-    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))).otherwise(text)
+    def resolved(parts: Column) -> Column:
+        return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))
+
+    return once(text, lambda t: F.when(F.contains(t, F.lit("&")), once(F.split(t, "&", -1), resolved)).otherwise(t))
 
 
 def plain_text(markup: Column) -> Column:
@@ -99,11 +104,6 @@ def plain_text(markup: Column) -> Column:
 
 def page_scope(html, name: str = "preview-contents") -> Column:
     """The element with that id or class from its start tag to its end; the whole page if there is none."""
-    page = col(html)
-    cut = F.split(page, rf"""(?i)(?=<[a-z][^<>]*\b(?:id|class)=["'][^"'<>]*\b{name}\b)""", 2)
-    tag = F.regexp_extract(cut[1], r"^<([A-Za-z][A-Za-z0-9]*)", 1)
-    pieces = F.split(cut[1], F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"\b)")), -1)
-
     def step(acc: Column, piece: Column) -> Column:
         depth = acc["depth"] + F.when(F.startswith(piece, F.lit("</")), -1).when(F.startswith(piece, F.lit("<")), 1).otherwise(0)
         return F.struct(
@@ -111,8 +111,14 @@ def page_scope(html, name: str = "preview-contents") -> Column:
         )
 
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(True).alias("open"))
-    inside = F.aggregate(pieces, start, step)["n"]
-    return F.when(F.size(cut) < 2, page).otherwise(F.array_join(F.slice(pieces, 1, inside), ""))
+
+    def element(rest: Column) -> Column:
+        tag = F.regexp_extract(rest, r"^<([A-Za-z][A-Za-z0-9]*)", 1)
+        pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"\b)")), -1)
+        return once(pieces, lambda p: F.array_join(F.slice(p, 1, F.aggregate(p, start, step)["n"]), ""))
+
+    cut = F.split(col(html), rf"""(?i)(?=<[a-z][^<>]*\b(?:id|class)=["'][^"'<>]*\b{name}\b)""", 2)
+    return once(cut, lambda c: F.when(F.size(c) < 2, c[0]).otherwise(element(c[1])))
 
 
 def block_segments(html, heading: str = "h4", id_prefix: str = "alpha") -> Column:
@@ -126,30 +132,41 @@ def block_parts(segment: Column, heading: str = "h4", id_prefix: str = "alpha")
 
     The segment is cut at its list items first, so no pattern has to step over text one character at a time.
     """
-    items = F.filter(F.split(segment, r"(?i)(?=<li\b)"), lambda x: x.rlike(r"(?i)^<li\b"))
     content = lambda x: F.split(F.regexp_replace(x, r"(?i)^<li\b[^>]*>", ""), r"(?i)</li\b", 2)
-    own_text = F.transform(items, lambda x: content(x)[0])
-    place = F.coalesce(F.array_position(F.transform(own_text, lambda x: F.contains(x, F.lit(FORMULA_LABEL))), True), F.lit(0)).cast("int")
-    # the labelled item up to the first item end, its own or a nested item's
-    tail = content(F.array_join(F.slice(items, F.greatest(place, F.lit(1)), F.size(items)), ""))
-    labelled = F.when((place > 0) & (F.size(tail) > 1), tail[0]).otherwise("")
-    nested = F.split(labelled, r"(?i)<ul\b[^>]*>", 2)
-    nested = F.split(F.when(F.size(nested) > 1, nested[1]).otherwise(""), r"(?i)<li\b[^>]*>", 2)
-    inner = F.when(F.size(nested) > 1, nested[1]).otherwise("")
-    own = F.regexp_replace(plain_text(labelled), rf"(?U)^{FORMULA_LABEL}[:：]\s*", "")
-    formula = strip(F.coalesce(F.nullif(plain_text(inner), F.lit("")), own))
-    before = F.when(place > 0, F.slice(own_text, 1, place - 1)).otherwise(own_text)
     is_note = lambda x: F.contains(x, F.lit(DESCRIPTION_LABELS[0])) | F.contains(x, F.lit(DESCRIPTION_LABELS[1]))
-    note = plain_text(F.coalesce(F.get(F.filter(before, is_note), F.lit(0)), F.lit("")))
-    title = plain_text(F.regexp_extract(segment, rf"(?is)<{heading}\b[^>]*>(.*?)</{heading}>", 1))
-    named = F.nullif(F.regexp_extract(title, r"(?i)(alpha_?\d+)", 1), F.lit(""))
-    own_id = F.regexp_extract(segment, rf"""(?is)\bid=["']({id_prefix}[^"']*)""", 1)
-    from_id = F.concat(F.lit("alpha_"), zero_pad(F.regexp_replace(own_id, r"\D", ""), 3))
-    return F.struct(
-        F.coalesce(named, from_id).alias("alpha_name"),
-        F.nullif(formula, F.lit("")).alias("formula"),
-        F.nullif(note, F.lit("")).alias("note"),
-    )
+
+    def of_label(labelled: Column) -> Column:
+        """Formula in the labelled item's text: that of the first item of a list inside it, else its own."""
+        inside = F.coalesce(F.get(F.split(labelled, r"(?i)<ul\b[^>]*>", 2), F.lit(1)), F.lit(""))
+        inner = F.coalesce(F.get(F.split(inside, r"(?i)<li\b[^>]*>", 2), F.lit(1)), F.lit(""))
+        own = F.regexp_replace(plain_text(labelled), rf"(?U)^{FORMULA_LABEL}[:：]\s*", "")
+        return strip(F.coalesce(F.nullif(plain_text(inner), F.lit("")), own))
+
+    def of_items(items: Column, own_text: Column, place: Column) -> Column:
+        # the labelled item up to the first item end, its own or a nested item's
+        tail = content(F.array_join(F.slice(items, F.greatest(place, F.lit(1)), F.size(items)), ""))
+        labelled = once(tail, lambda t: F.when((place > 0) & (F.size(t) > 1), t[0]).otherwise(""))
+        before = F.when(place > 0, F.slice(own_text, 1, place - 1)).otherwise(own_text)
+        note = plain_text(F.coalesce(F.get(F.filter(before, is_note), F.lit(0)), F.lit("")))
+        return F.struct(
+            name(segment).alias("alpha_name"),
+            F.nullif(once(labelled, of_label), F.lit("")).alias("formula"),
+            F.nullif(note, F.lit("")).alias("note"),
+        )
+
+    def name(segment: Column) -> Column:
+        title = plain_text(F.regexp_extract(segment, rf"(?is)<{heading}\b[^>]*>(.*?)</{heading}>", 1))
+        named = F.nullif(F.regexp_extract(title, r"(?i)(alpha_?\d+)", 1), F.lit(""))
+        own_id = F.regexp_extract(segment, rf"""(?is)\bid=["']({id_prefix}[^"']*)""", 1)
+        return F.coalesce(named, F.concat(F.lit("alpha_"), zero_pad(F.regexp_replace(own_id, r"\D", ""), 3)))
+
+    def of_text(items: Column, own_text: Column) -> Column:
+        labels = F.transform(own_text, lambda x: F.contains(x, F.lit(FORMULA_LABEL)))
+        place = F.coalesce(F.array_position(labels, True), F.lit(0)).cast("int")
+        return once(place, lambda p: of_items(items, own_text, p))
+
+    items = F.filter(F.split(segment, r"(?i)(?=<li\b)"), lambda x: x.rlike(r"(?i)^<li\b"))
+    return once(items, lambda i: once(F.transform(i, lambda x: content(x)[0]), lambda t: of_text(i, t)))
 
 
 def resolve_blocks(parts) -> Column:

@@ -17,7 +17,8 @@ def parse_documents(docs: DataFrame, text: str = "text", path: str = "doc_path")
     The DSL formula is preferred to the plain one; optional fields default to ''.
     """
     raw = {name: T.labelled_field(text, labels) for name, labels in T.FIELD_LABELS.items()}
-    found = docs.select(path, *[c.alias(name) for name, c in raw.items()])
+    # through inline, so that no later filter is pushed into the patterns and evaluates them again
+    found = docs.select(path, F.inline(F.array(F.struct(*[c.alias(name) for name, c in raw.items()]))))
     found = found.withColumn("formula", F.coalesce("formula_dsl", "formula_raw"))
     lacking = F.filter(
         F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in T.REQUIRED_FIELDS]), lambda c: c.isNotNull()
@@ -44,7 +45,6 @@ def extract_blocks(
     Each step is a column of its own, so that a page is cut and its segments parsed once.
     """
     cut = pages.select(*keep, T.block_segments(html, heading, id_prefix).alias("_segments"))
-    cut = cut.where(F.size("_segments") > 0)
     parsed = cut.select(*keep, F.transform("_segments", lambda s: T.block_parts(s, heading, id_prefix)).alias("_parts"))
     return parsed.select(*keep, F.explode(T.resolve_blocks("_parts")).alias("b")).select(*keep, "b.*")
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 _SEED, _STEP = 0x9E3779B97F4A7C15, np.uint64(0xD1342543DE82EF95)
 #: Bytes of text that are handled at a time; a longer text is handled alone.
-SLICE = 3_000_000
+SLICE = 1_000_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, n
     both = cut[inside[cut] & inside[cut + 1]]  # rows that touch without white space between
     if len(both):
         starts, ends = np.sort(np.concatenate((starts, both))), np.sort(np.concatenate((ends, both)))
-    up, down = _powers(1 << max(22, int(len(raw)).bit_length()))
+    up, down = _powers(1 << max(20, int(len(raw)).bit_length()))
     sums = np.concatenate(([np.uint64(0)], np.cumsum(value[raw] * up[: len(raw)], dtype=np.uint64)))
     word = mixed((sums[ends] - sums[starts]) * down[starts])
     row = np.searchsorted(at, starts, "right") - 1

@@ -10,7 +10,7 @@ from ..operators import conform as cf
 from ..operators import universe as un
 from ..operators.documents import number_raw_factors
 from ..sources import readers
-from .base import WEEK, r, rounded, select, sr, table, week_panel
+from .base import WEEK, r, rounded, sr, table, week_panel
 
 KEYS = ["trade_date", "stock_code"]
 QUERIES, SQL = {}, {}

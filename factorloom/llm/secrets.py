@@ -1,6 +1,6 @@
 """Secret scan: findings by pattern, false positives removed by a random forest.
 
-A finding is a long run of key-like characters in a word. The forest sees its length, how its characters
+A finding is a long run of key-like characters in a word, which may hold several. The forest sees its length, how its characters
 change from kind to kind, how much of it dictionary words cover, the document's path and the words next to
 it; it is fitted on labelled findings.
 """
@@ -17,6 +17,9 @@ from ..operators.lineage import cut_lineage
 from .base import let, small_side, words
 
 CORE = r"[A-Za-z0-9+/_=\-]{16,}"
+#: Where a word that holds several findings is parted into fields; no finding holds one. Characters of context that
+#: findings of one word repeat at most.
+FIELD, NEAR = r"[,;&|]", 200
 #: Words next to a finding that speak for a secret, or for a harmless value.
 KEY_WORDS = r"(?i)token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|credential|bearer"
 PLAIN_WORDS = r"(?i)example|sample|dummy|fake|placeholder|checksum|sha\d*|md5|commit|digest|uuid|version|build"
@@ -31,25 +34,50 @@ FEATURES = (
 ).split()
 
 
+def _runs(x: Column) -> Column:
+    """All findings in a word, in order, each with the word, or what of it stands next to the finding if there are several.
+
+    That is the field's text from the finding before to the one after, and the field's start. The sizes add up to
+    a multiple of the word's, however many findings it holds.
+    """
+
+    def of_field(f: Column) -> Column:
+        start = lambda j: F.when(j > 0, F.left(f, F.lit(NEAR))).otherwise("")
+        around = lambda gaps, r, j: F.concat(start(j), F.get(gaps, j), r, F.get(gaps, j + 1)).alias("word")
+        found = F.regexp_extract_all(f, F.lit(CORE), F.lit(0))
+        return let(F.split(f, CORE), lambda gaps: F.transform(found, lambda r, j: F.struct(r.alias("finding"), around(gaps, r, j))))
+
+    alone = lambda p: F.transform(p, lambda y: F.struct(y["finding"].alias("finding"), x.alias("word")))
+    return let(F.flatten(F.transform(F.split(x, FIELD), of_field)), lambda p: F.when(F.size(p) == 1, alone(p)).otherwise(p))
+
+
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """A row per finding: key, path, at (number of its word), finding, before (up to three words), word, after.
+    """A row per finding: key, path, at (number of its word), run (its number in the word), finding, before (up to three
+    words), word (see ``_runs``), after.
 
     Findings of less than 24 characters need a digit. NULL texts have none.
     """
 
     def of(w: Column) -> Column:
         hit = lambda x: (F.length(x) >= 16) & x.rlike(CORE)
-        near = lambda x, i: F.when(
-            hit(x),
-            F.struct(
-                i.alias("at"),
-                F.regexp_extract(x, CORE, 0).alias("finding"),
-                F.array_join(F.slice(w, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), " ").alias("before"),
-                x.alias("word"),
-                F.coalesce(F.get(w, i + 1), F.lit("")).alias("after"),
-            ),
-        )
-        return F.filter(F.transform(w, near), lambda x: x.isNotNull())
+
+        def rows(x: Column, i: Column, p: Column) -> Column:
+            before = F.array_join(F.slice(w, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), " ")
+            after = F.coalesce(F.get(w, i + 1), F.lit(""))
+            return F.transform(
+                p,
+                lambda y, k: F.struct(
+                    i.alias("at"),
+                    k.alias("run"),
+                    y["finding"].alias("finding"),
+                    F.when(k == 0, before).otherwise(F.right(before, F.lit(NEAR))).alias("before"),
+                    y["word"].alias("word"),
+                    F.when(k == F.size(p) - 1, after).otherwise(F.left(after, F.lit(NEAR))).alias("after"),
+                ),
+            )
+
+        near = lambda x, i: F.when(hit(x), let(_runs(x), lambda p: rows(x, i, p)))
+        return F.flatten(F.filter(F.transform(w, near), lambda x: x.isNotNull()))
 
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path")
     found = docs.select(F.col(id_col).alias("key"), path, F.explode(let(words(F.col(text_col)), of)).alias("x"))
@@ -131,7 +159,7 @@ def fit(labelled: DataFrame, rows: int = LABELLED, trees: int = 20, depth: int =
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """Columns ``id_col``, at, finding, score, secret: a row per finding in ``docs``.
+    """Columns ``id_col``, at, run, finding, score, secret: a row per finding in ``docs``.
 
     ``labelled`` has FEATURES and label; by default the findings themselves where ``rule_label`` is sure.
     ``secret`` is score >= 0.5. Without both labels the score is ``rule_label``'s, 0 where it has no opinion.
@@ -145,4 +173,4 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
         ready = VectorAssembler(inputCols=FEATURES, outputCol="__features").transform(found)
         forest.setFeaturesCol("__features")
         scored = forest.transform(ready).withColumn("score", F.round(vector_to_array("probability")[1], 6))
-    return scored.select(F.col("key").alias(id_col), "at", "finding", "score", (F.col("score") >= 0.5).alias("secret"))
+    return scored.select(F.col("key").alias(id_col), "at", "run", "finding", "score", (F.col("score") >= 0.5).alias("secret"))

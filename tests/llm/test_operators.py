@@ -343,3 +343,17 @@ def test_secrets_held_out(make):
 def test_secrets_odd(odd, none):
     assert secrets.scan(none).count() == 0
     assert {r.finding for r in secrets.scan(odd).collect()} == set()  # one label at most, nothing key-like
+
+
+def test_secrets_several_in_one_word(make):
+    a, b, c = "f33e91c0aa5d47b28e6f1029fda2", "Zk8Qw1Lm5Rt9Yx3Vb7Nc2Jd6", "0123456789abcdef01"
+    texts = [
+        f'{{"site":"https://example.com/callback/oauth/start","api_key":"{a}"}}', f'x {{"x":"com/callback/oauth","secret":"{b}"}} y', f"1,{a},no,{b},{c}",
+        f"https://h.example/?sig={a}&token={b}", f"{a}.{b}", f'key = "{c}"', ".".join([a] * 3000), f"{a};{a}",
+    ]
+    found = secrets.findings(make([(i, t, "s") for i, t in enumerate(texts)])).collect()
+    want = [["com/callback/oauth/start", a], [b], [a, b, c], [f"sig={a}", f"token={b}"], [a, b], [c], [a] * 3000, [a, a]]
+    assert [[r.finding for r in sorted(found, key=lambda r: (r.at, r.run)) if r.key == i] for i in range(len(texts))] == want
+    assert len({(r.key, r.at, r.run) for r in found}) == len(found) and max(len(r.word) for r in found) < 500
+    word = {(r.key, r.finding): r.word for r in found}
+    assert word[0, a] == f'"api_key":"{a}"}}' and word[3, f"token={b}"] == f"token={b}" and word[5, c] == f'"{c}"'

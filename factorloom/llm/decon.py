@@ -129,6 +129,12 @@ def overlaps(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names: str) -> DataFrame:
-    """The rows of documents that overlap no benchmark item, with their columns."""
-    leaked = overlaps(docs, benchmark, id_col, text_col, **names).select(F.col("id").alias("__id")).distinct()
-    return docs.join(leaked, docs[id_col].eqNullSafe(leaked["__id"]), "left_anti")
+    """The rows of documents that overlap no benchmark item, with their columns.
+
+    A document is its id and its text's hash, so rows that share an id, or have none, are judged each by its text.
+    """
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), th.alias("th")).alias("doc"), F.col(text_col).alias("text"))
+    leaked = overlaps(keyed, benchmark, "doc", "text", **names).select(F.col("id").alias("__leaked")).distinct()
+    on = docs[id_col].eqNullSafe(leaked["__leaked"]["id"]) & (th == leaked["__leaked"]["th"])
+    return docs.join(leaked, on, "left_anti")

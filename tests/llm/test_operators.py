@@ -188,6 +188,13 @@ def test_overlaps(spark, make, odd, none):
     assert [(r.id, r.item, r.matches) for r in hit] == [(None, 1, 2)]
 
 
+def test_clean_judges_rows_of_one_id_by_their_texts(spark, make):
+    item, other = " ".join(f"q{i}" for i in range(25)), " ".join(f"z{i}" for i in range(25))
+    docs = [(None, f"a {item} b", "s"), (None, other, "s"), (None, None, "s"), (7, item, "s"), (7, other, "s"), (7, other, "s"), (8, other, "s")]
+    left = decon.clean(make(docs), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter((d, t) for d, t, _ in docs if item not in (t or ""))
+
+
 # --- HTML ---
 
 
@@ -282,6 +289,18 @@ def test_components_odd(odd, none):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, 6, 7, 8, 8, None, None])
 
 
+def test_keep_one_of_rows_that_share_an_id(make):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near_a = a + " more"
+    docs = [(None, a, "s"), (None, near_a, "s"), (None, b, "s"), (3, b, "s"), (5, c, "s"), (5, c + " more", "s"), (5, a + " again", "s"), (5, "alone", "s")]
+    docs += [(9, "stored often", "s")] * 20 + [(None, "stored without id", "s")] * 3 + [(None, " ", "s")] * 2 + [(11, None, "s")]
+    for k in (0, 1):
+        kept = jaccard.keep_one(make(docs[::-1] if k else docs, 4)).collect()
+        got = Counter((r.doc_id, r.text) for r in kept if r.text not in (c, c + " more"))
+        assert got == Counter({(5, a + " again"): 1, (3, b): 1, (5, "alone"): 1, (9, "stored often"): 1, (None, "stored without id"): 1, (None, " "): 2, (11, None): 1})
+        assert sum(r.text in (c, c + " more") for r in kept) == 1
+
+
 def test_graph(spark):
     rng = random.Random(9)
     pairs = [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("star", f"s{i}") for i in range(30)] + [("loop", "loop")]

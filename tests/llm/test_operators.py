@@ -301,6 +301,15 @@ def test_keep_one_of_rows_that_share_an_id(make):
         assert sum(r.text in (c, c + " more") for r in kept) == 1
 
 
+def test_sets_are_one_for_each_node(spark, make, monkeypatch):
+    text = " ".join(f"a{i}" for i in range(60))
+    docs = make([(1, text, "s")] * 30 + [(1, text + " b", "s"), (1, "c d e", "s"), (None, text + " d", "s"), (None, text + " e", "s")])
+    made, real = [], jaccard._sets
+    monkeypatch.setattr(jaccard, "_sets", lambda *a: made.append(real(*a)) or made[-1])
+    jaccard.components(docs).collect()
+    assert Counter(r.node for r in made[0].collect()).most_common(1)[0][1] == 1 and made[0].count() == 4
+
+
 def test_graph(spark):
     rng = random.Random(9)
     pairs = [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("star", f"s{i}") for i in range(30)] + [("loop", "loop")]

@@ -28,7 +28,16 @@ BOILERPLATE_WORDS = frozenset(
     " respond pagination pager toolbar copyright contentinfo complementary".split()
 )
 #: Elements whose text is never shown, elements that break no text, elements without an end tag; fixed values.
-HIDDEN_TAGS = "script|style|template|iframe|object|svg|math|canvas|head|title|textarea|noscript|xmp|noembed|noframes"
+HIDDEN_TAGS = "script|style|template|iframe|object|canvas|title|textarea|noscript|xmp|noembed|noframes"
+#: What a head holds, without and with text; anything else ends it, as its end tag may be left out.
+HEAD_TAGS, HEAD_TEXT_TAGS = "meta|link|base|basefont|bgsound", "title|style|script|noscript|template|noframes"
+#: Tags that end an svg or math element left open, and elements within them that may hold such tags.
+FLOW_TAGS = (
+    "html|body|b|big|blockquote|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr|ol|p|pre|ruby|s|small"
+    "|span|strong|strike|sub|sup|table|tbody|thead|tfoot|tr|td|th|tt|u|ul|var|article|main|section|header|footer|nav|aside|form|button|label"
+    "|figure|figcaption|address|details|summary|fieldset"
+)
+HOLDERS = "foreignobject|desc|title|annotation-xml|mi|mo|mn|ms|mtext"
 INLINE_TAGS = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike"
     " strong sub sup time tt u var wbr".split()
@@ -51,9 +60,17 @@ LABELLED, LABELLED_CHARS = 400, 100_000
 #: A kind of word or tag seen less often keeps its default weight.
 SEEN = 20
 
+_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+"
+_TEXT = "|".join(rf"<{t}(?=[\s/>])[^>]*>.*?(?:</{t}\s*>|\Z)" for t in HEAD_TEXT_TAGS.split("|"))
+_HEAD = rf"<head(?=[\s/>])[^>]*>(?:\s++|<!--.*?(?:-->|\Z)|{_TEXT}|</?(?:{HEAD_TAGS})(?=[\s/>])[^>]*>)*+(?:</head\s*>)?"
+_HELD = "|".join(rf"<{t}(?=[\s/>])[^>]*+(?:(?<=/)>|>.*?(?:</{t}\s*>|(?=</(?:svg|math)\s*>)|\Z))" for t in HOLDERS.split("|"))
+_DRAWN = (
+    rf"<(?:svg|math)(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|>(?:[^<]++|{_HELD}"
+    rf"|(?!</?(?:{FLOW_TAGS})(?=[\s/>])|</(?:svg|math)(?=[\s>]))<)*+(?:</(?:svg|math)\s*>)?)"
+)
 _TOKEN = re.compile(
     rf"([^<]+)|<!--.*?(?:-->|\Z)|<({HIDDEN_TAGS})(?=[\s/>])[^>]*>.*?(?:</\2\s*>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>?|<[a-zA-Z/][^<]*\Z|(<)",
+    rf"|{_HEAD}|{_DRAWN}|<([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>|<[!?][^>]*>?|<[a-zA-Z/][^<]*\Z|(<)",
     re.S | re.I,
 )
 _MARKS = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)

@@ -229,6 +229,18 @@ def test_main_text(spark):
     assert html.main_text(PAGE.format(f"<div>{ARTICLE}</div>"), html.fit(Counter())) == TEXT
 
 
+def main_of(page):
+    return html.main_text(page, html.fit(Counter()))
+
+
+def test_main_text_after_hidden_elements():
+    for head in ("<head><title>t</title>", "<head><meta charset=x><link rel=a href='b'>", "<head><style>a</style><!-- c -->", "<head></head>"):
+        assert main_of(head + "<body><article><p>whole text") == main_of(head + "<p>whole text") == "whole text"
+    assert main_of('<p>a b <svg class="i"/> c d</p><p>e <math/> f</p>') == "a b c d e f"
+    assert main_of("<div><svg class=i><path d=1><p>text here</p></div><svg></svg>") == "text here"
+    assert main_of("<p>x <svg><title>no</title><foreignObject><div>no</div></foreignObject></svg> y <math><mi>no</mi></math> z") == "x y z"
+
+
 # --- sharding ---
 
 

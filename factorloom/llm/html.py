@@ -20,13 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Element names and the words in class, id and role attributes that mark boilerplate; fixed values.
-BOILERPLATE_TAGS = frozenset("nav header footer aside menu form dialog button select option fieldset noscript".split())
+BOILERPLATE_TAGS = frozenset("nav header footer aside menu dialog button select option fieldset noscript".split())
 BOILERPLATE_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar side aside widget ad ads advert adverts"
     " advertisement sponsor sponsored promo promotion banner cookie cookies consent notice gdpr popup modal newsletter subscribe"
     " signup login form search share sharing social related recommended comment comments reply replies disqus discussion"
     " respond pagination pager toolbar copyright contentinfo complementary".split()
 )
+#: Those of them that mark what readers wrote, which may be most of a page. Parts of a class name that tell of a layout
+#: if they come last, and that tell of something else if they come first.
+COMMENT_WORDS = frozenset("comment comments reply replies disqus discussion respond".split())
+LAYOUT_WORDS = frozenset("wrap wrapper layout container page content main body inner outer grid row site area".split())
+MODIFIERS = frozenset("has with no without is not hide show".split())
 #: Elements whose text is never shown, elements that break no text, elements without an end tag; fixed values.
 HIDDEN_TAGS = "script|style|template|iframe|object|canvas|title|textarea|noscript|xmp|noembed|noframes"
 #: What a head holds, without and with text; anything else ends it, as its end tag may be left out.
@@ -80,12 +85,19 @@ _SPACES = re.compile(r"\s+")
 
 @dataclass
 class Element:
-    """An element of the page: its name, whether it is boilerplate by itself or by what holds it, and its parent."""
+    """An element of the page: its name, parent and mark (see ``mark_of``), and what follows from the whole page:
+    whether it is boilerplate, by which mark, and the context of its words."""
 
     name: str
     parent: Element | None
-    boilerplate: bool
-    context: str
+    mark: str = ""
+    by: str = ""
+    context: str = ""
+    n_words: int = 0
+
+    @property
+    def boilerplate(self) -> bool:
+        return self.by in ("tag", "class")
 
 
 @dataclass
@@ -105,19 +117,59 @@ class Block:
         return self.text.count(" ") + 1 if self.text else 0
 
 
-def is_boilerplate(name: str, attributes: str) -> bool:
+def mark_of(name: str, attributes: str) -> str:
+    """What speaks for boilerplate: tag (or a comment's class), class (also id, role), form, or nothing.
+
+    A class name counts by its last part, or by its first one if the last tells of no layout.
+    """
     if name in BOILERPLATE_TAGS:
-        return True
+        return "tag"
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
-    marks = (w for m in _MARKS.finditer(attributes) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower()))
-    return any(w in BOILERPLATE_WORDS for w in marks)
+        return ""
+    found = "form" if name == "form" else ""
+    for m in _MARKS.finditer(attributes):
+        for token in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = _WORD.findall(token)
+            if not parts or (len(parts) > 1 and parts[0] in MODIFIERS):
+                continue
+            for w in parts[-1:] if parts[-1] in LAYOUT_WORDS else (parts[0], parts[-1]):
+                if w in COMMENT_WORDS:
+                    return "tag"
+                if w in BOILERPLATE_WORDS and name != "form":
+                    found = "class"
+    return found
+
+
+def settle(elements: list[Element], found: list[Block]) -> None:
+    """Which elements, parents first, are boilerplate, and the contexts of words.
+
+    A class or a form makes no boilerplate of what holds more than half of the words outside boilerplate tags, of a
+    main element, or of the page's only article (for a form, of any). A form is a context, judged by its weight.
+    """
+    for b in found:
+        b.element.n_words += b.n_words
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.n_words += e.n_words
+    left = elements[0].n_words
+    for e in elements[1:]:
+        e.by = "tag" if e.mark == "tag" or e.parent.by == "tag" else ""
+        left -= e.n_words if e.by and not e.parent.by else 0
+    articles = [e for e in elements if e.name == "article" and holder(e, CONTENT_TAGS) is e]
+    for e in elements[1:]:
+        if not e.by:
+            inherited = e.parent.by
+            if e.name == "main" or (e.name == "article" and (inherited == "form" or (len(articles) == 1 and articles[0] is e))):
+                inherited = ""
+            own = e.mark if 2 * e.n_words <= left else ""
+            e.by = "class" if "class" in (own, inherited) else own or inherited
+        e.context = "boilerplate" if e.boilerplate else e.by or e.name
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order. Unclosed and misnested elements end with what holds them."""
-    top = Element("", None, False, "")
-    open_, tags = top, []
+    top = Element("", None)
+    open_, tags, elements = top, [], [top]
     out = [Block(top, tags)]
 
     def start() -> None:
@@ -135,7 +187,7 @@ def blocks(page: str) -> list[Block]:
             if name == "br":
                 out[-1].parts.append(" ")
                 continue
-            if name in INLINE_TAGS and not is_boilerplate(name, attributes):
+            if name in INLINE_TAGS and not mark_of(name, attributes):
                 out[-1].tags.append(name)
                 continue
             at = open_
@@ -143,9 +195,8 @@ def blocks(page: str) -> list[Block]:
                 at = at.parent
             open_ = at
             if name not in VOID_TAGS and not attributes.rstrip().endswith("/"):
-                own = is_boilerplate(name, attributes)
-                context = "boilerplate" if own or open_.boilerplate else name
-                open_ = Element(name, open_, own or open_.boilerplate, context)
+                open_ = Element(name, open_, mark_of(name, attributes))
+                elements.append(open_)
             start()
             out[-1].tags.append(name)
         elif ended is not None:
@@ -158,7 +209,9 @@ def blocks(page: str) -> list[Block]:
                     open_ = at.parent
                 start()
             out[-1].tags.append("/" + name)
-    return [b for b in out if b.parts or b.tags]
+    out = [b for b in out if b.parts or b.tags]
+    settle(elements, out)
+    return out
 
 
 def any_open(element: Element, name: str) -> bool:
@@ -189,7 +242,7 @@ class Weights:
     tag: float = -0.3
 
     def of_word(self, context: str) -> float:
-        return self.words.get(context, -1.0 if context == "boilerplate" else self.word)
+        return self.words.get(context, -1.0 if context in ("boilerplate", "form") else self.word)
 
     def of_tag(self, name: str) -> float:
         return self.tags.get(name, -0.1 if name.lstrip("/") in INLINE_TAGS else self.tag)
@@ -253,10 +306,14 @@ def main_text(page: str, weights: Weights) -> str:
     a, z = best_run(scores)
     if a == z:
         return ""
+
+    def shown(e: Element) -> bool:
+        return not e.boilerplate and (e.by != "form" or weights.of_word("form") > 0)
+
     run = range(owner[a], owner[z - 1] + 1)
-    held = {id(h): h for i in run if every[i].text and not every[i].element.boilerplate and (h := holder(every[i].element, CONTENT_TAGS))}
+    held = {id(h): h for i in run if every[i].text and shown(every[i].element) and (h := holder(every[i].element, CONTENT_TAGS))}
     taken = [b for b in every if id(holder(b.element, CONTENT_TAGS)) in held] if held else [every[i] for i in run]
-    return " ".join(filter(None, (b.text for b in taken if not b.element.boilerplate)))
+    return " ".join(filter(None, (b.text for b in taken if shown(b.element))))
 
 
 def train(pages: DataFrame, html_col: str = "html", rows: int = LABELLED) -> Weights:

@@ -241,6 +241,16 @@ def test_main_text_after_hidden_elements():
     assert main_of("<p>x <svg><title>no</title><foreignObject><div>no</div></foreignObject></svg> y <math><mi>no</mi></math> z") == "x y z"
 
 
+def test_main_text_in_wrappers():
+    marks = ("class='content has-sidebar'", "class='page with-header'", "class=main-search-layout", "id='form-wrap'", "class='sidebar'")
+    for tag, mark in [*(("div", m) for m in marks), ("form", "method=post"), ("form", "class=search")]:
+        for inner in (ARTICLE, f"<article>{ARTICLE}</article>", f"<main>{ARTICLE}</main>"):
+            assert main_of(PAGE.format(f"<{tag} {mark}>{inner}</{tag}>")) == TEXT
+    small = "<div class='related-posts'>see this too</div><form><p>your mail here</p></form><div class=sidebar><article>one</article><article>two</article></div>"
+    assert main_of(PAGE.format(f"<div>{ARTICLE}</div>{small}")) == TEXT
+    assert html.main_text(f"<p>{TEXT}</p><form><p>your mail</p></form>", html.Weights({"form": 0.5}, {})) == f"{TEXT} your mail"
+
+
 # --- sharding ---
 
 

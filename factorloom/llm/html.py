@@ -291,7 +291,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str, weights: Weights) -> str:
     """The blocks of the best run, without boilerplate, joined by spaces.
 
-    A run that lies in an article or main element takes in the whole of it.
+    An article or main element that the run touches is taken in as a whole, besides the rest of the run.
     """
     every = blocks(page)
     scores, owner = [], []
@@ -312,7 +312,7 @@ def main_text(page: str, weights: Weights) -> str:
 
     run = range(owner[a], owner[z - 1] + 1)
     held = {id(h): h for i in run if every[i].text and shown(every[i].element) and (h := holder(every[i].element, CONTENT_TAGS))}
-    taken = [b for b in every if id(holder(b.element, CONTENT_TAGS)) in held] if held else [every[i] for i in run]
+    taken = [b for i, b in enumerate(every) if i in run or id(holder(b.element, CONTENT_TAGS)) in held]
     return " ".join(filter(None, (b.text for b in taken if shown(b.element))))
 
 

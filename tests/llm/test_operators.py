@@ -251,6 +251,12 @@ def test_main_text_in_wrappers():
     assert html.main_text(f"<p>{TEXT}</p><form><p>your mail</p></form>", html.Weights({"form": 0.5}, {})) == f"{TEXT} your mail"
 
 
+def test_main_text_around_an_article():
+    words = " ".join(f"w{i}" for i in range(40))
+    page = PAGE.format(f"<div><h1>Lead in</h1><p>{words}</p><article><p>a card of few words</p></article><p>{words}</p></div>")
+    assert main_of(page) == f"Lead in {words} a card of few words {words}"
+
+
 # --- sharding ---
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decon, html, jaccard, linededup, packing, quality, secrets, shards, urls
+from . import bpe, collocations, decon, html, jaccard, linededup, mixing, packing, quality, resampling, secrets, shards, urls
 from .base import table
 
 #: Host, path, action; fixed values.
@@ -71,6 +71,18 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op2_quality_rules": quality_rules,
@@ -82,6 +94,9 @@ QUERIES = {
     "op8_sharding": sharding,
     "op9_jaccard_join": jaccard_join,
     "op10_line_dedup": line_dedup,
+    "op11_source_mix": source_mix,
+    "op12_phrase_collocations": phrase_collocations,
+    "op13_importance_resampling": importance_resampling,
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \x09-\x0D]+'), lambda w: w <> '')"
@@ -191,4 +206,78 @@ SELECT doc_id,
          array_to_string(list_filter(all_lines, lambda x, i: NOT list_contains(lost, i)), chr(10)) END AS text,
        coalesce(len(lost), 0) AS n_deleted
 FROM t LEFT JOIN lost USING (doc_id)""",
+    "op12_phrase_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p),
+g AS (
+  SELECT lang, w[i : i + m - 1] AS g FROM w, unnest(range(1, 5)) AS s(m), unnest(range(1, CAST(len(w) AS BIGINT) - m + 2)) AS u(i)
+),
+f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, g, f AS a FROM f WHERE f >= 30 AND len(g) > 1),
+cuts AS (
+  SELECT c.lang, c.g, a, k, x.f AS l, y.f AS r, CAST(2000000 * CAST(a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+  FROM c, unnest(range(1, len(g))) AS u(k) JOIN f AS x ON x.lang = c.lang AND x.g = c.g[1 : k] JOIN f AS y ON y.lang = c.lang AND y.g = c.g[k + 1 :]
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, g[i : i + m - 1] AS g, max(a) AS longer
+  FROM c, unnest(range(2, len(g))) AS s(m), unnest(range(1, len(g) - m + 2)) AS u(i) GROUP BY ALL
+),
+kept AS (
+  SELECT best.*, array_to_string(best.g, ' ') AS phrase FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.g = best.g
+  WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
+    # a CRC is folded byte by byte over the table that the reversed polynomial gives
+    "op13_importance_resampling": r"""
+WITH t AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) ORDER BY b) AS t
+  FROM range(256) AS r(b)
+),
+x AS (
+  SELECT row_number() OVER () AS r, 0 AS aim, doc_id, text FROM documents UNION ALL SELECT NULL, 1, NULL, text FROM benchmark
+),
+w AS (
+  SELECT r, aim, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM x
+),
+o AS (
+  SELECT r, aim, unnest(list_concat(w, list_transform(w[2:], lambda x, i: w[i] || ' ' || x))) AS f FROM w
+),
+n AS (SELECT r, aim, f, count(*) AS n FROM o GROUP BY ALL),
+h AS (
+  SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, CAST(strlen(f) AS BIGINT)), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+            lambda c, b: xor(t[xor(c % 256, b) + 1], c // 256))) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM n), t
+),
+c AS (
+  SELECT bucket, CAST(sum(n) FILTER (aim = 0) AS DOUBLE) AS s, CAST(sum(n) FILTER (aim = 1) AS DOUBLE) AS t FROM n JOIN h USING (f) GROUP BY bucket
+),
+g AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (sum(coalesce(s, 0)) OVER () + 10000) / ((coalesce(s, 0) + 1) * (sum(coalesce(t, 0)) OVER () + 10000)))) AS BIGINT) AS gain
+  FROM c
+),
+m AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * gain) AS BIGINT) AS gain FROM n JOIN h USING (f) JOIN g USING (bucket) WHERE aim = 0 GROUP BY r
+),
+d AS (
+  SELECT w.r, doc_id, len(w) AS words, coalesce(m.n, 0) AS n_features,
+         CASE WHEN m.n IS NULL THEN 0 ELSE (gain - ((gain % m.n) + m.n) % m.n) // m.n END AS weight,
+         CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM w LEFT JOIN m ON m.r = w.r WHERE aim = 0
+),
+e AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM d
+),
+k AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n FROM e WHERE words >= 20
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM e LEFT JOIN k USING (r)""",
 }

@@ -16,7 +16,6 @@ A word of a language is a 64-bit symbol; the symbols' words come back from a tab
 from __future__ import annotations
 
 import hashlib
-import io
 import zlib
 from collections.abc import Iterator
 
@@ -28,8 +27,8 @@ from pyspark.sql import functions as F
 from ..operators.lineage import cut_lineage
 from .shingles import _STEP, _bytes, _powers, mixed, text_slices
 
-#: Bytes of text at a time; distinct n-grams a task holds before it hands on their transducers.
-SLICE, HELD = 4_000_000, 2_000_000
+#: Bytes of text at a time; distinct n-grams, and words, a task holds before it hands them on.
+SLICE, HELD, WORDS = 1_000_000, 1_000_000, 150_000
 #: Bits of the filter of frequent n-grams, and the parts it is merged in.
 FILTER_BITS, FILTER_PARTS = 1 << 25, 64
 #: Salts of a language's candidates, which are cut to the limit in each before they meet.
@@ -120,15 +119,27 @@ class Transducer:
         return path, self.weight[at]
 
     def dump(self) -> bytes:
-        out = io.BytesIO()
-        np.savez(out, alphabet=self.alphabet, weight=self.weight, **{f"a{d}": x for d, x in enumerate(self.arcs)}, **{f"t{d}": x for d, x in enumerate(self.to)})
-        return zlib.compress(out.getvalue(), 1)
+        parts = [self.alphabet]
+        for arcs, to in zip(self.arcs, self.to):  # arcs a state, symbol of each, target of each
+            parts += [np.bincount(arcs >> 32).astype("<u4"), (arcs & 0xFFFFFFFF).astype("<u4"), to.astype("<u4")]
+        parts.append(self.weight)
+        head = np.array([len(parts), *map(len, parts)], "<i8").tobytes()
+        # bytes of one rank lie together: most of the high ones are 0
+        planes = (x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in parts)
+        return zlib.compress(head + b"".join(planes), 1)
 
     @classmethod
     def load(cls, data: bytes) -> Transducer:
-        z = np.load(io.BytesIO(zlib.decompress(data)))
-        length = sum(k.startswith("a") and k != "alphabet" for k in z.files)
-        return cls(z["alphabet"], [z[f"a{d}"] for d in range(length)], [z[f"t{d}"] for d in range(length)], z["weight"])
+        raw = zlib.decompress(data)
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        at, out = 8 * (n + 1), []
+        for i, size in enumerate(np.frombuffer(raw, "<i8", n, 8).tolist()):
+            kind = np.dtype("<u8" if i == 0 else "<i8" if i == n - 1 else "<u4")
+            planes = np.frombuffer(raw, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+            out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+            at += size * kind.itemsize
+        arcs = [(np.repeat(np.arange(len(d)), d) << 32) | label.astype(np.int64) for d, label in zip(out[1:-1:3], out[2:-1:3])]
+        return cls(out[0], arcs, [x.astype(np.int64) for x in out[3:-1:3]], out[-1])
 
 
 def summed(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,20 +208,14 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], np.n
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """Columns lang, word, symbol, f of rows (lang, text); word NULL has the sum of a language's words."""
+    """Columns lang, word, f of rows (lang, text); word NULL has the sum of a language's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "word", "symbol", "f"]
         found: dict[int, list] = {}
         total: dict[str, int] = {}
 
-        def out() -> pa.RecordBatch:
-            values = list(found.values())
-            columns = [[v[i] for v in values] for i in range(3)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(np.array(list(found), np.uint64).view(np.int64)), pa.array(columns[2], pa.int64())],
-                names=names,
-            )
+        def out(langs: list, words: list, f: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(f, pa.int64())], names=["lang", "word", "f"])
 
         for langs, raw, (symbol, _, row, starts, ends) in _slices(batches):
             distinct, first, n = np.unique(symbol, return_index=True, return_counts=True)
@@ -220,19 +225,29 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     found[s][2] += c
                 else:
                     found[s] = [langs[r], data[a:b].lower().decode(), c]
-            per_row = np.bincount(row, minlength=len(langs)).tolist()
-            for x, c in zip(langs, per_row):
+            for x, c in zip(langs, np.bincount(row, minlength=len(langs)).tolist()):
                 total[x] = total.get(x, 0) + c
-            if len(found) >= HELD // 4:
-                yield out()
+            if len(found) >= WORDS:
+                yield out(*map(list, zip(*found.values())))
                 found.clear()
-        yield out()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.nulls(len(total), pa.string()), pa.array([0] * len(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
-            names=names,
-        )
+        if found:
+            yield out(*map(list, zip(*found.values())))
+        yield out(list(total), [None] * len(total), list(total.values()))
 
-    return docs.mapInArrow(run, "lang string, word string, symbol long, f long").groupBy("lang", "word", "symbol").agg(F.sum("f").alias("f"))
+    return docs.mapInArrow(run, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
+
+
+def with_symbols(words: DataFrame) -> DataFrame:
+    """Rows (lang, word, f) with the word's symbol."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, raw, at in text_slices(batch.column(1), SLICE):
+                langs = np.array([_lang_hash(x) for x in batch.column(0)[rows].to_pylist()], np.uint64)
+                symbol = pa.array(_symbols(raw, at, langs)[0].view(np.int64))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i)[rows] for i in range(3)), symbol], names=["lang", "word", "f", "symbol"])
+
+    return words.select("lang", "word", "f").mapInArrow(run, "lang string, word string, f long, symbol long")
 
 
 def shard_transducers(docs: DataFrame, length: int, frequent: object, n_ranges: int) -> DataFrame:
@@ -427,7 +442,7 @@ def collocations(
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(unknown)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counted = cut_lineage(word_counts(docs).where(F.col("word").isNull() | (F.col("f") >= least)))
     sums = counted.where(F.col("word").isNull()).select("lang", F.col("f").alias("n"))
-    vocabulary = counted.where(F.col("word").isNotNull())
+    vocabulary = cut_lineage(with_symbols(counted.where(F.col("word").isNotNull())))
     level = cut_lineage(_unigrams(vocabulary, n_ranges))
     known, found = level.withColumn("length", F.lit(1).cast("long")), None
     for length in range(2, longest + 1):

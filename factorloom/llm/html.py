@@ -27,10 +27,13 @@ BOILERPLATE_WORDS = frozenset(
     " signup login form search share sharing social related recommended comment comments reply replies disqus discussion"
     " respond pagination pager toolbar copyright contentinfo complementary".split()
 )
-#: Those of them that mark what readers wrote, which may be most of a page. Parts of a class name that tell of a layout
-#: if they come last, and that tell of something else if they come first.
+#: Those of them that mark what readers wrote, which may be most of a page, if they come last in a class name or only such
+#: parts follow. Parts that tell of something else if they come first.
 COMMENT_WORDS = frozenset("comment comments reply replies disqus discussion respond".split())
-LAYOUT_WORDS = frozenset("wrap wrapper layout container page content main body inner outer grid row site area".split())
+PART_WORDS = frozenset(
+    "wrap wrapper layout container page content main body inner outer grid row site area section list thread item box block panel"
+    " text form author meta header footer title count link links children post user entry".split()
+)
 MODIFIERS = frozenset("has with no without is not hide show".split())
 #: Elements whose text is never shown, elements that break no text, elements without an end tag; fixed values.
 HIDDEN_TAGS = "script|style|template|iframe|object|canvas|title|textarea|noscript|xmp|noembed|noframes"
@@ -85,15 +88,22 @@ _SPACES = re.compile(r"\s+")
 
 @dataclass
 class Element:
-    """An element of the page: its name, parent and mark (see ``mark_of``), and what follows from the whole page:
-    whether it is boilerplate, by which mark, and the context of its words."""
+    """An element of the page: its name, parent and mark (see ``mark_of``), the outermost article or main element it
+    stands in, and what follows from the whole page: the mark that makes it boilerplate, the context of its words."""
 
     name: str
     parent: Element | None
     mark: str = ""
+    content: Element | None = field(default=None, repr=False)
     by: str = ""
     context: str = ""
     n_words: int = 0
+    holds_content: bool = False
+
+    def __post_init__(self) -> None:
+        self.content = self.parent and self.parent.content
+        if self.content is None and self.name in CONTENT_TAGS:
+            self.content = self
 
     @property
     def boilerplate(self) -> bool:
@@ -118,13 +128,13 @@ class Block:
 
 
 def mark_of(name: str, attributes: str) -> str:
-    """What speaks for boilerplate: tag (or a comment's class), class (also id, role), form, or nothing.
+    """What speaks for boilerplate: tag, comment or class (also id, role), form, or nothing.
 
-    A class name counts by its last part, or by its first one if the last tells of no layout.
+    A word of boilerplate anywhere in a class name counts, unless a modifier leads the name.
     """
     if name in BOILERPLATE_TAGS:
         return "tag"
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body", "main"):
         return ""
     found = "form" if name == "form" else ""
     for m in _MARKS.finditer(attributes):
@@ -132,11 +142,13 @@ def mark_of(name: str, attributes: str) -> str:
             parts = _WORD.findall(token)
             if not parts or (len(parts) > 1 and parts[0] in MODIFIERS):
                 continue
-            for w in parts[-1:] if parts[-1] in LAYOUT_WORDS else (parts[0], parts[-1]):
-                if w in COMMENT_WORDS:
-                    return "tag"
-                if w in BOILERPLATE_WORDS and name != "form":
-                    found = "class"
+            last = len(parts)
+            while last and parts[last - 1] in PART_WORDS and parts[last - 1] not in COMMENT_WORDS:
+                last -= 1
+            if last and parts[last - 1] in COMMENT_WORDS:
+                return "comment"
+            if name != "form" and not BOILERPLATE_WORDS.isdisjoint(parts):
+                found = "class"
     return found
 
 
@@ -144,32 +156,42 @@ def settle(elements: list[Element], found: list[Block]) -> None:
     """Which elements, parents first, are boilerplate, and the contexts of words.
 
     A class or a form makes no boilerplate of what holds more than half of the words outside boilerplate tags, of a
-    main element, or of the page's only article (for a form, of any). A form is a context, judged by its weight.
+    main element, or of the page's only article (for a form, of any). Nor does a comment's class of what holds an
+    article or main element that is no comment. A form is a context, judged by its weight.
     """
     for b in found:
         b.element.n_words += b.n_words
+    articles = 0
     for e in reversed(elements):
+        articles += e.name == "article" and e.content is e
         if e.parent is not None:
             e.parent.n_words += e.n_words
+            e.parent.holds_content |= e.holds_content or (e.name in CONTENT_TAGS and e.mark != "comment")
+    only = articles == 1
     left = elements[0].n_words
     for e in elements[1:]:
+        if e.mark == "comment":
+            e.mark = "class" if e.holds_content or (only and e.name == "article" and e.content is e) else "tag"
         e.by = "tag" if e.mark == "tag" or e.parent.by == "tag" else ""
         left -= e.n_words if e.by and not e.parent.by else 0
-    articles = [e for e in elements if e.name == "article" and holder(e, CONTENT_TAGS) is e]
     for e in elements[1:]:
         if not e.by:
-            inherited = e.parent.by
-            if e.name == "main" or (e.name == "article" and (inherited == "form" or (len(articles) == 1 and articles[0] is e))):
-                inherited = ""
-            own = e.mark if 2 * e.n_words <= left else ""
+            inherited, own = e.parent.by, e.mark if 2 * e.n_words <= left else ""
+            single = only and e.name == "article" and e.content is e
+            if e.name == "main" or single or (e.name == "article" and inherited == "form"):
+                inherited, own = "", "" if single else own
             e.by = "class" if "class" in (own, inherited) else own or inherited
         e.context = "boilerplate" if e.boilerplate else e.by or e.name
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks in order. Unclosed and misnested elements end with what holds them."""
+    """The page's blocks in order. Unclosed and misnested elements end with what holds them.
+
+    Each element is opened and left once, and an end tag without an open element is known by a count of the
+    open names, so time grows with the page, however deep it is nested.
+    """
     top = Element("", None)
-    open_, tags, elements = top, [], [top]
+    open_, tags, elements, inside = top, [], [top], Counter()
     out = [Block(top, tags)]
 
     def start() -> None:
@@ -177,6 +199,10 @@ def blocks(page: str) -> list[Block]:
             out.append(Block(open_, []))
         out[-1].element = open_
 
+    def left(e: Element) -> Element:
+        inside[e.name] -= 1
+        return e.parent
+
     for m in _TOKEN.finditer(page):
         text, _, ended, name, attributes, less = m.groups()
         text = text or less
@@ -190,23 +216,21 @@ def blocks(page: str) -> list[Block]:
             if name in INLINE_TAGS and not mark_of(name, attributes):
                 out[-1].tags.append(name)
                 continue
-            at = open_
-            while at.parent is not None and name in CLOSED_BY.get(at.name, ()):
-                at = at.parent
-            open_ = at
+            while open_.parent is not None and name in CLOSED_BY.get(open_.name, ()):
+                open_ = left(open_)
             if name not in VOID_TAGS and not attributes.rstrip().endswith("/"):
                 open_ = Element(name, open_, mark_of(name, attributes))
+                inside[name] += 1
                 elements.append(open_)
             start()
             out[-1].tags.append(name)
         elif ended is not None:
             name = ended.lower()
-            if name == "p" or name not in INLINE_TAGS or any_open(open_, name):
-                at = open_
-                while at.parent is not None and at.name != name:
-                    at = at.parent
-                if at.parent is not None:
-                    open_ = at.parent
+            if name == "p" or name not in INLINE_TAGS or inside[name]:
+                if inside[name]:
+                    while open_.name != name:
+                        open_ = left(open_)
+                    open_ = left(open_)
                 start()
             out[-1].tags.append("/" + name)
     out = [b for b in out if b.parts or b.tags]
@@ -214,24 +238,6 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def any_open(element: Element, name: str) -> bool:
-    while element.parent is not None:
-        if element.name == name:
-            return True
-        element = element.parent
-    return False
-
-
-def holder(element: Element, names: frozenset[str]) -> Element | None:
-    """The outermost element of such a name that holds ``element``."""
-    found = None
-    while element is not None:
-        if element.name in names:
-            found = element
-        element = element.parent
-    return found
-
-
 @dataclass
 class Weights:
     """Scores: of a word by the context of its block, of a tag by its name; the last two for those not seen."""
@@ -252,7 +258,7 @@ def counts(page: str) -> Counter:
     """How often each kind of word (w) and tag (t) stands inside and outside a labelled page's content."""
     seen = Counter()
     for b in blocks(page):
-        inside = holder(b.element, CONTENT_TAGS) is not None and not b.element.boilerplate
+        inside = b.element.content is not None and not b.element.boilerplate
         seen["w", b.element.context, inside] += b.n_words
         for t in b.tags:
             seen["t", t, inside] += 1
@@ -311,8 +317,8 @@ def main_text(page: str, weights: Weights) -> str:
         return not e.boilerplate and (e.by != "form" or weights.of_word("form") > 0)
 
     run = range(owner[a], owner[z - 1] + 1)
-    held = {id(h): h for i in run if every[i].text and shown(every[i].element) and (h := holder(every[i].element, CONTENT_TAGS))}
-    taken = [b for i, b in enumerate(every) if i in run or id(holder(b.element, CONTENT_TAGS)) in held]
+    held = {id(h): h for i in run if every[i].text and shown(every[i].element) and (h := every[i].element.content)}
+    taken = [b for i, b in enumerate(every) if i in run or id(b.element.content) in held]
     return " ".join(filter(None, (b.text for b in taken if shown(b.element))))
 
 

@@ -140,18 +140,15 @@ def dedup(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col
 
     Lines without a word are never deleted; a NULL text stays NULL, a text none of whose lines goes stays as
     it is. Rows equal in id and text are one document: all are cut alike. ``deleted_col`` replaces a column
-    of that name; other columns stay.
+    of that name; other columns stay, whatever their names. An empty table gives no rows.
     """
     gone = cut_lineage(repeats(docs, min_words, id_col, text_col))
     n, lines = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
-    gone = gone.select(F.struct("id", "th", "gone").alias("__gone"))
-    keyed = docs.withColumn("__th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     side = small_side(gone, max(n, lines * BROADCAST_DOCS // BROADCAST_LINES), BROADCAST_DOCS)
-    on = keyed[id_col].eqNullSafe(gone["__gone"]["id"]) & (keyed["__th"] == gone["__gone"]["th"])
-    cut = F.col("__gone")["gone"]
-    return (
-        keyed.join(side, on, "left")
-        .withColumn(text_col, F.when(cut.isNull(), F.col(text_col)).otherwise(_kept(F.col(text_col), cut)))
-        .withColumn(deleted_col, F.coalesce(F.size(cut), F.lit(0)).cast("long"))
-        .drop("__gone", "__th")
-    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != deleted_col]).alias("row")
+    keyed = docs.select(row, F.col(id_col).alias("key"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"))
+    met = keyed.join(side, keyed["key"].eqNullSafe(side["id"]) & (keyed["hash"] == side["th"]), "left")
+    text, cut = F.col(f"row.`{text_col}`"), F.col("gone")
+    columns = {text_col: F.when(cut.isNull(), text).otherwise(_kept(text, cut))}
+    kept = [columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != deleted_col]
+    return met.select(*kept, F.coalesce(F.size(cut), F.lit(0)).cast("long").alias(deleted_col))

@@ -24,7 +24,7 @@ from .shards import in_order
 #: Weights that the sources get in turn, in the order of their names.
 WEIGHTS = (5, 2, 1)
 #: Rows of a block on average; rows held back for the landing; equal rows that one task writes out.
-BLOCK, RESERVE, COPIES = 10_000, 12, 100_000
+BLOCK, RESERVE, COPIES = 10_000, 14, 100_000
 _NEAR = 1e-9
 
 

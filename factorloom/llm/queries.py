@@ -152,7 +152,7 @@ m AS (
   FROM b JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r
 )
 SELECT page_id, host, path, best[1] AS rule, coalesce(best[2], 'allow') AS verdict FROM b LEFT JOIN m ON b.r = m.r""",
-    # a run of four tokens is left however four of twenty change
+    # a run of four tokens is left however four of twenty change, or as many of fewer as are allowed
     "op6_decontamination": r"""
 WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
@@ -170,7 +170,7 @@ runs AS (
 ),
 best AS (
   SELECT doc_id, item_id, max(row(matches, -(s + shift - 1), -(s - 1))) AS x FROM runs
-  WHERE matches >= CASE WHEN n = 20 THEN 16 ELSE n END GROUP BY doc_id, item_id
+  WHERE matches >= n - CASE WHEN n >= 20 THEN 4 WHEN n >= 17 THEN 3 WHEN n >= 13 THEN 2 WHEN n >= 9 THEN 1 ELSE 0 END GROUP BY doc_id, item_id
 )
 SELECT doc_id, item_id, CAST(x[1] AS INTEGER) AS matches, CAST(-x[2] AS INTEGER) AS doc_start, CAST(-x[3] AS INTEGER) AS item_start FROM best""",
     "op10_line_dedup": r"""

@@ -27,7 +27,7 @@ from .shingles import text_slices
 
 BUCKETS = 10_000
 #: Bytes of text under one dictionary; a longer text is handled alone.
-SLICE = 4_000_000
+SLICE = 2_000_000
 #: A-Z lowered; of ASCII all but letters and digits to the delimiter.
 _PLAIN = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in bytes(range(256)).lower())
 
@@ -159,9 +159,9 @@ def gains(source: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataF
     every = source.sparkSession.range(buckets).select(F.col("id").alias("bucket"))
     both = every.join(source.withColumnRenamed("n", "s"), "bucket", "left").join(target.withColumnRenamed("n", "t"), "bucket", "left")
     both = both.select("bucket", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in "st"])
-    sums = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    ratio = (F.col("t") + 1) * (F.col("all_s") + buckets) / ((F.col("s") + 1) * (F.col("all_t") + buckets))
-    return both.join(F.broadcast(sums), F.lit(True)).select("bucket", F.floor(1000 * F.ln(ratio)).cast("long").alias("gain"))
+    all_s, all_t = (side.agg(F.sum("n")).first()[0] or 0 for side in (source, target))
+    ratio = (F.col("t") + 1) * F.lit(float(all_s + buckets)) / ((F.col("s") + 1) * F.lit(float(all_t + buckets)))
+    return both.select("bucket", F.floor(1000 * F.ln(ratio)).cast("long").alias("gain"))
 
 
 def weights(found: DataFrame, gain: np.ndarray, buckets: int = BUCKETS) -> DataFrame:
@@ -206,7 +206,7 @@ def resample(
     found = cut_lineage(features(docs, id_col, text_col, buckets))
     aimed = features(target.select(F.lit(0).alias("id"), F.col(target_text_col).alias("text")), "id", "text", buckets)
     gain = np.zeros(buckets, np.int64)
-    for bucket, g in gains(counts(found, buckets), counts(aimed, buckets), buckets).collect():  # a row per bucket
+    for bucket, g in gains(cut_lineage(counts(found, buckets)), cut_lineage(counts(aimed, buckets)), buckets).collect():  # a row per bucket
         gain[bucket] = g
     scored = weights(found, gain, buckets).withColumn("score", F.col("weight") + gumbel(seed, F.col("key")))
     scored = cut_lineage(scored)

@@ -80,7 +80,7 @@ def overlap(text: str | None, item: str | None, span: int = 20, changed: int = 4
     """(matches, doc_start, item_start) of the best stretch."""
     d, b = tokens(text), tokens(item)
     n = min(span, len(b))
-    need = span - changed if len(b) >= span else len(b)
+    need = span - changed if len(b) >= span else len(b) - (len(b) >= 9) - (len(b) >= 13) - (len(b) >= 17)
     best = None
     for s in range(len(b) - n + 1 if b else 0):
         for at in range(-n, len(d)):

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from brute import ODD  # noqa: E402
 
 #: Names the operators use inside; as columns of the input they must do no harm.
-CLASHING = "key id th n i a b r k x h u v at node rep bits part kept rule ids size shard slot stratum seed item label path score html".split()
+CLASHING = "key id th n i a b r k x h u v at node rep bits part kept rule ids size shard slot stratum seed item label path score html __th __gone __kept __leaked __deleted row doc pair".split()
 
 
 @pytest.fixture(scope="session")

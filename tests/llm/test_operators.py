@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -158,6 +159,27 @@ def test_masks_miss_nothing():
         assert any(
             all(kept[at + k] == "1" for k, bit in enumerate(m) if bit == "1") for m in decon.MASKS for at in range(decon.SPAN - len(m) + 1)
         )
+    for n in range(9, decon.SPAN):
+        for lost in itertools.combinations(range(n), (n >= 9) + (n >= 13) + (n >= 17)):
+            places = ((m, at) for m in decon.MASKS for at in range(n - len(m) + 1))
+            assert any(not any(bit == "1" and at + k in lost for k, bit in enumerate(m)) for m, at in places), (n, lost)
+
+
+def test_short_items_with_changes(spark, make):
+    """A changed word hides no short item, nor does a filter that lets all through."""
+    rng = random.Random(11)
+    items = [(n, [f"i{n}x{k}" for k in range(n)]) for n in range(1, 22)]
+    docs, want = [], []
+    for n, w in items:
+        for changed in range(6):
+            x = list(w)
+            for k in rng.sample(range(n), min(n, changed)):
+                x[k] += "y"
+            docs.append((100 * n + changed, " ".join(["before", *x, "after"]), "s"))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    want = sorted((d, n) for d, t, _ in docs for n, w in items if brute.overlap(t, " ".join(w)))
+    assert rows(decon.overlaps(make(docs), bench), "id", "item") == sorted(want, key=repr)
+    assert {d for d, _ in want} >= {901, 1302, 1703, 1903, 2004} and not {d for d, _ in want} & {801, 902, 1303, 1704, 1904}
 
 
 def test_overlaps(spark, make, odd, none):
@@ -257,6 +279,57 @@ def test_main_text_around_an_article():
     assert main_of(page) == f"Lead in {words} a card of few words {words}"
 
 
+MARKED = "comment-body comment-content comments-area post-comments-container sidebar-inner footer-content nav-wrapper menu-container cookie-container related-content".split()
+
+
+@pytest.mark.parametrize("name", MARKED)
+def test_main_text_without_marked_elements(name):
+    words, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"c{i}" for i in range(20))
+    for page in (
+        f"<article><p>{words}</p><div class='{name}'><p>{other}</p></div></article>",
+        f"<div><p>{words}</p><div class='x {name}'><p>{other}</p></div></div>",
+        f"<article><p>{words}</p></article><section id={name}>{other}</section>",
+        f"<div class='{name}'>{other}</div><main><p>{words}</p></main>",
+    ):
+        assert main_of(PAGE.format(page)) == words, page
+
+
+def test_main_text_with_comments():
+    words, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"c{i}" for i in range(90))
+    page = f"<article><p>{words}</p></article>" + f"<article class='comment'><p>{other}</p></article>" * 5
+    assert main_of(PAGE.format(page)) == words
+    assert main_of(PAGE.format(f"<article class='comment'><p>{words}</p></article>")) == words  # the page's only one
+    for name in ("comments-open", "comments-area", "content has-sidebar", "page with-header", "main-search-layout"):
+        assert main_of(PAGE.format(f"<div class='{name}'><article><p>{words}</p></article></div>")) == words
+
+
+#: Pages without article or main: what stands around a text of 60 words and is no part of it.
+AROUND = [
+    "<div>{0}</div>", "<nav>{1}</nav><div>{0}</div>", "<div>{0}</div><footer>{1}</footer>", "<header><h2>{1}</h2></header><div>{0}</div>",
+    "<div id='menu'>{1}</div><div>{0}</div>", "<div>{0}</div><div class='ads'>{1}</div>", "<table><tr><td class='sidebar'>{1}</td><td>{0}</td></tr></table>",
+    "<div>{0}<div class='share-buttons'>{1}</div></div>", "<div class='cookie-notice'>{1}</div><section>{0}</section>",
+    "<section>{0}</section><div id='comments'><p>{1}</p><p>{1}</p></div>", "<div>{0}</div><script>{1}</script>", "<style>{1}</style><div>{0}</div>",
+    "<div>{0}<!-- {1} --></div>", "<aside>{1}</aside><div>{0}</div>", "<div>{0}<ul class='related-posts'><li>{1}</li></ul></div>",
+    "<ul class='breadcrumb'><li>{1}</li></ul><div>{0}</div>", "<div>{0}<ol class='comment-list'><li>{1}</li></ol></div>",
+    "<div class='page-wrapper'><div class='site-header'>{1}</div><div>{0}</div></div>", "<div>{0}</div><div role='contentinfo'>{1}</div>",
+    "<div>{0}</div><p class='copyright'>{1}</p>",
+]
+
+
+@pytest.mark.parametrize("around", AROUND)
+def test_pages_without_article(around):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    page = PAGE.format(around.format(f"<h1>A title</h1><p>{a}</p><p>{b} <b>bold</b> &amp; more</p>", "other words that stand beside it"))
+    assert main_of(page) == f"A title {a} {b} bold & more"
+
+
+@pytest.mark.parametrize("part", ["<div>x", "x</p>", "<article>", "<p>x</b>", "<b class=ad>x"])
+def test_deep_pages_take_time_in_proportion(part):
+    began = time.perf_counter()
+    main_of(part * 200_000)
+    assert time.perf_counter() - began < 20
+
+
 # --- sharding ---
 
 

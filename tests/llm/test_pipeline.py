@@ -26,14 +26,14 @@ def test_matches_sql(spark, name):
 
 def test_all_registered():
     names = entry.queries()
-    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_whole_table(spark, name):
     got = queries.QUERIES[name](spark, SF)
     n = {t: spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("documents", "pages")}
-    rows = {"op4_bpe_codec": n["documents"], "op7_html_text": n["pages"], "op8_sharding": n["documents"], "op9_jaccard_join": n["documents"]}
+    rows = {"op4_bpe_codec": n["documents"], "op7_html_text": n["pages"], "op8_sharding": n["documents"], "op9_jaccard_join": n["documents"], "op11_source_mix": n["documents"]}
     assert got.count() == rows.get(name, got.count()) > 0
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.groups import groups_fit
 from ..sources import panels
 
 
@@ -17,11 +16,6 @@ def week_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panels.week_panel(table(spark, sf_dir, "lineitem"))
 
 
-def week_fits(spark: SparkSession, sf_dir: str) -> bool:
-    """Whether a week's cross-section fits one task: line items per week bound its rows from above."""
-    return groups_fit(table(spark, sf_dir, "lineitem"), F.date_trunc("week", "l_shipdate"))
-
-
 def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panels.user_day_panel(table(spark, sf_dir, "events"))
 

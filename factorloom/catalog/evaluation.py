@@ -10,7 +10,7 @@ from ..operators import evaluate as ev
 from ..operators.lineage import cut_lineage
 from ..plans import factors as plan
 from ..sources import writers
-from .base import WEEK, avg_rank, lag, pearson, r, rounded, select, significant, sr, week_fits, week_panel
+from .base import WEEK, avg_rank, lag, pearson, r, rounded, select, significant, sr, week_panel
 from .factors import MANY, raw_sql, standardised_sql
 
 GROUP = ["factor_id", "trade_date"]
@@ -20,34 +20,31 @@ WINDOW_END, WINDOW_DAYS, MIN_DAYS = "2001-06-30", 2000, 120
 QUERIES, SQL = {}, {}
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, bool]:
-    """Factor values and bars as stored tables, and whether a date fits one task."""
-    fits, bars = week_fits(spark, sf_dir), cut_lineage(week_panel(spark, sf_dir))
-    return cut_lineage(plan.compute_factors(bars, plan.library(*MANY), fits)), bars, fits
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Factor values and bars as stored tables."""
+    bars = cut_lineage(week_panel(spark, sf_dir))
+    return cut_lineage(plan.compute_factors(bars, plan.library(*MANY))), bars
 
 
-def _paired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
-    values, bars, fits = _stored(spark, sf_dir)
-    return ev.pair_with_returns(values, bars, HORIZON), fits
+def _paired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.pair_with_returns(*_stored(spark, sf_dir), HORIZON)
 
 
 def ic_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(ev.ic_daily(*_paired(spark, sf_dir)), [*GROUP, "n"])
+    return rounded(ev.ic_daily(_paired(spark, sf_dir)), [*GROUP, "n"])
 
 
 def ic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = ev.ic_daily(*_paired(spark, sf_dir))
+    daily = ev.ic_daily(_paired(spark, sf_dir))
     return rounded(daily.groupBy("factor_id").agg(*[c.alias(k) for k, c in ev.ic_metrics().items()]), ["factor_id"])
 
 
 def quantile_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paired, fits = _paired(spark, sf_dir)
-    return rounded(ev.quantile_returns(paired, BUCKETS, fits), [*GROUP, "q", "n"])
+    return rounded(ev.quantile_returns(_paired(spark, sf_dir), BUCKETS), [*GROUP, "q", "n"])
 
 
 def _buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paired, fits = _paired(spark, sf_dir)
-    return ev.bucketed(paired, BUCKETS, fits).select(*ev.BUCKET_COLUMNS)
+    return ev.bucketed(_paired(spark, sf_dir), BUCKETS).select(*ev.BUCKET_COLUMNS)
 
 
 def long_short(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,14 +67,12 @@ def sharpe_maxdd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values, bars, fits = _stored(spark, sf_dir)
-    out = ev.evaluate(values, bars, HORIZON, BUCKETS, "ALL", fits)
+    out = ev.evaluate(*_stored(spark, sf_dir), HORIZON, BUCKETS, "ALL")
     return rounded(out, ["factor_id", "test_universe", "backtest_period", "horizon"])
 
 
 def _window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fits = week_fits(spark, sf_dir)
-    values = plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY), fits)
+    values = plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY))
     end = F.lit(WINDOW_END).cast("date")
     return cut_lineage(values.where(F.col("trade_date").between(F.date_sub(end, WINDOW_DAYS), end)))
 
@@ -120,8 +115,7 @@ def snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evaluation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON document of each factor's evaluation, read back; one factor has no metadata."""
-    values, bars, fits = _stored(spark, sf_dir)
-    results = ev.evaluate(values, bars, HORIZON, BUCKETS, "all_a", fits)
+    results = ev.evaluate(*_stored(spark, sf_dir), HORIZON, BUCKETS, "all_a")
     meta = results.where("factor_id <> 'trend_12'").select(
         "factor_id",
         F.upper("factor_id").alias("factor_name"),

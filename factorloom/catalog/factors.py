@@ -8,7 +8,7 @@ from ..functions import elem, ts
 from ..operators import conform
 from ..operators import cross_section as xs
 from ..plans import factors as plan
-from .base import SERIES, WEEK, full, lag, rank01, rounded, select, significant, week_fits, week_panel
+from .base import SERIES, WEEK, full, lag, rank01, rounded, select, significant, week_panel
 
 KEYS = ["trade_date", "stock_code"]
 LONG_KEYS = ["factor_id", *KEYS]
@@ -19,12 +19,12 @@ DAY, LOOKBACK = "2000-06-10", 380
 
 def factor_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = week_panel(spark, sf_dir).withColumn("raw", plan.momentum(20))
-    df = xs.winsorize_and_standardize(df, "raw", "value", one_task=week_fits(spark, sf_dir))
+    df = xs.winsorize_and_standardize(df, "raw", "value")
     return rounded(df.select(*KEYS, "raw", "value"), KEYS)
 
 
 def factor_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = plan.wide_factors(week_panel(spark, sf_dir), plan.library("rank_corr_10"), week_fits(spark, sf_dir))
+    df = plan.wide_factors(week_panel(spark, sf_dir), plan.library("rank_corr_10"))
     return rounded(df, KEYS)
 
 
@@ -39,19 +39,17 @@ def factor_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def factors_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY), week_fits(spark, sf_dir))
+    df = plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY))
     return rounded(df, LONG_KEYS)
 
 
 def factor_asof_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = plan.compute_day(
-        week_panel(spark, sf_dir), plan.library(*MANY), DAY, LOOKBACK, one_task=week_fits(spark, sf_dir)
-    )
+    df = plan.compute_day(week_panel(spark, sf_dir), plan.library(*MANY), DAY, LOOKBACK)
     return rounded(df, LONG_KEYS)
 
 
 def factor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = plan.wide_factors(week_panel(spark, sf_dir), plan.library(*MANY), week_fits(spark, sf_dir))
+    raw = plan.wide_factors(week_panel(spark, sf_dir), plan.library(*MANY))
     return conform.value_counts(plan.long_values(raw, MANY), "1995-03-13")
 
 

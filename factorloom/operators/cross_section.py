@@ -1,9 +1,8 @@
 """Cross-sectional operators: each row against the other rows of its date (or of its factor and date).
 
-Every function takes and returns a DataFrame. ``one_task`` says whether a whole group may go to one task:
-True or False when the caller knows, None to measure it (``groups_fit``). Both ways give the same result.
-The first costs one exchange on the group, shared by all functions called in a row. The second reads its
-input several times, so each public function first writes it once.
+Every function takes and returns a DataFrame, and has one plan whatever the size of a group: values are counted
+and placed, or aggregated, map-side, and what a row needs is joined back (see ``groups``). The input is read
+more than once, so it is written once first.
 """
 
 from __future__ import annotations
@@ -11,212 +10,120 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .groups import between, groups_fit, interpolate, join_keys, per_group, spread_average_rank, spread_quantiles
+from .groups import group_quantiles, join_keys, join_values, placed_values, value_buckets
 from .lineage import cut_lineage
 
 DATE = ("trade_date",)
 
 
-def _settle(df: DataFrame, by: Sequence[str], one_task: bool | None) -> tuple[DataFrame, bool]:
-    """The input and whether its groups fit one task; written once if they do not."""
-    fits = groups_fit(df, *by) if one_task is None else one_task
-    return (df if fits else cut_lineage(df)), fits
+def average_place() -> Column:
+    """Average rank from 1 of a placed value: ties share their mean."""
+    return F.col("less") + (F.col("ties") + 1) / 2
 
 
-def _with_stats(df: DataFrame, by: Sequence[str], one_task: bool, **aggs) -> DataFrame:
-    """Add aggregates of the row's group, by a window or by an aggregation joined back."""
-    if one_task:
-        w = Window.partitionBy(*by)
-        return df.withColumns({name: agg.over(w) for name, agg in aggs.items()})
-    stats = df.groupBy(*by).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return join_keys(df, per_group(stats, row_bytes=100 + 16 * len(aggs)), by)
-
-
-def average_rank(
-    df: DataFrame,
-    value: str,
-    out: str,
-    by: Sequence[str] = DATE,
-    one_task: bool | None = None,
-    ties: str = "_ties",
-) -> DataFrame:
+def average_rank(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, ties: str = "_ties") -> DataFrame:
     """Rank from 1, ties share their mean rank, missing values are unranked.
 
     Also adds ``ties``, the rows sharing the value; ``sum(1 / ties)`` of a group is its distinct count.
     """
-    df, fits = _settle(df, by, one_task)
-    return _average_rank(df, value, out, by, fits, ties)
-
-
-def _average_rank(df: DataFrame, value: str, out: str, by: Sequence[str], fits: bool, ties: str) -> DataFrame:
-    if not fits:
-        return spread_average_rank(df, value, out, by, ties)
-    x = F.col(value)
-    order = Window.partitionBy(*by).orderBy(x.asc_nulls_last())
-    peers = F.count(x).over(order.rangeBetween(Window.currentRow, Window.currentRow))
-    known = x.isNotNull()
-    return df.withColumns(
-        {out: F.when(known, F.rank().over(order) + (peers - 1) / 2), ties: F.when(known, peers)}
-    )
+    df = cut_lineage(df)
+    return join_values(df, value, placed_values(df, value, by), by, **{out: average_place(), ties: F.col("ties")})
 
 
-def rank01(
-    df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, one_task: bool | None = None
-) -> DataFrame:
+def rank01(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE) -> DataFrame:
     """(average rank - 1) / (rows - 1); rows with a missing value count in the divisor, a lone row gives 0."""
-    df, fits = _settle(df, by, one_task)
-    df = _with_stats(df, by, fits, _rows=F.count(F.lit(1)))
-    df = _average_rank(df, value, "_rank", by, fits, "_ties")
+    df = cut_lineage(df)
+    rows = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    placed = join_values(df, value, placed_values(df, value, by), by, _rank=average_place())
     r = F.when(F.col("_rows") == 1, 0.0).otherwise(F.try_divide(F.col("_rank") - 1, F.col("_rows") - 1))
-    return df.withColumn(out, r).drop("_rank", "_rows", "_ties")
+    return join_keys(placed, rows, by).withColumn(out, r).drop("_rank", "_rows")
 
 
-def scale(
-    df: DataFrame, value: str, out: str, k: float = 1.0, by: Sequence[str] = DATE, one_task: bool | None = None
-) -> DataFrame:
+def scale(df: DataFrame, value: str, out: str, k: float = 1.0, by: Sequence[str] = DATE) -> DataFrame:
     """Scaled so that the absolute values of the group add up to k."""
-    df, fits = _settle(df, by, one_task)
-    df = _with_stats(df, by, fits, _total=F.sum(F.abs(F.col(value))))
-    return df.withColumn(out, F.try_divide(F.col(value), F.col("_total")) * F.lit(float(k))).drop("_total")
+    df = cut_lineage(df)
+    total = df.groupBy(*by).agg(F.sum(F.abs(F.col(value))).alias("_total"))
+    scaled = F.try_divide(F.col(value), F.col("_total")) * F.lit(float(k))
+    return join_keys(df, total, by).withColumn(out, scaled).drop("_total")
 
 
 def with_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[Fraction | float],
-    out: str,
-    by: Sequence[str] = DATE,
-    one_task: bool | None = None,
+    df: DataFrame, value: str, probs: Sequence[Fraction | float], out: str, by: Sequence[str] = DATE
 ) -> DataFrame:
     """Add the exact linear quantiles of the row's group as an array (NULLs skipped)."""
-    df, fits = _settle(df, by, one_task)
-    return _with_quantiles(df, value, probs, out, by, fits)
+    df = cut_lineage(df)
+    return join_keys(df, group_quantiles(placed_values(df, value, by), probs, by, out), by, "left")
 
 
-def _with_quantiles(
-    df: DataFrame, value: str, probs: Sequence[Fraction | float], out: str, by: Sequence[str], fits: bool
-) -> DataFrame:
-    if not fits:
-        q = spread_quantiles(df, value, probs, by).withColumnRenamed("q", out)
-        return join_keys(df, q, by, "left")
-    x, group = F.col(value), Window.partitionBy(*by)
-    df = df.withColumns(
-        {"_pos": F.row_number().over(group.orderBy(x.asc_nulls_last())) - 1, "_n": F.count(x).over(group)}
-    )
-    parts = []
-    for p in probs:
-        lo, hi, fraction = interpolate(F.col("_n"), p)
-        at = [F.max(F.when(F.col("_pos") == pos, x)).over(group) for pos in (lo, hi)]
-        parts.append(between(*at, fraction))
-    return df.withColumn(out, F.array(*parts)).drop("_pos", "_n")
+def _clip(x: Column, q: Column) -> Column:
+    return F.when(x.isNotNull(), F.least(F.greatest(x, q[0]), q[1]))
 
 
 def winsorize(
-    df: DataFrame,
-    value: str,
-    out: str,
-    lower: float = 0.01,
-    upper: float = 0.99,
-    by: Sequence[str] = DATE,
-    one_task: bool | None = None,
+    df: DataFrame, value: str, out: str, lower: float = 0.01, upper: float = 0.99, by: Sequence[str] = DATE
 ) -> DataFrame:
     """Clip to the group's quantiles; missing values stay missing."""
-    df, fits = _settle(df, by, one_task)
-    return _winsorize(df, value, out, lower, upper, by, fits)
+    df = with_quantiles(df, value, (lower, upper), "_q", by)
+    return df.withColumn(out, _clip(F.col(value), F.col("_q"))).drop("_q")
 
 
-def _winsorize(df: DataFrame, value: str, out: str, lower, upper, by: Sequence[str], fits: bool) -> DataFrame:
-    df = _with_quantiles(df, value, (lower, upper), "_q", by, fits)
-    x, q = F.col(value), F.col("_q")
-    return df.withColumn(out, F.when(x.isNotNull(), F.least(F.greatest(x, q[0]), q[1]))).drop("_q")
+def _standard(x: Column, undefined: str) -> Column:
+    """The z-score of x by the columns _mean, _sd, _least and _most of its group."""
+    flat = F.col("_sd").isNull() | (F.col("_least") == F.col("_most"))
+    other = F.lit(0.0 if undefined == "zero" else None).cast("double")
+    return F.when(flat, other).otherwise((x - F.col("_mean")) / F.col("_sd"))
 
 
-def zscore(
-    df: DataFrame,
-    value: str,
-    out: str,
-    by: Sequence[str] = DATE,
-    one_task: bool | None = None,
-    undefined: str = "zero",
-) -> DataFrame:
+def zscore(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero") -> DataFrame:
     """(x - mean) / sample standard deviation of the group.
 
     Where all values are equal, or there are fewer than two, every row of the group becomes 0.0, missing ones
     too; pass ``undefined="null"`` to leave them NULL. The size of the values makes no difference.
     """
-    df, fits = _settle(df, by, one_task)
-    return _zscore(df, value, out, by, fits, undefined)
-
-
-def _zscore(df: DataFrame, value: str, out: str, by: Sequence[str], fits: bool, undefined: str) -> DataFrame:
-    x = F.col(value)
-    df = _with_stats(df, by, fits, _mean=F.avg(x), _sd=F.stddev_samp(x), _least=F.min(x), _most=F.max(x))
-    flat = F.col("_sd").isNull() | (F.col("_least") == F.col("_most"))
-    other = F.lit(0.0 if undefined == "zero" else None).cast("double")
-    z = F.when(flat, other).otherwise((x - F.col("_mean")) / F.col("_sd"))
-    return df.withColumn(out, z).drop("_mean", "_sd", "_least", "_most")
+    df, x = cut_lineage(df), F.col(value)
+    stats = df.groupBy(*by).agg(
+        F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_sd"), F.min(x).alias("_least"), F.max(x).alias("_most")
+    )
+    return join_keys(df, stats, by).withColumn(out, _standard(x, undefined)).drop("_mean", "_sd", "_least", "_most")
 
 
 def winsorize_and_standardize(
-    df: DataFrame,
-    value: str,
-    out: str,
-    by: Sequence[str] = DATE,
-    one_task: bool | None = None,
-    undefined: str = "zero",
+    df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero"
 ) -> DataFrame:
-    """The post-processing of a factor: clip to the 1 % and 99 % quantiles, then z-score the clipped values."""
-    df, fits = _settle(df, by, one_task)
-    df = _winsorize(df, value, "_clipped", 0.01, 0.99, by, fits)
-    return _zscore(df, "_clipped", out, by, fits, undefined).drop("_clipped")
+    """The post-processing of a factor: clip to the 1 % and 99 % quantiles, then z-score the clipped values.
 
-
-def quantile_bucket(
-    df: DataFrame, value: str, n: int, out: str, by: Sequence[str] = DATE, one_task: bool | None = None
-) -> DataFrame:
-    """Bucket 0..n-1 by the group's quantile edges; right-closed, lowest edge included, equal edges merged.
-
-    Edge k lies at position h = (rows - 1) * k / n of the sorted values, so it is below a value exactly when
-    h is below the number of smaller values. A run of equal values that m edges fall on holds m - 1 merged
-    ones. Where a group fits one task both follow from positions in a single sort; elsewhere the edges are
-    computed and counted.
+    Quantiles, mean and deviation all come from the counted values, so rows meet a table of groups once.
     """
-    x = F.col(value)
-    df, fits = _settle(df, by, one_task)
-    if not fits:
-        df = _with_quantiles(df, value, [Fraction(i, n) for i in range(n + 1)], "_edges", by, False)
-        below = F.size(F.filter(F.array_distinct("_edges"), lambda e: e < x))
-        return df.withColumn(out, F.when(x.isNotNull(), F.greatest(below - 1, F.lit(0)))).drop("_edges")
-    group = Window.partitionBy(*by)
-    order = group.orderBy(x.asc_nulls_last())
-    upto_run = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    run = order.rangeBetween(Window.currentRow, Window.currentRow)
-    df = df.withColumns(
-        {
-            "_less": F.rank().over(order).cast("long") - 1,
-            "_run": F.count(x).over(run),
-            "_first": F.row_number().over(order) == F.rank().over(order),
-            "_last": F.count(x).over(group) - 1,
-        }
-    )
-    less, run_end, last = F.col("_less"), F.col("_less") + F.col("_run") - 1, F.col("_last")
-    edges_below = F.when(less > 0, F.expr(f"(_less * {n} + _last - 1) div _last")).otherwise(0)
-    # edges on the run, from the first at or after its start to the last at or before its end
-    on_run = F.when(last > 0, F.floor(run_end * n / last) - edges_below + 1).otherwise(0)
-    df = df.withColumn("_merged", F.when(x.isNotNull(), F.greatest(on_run - 1, F.lit(0))))
-    merged = F.sum(F.when(F.col("_first"), F.col("_merged"))).over(upto_run) - F.col("_merged")
-    q = F.greatest(edges_below - merged - 1, F.lit(0)).cast("int")
-    return df.withColumn(out, F.when(x.isNotNull(), q)).drop("_less", "_run", "_first", "_last", "_merged")
-
-
-def extreme_buckets(
-    df: DataFrame, bucket: str, by: Sequence[str] = DATE, one_task: bool | None = None
-) -> DataFrame:
+    df = cut_lineage(df)
+    placed = placed_values(df, value, by)
+    clipped = join_keys(placed, group_quantiles(placed, (0.01, 0.99), by, "_q"), by)
+    clipped = clipped.withColumn("_c", _clip(F.col("x"), F.col("_q")))
+    off, n = F.col("_c") - F.col("_q")[0], F.sum("ties")  # sums of distances from the edge keep their digits
+    sums = clipped.groupBy(*by).agg(
+        F.any_value("_q").alias("_q"), n.alias("_n"), F.sum(off * F.col("ties")).alias("_s"), F.sum(off * off * F.col("ties")).alias("_s2"),
+        F.min("_c").alias("_least"), F.max("_c").alias("_most"),
+    )
+    spread = F.greatest(F.col("_s2") - F.col("_s") * F.col("_s") / F.col("_n"), F.lit(0.0))
+    stats = sums.select(
+        *by, "_q", "_least", "_most", (F.col("_q")[0] + F.col("_s") / F.col("_n")).alias("_mean"),
+        F.when(F.col("_n") > 1, F.sqrt(spread / (F.col("_n") - 1))).alias("_sd"),
+    )
+    z = _standard(_clip(F.col(value), F.col("_q")), undefined)
+    return join_keys(df, stats, by, "left").withColumn(out, z).drop("_q", "_mean", "_sd", "_least", "_most")
+
+
+def quantile_bucket(df: DataFrame, value: str, n: int, out: str, by: Sequence[str] = DATE) -> DataFrame:
+    """Bucket 0..n-1 by the group's quantile edges; right-closed, lowest edge included, equal edges merged."""
+    df = cut_lineage(df)
+    return join_values(df, value, value_buckets(placed_values(df, value, by), n, by), by, **{out: F.col("q")})
+
+
+def extreme_buckets(df: DataFrame, bucket: str, by: Sequence[str] = DATE) -> DataFrame:
     """Flag rows of the highest and lowest occupied bucket: ``in_top`` and ``in_bottom``."""
-    b = F.col(bucket)
-    df, fits = _settle(df, by, one_task)
-    df = _with_stats(df, by, fits, _top=F.max(b), _low=F.min(b))
-    return df.withColumns({"in_top": b == F.col("_top"), "in_bottom": b == F.col("_low")}).drop("_top", "_low")
+    df, b = cut_lineage(df), F.col(bucket)
+    ends = df.groupBy(*by).agg(F.max(b).alias("_top"), F.min(b).alias("_low"))
+    flags = {"in_top": b == F.col("_top"), "in_bottom": b == F.col("_low")}
+    return join_keys(df, ends, by).withColumns(flags).drop("_top", "_low")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import ts
 from ..functions.elem import significant
-from .cross_section import average_rank, extreme_buckets, quantile_bucket
-from .groups import groups_fit
+from .cross_section import average_place
+from .groups import join_values, placed_values, value_buckets
 from .lineage import cut_lineage
 
 GROUP = ("factor_id", "trade_date")
@@ -54,15 +54,20 @@ def pair_with_returns(values: DataFrame, bars: DataFrame, horizon: int = 5) -> D
     return paired.join(spans, "factor_id").where(F.col("ret_date") <= F.col("last_date")).drop("ret_date", "last_date")
 
 
-def ranked_pairs(paired: DataFrame, one_task: bool | None = None, digits: int = 12) -> DataFrame:
-    """Add average ranks (``factor_rank``, ``ret_rank``) and tie counts.
+def _keyed(paired: DataFrame, digits: int = 12) -> DataFrame:
+    """The pairs with what is ranked, ``factor_key`` and ``ret_key``: values that agree to ``digits`` digits tie. Written once."""
+    return cut_lineage(paired.withColumns({"factor_key": significant("factor_value", digits), "ret_key": significant("ret", digits)}))
+
+
+def _ranked(keyed: DataFrame, factor_places: DataFrame, **more: Column) -> DataFrame:
+    ranked = join_values(keyed, "factor_key", factor_places, GROUP, factor_rank=average_place(), factor_ties=F.col("ties"), **more)
+    return join_values(ranked, "ret_key", placed_values(keyed, "ret_key", GROUP), GROUP, ret_rank=average_place(), ret_ties=F.col("ties"))
 
-    Values that agree to ``digits`` significant digits tie: ``factor_key`` and ``ret_key`` are what is ranked.
-    """
-    fits = groups_fit(paired, *GROUP) if one_task is None else one_task
-    df = paired.withColumns({"factor_key": significant("factor_value", digits), "ret_key": significant("ret", digits)})
-    df = average_rank(df, "factor_key", "factor_rank", GROUP, fits, ties="factor_ties")
-    return average_rank(df, "ret_key", "ret_rank", GROUP, fits, ties="ret_ties")
+
+def ranked_pairs(paired: DataFrame, digits: int = 12) -> DataFrame:
+    """Add average ranks (``factor_rank``, ``ret_rank``) and tie counts, of values to ``digits`` significant digits."""
+    keyed = _keyed(paired, digits)
+    return _ranked(keyed, placed_values(keyed, "factor_key", GROUP))
 
 
 def _distinct(ties: str) -> Column:
@@ -79,9 +84,9 @@ def ic_aggregates() -> dict[str, Column]:
     }
 
 
-def ic_daily(paired: DataFrame, one_task: bool | None = None) -> DataFrame:
+def ic_daily(paired: DataFrame) -> DataFrame:
     """Spearman IC per factor and date; dates with fewer than 2 distinct values on either side are left out."""
-    daily = ranked_pairs(paired, one_task).groupBy(*GROUP).agg(*[c.alias(k) for k, c in ic_aggregates().items()])
+    daily = ranked_pairs(paired).groupBy(*GROUP).agg(*[c.alias(k) for k, c in ic_aggregates().items()])
     return daily.where("n_values >= 2 and n_rets >= 2 and ic is not null").select(*GROUP, "n", "ic")
 
 
@@ -90,18 +95,17 @@ def ic_metrics() -> dict[str, Column]:
     return {"ic_value": F.avg("ic"), "ic_ir": F.try_divide(F.avg("ic"), F.stddev_samp("ic"))}
 
 
-def bucketed(paired: DataFrame, n_quantiles: int = 10, one_task: bool | None = None) -> DataFrame:
+def bucketed(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
     """``ranked_pairs`` with bucket ``q`` and the flags of the extreme occupied buckets."""
-    fits = groups_fit(paired, *GROUP) if one_task is None else one_task
-    df = ranked_pairs(paired, fits)
-    df = quantile_bucket(df, "factor_key", n_quantiles, "q", GROUP, fits)
-    return extreme_buckets(df, "q", GROUP, fits)
+    keyed = _keyed(paired)
+    places = value_buckets(placed_values(keyed, "factor_key", GROUP), n_quantiles, GROUP)
+    return _ranked(keyed, places, q=F.col("q"), in_top=F.col("in_top"), in_bottom=F.col("in_bottom"))
 
 
-def quantile_returns(paired: DataFrame, n_quantiles: int = 10, one_task: bool | None = None) -> DataFrame:
+def quantile_returns(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
     """Mean return per factor, date and bucket, dates with fewer distinct values than buckets left out."""
     per_bucket = (
-        bucketed(paired, n_quantiles, one_task)
+        bucketed(paired, n_quantiles)
         .groupBy(*GROUP, "q")
         .agg(F.avg("ret").alias("mean_ret"), F.count(F.lit(1)).alias("n"), F.sum(1 / F.col("factor_ties")).alias("_d"))
     )
@@ -165,7 +169,6 @@ def evaluate(
     horizon: int = 5,
     n_quantiles: int = 10,
     test_universe: str = "ALL",
-    one_task: bool | None = None,
 ) -> DataFrame:
     """One row of metrics per factor: IC, IC_IR, Sharpe, maximum drawdown and turnover.
 
@@ -173,10 +176,7 @@ def evaluate(
     ``values`` is read several times: pass a stored table (or one with its lineage cut), not a long plan.
     The ranked and bucketed rows are written once, since both the daily metrics and the turnover need them.
     """
-    fits = groups_fit(values, *GROUP) if one_task is None else one_task
-    buckets = cut_lineage(
-        bucketed(pair_with_returns(values, bars, horizon), n_quantiles, fits).select(*BUCKET_COLUMNS)
-    )
+    buckets = cut_lineage(bucketed(pair_with_returns(values, bars, horizon), n_quantiles).select(*BUCKET_COLUMNS))
     daily = daily_metrics(buckets, n_quantiles)
     turnover = turnover_daily(buckets, daily).groupBy("factor_id").agg(F.avg("turnover").alias("turnover"))
     ic = daily.groupBy("factor_id").agg(*[c.alias(k) for k, c in ic_metrics().items()])

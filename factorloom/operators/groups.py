@@ -1,8 +1,10 @@
-"""How large the groups of a panel are, and exact order statistics for groups too large for one task.
+"""Exact order statistics of groups of any size.
 
-A date's cross-section has as many rows as there are instruments, so a window partitioned by date is
-only right while that number is known to be small. ``groups_fit`` measures it. Beyond the limit the
-``spread_*`` functions give the same results without ever bringing one group together in one task.
+A date's cross-section has as many rows as there are instruments, which nothing bounds, so no group is ever
+brought together. Equal values are counted first, before the shuffle. The distinct values are then placed by
+histograms over their leading bits, in a fixed number of passes: counts by value add up to counts by the value
+rounded to 32 bits, these to counts by 11 bits, these to the group. A running sum at each level stays within
+one cell of the level above, which the bits bound; the sums of the three levels make a value's place.
 """
 
 from __future__ import annotations
@@ -13,22 +15,10 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lineage import cut_lineage
-
-GROUP_ROWS = 5_000_000  # rows one task sorts for one group without strain
-BROADCAST_BYTES = 64 << 20  # largest per-group table sent to every executor
-ACCURACY = 10_000  # rank error of the first quantile pass is at most rows / ACCURACY
-
-
-def groups_fit(df: DataFrame, *by: str | Column, limit: int | None = None) -> bool:
-    """Whether no group of ``by`` has more rows than ``limit``; one narrow counting job.
-
-    Pass the raw table with its date expression where that is cheaper: more rows than the panel has only
-    make the answer more careful.
-    """
-    keys = [F.col(k) if isinstance(k, str) else k for k in by]
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows")).first()[0]
-    return (largest or 0) <= (GROUP_ROWS if limit is None else limit)
+#: Bits rounded away of the 53 of a double, at the coarse and the fine level: cells have 2^21 fine ones, and these values, at most.
+COARSE, FINE = 42, 21
+#: Values beyond have one cell of their sign, as rounding them would overflow.
+HUGE = 1e290
 
 
 def join_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -40,16 +30,6 @@ def join_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "
     return df.join(other, cond, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def per_group(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A table of one row per group, written once, and marked for broadcast if its counted rows are few enough.
-
-    Beyond ``BROADCAST_BYTES`` it stays unmarked and a join shuffles, with adaptive execution splitting the
-    partitions of large groups.
-    """
-    df = cut_lineage(df)
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
-
-
 def interpolate(n: Column, p: Fraction | float) -> tuple[Column, Column, Column]:
     """Lower and upper 0-based positions and the fraction between them, linear interpolation.
 
@@ -65,92 +45,79 @@ def between(lo: Column, hi: Column, fraction: Column) -> Column:
     return lo + (hi - lo) * fraction
 
 
-def spread_quantiles(
-    df: DataFrame, value: str, probs: Sequence[Fraction | float], by: Sequence[str], accuracy: int = ACCURACY
-) -> DataFrame:
-    """Exact linear quantiles per group as an array column ``q``; one row per group.
+def leading_bits(x: Column, dropped: int) -> Column:
+    """A double rounded to 53 - ``dropped`` significant bits, by adding and subtracting a multiple; never falls as x grows."""
+    multiple = x * F.lit(float(2**dropped + 1))
+    return F.when(F.abs(x) <= HUGE, multiple - (multiple - x)).otherwise(F.signum(x) * F.lit(1e300))
 
-    A first pass brackets every wanted position with an approximate quantile of bounded rank error. The
-    second counts the rows outside the brackets and keeps the distinct values inside with their counts, a
-    few ten-thousandths of the group. Only those few are sorted by group. ``df`` is read twice.
-    """
-    by, eps = list(by), 3.0 / accuracy  # sketch error, doubled, and one position of rounding
-    rows = df.select(*by, F.col(value).alias("x")).where(F.col("x").isNotNull())
-    low = [max(float(p) - eps, 0.0) for p in probs]
-    high = [min(float(p) + eps, 1.0) for p in probs]
-    wide = F.percentile_approx("x", [float(p) for p in low + high], accuracy)
-    k = len(probs)
-
-    def end(extreme: str, i: int, clamped: bool) -> Column:
-        # a group of at most ``accuracy`` rows is its own bracket
-        return F.col(extreme) if clamped else F.when(F.col("n") <= accuracy, F.col(extreme)).otherwise(F.col("b")[i])
-
-    brackets = per_group(
-        rows.groupBy(*by)
-        .agg(F.count("x").alias("n"), wide.alias("b"), F.min("x").alias("x0"), F.max("x").alias("x1"))
-        .select(
-            *by,
-            "n",
-            F.array(*[end("x0", i, p == 0.0) for i, p in enumerate(low)]).alias("lo"),
-            F.array(*[end("x1", k + i, p == 1.0) for i, p in enumerate(high)]).alias("hi"),
-        ),
-        row_bytes=100 + 32 * k,
-    )
-    # brackets already passed give the order of the rows outside; a NULL value stands for such rows
-    placed = join_keys(rows, brackets.drop("n"), by).select(
-        *by,
-        F.size(F.filter("hi", lambda v: v < F.col("x"))).alias("passed"),
-        F.when(
-            F.exists(F.arrays_zip("lo", "hi"), lambda b: (b["lo"] <= F.col("x")) & (F.col("x") <= b["hi"])),
-            F.col("x"),
-        ).alias("x"),
-    )
-    counted = placed.groupBy(*by, "passed", "x").agg(F.count(F.lit(1)).alias("rows"))
-    order = Window.partitionBy(*by).orderBy("passed", F.col("x").asc_nulls_first())
-    upto = counted.withColumn("upto", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    sized = join_keys(upto, brackets.select(*by, "n"), by)
 
-    def at(pos: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("rows") <= pos) & (pos < F.col("upto")), F.col("x")))
+def _running(df: DataFrame, within: Sequence[str], order: str, count: str, out: str) -> DataFrame:
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn(out, F.coalesce(F.sum(count).over(before), F.lit(0).cast("long")))
+
 
-    n = F.col("n")
-    picks = []
+def placed_values(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Columns by, x, ties, less: the distinct values of each group, how many rows hold each, and how many a smaller one.
+
+    NULLs are left out. Rows are counted map-side, so only a group's distinct values are shuffled.
+    """
+    by, x = list(by), F.col(value).cast("double")
+    values = df.where(x.isNotNull()).groupBy(*by, x.alias("x")).agg(F.count(F.lit(1)).alias("ties"))
+    values = values.withColumns({"_coarse": leading_bits(F.col("x"), COARSE), "_fine": leading_bits(F.col("x"), FINE)})
+    fine = values.groupBy(*by, "_coarse", "_fine").agg(F.sum("ties").alias("_n"))
+    coarse = fine.groupBy(*by, "_coarse").agg(F.sum("_n").alias("_n"))
+    coarse = _running(coarse, by, "_coarse", "_n", "_before").drop("_n")
+    fine = _running(fine, [*by, "_coarse"], "_fine", "_n", "_within").drop("_n")
+    fine = join_keys(fine, coarse, [*by, "_coarse"]).select(*by, "_fine", (F.col("_before") + F.col("_within")).alias("_before"))
+    values = _running(values, [*by, "_fine"], "x", "ties", "_within")
+    return join_keys(values, fine, [*by, "_fine"]).select(*by, "x", "ties", (F.col("_before") + F.col("_within")).alias("less"))
+
+
+def group_quantiles(values: DataFrame, probs: Sequence[Fraction | float], by: Sequence[str], out: str = "q") -> DataFrame:
+    """One row per group: its exact linear quantiles as an array, from :func:`placed_values`."""
+    by = list(by)
+    sized = join_keys(values, values.groupBy(*by).agg(F.sum("ties").alias("_n")), by)
+    picks, n = [], F.col("_n")
     for p in probs:
-        lo, hi, _ = interpolate(n, p)
-        picks += [at(lo), at(hi)]
-    found = sized.groupBy(*by).agg(F.max("n").alias("n"), F.array(*picks).alias("v"))
-    outside = F.raise_error(F.lit("a quantile fell outside its bracket; raise the accuracy"))
-    q = []
-    for i, p in enumerate(probs):
-        lo, hi = F.col("v")[2 * i], F.col("v")[2 * i + 1]
-        q.append(F.coalesce(between(lo, hi, interpolate(n, p)[2]), outside.cast("double")))
-    return per_group(found.select(*by, F.array(*q).alias("q")), row_bytes=100 + 16 * k)
-
-
-def spread_average_rank(df: DataFrame, value: str, out: str, by: Sequence[str], ties: str = "_ties") -> DataFrame:
-    """Average rank of ``value`` within its group (NULL unranked) and its tie count, for groups of any size.
-
-    Equal values are counted first, so a value held by many rows is one row from there on. The distinct
-    values are range-partitioned by (group, value); a row's rank is the rows in earlier partitions of its
-    group, plus those before it in its own partition, plus half of its ties. The join back meets a value held by very many rows as skew on the left side, which
-    adaptive execution splits. ``df`` is read twice.
+        for pos in interpolate(n, p)[:2]:
+            picks.append(F.max(F.when((F.col("less") <= pos) & (pos < F.col("less") + F.col("ties")), F.col("x"))))
+    found = sized.groupBy(*by).agg(F.max("_n").alias("_n"), F.array(*picks).alias("_v"))
+    q = [between(F.col("_v")[2 * i], F.col("_v")[2 * i + 1], interpolate(n, p)[2]) for i, p in enumerate(probs)]
+    return found.select(*by, F.array(*q).alias(out))
+
+
+def value_buckets(values: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
+    """:func:`placed_values` with ``q``, the bucket 0..n-1 by the group's quantile edges, and the flags of the outer buckets.
+
+    Edge k lies at position h = (rows - 1) k / n of the sorted rows, so it is below a value exactly when h is below
+    the number of smaller rows. A run of equal values that m edges fall on holds m - 1 merged ones; at most n / 2
+    runs of a group hold any.
     """
     by = list(by)
-    distinct = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias(ties))
-    placed = cut_lineage(
-        distinct.repartitionByRange(*by, value)
-        .sortWithinPartitions(*by, value)
-        .withColumn("slot", F.monotonically_increasing_id())
-    ).withColumn("block", F.shiftright("slot", 33))
-    blocks = placed.groupBy(*by, "block").agg(F.sum(ties).alias("block_rows"))
-    earlier = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("start", F.coalesce(F.sum("block_rows").over(earlier), F.lit(0)))
-    inside = Window.partitionBy(*by, "block").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.withColumn("upto", F.sum(ties).over(inside))
-    ranked = join_keys(local, blocks, [*by, "block"]).select(
-        *by,
-        value,
-        ties,
-        (F.col("start") + F.col("upto") - F.col(ties) + (F.col(ties) + 1) / 2).alias(out),
+    df = join_keys(values, values.groupBy(*by).agg((F.sum("ties") - 1).alias("_last")), by)
+    less, run_end, last = F.col("less"), F.col("less") + F.col("ties") - 1, F.col("_last")
+    edges_below = F.when(less > 0, F.expr(f"(less * {n} + _last - 1) div _last")).otherwise(0)
+    # edges on the run, from the first at or after its start to the last at or before its end
+    on_run = F.when(last > 0, F.expr(f"(less + ties - 1) * {n} div _last") - edges_below + 1).otherwise(0)
+    df = df.withColumns({"_below": edges_below, "_merged": F.greatest(on_run - 1, F.lit(0))})
+    runs = df.where("_merged > 0").groupBy(*by).agg(F.collect_list(F.struct("x", "_merged")).alias("_runs"))
+    df = join_keys(df, runs, by, "left")
+    merged = F.aggregate(
+        F.filter(F.coalesce("_runs", F.array()), lambda r: r["x"] < F.col("x")), F.lit(0).cast("long"), lambda a, r: a + r["_merged"]
     )
-    return join_keys(df, ranked, [*by, value], "left")
+    df = df.withColumn("q", F.greatest(F.col("_below") - merged - 1, F.lit(0)).cast("int"))
+    df = join_keys(df, df.groupBy(*by).agg(F.max("q").alias("_top"), F.min("q").alias("_low")), by)
+    return df.select(*by, "x", "ties", "less", "q", (F.col("q") == F.col("_top")).alias("in_top"), (F.col("q") == F.col("_low")).alias("in_bottom"))
+
+
+def join_values(df: DataFrame, value: str, placed: DataFrame, by: Sequence[str], **columns: Column) -> DataFrame:
+    """``df`` with ``columns`` computed from the place of its ``value``; NULL where that is NULL.
+
+    A value that very many rows hold is skew on the left side, which adaptive execution splits.
+    """
+    by = list(by)
+    right = placed.select(*[F.col(k).alias(f"_right_{k}") for k in by], F.col("x").alias("_right_x"), *[c.alias(k) for k, c in columns.items()])
+    cond = F.col(value).cast("double") == F.col("_right_x")
+    for k in by:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return df.drop(*columns).join(right, cond, "left").drop("_right_x", *[f"_right_{k}" for k in by])

@@ -15,11 +15,10 @@ from pyspark.sql.utils import AnalysisException
 from ..functions import elem, ts
 from ..functions.derived import with_derived
 from ..operators import cross_section as xs
-from ..operators.groups import groups_fit
 from ..operators.latest import latest_date_upto
 from ..sources.readers import lookback
 
-Factor = Column | Callable[[DataFrame, str, bool], DataFrame]
+Factor = Column | Callable[[DataFrame, str], DataFrame]
 GROUP = ("factor_id", "trade_date")
 
 
@@ -52,11 +51,11 @@ def signed_volume(n: int = 8) -> Column:
 def rank_correlation(n: int = 10) -> Factor:
     """Negative rank of the correlation between the ranks of close and volume."""
 
-    def build(panel: DataFrame, name: str, one_task: bool) -> DataFrame:
-        df = xs.rank01(panel, "close", "_rc", one_task=one_task)
-        df = xs.rank01(df, "volume", "_rv", one_task=one_task)
+    def build(panel: DataFrame, name: str) -> DataFrame:
+        df = xs.rank01(panel, "close", "_rc")
+        df = xs.rank01(df, "volume", "_rv")
         df = df.withColumn("_c", F.round(ts.corr("_rc", "_rv", n), 10))
-        df = xs.rank01(df, "_c", name, one_task=one_task)
+        df = xs.rank01(df, "_c", name)
         return df.withColumn(name, -F.col(name)).drop("_rc", "_rv", "_c")
 
     return build
@@ -77,11 +76,11 @@ def library(*names: str) -> dict[str, Factor]:
     return {n: LIBRARY[n]() for n in names or LIBRARY}
 
 
-def add_factor(panel: DataFrame, name: str, factor: Factor, one_task: bool) -> DataFrame:
+def add_factor(panel: DataFrame, name: str, factor: Factor) -> DataFrame:
     """``panel`` with one factor column."""
     if isinstance(factor, Column):
         return panel.withColumn(name, factor)
-    return factor(panel, name, one_task)
+    return factor(panel, name)
 
 
 def usable_factors(panel: DataFrame, factors: Mapping[str, Factor]) -> tuple[dict[str, Factor], dict[str, str]]:
@@ -92,7 +91,7 @@ def usable_factors(panel: DataFrame, factors: Mapping[str, Factor]) -> tuple[dic
     good, bad = {}, {}
     for name, factor in factors.items():
         try:
-            add_factor(panel, name, factor, True)
+            add_factor(panel, name, factor)
             good[name] = factor
         except (AnalysisException, ValueError, TypeError) as e:
             bad[name] = str(e)
@@ -100,18 +99,17 @@ def usable_factors(panel: DataFrame, factors: Mapping[str, Factor]) -> tuple[dic
 
 
 def wide_factors(
-    panel: DataFrame, factors: Mapping[str, Factor], one_task: bool | None = None, keep: tuple[str, ...] = ()
+    panel: DataFrame, factors: Mapping[str, Factor], keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """The panel's keys, the ``keep`` columns, and one column per factor.
 
     Factors that are plain Columns are added together and share one exchange by instrument.
     """
-    fits = groups_fit(panel, "trade_date") if one_task is None else one_task
     df = with_derived(panel)
     df = df.withColumns({n: f for n, f in factors.items() if isinstance(f, Column)})
     for name, f in factors.items():
         if not isinstance(f, Column):
-            df = add_factor(df, name, f, fits)
+            df = add_factor(df, name, f)
     values = [elem.significant(F.col(n).cast("double")).alias(n) for n in factors]  # rounding noise ties
     return df.select("trade_date", "stock_code", *keep, *values)
 
@@ -123,12 +121,11 @@ def long_values(wide: DataFrame, names, keep: tuple[str, ...] = ()) -> DataFrame
 
 
 def compute_factors(
-    panel: DataFrame, factors: Mapping[str, Factor], one_task: bool | None = None, keep: tuple[str, ...] = ()
+    panel: DataFrame, factors: Mapping[str, Factor], keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Long values of many factors, winsorized and standardised per factor and date."""
-    fits = groups_fit(panel, "trade_date") if one_task is None else one_task
-    raw = long_values(wide_factors(panel, factors, fits, keep), factors, keep)
-    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, fits)
+    raw = long_values(wide_factors(panel, factors, keep), factors, keep)
+    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP)
     return done.select("factor_id", "trade_date", "stock_code", *keep, F.col("_z").alias("factor_value"))
 
 
@@ -139,7 +136,7 @@ def effective_date(bars: DataFrame, requested, days: int):
 
 
 def compute_day(
-    bars: DataFrame, factors: Mapping[str, Factor], requested, days: int = 380, one_task: bool | None = None
+    bars: DataFrame, factors: Mapping[str, Factor], requested, days: int = 380
 ) -> DataFrame:
     """Values of one day's cross-section, from the bars of the ``days`` calendar days before it.
 
@@ -149,7 +146,6 @@ def compute_day(
     day = effective_date(bars, requested, days)
     target = F.lit(day).cast("date")
     panel = lookback(bars, target, days)
-    fits = groups_fit(panel, "trade_date") if one_task is None else one_task
-    raw = long_values(wide_factors(panel, factors, fits).where(F.col("trade_date") == target), factors)
-    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, fits)
+    raw = long_values(wide_factors(panel, factors).where(F.col("trade_date") == target), factors)
+    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP)
     return done.select("factor_id", "trade_date", "stock_code", F.col("_z").alias("factor_value"))

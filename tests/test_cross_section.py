@@ -1,7 +1,8 @@
-"""Cross-sectional operators: one task per group and spread over tasks give the same exact results."""
+"""Cross-sectional operators against pandas, and the exact placing of values in groups of any size."""
 
 from __future__ import annotations
 
+import re
 from fractions import Fraction
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factorloom.operators import cross_section as xs
-from factorloom.operators.groups import groups_fit, spread_average_rank, spread_quantiles
+from factorloom.operators.groups import group_quantiles, leading_bits, placed_values, value_buckets
 
 
 @pytest.fixture(scope="module")
@@ -37,32 +38,32 @@ def table(df):
     return df.toPandas().sort_values(["trade_date", "stock_code"]).reset_index(drop=True)
 
 
-OPS = {
-    "rank01": lambda df, one: xs.rank01(df, "x", "y", one_task=one),
-    "scale": lambda df, one: xs.scale(df, "x", "y", 2, one_task=one),
-    "winsorize": lambda df, one: xs.winsorize(df, "x", "y", 0.1, 0.9, one_task=one),
-    "zscore": lambda df, one: xs.zscore(df, "x", "y", one_task=one),
-    "standardize": lambda df, one: xs.winsorize_and_standardize(df, "x", "y", one_task=one),
-    "bucket": lambda df, one: xs.quantile_bucket(df, "x", 10, "y", one_task=one),
-}
+def test_scale_and_winsorize_against_pandas(df):
+    scaled, clipped = table(xs.scale(df, "x", "y", 2)), table(xs.winsorize(df, "x", "y", 0.1, 0.9))
+    assert len(scaled) == len(clipped) == df.count()
+    for _, g in scaled.groupby("trade_date"):
+        total = g.x.abs().sum()
+        np.testing.assert_allclose(g.y.astype(float), g.x.astype(float) / total * 2 if total else np.nan, atol=1e-12)
+    for _, g in clipped.groupby("trade_date"):
+        x = g.x.astype(float)
+        np.testing.assert_allclose(g.y.astype(float), x.clip(x.quantile(0.1), x.quantile(0.9)), atol=1e-12)
 
 
-@pytest.mark.parametrize("op", OPS)
-def test_both_ways_agree(df, op):
-    a, b = table(OPS[op](df, True)), table(OPS[op](df, False))
-    assert len(a) == len(b) == df.count()
-    np.testing.assert_allclose(a.y.astype(float), b.y.astype(float), rtol=1e-12, atol=1e-12)
+def test_standardizing_is_clipping_then_zscore(df):
+    once = table(xs.winsorize_and_standardize(df, "x", "y"))
+    twice = table(xs.zscore(xs.winsorize(df, "x", "c"), "c", "y"))
+    np.testing.assert_allclose(once.y.astype(float), twice.y.astype(float), rtol=1e-9, atol=1e-12)
 
 
 def test_rank_against_pandas(df):
-    out = table(xs.rank01(df, "x", "y", one_task=True))
+    out = table(xs.rank01(df, "x", "y"))
     for _, g in out.groupby("trade_date"):
         want = (g.x.rank() - 1) / (len(g) - 1) if len(g) > 1 else pd.Series(0.0, index=g.index)
         np.testing.assert_allclose(g.y, want, atol=1e-12)
 
 
 def test_standardize_against_pandas(df):
-    out = table(xs.winsorize_and_standardize(df, "x", "y", one_task=True))
+    out = table(xs.winsorize_and_standardize(df, "x", "y"))
     for _, g in out.groupby("trade_date"):
         x = g.x.clip(g.x.quantile(0.01), g.x.quantile(0.99)) if g.x.notna().any() else g.x
         sd = x.std()
@@ -71,17 +72,16 @@ def test_standardize_against_pandas(df):
 
 
 def test_undefined_deviation_can_stay_null(df):
-    out = table(xs.zscore(df, "x", "y", one_task=True, undefined="null"))
+    out = table(xs.zscore(df, "x", "y", undefined="null"))
     assert out[out.trade_date == 5].y.isna().all()
 
 
-@pytest.mark.parametrize("one_task", [True, False])
-def test_buckets_against_pandas(spark, one_task):
+def test_buckets_against_pandas(spark):
     """Distinct values on dates whose edges fall between rows, where floating point leaves no doubt."""
     rng = np.random.default_rng(9)
     data = [(d, f"s{c}", float(v)) for d, n in enumerate([12, 23, 54, 77, 98]) for c, v in enumerate(rng.normal(size=n))]
     df = spark.createDataFrame(data, "trade_date int, stock_code string, x double")
-    out = table(xs.quantile_bucket(df, "x", 10, "q", one_task=one_task))
+    out = table(xs.quantile_bucket(df, "x", 10, "q"))
     for _, g in out.groupby("trade_date"):
         assert (pd.qcut(g.x, 10, labels=False, duplicates="drop") == g.q).all()
 
@@ -90,13 +90,12 @@ def test_equal_edges_are_merged(spark):
     data = [(1, f"s{i}", v) for i, v in enumerate([0.0] * 6 + [1.0, 2.0, 3.0, 4.0])]
     df = spark.createDataFrame(data, "trade_date int, stock_code string, x double")
     want = pd.qcut(pd.Series([r[2] for r in data]), 5, labels=False, duplicates="drop").tolist()
-    for one in (True, False):
-        assert table(xs.quantile_bucket(df, "x", 5, "q", one_task=one)).q.tolist() == want
+    assert table(xs.quantile_bucket(df, "x", 5, "q")).q.tolist() == want
 
 
-def test_spread_quantiles_are_exact_at_low_accuracy(df):
+def test_quantiles_are_exact(df):
     probs = [0.0, Fraction(1, 100), 0.37, 0.5, 0.99, 1.0]
-    out = spread_quantiles(df, "x", probs, ["trade_date"], accuracy=25).toPandas()
+    out = group_quantiles(placed_values(df, "x", ["trade_date"]), probs, ["trade_date"]).toPandas()
     frame = table(df)
     assert len(out) == frame.dropna().trade_date.nunique()
     for _, r in out.iterrows():
@@ -104,30 +103,49 @@ def test_spread_quantiles_are_exact_at_low_accuracy(df):
         np.testing.assert_allclose(list(r.q), want, atol=1e-12)
 
 
+NEAR_ONE = [1 + k * 2**-52 for k in range(300)]
+SPREAD = [s * m * 10.0**e for s in (-1, 1) for m in (1, 1.5, 9.999) for e in (-320, -300, -9, 0, 9, 291, 300, 307)]
+
+
+def test_leading_bits_never_fall(spark):
+    rng = np.random.default_rng(2)
+    x = sorted([*NEAR_ONE, *SPREAD, 0.0, *rng.normal(size=2000), *(rng.normal(size=2000) * 10.0 ** rng.integers(-30, 30, 2000))])
+    cells = [leading_bits(F.col("x"), bits) for bits in (42, 21)]
+    got = np.array(spark.createDataFrame([(float(v),) for v in x], "x double").coalesce(1).select(*cells).collect())
+    assert (np.diff(got, axis=0) >= 0).all() and np.isfinite(got).all()
+    assert len(set(got[:, 0])) < len(set(got[:, 1])) < len(set(x))
+
+
+def test_values_that_share_leading_bits_are_placed(spark):
+    """Values next to one another, huge, tiny, of both signs, and one that a third of the rows hold."""
+    x = [*NEAR_ONE, *SPREAD, 0.0, -0.0, *[7.0] * 400]
+    df = spark.createDataFrame([(g, float(v)) for g in (None, 1) for v in x], "g int, x double").repartition(7)
+    got = placed_values(df, "x", ["g"]).toPandas()
+    values, counts = np.unique(np.array(x) + 0.0, return_counts=True)
+    for _, g in got.groupby("g", dropna=False):
+        g = g.sort_values("x")
+        np.testing.assert_array_equal(g.x, values)
+        np.testing.assert_array_equal(g.ties, counts)
+        np.testing.assert_array_equal(g.less, np.cumsum(counts) - counts)
+    assert len(got) == 2 * len(values)
+
+
 def test_one_huge_group_of_ties(spark):
-    """A value held by most rows, spread over many range partitions of distinct values."""
     df = spark.range(6000).select(
         F.lit(1).alias("trade_date"),
         F.col("id").cast("string").alias("stock_code"),
         F.when(F.col("id") % 3 > 0, 7.0).otherwise((F.col("id") % 500).cast("double")).alias("x"),
     )
-    got = table(spread_average_rank(df, "x", "r", ["trade_date"]))
+    got = table(xs.average_rank(df, "x", "r"))
     np.testing.assert_allclose(got.r, got.x.rank())
     np.testing.assert_array_equal(got._ties, got.groupby("x").x.transform("count"))
 
 
-def test_group_limit_is_measured(df):
-    assert groups_fit(df, "trade_date")
-    assert groups_fit(df, "trade_date", limit=300)
-    assert not groups_fit(df, "trade_date", limit=299)
-    assert groups_fit(df.limit(0), "trade_date")
-
-
-def test_measured_choice(df, monkeypatch):
-    from factorloom.operators import groups
-
-    monkeypatch.setattr(groups, "GROUP_ROWS", 10)
-    a = table(xs.rank01(df, "x", "y"))
-    monkeypatch.undo()
-    b = table(xs.rank01(df, "x", "y"))
-    np.testing.assert_allclose(a.y, b.y, atol=1e-12)
+def test_one_plan_at_every_size(spark):
+    """No exchange gathers a group's rows: what is dealt by the group alone has been counted by cell before."""
+    df = spark.range(100).select((F.col("id") % 3).alias("trade_date"), F.col("id").cast("double").alias("x"))
+    values = value_buckets(placed_values(df, "x", ["trade_date"]), 10, ["trade_date"])
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "CartesianProduct" not in plan
+    within = {re.sub(r"#\d+L?", "", w) for w in re.findall(r"windowspecdefinition\(([^ ]+, )?(\w+#\d+L?), \w+#\d+L? ASC", plan) for w in [w[1]]}
+    assert within == {"trade_date", "_coarse", "_fine"}

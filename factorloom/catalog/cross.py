@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ts
 from ..operators import cross_section as xs
+from ..operators.lineage import stored
 from .base import WEEK, lag, rank01, rounded, select, week_panel
 
 KEYS = ["trade_date", "stock_code"]
@@ -18,46 +19,45 @@ _X = "x AS (SELECT trade_date, stock_code, volume, close / nullif({lag}, 0) - 1
 
 def _input(spark: SparkSession, sf_dir: str) -> DataFrame:
     mom = F.try_divide(F.col("close"), ts.ref("close", 4)) - 1
-    return week_panel(spark, sf_dir).select(*KEYS, "volume", mom.alias("mom"))
+    return stored(week_panel(spark, sf_dir).select(*KEYS, "volume", mom.alias("mom")))
 
 
 def xs_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _input(spark, sf_dir)
-    df = xs.rank01(df, "mom", "rank_mom")
-    df = xs.rank01(df, "volume", "rank_volume")
+    base = _input(spark, sf_dir)
+    df = xs.rank01(base, "mom", "rank_mom", base=base)
+    df = xs.rank01(df, "volume", "rank_volume", base=base)
     return rounded(df.select(*KEYS, "rank_mom", "rank_volume"), KEYS)
 
 
 def xs_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _input(spark, sf_dir)
-    df = xs.scale(df, "mom", "scaled")
-    df = xs.scale(df, "volume", "scaled_100", k=100)
+    base = _input(spark, sf_dir)
+    df = xs.scale(base, "mom", "scaled", base=base)
+    df = xs.scale(df, "volume", "scaled_100", k=100, base=base)
     return rounded(df.select(*KEYS, "scaled", "scaled_100"), KEYS)
 
 
 def xs_winsor_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _input(spark, sf_dir)
-    df = xs.winsorize(df, "mom", "clipped")
-    df = xs.zscore(df, "volume", "z_volume")
-    df = xs.winsorize_and_standardize(df, "mom", "z")
+    base = _input(spark, sf_dir)
+    df = xs.winsorize(base, "mom", "clipped", base=base)
+    df = xs.zscore(df, "volume", "z_volume", base=base)
+    df = xs.winsorize_and_standardize(df, "mom", "z", base=base)
     return rounded(df.select(*KEYS, "clipped", "z_volume", "z"), KEYS)
 
 
 def xs_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _input(spark, sf_dir)
-    df = xs.quantile_bucket(df, "volume", 10, "q")
+    base = _input(spark, sf_dir)
+    df = xs.quantile_bucket(base, "volume", 10, "q", base=base)
     df = xs.extreme_buckets(df, "q")
     return df.select(*KEYS, "q", "in_top", "in_bottom")
 
 
 def scale_invariance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column and the same column times 1e-9 through every cross-sectional operator."""
-    df = _input(spark, sf_dir)
-    df = df.withColumn("tiny", F.col("volume") * F.lit(1e-9))
+    df = base = stored(_input(spark, sf_dir).withColumn("tiny", F.col("volume") * F.lit(1e-9)))
     for c in ("volume", "tiny"):
-        df = xs.rank01(df, c, f"rank_{c}")
-        df = xs.winsorize_and_standardize(df, c, f"z_{c}")
-        df = xs.quantile_bucket(df, c, 10, f"q_{c}")
+        df = xs.rank01(df, c, f"rank_{c}", base=base)
+        df = xs.winsorize_and_standardize(df, c, f"z_{c}", base=base)
+        df = xs.quantile_bucket(df, c, 10, f"q_{c}", base=base)
     return rounded(df.select(*KEYS, *[f"{k}_{c}" for c in ("volume", "tiny") for k in ("rank", "z", "q")]), KEYS)
 
 

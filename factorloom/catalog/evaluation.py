@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import correlation as co
 from ..operators import evaluate as ev
-from ..operators.lineage import cut_lineage
+from ..operators.lineage import stored
 from ..plans import factors as plan
 from ..sources import writers
 from .base import WEEK, avg_rank, lag, pearson, r, rounded, select, significant, sr, week_panel
@@ -22,8 +22,8 @@ QUERIES, SQL = {}, {}
 
 def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Factor values and bars as stored tables."""
-    bars = cut_lineage(week_panel(spark, sf_dir))
-    return cut_lineage(plan.compute_factors(bars, plan.library(*MANY))), bars
+    bars = stored(week_panel(spark, sf_dir))
+    return stored(plan.compute_factors(bars, plan.library(*MANY))), bars
 
 
 def _paired(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def long_short(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buckets = cut_lineage(_buckets(spark, sf_dir))
+    buckets = stored(_buckets(spark, sf_dir))
     return rounded(ev.turnover_daily(buckets, ev.daily_metrics(buckets, BUCKETS)), GROUP)
 
 
@@ -74,7 +74,7 @@ def evaluate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = plan.compute_factors(week_panel(spark, sf_dir), plan.library(*MANY))
     end = F.lit(WINDOW_END).cast("date")
-    return cut_lineage(values.where(F.col("trade_date").between(F.date_sub(end, WINDOW_DAYS), end)))
+    return stored(values.where(F.col("trade_date").between(F.date_sub(end, WINDOW_DAYS), end)))
 
 
 def corr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

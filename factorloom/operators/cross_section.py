@@ -1,8 +1,9 @@
 """Cross-sectional operators: each row against the other rows of its date (or of its factor and date).
 
-Every function takes and returns a DataFrame, and has one plan whatever the size of a group: values are counted
-and placed, or aggregated, map-side, and what a row needs is joined back (see ``groups``). The input is read
-more than once, so it is written once first.
+Every function takes and returns a DataFrame, and goes one way whatever the size of a group: values are counted
+by cell, or aggregated, map-side, and what a row needs is joined back (see ``groups``). The values are read more
+than once, so ``df`` is written once first; or pass as ``base`` a stored table of the same rows that holds them, from
+which ``df`` only adds columns. Several functions called in a row then share one table.
 """
 
 from __future__ import annotations
@@ -13,49 +14,51 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .groups import group_quantiles, join_keys, join_values, placed_values, value_buckets
-from .lineage import cut_lineage
+from .groups import bucket_edges, bucket_of, cells_of, group_quantiles, join_keys, with_average_rank
+from .lineage import stored
 
 DATE = ("trade_date",)
 
 
-def average_place() -> Column:
-    """Average rank from 1 of a placed value: ties share their mean."""
-    return F.col("less") + (F.col("ties") + 1) / 2
+def _both(df: DataFrame, base: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The rows to add columns to and the stored table to count from."""
+    base_ = stored(df) if base is None else base
+    return (base_ if base is None else df), base_
 
 
-def average_rank(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, ties: str = "_ties") -> DataFrame:
+
+def average_rank(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, ties: str = "_ties", base: DataFrame | None = None) -> DataFrame:
     """Rank from 1, ties share their mean rank, missing values are unranked.
 
     Also adds ``ties``, the rows sharing the value; ``sum(1 / ties)`` of a group is its distinct count.
     """
-    df = cut_lineage(df)
-    return join_values(df, value, placed_values(df, value, by), by, **{out: average_place(), ties: F.col("ties")})
+    df, base = _both(df, base)
+    return with_average_rank(df, cells_of(base, value, by), out, ties)
 
 
-def rank01(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE) -> DataFrame:
+def rank01(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, base: DataFrame | None = None) -> DataFrame:
     """(average rank - 1) / (rows - 1); rows with a missing value count in the divisor, a lone row gives 0."""
-    df = cut_lineage(df)
-    rows = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    placed = join_values(df, value, placed_values(df, value, by), by, _rank=average_place())
+    df, base = _both(df, base)
+    rows = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = with_average_rank(df, cells_of(base, value, by), "_rank", "_ties")
     r = F.when(F.col("_rows") == 1, 0.0).otherwise(F.try_divide(F.col("_rank") - 1, F.col("_rows") - 1))
-    return join_keys(placed, rows, by).withColumn(out, r).drop("_rank", "_rows")
+    return join_keys(ranked, rows, by).withColumn(out, r).drop("_rank", "_ties", "_rows")
 
 
-def scale(df: DataFrame, value: str, out: str, k: float = 1.0, by: Sequence[str] = DATE) -> DataFrame:
+def scale(df: DataFrame, value: str, out: str, k: float = 1.0, by: Sequence[str] = DATE, base: DataFrame | None = None) -> DataFrame:
     """Scaled so that the absolute values of the group add up to k."""
-    df = cut_lineage(df)
-    total = df.groupBy(*by).agg(F.sum(F.abs(F.col(value))).alias("_total"))
+    df, base = _both(df, base)
+    total = base.groupBy(*by).agg(F.sum(F.abs(F.col(value))).alias("_total"))
     scaled = F.try_divide(F.col(value), F.col("_total")) * F.lit(float(k))
     return join_keys(df, total, by).withColumn(out, scaled).drop("_total")
 
 
 def with_quantiles(
-    df: DataFrame, value: str, probs: Sequence[Fraction | float], out: str, by: Sequence[str] = DATE
+    df: DataFrame, value: str, probs: Sequence[Fraction | float], out: str, by: Sequence[str] = DATE, base: DataFrame | None = None
 ) -> DataFrame:
     """Add the exact linear quantiles of the row's group as an array (NULLs skipped)."""
-    df = cut_lineage(df)
-    return join_keys(df, group_quantiles(placed_values(df, value, by), probs, by, out), by, "left")
+    df, base = _both(df, base)
+    return join_keys(df, group_quantiles(base, cells_of(base, value, by), probs, out), by, "left")
 
 
 def _clip(x: Column, q: Column) -> Column:
@@ -63,10 +66,10 @@ def _clip(x: Column, q: Column) -> Column:
 
 
 def winsorize(
-    df: DataFrame, value: str, out: str, lower: float = 0.01, upper: float = 0.99, by: Sequence[str] = DATE
+    df: DataFrame, value: str, out: str, lower: float = 0.01, upper: float = 0.99, by: Sequence[str] = DATE, base: DataFrame | None = None
 ) -> DataFrame:
     """Clip to the group's quantiles; missing values stay missing."""
-    df = with_quantiles(df, value, (lower, upper), "_q", by)
+    df = with_quantiles(df, value, (lower, upper), "_q", by, base)
     return df.withColumn(out, _clip(F.col(value), F.col("_q"))).drop("_q")
 
 
@@ -77,53 +80,48 @@ def _standard(x: Column, undefined: str) -> Column:
     return F.when(flat, other).otherwise((x - F.col("_mean")) / F.col("_sd"))
 
 
-def zscore(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero") -> DataFrame:
+def zscore(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero", base: DataFrame | None = None) -> DataFrame:
     """(x - mean) / sample standard deviation of the group.
 
     Where all values are equal, or there are fewer than two, every row of the group becomes 0.0, missing ones
     too; pass ``undefined="null"`` to leave them NULL. The size of the values makes no difference.
     """
-    df, x = cut_lineage(df), F.col(value)
-    stats = df.groupBy(*by).agg(
+    (df, base), x = _both(df, base), F.col(value)
+    stats = base.groupBy(*by).agg(
         F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_sd"), F.min(x).alias("_least"), F.max(x).alias("_most")
     )
     return join_keys(df, stats, by).withColumn(out, _standard(x, undefined)).drop("_mean", "_sd", "_least", "_most")
 
 
 def winsorize_and_standardize(
-    df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero"
+    df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero", base: DataFrame | None = None
 ) -> DataFrame:
     """The post-processing of a factor: clip to the 1 % and 99 % quantiles, then z-score the clipped values.
 
-    Quantiles, mean and deviation all come from the counted values, so rows meet a table of groups once.
+    Mean and deviation are of distances from the lower quantile, which keep their digits.
     """
-    df = cut_lineage(df)
-    placed = placed_values(df, value, by)
-    clipped = join_keys(placed, group_quantiles(placed, (0.01, 0.99), by, "_q"), by)
-    clipped = clipped.withColumn("_c", _clip(F.col("x"), F.col("_q")))
-    off, n = F.col("_c") - F.col("_q")[0], F.sum("ties")  # sums of distances from the edge keep their digits
+    df, base = _both(df, base)
+    q = group_quantiles(base, cells_of(base, value, by), (0.01, 0.99), "_q")
+    clipped = join_keys(base.select(*by, value), q, by).withColumn("_c", _clip(F.col(value), F.col("_q")))
+    off = F.col("_c") - F.col("_q")[0]
     sums = clipped.groupBy(*by).agg(
-        F.any_value("_q").alias("_q"), n.alias("_n"), F.sum(off * F.col("ties")).alias("_s"), F.sum(off * off * F.col("ties")).alias("_s2"),
-        F.min("_c").alias("_least"), F.max("_c").alias("_most"),
-    )
-    spread = F.greatest(F.col("_s2") - F.col("_s") * F.col("_s") / F.col("_n"), F.lit(0.0))
-    stats = sums.select(
-        *by, "_q", "_least", "_most", (F.col("_q")[0] + F.col("_s") / F.col("_n")).alias("_mean"),
-        F.when(F.col("_n") > 1, F.sqrt(spread / (F.col("_n") - 1))).alias("_sd"),
+        F.any_value("_q").alias("_q"), F.avg(off).alias("_off"), F.stddev_samp(off).alias("_sd"), F.min("_c").alias("_least"), F.max("_c").alias("_most")
     )
+    stats = sums.withColumn("_mean", F.col("_q")[0] + F.col("_off")).drop("_off")
     z = _standard(_clip(F.col(value), F.col("_q")), undefined)
     return join_keys(df, stats, by, "left").withColumn(out, z).drop("_q", "_mean", "_sd", "_least", "_most")
 
 
-def quantile_bucket(df: DataFrame, value: str, n: int, out: str, by: Sequence[str] = DATE) -> DataFrame:
+def quantile_bucket(df: DataFrame, value: str, n: int, out: str, by: Sequence[str] = DATE, base: DataFrame | None = None) -> DataFrame:
     """Bucket 0..n-1 by the group's quantile edges; right-closed, lowest edge included, equal edges merged."""
-    df = cut_lineage(df)
-    return join_values(df, value, value_buckets(placed_values(df, value, by), n, by), by, **{out: F.col("q")})
+    df, base = _both(df, base)
+    edges = bucket_edges(base, cells_of(base, value, by), n)
+    return join_keys(df, edges, by, "left").withColumn(out, bucket_of(F.col(value))).drop("_gaps", "_values", "_top", "_low")
 
 
-def extreme_buckets(df: DataFrame, bucket: str, by: Sequence[str] = DATE) -> DataFrame:
+def extreme_buckets(df: DataFrame, bucket: str, by: Sequence[str] = DATE, base: DataFrame | None = None) -> DataFrame:
     """Flag rows of the highest and lowest occupied bucket: ``in_top`` and ``in_bottom``."""
-    df, b = cut_lineage(df), F.col(bucket)
-    ends = df.groupBy(*by).agg(F.max(b).alias("_top"), F.min(b).alias("_low"))
+    (df, base), b = _both(df, base), F.col(bucket)
+    ends = base.groupBy(*by).agg(F.max(b).alias("_top"), F.min(b).alias("_low"))
     flags = {"in_top": b == F.col("_top"), "in_bottom": b == F.col("_low")}
     return join_keys(df, ends, by).withColumns(flags).drop("_top", "_low")

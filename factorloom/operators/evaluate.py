@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import ts
 from ..functions.elem import significant
-from .cross_section import average_place
-from .groups import join_values, placed_values, value_buckets
-from .lineage import cut_lineage
+from .groups import Cells, bucket_edges, bucket_of, cells_of, join_keys, with_average_rank
+from .lineage import stored
 
 GROUP = ("factor_id", "trade_date")
 BUCKET_COLUMNS = (
@@ -54,20 +53,23 @@ def pair_with_returns(values: DataFrame, bars: DataFrame, horizon: int = 5) -> D
     return paired.join(spans, "factor_id").where(F.col("ret_date") <= F.col("last_date")).drop("ret_date", "last_date")
 
 
-def _keyed(paired: DataFrame, digits: int = 12) -> DataFrame:
-    """The pairs with what is ranked, ``factor_key`` and ``ret_key``: values that agree to ``digits`` digits tie. Written once."""
-    return cut_lineage(paired.withColumns({"factor_key": significant("factor_value", digits), "ret_key": significant("ret", digits)}))
+def ranked_pairs(paired: DataFrame, digits: int = 12) -> DataFrame:
+    """Add average ranks (``factor_rank``, ``ret_rank``) and tie counts.
+
+    Values that agree to ``digits`` significant digits tie: ``factor_key`` and ``ret_key`` are what is ranked.
+    """
+    return _ranked(_keyed(paired, digits))[0]
 
 
-def _ranked(keyed: DataFrame, factor_places: DataFrame, **more: Column) -> DataFrame:
-    ranked = join_values(keyed, "factor_key", factor_places, GROUP, factor_rank=average_place(), factor_ties=F.col("ties"), **more)
-    return join_values(ranked, "ret_key", placed_values(keyed, "ret_key", GROUP), GROUP, ret_rank=average_place(), ret_ties=F.col("ties"))
+def _keyed(paired: DataFrame, digits: int = 12) -> DataFrame:
+    return stored(paired.withColumns({"factor_key": significant("factor_value", digits), "ret_key": significant("ret", digits)}))
 
 
-def ranked_pairs(paired: DataFrame, digits: int = 12) -> DataFrame:
-    """Add average ranks (``factor_rank``, ``ret_rank``) and tie counts, of values to ``digits`` significant digits."""
-    keyed = _keyed(paired, digits)
-    return _ranked(keyed, placed_values(keyed, "factor_key", GROUP))
+def _ranked(keyed: DataFrame) -> tuple[DataFrame, Cells]:
+    """The stored pairs with their ranks, and the cells of the factor's values."""
+    by_factor, by_ret = (cells_of(keyed, c, GROUP) for c in ("factor_key", "ret_key"))
+    ranked = with_average_rank(keyed, by_factor, "factor_rank", "factor_ties")
+    return with_average_rank(ranked, by_ret, "ret_rank", "ret_ties"), by_factor
 
 
 def _distinct(ties: str) -> Column:
@@ -98,8 +100,10 @@ def ic_metrics() -> dict[str, Column]:
 def bucketed(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
     """``ranked_pairs`` with bucket ``q`` and the flags of the extreme occupied buckets."""
     keyed = _keyed(paired)
-    places = value_buckets(placed_values(keyed, "factor_key", GROUP), n_quantiles, GROUP)
-    return _ranked(keyed, places, q=F.col("q"), in_top=F.col("in_top"), in_bottom=F.col("in_bottom"))
+    ranked, by_factor = _ranked(keyed)
+    placed = join_keys(ranked, bucket_edges(keyed, by_factor, n_quantiles), GROUP).withColumn("q", bucket_of(F.col("factor_key")))
+    flags = {"in_top": F.col("q") == F.col("_top"), "in_bottom": F.col("q") == F.col("_low")}
+    return placed.withColumns(flags).drop("_gaps", "_values", "_top", "_low")
 
 
 def quantile_returns(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
@@ -176,7 +180,7 @@ def evaluate(
     ``values`` is read several times: pass a stored table (or one with its lineage cut), not a long plan.
     The ranked and bucketed rows are written once, since both the daily metrics and the turnover need them.
     """
-    buckets = cut_lineage(bucketed(pair_with_returns(values, bars, horizon), n_quantiles).select(*BUCKET_COLUMNS))
+    buckets = stored(bucketed(pair_with_returns(values, bars, horizon), n_quantiles).select(*BUCKET_COLUMNS))
     daily = daily_metrics(buckets, n_quantiles)
     turnover = turnover_daily(buckets, daily).groupBy("factor_id").agg(F.avg("turnover").alias("turnover"))
     ic = daily.groupBy("factor_id").agg(*[c.alias(k) for k, c in ic_metrics().items()])

@@ -1,24 +1,31 @@
 """Exact order statistics of groups of any size.
 
 A date's cross-section has as many rows as there are instruments, which nothing bounds, so no group is ever
-brought together. Equal values are counted first, before the shuffle. The distinct values are then placed by
-histograms over their leading bits, in a fixed number of passes: counts by value add up to counts by the value
-rounded to 32 bits, these to counts by 11 bits, these to the group. A running sum at each level stays within
-one cell of the level above, which the bits bound; the sums of the three levels make a value's place.
+brought together. Rows are counted map-side by cell: a group's values that agree in their leading bits. A cell
+of more than ``CELL`` rows and more than one value is cut again by further bits, until none is left; the bits end
+at single values. Running sums over the cells give where each begins. What remains is to order the rows inside
+a cell, and only of cells with more than one value: a cell of one value has its place already, however
+many rows hold it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bits rounded away of the 53 of a double, at the coarse and the fine level: cells have 2^21 fine ones, and these values, at most.
-COARSE, FINE = 42, 21
-#: Values beyond have one cell of their sign, as rounding them would overflow.
+from .lineage import stored
+
+#: Rows of a cell, beyond which it is cut.
+CELL = 500_000
+#: Of the 53 significant bits of a double, how many are rounded away at each level of cells.
+LEVELS = (50, 36, 18, 0)
+#: Values beyond have one cell of their sign at the first levels, as rounding them would overflow.
 HUGE = 1e290
+KEYS = tuple(f"_cell{i}" for i in range(len(LEVELS)))
 
 
 def join_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -51,73 +58,124 @@ def leading_bits(x: Column, dropped: int) -> Column:
     return F.when(F.abs(x) <= HUGE, multiple - (multiple - x)).otherwise(F.signum(x) * F.lit(1e300))
 
 
-def _running(df: DataFrame, within: Sequence[str], order: str, count: str, out: str) -> DataFrame:
-    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, F.coalesce(F.sum(count).over(before), F.lit(0).cast("long")))
+@dataclass(frozen=True)
+class Cells:
+    """Where a group's values lie. ``table``: by, keys (NULL below the level a cell was cut to), _n rows, _first and _last
+    value, _start (rows of the group in lower cells), _rows of the group. ``cut``: the cells of each level that were cut."""
+
+    value: str
+    by: tuple[str, ...]
+    table: DataFrame
+    cut: tuple[DataFrame, ...]
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return KEYS[: len(self.cut) + 1]
+
+    def met(self, df: DataFrame, cells: DataFrame, how: str = "inner") -> DataFrame:
+        """``df`` with the columns of its rows' cells."""
+        return join_keys(_keyed(df, self.value, self.by, self.cut), cells, [*self.by, *self.keys], how)
+
+
+def _keyed(df: DataFrame, value: str, by: Sequence[str], cut: Sequence[DataFrame]) -> DataFrame:
+    """``df`` with the keys of its rows' cells; all NULL where the value is."""
+    x = F.col(value).cast("double")
+    df = df.withColumn(KEYS[0], leading_bits(x, LEVELS[0]))
+    for level, cells in enumerate(cut, 1):
+        df = join_keys(df, cells.withColumn("_cut", F.lit(True)), [*by, *KEYS[:level]], "left")
+        df = df.withColumn(KEYS[level], F.when(F.col("_cut"), leading_bits(x, LEVELS[level]))).drop("_cut")
+    return df
+
+
+def cells_of(df: DataFrame, value: str, by: Sequence[str], limit: int | None = None) -> Cells:
+    """The cells of a stored table's values; read once, and once more for each level that cells are cut to."""
+    by, limit, x = tuple(by), CELL if limit is None else limit, F.col(value).cast("double")
+
+    def counted(keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+        aggs = [F.count(F.lit(1)).alias("_n"), F.min(x).alias("_first"), F.max(x).alias("_last")]
+        return stored(keyed.where(x.isNotNull()).groupBy(*by, *keys).agg(*aggs))
+
+    large = (F.col("_n") > limit) & (F.col("_first") < F.col("_last"))
+    cells, cut = counted(_keyed(df, value, by, ()), KEYS[:1]), []
+    for level in range(1, len(LEVELS)):
+        heavy = cells.where(large).select(*by, *KEYS[:level])
+        if heavy.isEmpty():
+            break
+        cut.append(heavy)
+        finer = counted(_keyed(df, value, by, cut).where(F.col(KEYS[level]).isNotNull()), KEYS[: level + 1])
+        cells = stored(cells.where(~large).withColumn(KEYS[level], F.lit(None).cast("double")).unionByName(finer))
+    # first over the leading key, then inside it, so that no task takes all cells of a group
+    keys, start = KEYS[: len(cut) + 1], F.lit(0).cast("long")
+    before = lambda w, n: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), start)
+    group = Window.partitionBy(*by)
+    leading = (cells.groupBy(*by, KEYS[0]).agg(F.sum("_n").alias("_all")) if cut else cells.withColumn("_all", F.col("_n")))
+    leading = leading.withColumns({"_start": before(group.orderBy(KEYS[0]), "_all"), "_rows": F.sum("_all").over(group)}).drop("_all")
+    if cut:
+        inside = Window.partitionBy(*by, KEYS[0]).orderBy(*[F.col(k).asc_nulls_first() for k in keys[1:]])
+        leading = join_keys(cells.withColumn("_within", before(inside, "_n")), leading, [*by, KEYS[0]])
+        leading = leading.withColumn("_start", F.col("_start") + F.col("_within")).drop("_within")
+    return Cells(value, by, stored(leading), tuple(cut))
+
+
+def with_average_rank(df: DataFrame, cells: Cells, out: str, ties: str) -> DataFrame:
+    """``df`` with the average rank from 1 and the number of rows that share the value, both NULL where it is NULL.
+
+    Only rows of cells with more than one value are ordered; all others stay spread as they came.
+    """
+    x, single = F.col(cells.value).cast("double"), F.col("_first") == F.col("_last")
+    spread = F.when(single | x.isNull(), F.spark_partition_id())
+    placed = cells.met(df, cells.table, "left").withColumn("_spread", spread)
+    order = Window.partitionBy(*cells.by, *cells.keys, "_spread").orderBy(x)
+    peers = F.count(x).over(order.rangeBetween(Window.currentRow, Window.currentRow))
+    rank = F.when(single, (F.col("_n") + 1) / 2).otherwise(F.rank().over(order) + (peers - 1) / 2)
+    columns = {out: F.when(x.isNotNull(), F.col("_start") + rank), ties: F.when(x.isNotNull(), F.when(single, F.col("_n")).otherwise(peers))}
+    return placed.withColumns(columns).drop("_spread", "_n", "_first", "_last", "_start", "_rows", *cells.keys)
 
 
-def placed_values(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Columns by, x, ties, less: the distinct values of each group, how many rows hold each, and how many a smaller one.
+def order_statistics(df: DataFrame, cells: Cells, positions: Callable[[Column], Sequence[Column]], out: str) -> DataFrame:
+    """One row per group: by, _rows and an array of the values at 0-based ``positions(_rows)``.
 
-    NULLs are left out. Rows are counted map-side, so only a group's distinct values are shuffled.
+    Only rows of the cells that hold such a position are read again, and ordered where they hold several values.
     """
-    by, x = list(by), F.col(value).cast("double")
-    values = df.where(x.isNotNull()).groupBy(*by, x.alias("x")).agg(F.count(F.lit(1)).alias("ties"))
-    values = values.withColumns({"_coarse": leading_bits(F.col("x"), COARSE), "_fine": leading_bits(F.col("x"), FINE)})
-    fine = values.groupBy(*by, "_coarse", "_fine").agg(F.sum("ties").alias("_n"))
-    coarse = fine.groupBy(*by, "_coarse").agg(F.sum("_n").alias("_n"))
-    coarse = _running(coarse, by, "_coarse", "_n", "_before").drop("_n")
-    fine = _running(fine, [*by, "_coarse"], "_fine", "_n", "_within").drop("_n")
-    fine = join_keys(fine, coarse, [*by, "_coarse"]).select(*by, "_fine", (F.col("_before") + F.col("_within")).alias("_before"))
-    values = _running(values, [*by, "_fine"], "x", "ties", "_within")
-    return join_keys(values, fine, [*by, "_fine"]).select(*by, "x", "ties", (F.col("_before") + F.col("_within")).alias("less"))
-
-
-def group_quantiles(values: DataFrame, probs: Sequence[Fraction | float], by: Sequence[str], out: str = "q") -> DataFrame:
-    """One row per group: its exact linear quantiles as an array, from :func:`placed_values`."""
-    by = list(by)
-    sized = join_keys(values, values.groupBy(*by).agg(F.sum("ties").alias("_n")), by)
-    picks, n = [], F.col("_n")
-    for p in probs:
-        for pos in interpolate(n, p)[:2]:
-            picks.append(F.max(F.when((F.col("less") <= pos) & (pos < F.col("less") + F.col("ties")), F.col("x"))))
-    found = sized.groupBy(*by).agg(F.max("_n").alias("_n"), F.array(*picks).alias("_v"))
-    q = [between(F.col("_v")[2 * i], F.col("_v")[2 * i + 1], interpolate(n, p)[2]) for i, p in enumerate(probs)]
-    return found.select(*by, F.array(*q).alias(out))
-
-
-def value_buckets(values: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
-    """:func:`placed_values` with ``q``, the bucket 0..n-1 by the group's quantile edges, and the flags of the outer buckets.
-
-    Edge k lies at position h = (rows - 1) k / n of the sorted rows, so it is below a value exactly when h is below
-    the number of smaller rows. A run of equal values that m edges fall on holds m - 1 merged ones; at most n / 2
-    runs of a group hold any.
+    n = F.col("_rows")
+    wanted = F.filter(F.array_distinct(F.array(*positions(n))), lambda p: (p >= F.col("_start")) & (p < F.col("_start") + F.col("_n")))
+    held = cells.table.withColumn("_wanted", wanted).where(F.size("_wanted") > 0)
+    single = F.col("_first") == F.col("_last")
+    columns = [*cells.by, "_rows"]
+    known = held.where(single).select(*columns, F.explode("_wanted").alias("_at"), F.col("_first").alias("_x"))
+    x = F.col(cells.value).cast("double")
+    rows = cells.met(df.where(x.isNotNull()).select(*cells.by, cells.value), held.where(~single))
+    place = F.col("_start") + F.row_number().over(Window.partitionBy(*cells.by, *cells.keys).orderBy(x)) - 1
+    ordered = rows.withColumn("_at", place).where(F.array_contains("_wanted", F.col("_at"))).select(*columns, "_at", x.alias("_x"))
+    picks = [F.max(F.when(F.col("_at") == p, F.col("_x"))) for p in positions(n)]
+    return known.unionByName(ordered).groupBy(*columns).agg(F.array(*picks).alias(out))
+
+
+def group_quantiles(df: DataFrame, cells: Cells, probs: Sequence[Fraction | float], out: str = "q") -> DataFrame:
+    """One row per group: its exact linear quantiles as an array."""
+    ends = lambda n: [pos for p in probs for pos in interpolate(n, p)[:2]]
+    found = order_statistics(df, cells, ends, "_v")
+    v, n = F.col("_v"), F.col("_rows")
+    q = [between(v[2 * i], v[2 * i + 1], interpolate(n, p)[2]) for i, p in enumerate(probs)]
+    return found.select(*cells.by, F.array(*q).alias(out))
+
+
+def bucket_edges(df: DataFrame, cells: Cells, n: int) -> DataFrame:
+    """One row per group: the quantile edges of ``n`` buckets as ``_gaps`` and ``_values``, and the outer buckets ``_top``, ``_low``.
+
+    An edge that falls between two unlike rows is below a value exactly when the upper of the two is not above
+    it: ``_gaps`` holds these. An edge on a value is below larger ones only, and equal ones are one: ``_values``.
     """
-    by = list(by)
-    df = join_keys(values, values.groupBy(*by).agg((F.sum("ties") - 1).alias("_last")), by)
-    less, run_end, last = F.col("less"), F.col("less") + F.col("ties") - 1, F.col("_last")
-    edges_below = F.when(less > 0, F.expr(f"(less * {n} + _last - 1) div _last")).otherwise(0)
-    # edges on the run, from the first at or after its start to the last at or before its end
-    on_run = F.when(last > 0, F.expr(f"(less + ties - 1) * {n} div _last") - edges_below + 1).otherwise(0)
-    df = df.withColumns({"_below": edges_below, "_merged": F.greatest(on_run - 1, F.lit(0))})
-    runs = df.where("_merged > 0").groupBy(*by).agg(F.collect_list(F.struct("x", "_merged")).alias("_runs"))
-    df = join_keys(df, runs, by, "left")
-    merged = F.aggregate(
-        F.filter(F.coalesce("_runs", F.array()), lambda r: r["x"] < F.col("x")), F.lit(0).cast("long"), lambda a, r: a + r["_merged"]
-    )
-    df = df.withColumn("q", F.greatest(F.col("_below") - merged - 1, F.lit(0)).cast("int"))
-    df = join_keys(df, df.groupBy(*by).agg(F.max("q").alias("_top"), F.min("q").alias("_low")), by)
-    return df.select(*by, "x", "ties", "less", "q", (F.col("q") == F.col("_top")).alias("in_top"), (F.col("q") == F.col("_low")).alias("in_bottom"))
-
-
-def join_values(df: DataFrame, value: str, placed: DataFrame, by: Sequence[str], **columns: Column) -> DataFrame:
-    """``df`` with ``columns`` computed from the place of its ``value``; NULL where that is NULL.
-
-    A value that very many rows hold is skew on the left side, which adaptive execution splits.
-    """
-    by = list(by)
-    right = placed.select(*[F.col(k).alias(f"_right_{k}") for k in by], F.col("x").alias("_right_x"), *[c.alias(k) for k, c in columns.items()])
-    cond = F.col(value).cast("double") == F.col("_right_x")
-    for k in by:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
-    return df.drop(*columns).join(right, cond, "left").drop("_right_x", *[f"_right_{k}" for k in by])
+    found = order_statistics(df, cells, lambda rows: [pos for k in range(n + 1) for pos in interpolate(rows, Fraction(k, n))[:2]], "_v")
+    v = F.col("_v")
+    edges = F.array(*[F.struct(v[2 * k].alias("lo"), v[2 * k + 1].alias("hi")) for k in range(n + 1)])
+    gaps = F.transform(F.filter(edges, lambda e: e["lo"] < e["hi"]), lambda e: e["hi"])
+    values = F.array_distinct(F.transform(F.filter(edges, lambda e: e["lo"] == e["hi"]), lambda e: e["lo"]))
+    found = found.select(*cells.by, gaps.alias("_gaps"), values.alias("_values"), v[0].alias("_least"), v[2 * n].alias("_most"))
+    return found.select(*cells.by, "_gaps", "_values", bucket_of(F.col("_most")).alias("_top"), bucket_of(F.col("_least")).alias("_low"))
+
+
+def bucket_of(x: Column) -> Column:
+    """Bucket of a value by the columns ``_gaps`` and ``_values`` of its group."""
+    below = F.size(F.filter("_gaps", lambda e: e <= x)) + F.size(F.filter("_values", lambda e: e < x))
+    return F.when(x.isNotNull(), F.greatest(below - 1, F.lit(0)))

@@ -18,6 +18,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table of this run and read from there.
+
+    As with :func:`cut_lineage` all users see the same rows; besides, later steps read only the columns they
+    need, and the planner knows the table's size.
+    """
+    path = run_folder(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new path in the checkpoint folder, for tables of one run."""
     _ensure_folder(spark)

@@ -16,6 +16,7 @@ from ..functions import elem, ts
 from ..functions.derived import with_derived
 from ..operators import cross_section as xs
 from ..operators.latest import latest_date_upto
+from ..operators.lineage import stored
 from ..sources.readers import lookback
 
 Factor = Column | Callable[[DataFrame, str], DataFrame]
@@ -52,8 +53,9 @@ def rank_correlation(n: int = 10) -> Factor:
     """Negative rank of the correlation between the ranks of close and volume."""
 
     def build(panel: DataFrame, name: str) -> DataFrame:
-        df = xs.rank01(panel, "close", "_rc")
-        df = xs.rank01(df, "volume", "_rv")
+        base = stored(panel)
+        df = xs.rank01(base, "close", "_rc", base=base)
+        df = xs.rank01(df, "volume", "_rv", base=base)
         df = df.withColumn("_c", F.round(ts.corr("_rc", "_rv", n), 10))
         df = xs.rank01(df, "_c", name)
         return df.withColumn(name, -F.col(name)).drop("_rc", "_rv", "_c")

@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from factorloom.operators import cross_section as xs
-from factorloom.operators.groups import group_quantiles, leading_bits, placed_values, value_buckets
+from factorloom.operators import groups
+from factorloom.operators.groups import cells_of, group_quantiles, leading_bits, with_average_rank
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,12 @@ def rows():
     return out + [(7, f"s{c}", None) for c in range(3)]
 
 
+@pytest.fixture(params=[groups.CELL, 9, 1])
+def cell(request, monkeypatch):
+    """Rows beyond which a cell is cut: none is, some are, all of several values are."""
+    monkeypatch.setattr(groups, "CELL", request.param)
+
+
 @pytest.fixture(scope="module")
 def df(spark, rows):
     return spark.createDataFrame(rows, "trade_date int, stock_code string, x double").cache()
@@ -38,7 +45,7 @@ def table(df):
     return df.toPandas().sort_values(["trade_date", "stock_code"]).reset_index(drop=True)
 
 
-def test_scale_and_winsorize_against_pandas(df):
+def test_scale_and_winsorize_against_pandas(df, cell):
     scaled, clipped = table(xs.scale(df, "x", "y", 2)), table(xs.winsorize(df, "x", "y", 0.1, 0.9))
     assert len(scaled) == len(clipped) == df.count()
     for _, g in scaled.groupby("trade_date"):
@@ -55,14 +62,14 @@ def test_standardizing_is_clipping_then_zscore(df):
     np.testing.assert_allclose(once.y.astype(float), twice.y.astype(float), rtol=1e-9, atol=1e-12)
 
 
-def test_rank_against_pandas(df):
+def test_rank_against_pandas(df, cell):
     out = table(xs.rank01(df, "x", "y"))
     for _, g in out.groupby("trade_date"):
         want = (g.x.rank() - 1) / (len(g) - 1) if len(g) > 1 else pd.Series(0.0, index=g.index)
         np.testing.assert_allclose(g.y, want, atol=1e-12)
 
 
-def test_standardize_against_pandas(df):
+def test_standardize_against_pandas(df, cell):
     out = table(xs.winsorize_and_standardize(df, "x", "y"))
     for _, g in out.groupby("trade_date"):
         x = g.x.clip(g.x.quantile(0.01), g.x.quantile(0.99)) if g.x.notna().any() else g.x
@@ -76,7 +83,7 @@ def test_undefined_deviation_can_stay_null(df):
     assert out[out.trade_date == 5].y.isna().all()
 
 
-def test_buckets_against_pandas(spark):
+def test_buckets_against_pandas(spark, cell):
     """Distinct values on dates whose edges fall between rows, where floating point leaves no doubt."""
     rng = np.random.default_rng(9)
     data = [(d, f"s{c}", float(v)) for d, n in enumerate([12, 23, 54, 77, 98]) for c, v in enumerate(rng.normal(size=n))]
@@ -86,16 +93,16 @@ def test_buckets_against_pandas(spark):
         assert (pd.qcut(g.x, 10, labels=False, duplicates="drop") == g.q).all()
 
 
-def test_equal_edges_are_merged(spark):
+def test_equal_edges_are_merged(spark, cell):
     data = [(1, f"s{i}", v) for i, v in enumerate([0.0] * 6 + [1.0, 2.0, 3.0, 4.0])]
     df = spark.createDataFrame(data, "trade_date int, stock_code string, x double")
     want = pd.qcut(pd.Series([r[2] for r in data]), 5, labels=False, duplicates="drop").tolist()
     assert table(xs.quantile_bucket(df, "x", 5, "q")).q.tolist() == want
 
 
-def test_quantiles_are_exact(df):
+def test_quantiles_are_exact(df, cell):
     probs = [0.0, Fraction(1, 100), 0.37, 0.5, 0.99, 1.0]
-    out = group_quantiles(placed_values(df, "x", ["trade_date"]), probs, ["trade_date"]).toPandas()
+    out = group_quantiles(df, cells_of(df, "x", ["trade_date"]), probs).toPandas()
     frame = table(df)
     assert len(out) == frame.dropna().trade_date.nunique()
     for _, r in out.iterrows():
@@ -116,21 +123,18 @@ def test_leading_bits_never_fall(spark):
     assert len(set(got[:, 0])) < len(set(got[:, 1])) < len(set(x))
 
 
-def test_values_that_share_leading_bits_are_placed(spark):
+def test_values_that_share_leading_bits_are_ranked(spark, cell):
     """Values next to one another, huge, tiny, of both signs, and one that a third of the rows hold."""
     x = [*NEAR_ONE, *SPREAD, 0.0, -0.0, *[7.0] * 400]
-    df = spark.createDataFrame([(g, float(v)) for g in (None, 1) for v in x], "g int, x double").repartition(7)
-    got = placed_values(df, "x", ["g"]).toPandas()
-    values, counts = np.unique(np.array(x) + 0.0, return_counts=True)
-    for _, g in got.groupby("g", dropna=False):
-        g = g.sort_values("x")
-        np.testing.assert_array_equal(g.x, values)
-        np.testing.assert_array_equal(g.ties, counts)
-        np.testing.assert_array_equal(g.less, np.cumsum(counts) - counts)
-    assert len(got) == 2 * len(values)
-
-
-def test_one_huge_group_of_ties(spark):
+    df = spark.createDataFrame([(g, float(v)) for g in (None, 1) for v in x] + [(1, None)], "g int, x double").repartition(7)
+    out = with_average_rank(df, cells_of(df, "x", ["g"]), "r", "n").toPandas()
+    assert len(out) == 2 * len(x) + 1
+    for _, g in out.groupby("g", dropna=False):
+        np.testing.assert_array_equal(g.r, (g.x + 0.0).rank())
+        np.testing.assert_array_equal(g.n[g.x.notna()], g.groupby(g.x + 0.0).x.transform("count")[g.x.notna()])
+
+
+def test_one_huge_group_of_ties(spark, cell):
     df = spark.range(6000).select(
         F.lit(1).alias("trade_date"),
         F.col("id").cast("string").alias("stock_code"),
@@ -141,11 +145,12 @@ def test_one_huge_group_of_ties(spark):
     np.testing.assert_array_equal(got._ties, got.groupby("x").x.transform("count"))
 
 
-def test_one_plan_at_every_size(spark):
-    """No exchange gathers a group's rows: what is dealt by the group alone has been counted by cell before."""
-    df = spark.range(100).select((F.col("id") % 3).alias("trade_date"), F.col("id").cast("double").alias("x"))
-    values = value_buckets(placed_values(df, "x", ["trade_date"]), 10, ["trade_date"])
-    plan = values._jdf.queryExecution().executedPlan().toString()
+def test_no_task_gets_a_group(spark):
+    """All windows are inside a cell, or over counts of cells."""
+    df = spark.range(1000).select((F.col("id") % 3).alias("trade_date"), (1 + F.col("id") * 1e-13).alias("x"))
+    cells = cells_of(df, "x", ["trade_date"], limit=3)
+    assert len(cells.cut) == 3 and cells.table.agg(F.max("_n")).first()[0] == 1 and cells.table.count() == 1000
+    plan = with_average_rank(df, cells_of(df, "x", ["trade_date"]), "r", "n")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan
-    within = {re.sub(r"#\d+L?", "", w) for w in re.findall(r"windowspecdefinition\(([^ ]+, )?(\w+#\d+L?), \w+#\d+L? ASC", plan) for w in [w[1]]}
-    assert within == {"trade_date", "_coarse", "_fine"}
+    ordered = re.findall(r"Window \[rank.*", plan)
+    assert ordered and all("_cell0" in w and "_spread" in w for w in ordered)

@@ -1,8 +1,8 @@
 """Registered queries and the SQL each must agree with."""
 
-from . import conform, cross, docs, evaluation, factors, keyed, rolling, storage
+from . import conform, cross, docs, evaluation, factors, jobs, keyed, rolling, storage
 
-_MODULES = (rolling, cross, factors, evaluation, keyed, conform, docs, storage)
+_MODULES = (rolling, cross, factors, evaluation, keyed, conform, docs, storage, jobs)
 
 
 def queries() -> dict:

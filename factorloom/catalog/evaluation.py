@@ -82,7 +82,7 @@ def corr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corr_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return co.overlap_days(_window_values(spark, sf_dir), MANY)
+    return co.overlap_days(_window_values(spark, sf_dir))
 
 
 def corr_passing(spark: SparkSession, sf_dir: str) -> DataFrame:

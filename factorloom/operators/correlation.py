@@ -1,90 +1,136 @@
 """Pairwise correlation of factors, pooled over all (date, instrument) rows.
 
-Each map task reduces its rows to one Gram matrix over all factors, and only those matrices are shuffled.
-No pair of factors is ever emitted per row.
+Factors are dealt to blocks and rows to chunks. A pair of blocks is a tile; a task reduces one chunk of a tile to
+a Gram matrix of its factors, and a tile's matrices are summed. So nothing is as wide as all factors, a
+task's matrices are of fixed size, and what is shuffled is the values, once for each block, and matrices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Factors of a block on average; rows of a chunk; rows of a matrix product.
+BLOCK, CHUNK_ROWS, SLICE = 128, 1_000_000, 4096
 SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
-_SCHEMA = "a int, b int, " + ", ".join(f"{s} double" for s in SUMS)
+_PAIRS = "factor_a string, factor_b string, x0 double, y0 double, " + ", ".join(f"{s} double" for s in SUMS)
 
 
-def gram(wide: DataFrame, columns: Sequence[str], shift: Sequence[float] | None = None) -> DataFrame:
-    """Sums over the rows on which both columns of a pair are present, for every pair a < b.
+def _gram(factors: np.ndarray, cells: np.ndarray, x: np.ndarray, k: int, center: np.ndarray) -> np.ndarray:
+    """SUMS, each k x k, of values x of factors (0..k-1) in cells, after ``center`` is subtracted."""
+    _, cell = np.unique(cells, return_inverse=True)
+    order = np.argsort(cell, kind="stable")
+    factors, cell, x = factors[order], cell[order], x[order] - center[factors[order]]
+    out, last = np.zeros((len(SUMS), k, k)), int(cell[-1]) + 1
+    cuts = np.searchsorted(cell, np.arange(0, last + SLICE, SLICE))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        rows = cell[a:b] - cell[a] if b > a else cell[a:b]
+        wide, seen = np.zeros((SLICE + 1, k)), np.zeros((SLICE + 1, k))
+        wide[rows, factors[a:b]], seen[rows, factors[a:b]] = x[a:b], 1.0
+        sx, sxx = wide.T @ seen, (wide * wide).T @ seen
+        out += np.stack([seen.T @ seen, sx, sx.T, sxx, sxx.T, wide.T @ wide])
+    return out
 
-    ``shift`` is subtracted from each column first, to keep the sums of squares well conditioned.
-    """
-    k = len(columns)
-    base = np.zeros(k) if shift is None else np.asarray(shift, dtype=float)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(SUMS), k, k))
-        for batch in batches:
-            # NULL arrives as NaN
-            raw = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
-            seen = ~np.isnan(raw)
-            x, m = np.where(seen, raw - base, 0.0), seen.astype(float)
-            sx, sxx = x.T @ m, (x * x).T @ m
-            total += np.stack([m.T @ m, sx, sx.T, sxx, sxx.T, x.T @ x])
-        a, b = np.triu_indices(k, 1)
-        data = [pa.array(a, pa.int32()), pa.array(b, pa.int32())] + [pa.array(t[a, b]) for t in total]
-        yield pa.RecordBatch.from_arrays(data, names=["a", "b", *SUMS])
-
-    parts = wide.select(*[F.col(f"`{c}`").cast("double") for c in columns]).mapInArrow(partial, _SCHEMA)
-    sums = parts.groupBy("a", "b").agg(*[F.sum(s).alias(s) for s in SUMS])
-    names = F.array(*[F.lit(c) for c in columns])
-    return sums.select(names[F.col("a")].alias("factor_a"), names[F.col("b")].alias("factor_b"), *SUMS)
 
+def _moved(sums: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """The sums of values that are larger by ``by``, a shift for each factor."""
+    n, sx, sy, sxx, syy, sxy = sums
+    dx, dy = by[:, None], by[None, :]
+    return np.stack([n, sx + dx * n, sy + dy * n, sxx + 2 * dx * sx + dx**2 * n, syy + 2 * dy * sy + dy**2 * n, sxy + dx * sy + dy * sx + dx * dy * n])
 
-def widen(values: DataFrame, factor_ids: Sequence[str]) -> DataFrame:
-    """One column per factor; rows keyed by (trade_date, stock_code)."""
-    return values.groupBy("trade_date", "stock_code").pivot("factor_id", list(factor_ids)).agg(F.first("factor_value"))
 
+def gram(values: DataFrame, blocks: int, chunks: int) -> DataFrame:
+    """SUMS of each pair factor_a < factor_b over the cells that hold both, of rows (factor_id, cell, x).
 
-def overlap_days(values: DataFrame, factor_ids: Sequence[str]) -> DataFrame:
+    They are of distances from x0 and y0, values near each factor's mean. A cell holds a factor once.
+    """
+    own = F.pmod(F.xxhash64("factor_id"), F.lit(blocks)).cast("int").alias("own")
+    chunk = F.pmod(F.xxhash64(F.lit(1), "cell"), F.lit(chunks)).cast("int").alias("chunk")
+    rows = values.select("factor_id", "cell", "x", own, chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.select("factor_id", "cell", "x", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "chunk")
+
+    def reduce(key: tuple, table: pa.Table) -> pa.Table:
+        names = table.column("factor_id").combine_chunks().dictionary_encode()
+        ids, at = names.dictionary.to_pylist(), names.indices.to_numpy()
+        x = table.column("x").to_numpy()
+        center = np.bincount(at, x, len(ids)) / np.bincount(at, minlength=len(ids))
+        sums = _gram(at, table.column("cell").to_numpy(), x, len(ids), center)
+        owner = np.zeros(len(ids), np.int32)
+        owner[at] = table.column("own").to_numpy()
+        found = [key[0].as_py(), key[1].as_py(), ids, owner.tolist(), center.tolist(), sums.tobytes()]
+        return pa.table([pa.array([x], kind) for x, kind in zip(found, kinds)], names=names_)
+
+    names_, kinds = ["a", "b", "ids", "own", "center", "sums"], [pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.binary()]
+    partial = rows.groupBy("a", "b", "chunk").applyInArrow(reduce, "a int, b int, ids array<string>, own array<int>, center array<double>, sums binary")
+
+    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[str, int] = {}
+        total, center, own = np.zeros((len(SUMS), 0, 0)), np.zeros(0), np.zeros(0, np.int32)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, mine = batch.column("ids")[i].as_py(), np.array(batch.column("center")[i].as_py())
+                new = [f for f in ids if f not in place]
+                place.update({f: len(place) + j for j, f in enumerate(new)})
+                grow = len(place) - len(center)
+                total = np.pad(total, ((0, 0), (0, grow), (0, grow)))
+                at = np.array([place[f] for f in ids])
+                center, own = np.pad(center, (0, grow)), np.pad(own, (0, grow))
+                fresh = [j for j, f in enumerate(ids) if f in set(new)]
+                center[at[fresh]], own[at] = mine[fresh], batch.column("own")[i].as_py()
+                sums = np.frombuffer(batch.column("sums")[i].as_py()).reshape(len(SUMS), len(ids), len(ids))
+                total[:, at[:, None], at[None, :]] += _moved(sums, mine - center[at])
+        ids = np.array(list(place), object)
+        order = np.argsort(ids)
+        ids, own, center, total = ids[order], own[order], center[order], total[:, order[:, None], order[None, :]]
+        a, b = np.triu_indices(len(ids), 1)
+        if key[0].as_py() != key[1].as_py():  # pairs of one block are in its own tile
+            apart = own[a] != own[b]
+            a, b = a[apart], b[apart]
+        columns = [pa.array(ids[a], pa.string()), pa.array(ids[b], pa.string()), pa.array(center[a]), pa.array(center[b])]
+        yield pa.RecordBatch.from_arrays([*columns, *(pa.array(t[a, b]) for t in total)], names=["factor_a", "factor_b", "x0", "y0", *SUMS])
+
+    return partial.groupBy("a", "b").applyInArrow(add, _PAIRS)
+
+
+def _tiling(values: DataFrame) -> tuple[int, int]:
+    """Blocks and chunks by the numbers of factors and rows: two numbers for the driver."""
+    n, factors = values.agg(F.count(F.lit(1)), F.approx_count_distinct("factor_id", 0.02)).first()
+    return max(1, -(-factors // BLOCK)), max(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // CHUNK_ROWS))
+
+
+def overlap_days(values: DataFrame) -> DataFrame:
     """Dates on which both factors of a pair have a value, not necessarily for the same instrument."""
-    rows = values.groupBy("trade_date").pivot("factor_id", list(factor_ids)).agg(F.count("factor_value"))
-    has = [F.when(F.col(f"`{f}`") > 0, 1.0).alias(f) for f in factor_ids]
-    pairs = gram(rows.select(*has), factor_ids)
-    return pairs.select("factor_a", "factor_b", F.col("n").cast("long").alias("overlap_days"))
+    days = values.where(F.col("factor_value").isNotNull()).select("factor_id", F.xxhash64("trade_date").alias("cell"), F.lit(1.0).alias("x")).distinct()
+    blocks, chunks = _tiling(values)
+    return gram(days, blocks, chunks).select("factor_a", "factor_b", F.col("n").cast("long").alias("overlap_days"))
 
 
 def correlation_pairs(values: DataFrame) -> DataFrame:
     """(factor_a < factor_b, corr, overlap_days, n) for all pairs; a constant side gives a NULL correlation.
 
-    The factor ids and their means are the only rows brought to the driver.
+    Rows (factor_id, trade_date, stock_code, factor_value) are unique by the first three. Dates and instruments are
+    known by 64-bit hashes.
     """
-    means = values.groupBy("factor_id").agg(F.avg("factor_value").alias("m")).orderBy("factor_id").collect()
-    ids = [r["factor_id"] for r in means]
-    if len(ids) < 2:
-        empty = "factor_a string, factor_b string, corr double, overlap_days bigint, n bigint"
-        return values.sparkSession.createDataFrame([], empty)
-    wide = widen(values, ids)
-    sums = gram(wide, ids, [r["m"] or 0.0 for r in means])
-    n = F.col("n")
-    sizes = values.sparkSession.createDataFrame([(r["factor_id"], r["m"] or 0.0) for r in means], "f string, m double")
-    for side, m in (("factor_a", "mx"), ("factor_b", "my")):
-        sums = sums.join(sizes.select(F.col("f").alias(side), F.col("m").alias(m)), side)
+    known = values.where(F.col("factor_value").isNotNull())
+    blocks, chunks = _tiling(values)
+    cells = known.select("factor_id", F.xxhash64("trade_date", "stock_code").alias("cell"), F.col("factor_value").cast("double").alias("x"))
+    sums, n = gram(cells, blocks, chunks), F.col("n")
     vx, vy = [F.col(q) - F.try_divide(F.col(s) * F.col(s), n) for q, s in (("sxx", "sx"), ("syy", "sy"))]
     # a spread this far below the size of the values is rounding noise of a constant column
     noise = lambda m: n * F.col(m) * F.col(m) * F.lit(1e-24)
-    real = (vx > noise("mx")) & (vy > noise("my"))
+    real = (vx > noise("x0")) & (vy > noise("y0"))
     cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
     known = real & (n > 1)
     corr = F.try_divide(cov, F.sqrt(F.when(known, vx)) * F.sqrt(F.when(known, vy)))
     # greatest and least skip NULLs, so the bounds stand inside the condition
     corr = F.when(known, F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))
     pairs = sums.select("factor_a", "factor_b", corr.alias("corr"), n.cast("long").alias("n"))
-    return pairs.join(overlap_days(values, ids), ["factor_a", "factor_b"]).select(
-        "factor_a", "factor_b", "corr", "overlap_days", "n"
+    return overlap_days(values).join(pairs, ["factor_a", "factor_b"], "left").select(
+        "factor_a", "factor_b", "corr", "overlap_days", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
 
 
@@ -129,3 +175,9 @@ def nested_document(pairs: DataFrame, as_of_date, universe: str, window_days: in
             )
         ).alias("payload"),
     )
+
+
+def nested_rows(pairs: DataFrame) -> DataFrame:
+    """A row per factor: its correlations as a map, factor -> correlation. Bounded by the number of factors, not of pairs."""
+    entries = F.sort_array(F.collect_list(F.struct("factor_b", "corr")))
+    return pairs.groupBy(F.col("factor_a").alias("factor_id")).agg(F.map_from_entries(entries).alias("corr"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,22 +26,47 @@ def active_thresholds(config: DataFrame, scene: str) -> dict:
     return row.asDict()
 
 
+def threshold_row(config: DataFrame, scene: str) -> DataFrame:
+    """The newest active threshold row of a scene as a table of one row (scene, th: struct), or of none."""
+    active = config.where((F.col("scene") == scene) & F.col("is_active"))
+    whole = F.struct(*[F.col(c) for c in config.columns])
+    return active.groupBy("scene").agg(F.max_by(whole, F.struct("created_at", "id")).alias("th"))
+
+
+def with_limits(df: DataFrame, th: Mapping | DataFrame) -> tuple[DataFrame, Mapping]:
+    """``df`` and the limits to judge it by. A :func:`threshold_row` is joined in the plan (column ``_th``), so nothing is read
+    to the driver; without an active row the job fails as soon as a row is judged.
+    """
+    if not isinstance(th, DataFrame):
+        return df, th
+    names = [f.name for f in th.schema["th"].dataType.fields]
+    row = th.select(F.lit(1).alias("_one"), F.col("th").alias("_th"))
+    met = df.withColumn("_scene", F.lit(1)).join(row, F.col("_scene") == F.col("_one"), "left").drop("_scene", "_one")
+    met = met.where(F.assert_true(F.col("_th").isNotNull(), F.lit("no active thresholds for the scene")).isNull())
+    return met, {n: F.col(f"_th.{n}") for n in names}
+
+
+def _limit(value: float | Column | None) -> Column | None:
+    return value if value is None or isinstance(value, Column) else F.lit(float(value))
+
+
 def _number(metric: str) -> Column:
     return F.when(~F.isnan(F.col(metric)), F.col(metric))
 
 
-def _holds(rules: list[tuple[str, str, float | None]]) -> Column:
+def _holds(rules: list[tuple[str, str, float | Column | None]]) -> Column:
     """All configured rules hold; a missing or NaN metric fails its rule, a missing threshold has none."""
     out = F.lit(True)
     for metric, op, limit in rules:
-        if limit is None:
+        t = _limit(limit)
+        if t is None:
             continue
-        x, t = _number(metric), F.lit(float(limit))
-        out = out & F.coalesce(x >= t if op == ">=" else x <= t, F.lit(False))
+        x = _number(metric)
+        out = out & (t.isNull() | F.coalesce(x >= t if op == ">=" else x <= t, F.lit(False)))
     return out
 
 
-def passes(th: dict) -> Column:
+def passes(th: Mapping) -> Column:
     """Whether a metrics row meets the admission thresholds. The drawdown limit is negative."""
     return _holds(
         [
@@ -52,7 +79,7 @@ def passes(th: dict) -> Column:
     )
 
 
-def reactivates(th: dict) -> Column:
+def reactivates(th: Mapping) -> Column:
     """Whether a metrics row meets the thresholds for revival."""
     return _holds(
         [
@@ -64,17 +91,17 @@ def reactivates(th: dict) -> Column:
     )
 
 
-def should_deprecate(th: dict, init: str = "ic_value_init", latest: str = "ic_value_latest") -> Column:
+def should_deprecate(th: Mapping, init: str = "ic_value_init", latest: str = "ic_value_latest") -> Column:
     """Whether a factor's latest IC fell too far.
 
     From a positive first IC: the relative decay exceeds its threshold and the latest IC is below its
     floor. From a first IC at or below 0 (or within 1e-8 of it): the latest is below the floor. A missing
     IC keeps the factor.
     """
-    decay_max, floor = th.get("ic_decay_threshold"), th.get("latest_ic_min")
+    decay_max, floor = _limit(th.get("ic_decay_threshold")), _limit(th.get("latest_ic_min"))
     a, b = _number(init), _number(latest)
-    below = b < F.lit(float(floor)) if floor is not None else F.lit(False)
-    decayed = F.try_divide(a - b, a) > F.lit(float(decay_max)) if decay_max is not None else F.lit(False)
+    below = b < floor if floor is not None else F.lit(False)
+    decayed = F.try_divide(a - b, a) > decay_max if decay_max is not None else F.lit(False)
     no_base = (a <= 0) | (F.abs(a) <= 1e-8)
     return F.coalesce(F.when(no_base, below).otherwise(decayed & below), F.lit(False))
 
@@ -91,9 +118,10 @@ def init_and_latest_ic(backtests: DataFrame, basic: DataFrame, per_universe: boo
     return backtests.join(valid, "factor_id", "left_semi").groupBy(*keys).agg(*aggs)
 
 
-def deprecate(basic: DataFrame, backtests: DataFrame, th: dict, now) -> DataFrame:
+def deprecate(basic: DataFrame, backtests: DataFrame, th: Mapping | DataFrame, now) -> DataFrame:
     """``basic`` with decayed factors made invalid; an existing reason stays."""
-    gone = init_and_latest_ic(backtests, basic).where(should_deprecate(th)).select("factor_id", F.lit(True).alias("_gone"))
+    judged, limits = with_limits(init_and_latest_ic(backtests, basic), th)
+    gone = judged.where(should_deprecate(limits)).select("factor_id", F.lit(True).alias("_gone"))
     hit = F.col("_gone").isNotNull()
     out = basic.join(gone, "factor_id", "left").withColumns(
         {
@@ -115,11 +143,12 @@ def reactivation_candidates(basic: DataFrame, cooldown_days: int, now) -> DataFr
     ).select("factor_id")
 
 
-def reactivate(basic: DataFrame, backtests: DataFrame, th: dict, cooldown_days: int, now) -> DataFrame:
+def reactivate(basic: DataFrame, backtests: DataFrame, th: Mapping | DataFrame, cooldown_days: int, now) -> DataFrame:
     """``basic`` with candidates revived whose latest run meets the thresholds."""
     candidates = reactivation_candidates(basic, cooldown_days, now)
     latest = latest_per_key(backtests.join(candidates, "factor_id", "left_semi"), ["factor_id"], RUN_ORDER)
-    back = latest.where(reactivates(th)).select(
+    judged, limits = with_limits(latest, th)
+    back = judged.where(reactivates(limits)).select(
         "factor_id", F.lit(True).alias("is_valid"), F.lit(now).cast("timestamp").alias("reactivated_time")
     )
     return update_flags(basic, back, ["factor_id"])

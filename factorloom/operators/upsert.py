@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .latest import latest_per_key
 
-RULES = ("replace", "patch", "coalesce")
+RULES = ("replace", "patch", "coalesce", "latest")
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -37,9 +37,12 @@ def upsert(
     replace:  a source row takes the place of the target row; columns the source lacks become NULL.
     patch:    columns the source has win, the target keeps its other columns.
     coalesce: like patch, but a NULL in the source keeps the target's value.
+    latest:   of all rows of a key the latest by ``order``, so batches give the same table in any order.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}, got {rule!r}")
+    if rule == "latest":
+        return latest_per_key(target.unionByName(source.select(target.columns)), keys, order or ())
     if order:
         source = latest_per_key(source, keys, order)
     schema = {f.name: f.dataType for f in target.schema}

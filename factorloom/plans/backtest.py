@@ -13,7 +13,7 @@ from ..operators import lifecycle as lc
 from ..operators.documents import parse_documents
 from ..operators.evaluate import evaluate
 from ..operators.latest import latest_per_key
-from ..operators.lineage import cut_lineage
+from ..operators.lineage import cut_lineage, stored
 from ..operators.universe import filter_universe
 from ..operators.upsert import insert_if_absent, update_flags, upsert
 from ..schema import BATCH_KEYS, DAILY_KEYS, STATUS_KEYS
@@ -96,7 +96,7 @@ def run_daily(
     universe = (universe or "").strip() or "ALL"
     bars = filter_universe(bars, universe, membership, requested, stock_codes)
     good, bad = usable_factors(bars, factors)
-    values = cut_lineage(compute_day(bars, good, requested, days).withColumn("universe", F.lit(universe)))
+    values = stored(compute_day(bars, good, requested, days).withColumn("universe", F.lit(universe)))
     writers.write_daily_values(values, path)
     return cut_lineage(upsert(registry, registry_rows(values, path, now), DAILY_KEYS)), bad
 
@@ -209,14 +209,14 @@ def select_and_store(
 
 def run_recheck(basic: DataFrame, backtests: DataFrame, config: DataFrame, scene: str, now) -> DataFrame:
     """``basic`` after retiring factors whose IC decayed."""
-    return lc.deprecate(basic, backtests, lc.active_thresholds(config, scene), now)
+    return lc.deprecate(basic, backtests, lc.threshold_row(config, scene), now)
 
 
 def run_reactivation(
     basic: DataFrame, backtests: DataFrame, config: DataFrame, scene: str, cooldown_days: int, now
 ) -> DataFrame:
     """``basic`` after reviving factors whose latest run is good again."""
-    return lc.reactivate(basic, backtests, lc.active_thresholds(config, scene), cooldown_days, now)
+    return lc.reactivate(basic, backtests, lc.threshold_row(config, scene), cooldown_days, now)
 
 
 def run_correlation(

@@ -49,13 +49,14 @@ def sync_bars(
 ) -> None:
     """Merge the bars of the ``days`` calendar days up to ``end`` into the table; the later row of a key wins.
 
-    ``rule="patch"`` keeps the table's other columns when the source brings only some.
+    ``rule="patch"`` keeps the table's other columns when the source brings only some; with ``rule="latest"`` the row
+    updated last stays, so late batches and replays may come in any order.
     """
     rows = lookback(bars, F.lit(end).cast("date"), days)
     rows = filter_universe(rows, universe, membership, end, stock_codes)
     order = ["update_time"] if "update_time" in bars.columns else ["close"]
     source = latest_per_key(with_month(rows), BAR_KEYS, order)
-    writers.upsert_table(spark, path, source, BAR_KEYS, [MONTH], rule)
+    writers.upsert_table(spark, path, source, BAR_KEYS, [MONTH], rule, order if rule == "latest" else None)
 
 
 def sync_calendar(spark: SparkSession, trading_days: DataFrame, path: str, start, end, now) -> None:

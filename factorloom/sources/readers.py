@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions.elem import finite
 from ..operators.conform import conform_bars, rename
@@ -117,21 +119,54 @@ def file_parts(name: Column, universe: str) -> dict[str, Column]:
     }
 
 
+def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """Files below a folder as (path, modified, length, name); none of them is opened.
+
+    Where a job wrote a folder named like a file, ``a.csv/part-...``, that name counts. A folder that is not there has none.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, modified timestamp, length bigint, name string")
+    named = F.regexp_extract("path", r"([^/]+)(?:/part-[^/]*)?$", 1)
+    return files.select("path", F.col("modificationTime").alias("modified"), "length", named.alias("name"))
+
+
+def newest_files(files: DataFrame, universe: str) -> DataFrame:
+    """Of a listing the files of each factor's newest end date (the greatest name on a tie): factor_id, path.
+
+    Names off the convention, or without a date, are left out.
+    """
+    known = files.withColumns(file_parts(F.col("name"), universe)).where("factor_id is not null and date_end is not null")
+    best = known.groupBy("factor_id").agg(F.max_by("name", F.struct("date_end", "name")).alias("name"))
+    return known.join(best, ["factor_id", "name"], "left_semi").select("factor_id", "path")
+
+
+def _literal_path(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def read_values_dir(spark: SparkSession, root: str, universe: str, newest_only: bool = True) -> DataFrame:
     """Factor values of all CSV files below ``root/by_universe/<U>``, with the factor id from the file name.
 
-    Of several files of a factor the one with the newest end date counts (the greatest name on a tie).
-    Names off the convention are left out.
+    Of several files of a factor the one with the newest end date counts (the greatest name on a tie): the listing
+    decides, and only the files chosen are opened. Their paths, one a factor, come to the driver, which plans the scan.
+    Names off the convention are left out; a row whose number cannot be read has NULL there.
     """
-    folder = f"{root}/by_universe/{universe.strip().upper() or 'ALL'}"
-    df = spark.read.option("header", True).option("pathGlobFilter", "*.[cC][sS][vV]").csv(folder)
-    df = df.select("*", F.col("_metadata.file_name").alias("file_name"))
-    df = df.withColumns(file_parts(F.col("file_name"), universe)).where(F.col("factor_id").isNotNull())
+    files = list_files(spark, f"{root}/by_universe/{universe.strip().upper() or 'ALL'}", "*.[cC][sS][vV]")
     if newest_only:
-        df = df.where(F.col("date_end").isNotNull())
-        files = df.groupBy("factor_id").agg(F.max_by("file_name", F.struct("date_end", "file_name")).alias("file_name"))
-        df = df.join(files, ["factor_id", "file_name"], "left_semi")
-    return _typed_values(df, "factor_id")
+        chosen = newest_files(files, universe)
+    else:
+        chosen = files.withColumns(file_parts(F.col("name"), universe)).where("factor_id is not null").select("factor_id", "path")
+    paths = [_literal_path(r["path"]) for r in chosen.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "factor_id string, trade_date date, stock_code string, factor_value double")
+    df = spark.read.option("header", True).csv(paths).select("*", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file_path"))
+    name = F.regexp_extract("file_path", r"([^/]+)(?:/part-[^/]*)?$", 1)
+    return _typed_values(df.withColumn("factor_id", file_parts(name, universe)["factor_id"]), "factor_id")
 
 
 def read_jdbc_quotes(

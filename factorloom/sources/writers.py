@@ -4,28 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import codes
 from ..operators.documents import render_document
 from ..operators.latest import latest_per_key
-from ..operators.lineage import cut_lineage
-from ..operators.upsert import keep_recent, upsert
+from ..operators.lineage import cut_lineage, stored
+from ..operators.upsert import same_keys, upsert
 
 
-def overwrite_partitions(
-    df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", files: int = 1, **options
-) -> None:
-    """Write ``df``, replacing exactly the partitions it has rows in, into about ``files`` files each.
+#: Rows of a partition that go to one task, and so to one file.
+FILE_ROWS = 5_000_000
+
 
-    Rows meet by partition first, so a partition is not scattered over a file from every task. Give ``files``
-    more than 1 where one partition is too much for a task.
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", rows: int = FILE_ROWS, **options) -> None:
+    """Write ``df``, replacing exactly the partitions it has rows in, with a file for each ``rows`` rows of a partition.
+
+    Partitions are counted map-side first. One of few rows meets in a task, so it is not scattered over a file from every
+    task; a larger one is dealt by its rows' hashes, so no task holds it whole.
     """
-    dealt = df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(files))) if files > 1 else df.repartition(*by)
-    w = dealt.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").options(**options)
-    w.partitionBy(*by).save(path)
+    df = stored(df)
+    counts = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_files"))
+    dealt = same_keys(df, counts, by, "inner").withColumn("_file", F.pmod(F.xxhash64(*df.columns), F.col("_files"))).drop("_files")
+    w = dealt.repartition(*by, "_file").drop("_file").write.mode("overwrite").format(fmt)
+    w.option("partitionOverwriteMode", "dynamic").options(**options).partitionBy(*by).save(path)
 
 
 def write_batch_values(values: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -120,9 +124,38 @@ def write_evaluation_documents(results: DataFrame, metadata: DataFrame, path: st
 
 
 def write_snapshot(pairs: DataFrame, path: str, universe: str, as_of_date) -> None:
-    """Correlation pairs of one universe and date."""
+    """Correlation pairs of one universe and date, and the universe's pointer to its newest snapshot.
+
+    The pointer is a partition of its own beside the snapshots. It is written last and never moves back, so a reader
+    finds a whole snapshot whenever it looks, and a date may be written again.
+    """
+    spark = pairs.sparkSession
     rows = pairs.withColumns({"universe": F.lit(universe), "as_of_date": F.lit(as_of_date).cast("date")})
     overwrite_partitions(rows, path, ["universe", "as_of_date"])
+    mine = spark.range(1).select(F.lit(universe).alias("universe"), F.lit(as_of_date).cast("date").alias("as_of_date"))
+    pointers = _pointers(path)
+    if _has_rows(spark, pointers):
+        before = spark.read.schema("as_of_date date, universe string").parquet(pointers).where(F.col("universe") == universe)
+        mine = cut_lineage(mine.unionByName(before).groupBy("universe").agg(F.max("as_of_date").alias("as_of_date")))
+    overwrite_partitions(mine, pointers, ["universe"])
+
+
+def _pointers(path: str) -> str:
+    return f"{path.rstrip('/')}_latest"
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def read_latest_snapshot(spark: SparkSession, path: str, universe: str) -> DataFrame:
+    """Rows of the snapshot the pointer of a universe names; other snapshots are not opened."""
+    pointer = spark.read.schema("as_of_date date, universe string").parquet(_pointers(path)).where(F.col("universe") == universe)
+    day = pointer.first()  # one row
+    snapshots = read_snapshots(spark, path)
+    if day is None:
+        return snapshots.limit(0)
+    return snapshots.where((F.col("universe") == universe) & (F.col("as_of_date") == F.lit(day["as_of_date"])))
 
 
 def latest_snapshot(snapshots: DataFrame, universe: str) -> DataFrame:
@@ -131,10 +164,26 @@ def latest_snapshot(snapshots: DataFrame, universe: str) -> DataFrame:
     return mine.join(mine.agg(F.max("as_of_date").alias("as_of_date")), "as_of_date", "left_semi")
 
 
-def retain_snapshots(spark: SparkSession, path: str, kept_path: str, run_date, keep_days: int) -> None:
-    """Copy the snapshots still to be kept to a new location."""
-    kept = keep_recent(spark.read.parquet(path), "as_of_date", ["universe"], run_date, keep_days)
-    overwrite_partitions(kept, kept_path, ["universe", "as_of_date"])
+def expired_snapshots(spark: SparkSession, path: str, run_date, keep_days: int) -> DataFrame:
+    """Folders (universe, as_of_date, folder) of snapshots older than ``keep_days``, never a universe's latest.
+
+    The partitions are read from file names; no row of a snapshot is.
+    """
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    every = read_snapshots(spark, path).select("universe", "as_of_date", folder.alias("folder")).distinct()
+    newest = F.max("as_of_date").over(Window.partitionBy("universe"))  # a row per snapshot
+    old = F.col("as_of_date") < F.date_sub(F.lit(run_date).cast("date"), keep_days)
+    return every.withColumn("newest", newest).where(old & (F.col("as_of_date") < F.col("newest"))).drop("newest")
+
+
+def drop_snapshots(spark: SparkSession, path: str, run_date, keep_days: int) -> int:
+    """Delete the folders of expired snapshots and leave all others as they are; a second run finds none. Returns how many."""
+    folders = [r["folder"] for r in expired_snapshots(spark, path, run_date, keep_days).collect()]
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    for f in folders:
+        at = hadoop(spark._jvm.java.net.URI(f))
+        at.getFileSystem(conf).delete(at, True)
+    return len(folders)
 
 
 def write_documents(factors: DataFrame, path: str, title: str = "因子说明文档") -> None:

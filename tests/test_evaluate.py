@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from factorloom.operators import correlation as co
 from factorloom.operators import evaluate as ev
+from factorloom.operators import latest
 from factorloom.plans import factors as plan
 
 DAY = dt.date(2024, 1, 1)
@@ -131,7 +132,10 @@ def test_daily_equals_batch_cross_section(bars):
     assert both.where("not (round(factor_value, 10) <=> round(d, 10))").count() == 0
 
 
-def test_correlation_against_pandas(values, spark):
+@pytest.mark.parametrize("block", [128, 2])
+def test_correlation_against_pandas(values, spark, monkeypatch, block):
+    monkeypatch.setattr(co, "BLOCK", block)
+    monkeypatch.setattr(co, "SLICE", 50)
     noisy = values.where("factor_id <> 'const'").withColumn(
         "factor_value", F.when(F.xxhash64("stock_code", "trade_date") % 5 != 0, F.col("factor_value") + 1000)
     )
@@ -172,3 +176,35 @@ def test_one_exchange_for_all_rolling_factors(bars):
     mine = {n: f() for n, f in plan.LIBRARY.items() if n != "rank_corr_10"}
     text = plan.wide_factors(bars, mine)._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_shuffled_rows_of_correlations_follow_values(spark, monkeypatch):
+    """A tile and chunk hand on one row, whatever the number of factors and pairs."""
+    monkeypatch.setattr(co, "BLOCK", 10)
+    k, days = 40, 30
+    df = spark.range(k * days).select(
+        F.concat(F.lit("f"), F.col("id") % k).alias("factor_id"), F.expr(f"date_add(DATE '2024-01-01', cast(id div {k} as int))").alias("trade_date"),
+        F.lit("s").alias("stock_code"), F.rand(3).alias("factor_value"),
+    )
+    pairs = co.correlation_pairs(df)
+    rows = pairs.collect()
+    assert len(rows) == k * (k - 1) // 2 and all(r["n"] == r["overlap_days"] == days for r in rows)
+    wide = df.toPandas().pivot(index="trade_date", columns="factor_id", values="factor_value").corr()
+    assert all(r["corr"] == pytest.approx(wide.at[r["factor_a"], r["factor_b"]], abs=1e-9) for r in rows)
+
+
+def test_asof_join(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    keys = ["hot"] * 5 + ["a", "b", None]
+    known = [(keys[rng.integers(8)], int(rng.integers(50, 150)), int(rng.integers(9))) for _ in range(200)]
+    asked = [(i, keys[rng.integers(8)] if i % 9 else "unknown", int(rng.integers(0, 200)) if i % 13 else None) for i in range(400)]
+    k = spark.createDataFrame(known + [("hot", None, 5)], "k string, day int, v int")
+    a = spark.createDataFrame(asked, "id int, k string, day int").repartition(5)
+    got = {r["id"]: r["asof"] and tuple(r["asof"]) for r in latest.asof_join(a, k, ["k"], "day").collect()}
+    for i, key, day in asked:
+        mine = sorted((d, v) for x, d, v in known if x == key)
+        upto = [x for x in mine if day is not None and x[0] <= day]
+        first = [x for x in mine if x[0] == mine[0][0]]
+        assert got[i] == (None if day is None or not mine else (upto or first)[-1]), (i, key, day)
+    assert len(got) == len(asked)
+    assert latest.asof_join(a, k.limit(0), ["k"], "day").where("asof is not null").count() == 0

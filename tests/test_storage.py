@@ -76,8 +76,10 @@ def test_batch_daily_evaluation_and_correlation(spark, bars, tmp_path):
     stored = spark.read.parquet(snaps)
     assert stored.count() == 4
     assert {r["as_of_date"] for r in writers.latest_snapshot(stored, "ALL").collect()} == {day(39)}
-    writers.retain_snapshots(spark, snaps, f"{tmp_path}/kept", day(45), 10)
-    assert spark.read.parquet(f"{tmp_path}/kept").count() == 2
+    dropped = writers.drop_snapshots(spark, snaps, day(45), 10)
+    assert dropped == 1 and spark.read.parquet(snaps).count() == 2
+    assert writers.drop_snapshots(spark, snaps, day(45), 10) == 0  # a second run finds nothing
+    assert {r["as_of_date"] for r in writers.read_latest_snapshot(spark, snaps, "ALL").collect()} == {day(39)}
 
 
 def test_csv_values_by_file_name(spark, bars, tmp_path):

@@ -68,9 +68,10 @@ class Codec:
         self.model = models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=merges)
         self.pattern = regex.compile(pattern)
         self.matches = self.pattern.findall
+        back = {c: b for b, c in enumerate(self.char)}  # the byte table reversed
         self.bytes = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.bytes[rank] = token
+            self.bytes[rank] = bytes(map(back.__getitem__, shown(token)))
         self.lengths = np.array([len(t) for t in self.bytes], np.int64)
         self.seen: dict[str, bytes] = {}
 

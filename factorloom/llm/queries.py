@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import cut_lineage
 from . import bpe, collocations, decon, html, jaccard, linededup, mixing, packing, quality, resampling, secrets, shards, urls
 from .base import table
 
@@ -37,16 +38,20 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    coded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, decoded=True)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, offsets=True, decoded=True)
     return coded.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.xxhash64("starts", "ends").alias("offsets_xxhash64"),
     )
 
 
 def packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Byte ids (the UTF-8 bytes themselves) in rows of 8192."""
-    ids = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("ids"))
-    return packing.pack(ids, length=8192, width=1)
+    """Byte-level BPE ids in rows of 8192."""
+    ids = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return packing.pack(cut_lineage(ids.select("doc_id", "ids")), length=8192, width=4)
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,7 +150,12 @@ def fit(labelled: DataFrame, rows: int = LABELLED, trees: int = 20, depth: int =
     their features, in one partition, so the forest depends on nothing but the findings.
     """
     known = labelled.where(F.col("label").isNotNull()).select("label", *FEATURES).withColumn("h", F.xxhash64(*FEATURES))
-    parts = [known.where(F.col("label") == x).orderBy("h", *FEATURES).limit(rows // 2) for x in (0.0, 1.0)]
+    parts = []
+    for x in (0.0, 1.0):
+        own, half = known.where(F.col("label") == x), rows // 2
+        # the bound first, from hashes alone; what lies under it is that many rows and ties
+        last = own.select("h").orderBy("h").limit(half).agg(F.max("h")).first()[0]
+        parts.append(own.where(F.col("h") <= F.lit(last).cast("long")).orderBy("h", *FEATURES).limit(half))
     some = cut_lineage(parts[0].union(parts[1]).coalesce(1).sortWithinPartitions("h", "label", *FEATURES))
     if some.select("label").distinct().count() < 2:
         return None

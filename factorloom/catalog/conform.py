@@ -210,14 +210,14 @@ FROM x WHERE o IS NOT NULL OR c IS NOT NULL"""
 
 
 def multiplier_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = table(spark, sf_dir, "supplier").where("s_acctbal > 0")
-    m = sup.select(F.col("s_suppkey").cast("string").alias("stock_code"), (F.col("s_nationkey") + 2).alias("multiple"))
+    known = F.when(F.col("s_acctbal") > 0, F.col("s_nationkey") + 2)
+    m = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("stock_code"), known.alias("multiple"))
     df = cf.with_multiplier(week_panel(spark, sf_dir).withColumn("multiple", F.lit(0)), m)
     return df.select(*KEYS, "multiple", r(F.col("volume") * F.col("multiple"), 4).alias("units"))
 
 
 SQL["multiplier_lookup"] = f"""WITH {WEEK},
-m AS (SELECT CAST(s_suppkey AS VARCHAR) AS stock_code, s_nationkey + 2 AS k FROM supplier WHERE s_acctbal > 0)
+m AS (SELECT CAST(s_suppkey AS VARCHAR) AS stock_code, CASE WHEN s_acctbal > 0 THEN s_nationkey + 2 END AS k FROM supplier)
 SELECT trade_date, stock_code, CAST(coalesce(k, 1) AS INTEGER) AS multiple, {sr('volume * coalesce(k, 1)', 4)} AS units
 FROM w LEFT JOIN m USING (stock_code)"""
 

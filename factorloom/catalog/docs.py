@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import documents as dc
+from ..operators.lineage import run_folder
+from ..sources import readers, writers
 from .base import table
 
 QUERIES, SQL = {}, {}
@@ -47,6 +49,16 @@ def doc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good
 
 
+def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered documents written as a table of few files, read and parsed again; then those of users once more by path."""
+    path = run_folder(spark, "documents")
+    writers.write_document_table(_rendered(spark, sf_dir), path)
+    good, _ = dc.parse_documents(readers.read_document_table(spark, path))
+    users = _definitions(spark, sf_dir).where("trading_cycle = 'user'").select(F.col("factor_id").alias("doc_path"))
+    again, _ = dc.parse_documents(readers.read_document_table(spark, path, users))
+    return good.unionByName(again)
+
+
 def doc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bad = dc.parse_documents(_rendered(spark, sf_dir))
     return bad.select("doc_path", F.concat_ws(",", "missing_fields").alias("missing_fields"))
@@ -81,7 +93,7 @@ def formula_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", T.clean_formula(_formula()).alias("formula"))
 
 
-for _q in (doc_render, doc_fields, doc_rejects, html_blocks, formula_cleanup):
+for _q in (doc_render, doc_fields, doc_table, doc_rejects, html_blocks, formula_cleanup):
     QUERIES[_q.__name__] = _q
 
 _DEF = """
@@ -105,6 +117,8 @@ SELECT factor_id, factor_name, formula, description,
   coalesce(factor_type, '适用股票池: ALL') AS factor_type, test_universe, trading_cycle,
   CASE WHEN trading_cycle = 'user' THEN 'short' ELSE 'long' END AS factor_direction, source_url, factor_id AS doc_path
 FROM d WHERE trading_cycle <> 'system'"""
+SQL["doc_table"] = f"""{SQL["doc_fields"]} UNION ALL
+SELECT * FROM ({SQL["doc_fields"]}) WHERE trading_cycle = 'user'"""
 SQL["doc_rejects"] = f"WITH {_DEF}\nSELECT factor_id AS doc_path, 'factor_name' AS missing_fields FROM d WHERE trading_cycle = 'system'"
 SQL["html_blocks"] = """
 SELECT page_id, url, 'Alpha_' || page_id AS alpha_name, format('JQ_ALPHA_{:03d}', page_id) AS factor_id,

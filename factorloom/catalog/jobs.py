@@ -15,7 +15,8 @@ from ..plans import factors as plan
 from ..plans import ingest
 from ..schema import VALUE_FILES
 from ..sources import readers, writers
-from .base import WEEK, lag, rounded, select, table, week_panel
+from . import evaluation
+from .base import WEEK, lag, rounded, select, sr, table, week_panel
 from .factors import standardised_sql
 from .keyed import _BASIC, _CANDIDATES, _FIRST_LAST, _GONE, _HISTORY, COOLDOWN, NOW, THRESHOLDS, _ntz, basic, history
 
@@ -253,8 +254,34 @@ SELECT factor_id, CASE n WHEN 0 THEN p WHEN 1 THEN 'docs/by_universe/ALL/' || fa
   ELSE 'docs/' || factor_id || '_backtest.json' END AS backtest_json_path
 FROM f WHERE n IN (1, 2) OR (n = 0 AND p IS NOT NULL)"""
 
+DOCUMENT = "factor_id string, factor_name string, key_metrics struct<ic_value double>"
+
+
+def persist_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An evaluation whose one result feeds documents, the history and the list of factors; one factor is listed already."""
+    documents, runs = run_folder(spark, "documents"), run_folder(spark, "runs")
+    values, bars = evaluation._stored(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    meta = values.select("factor_id").distinct().select(
+        "factor_id", F.upper("factor_id").alias("factor_name"), none.alias("factor_type"), none.alias("trading_cycle"), none.alias("source_url")
+    )
+    listed = meta.where("factor_id = 'trend_12'").select("factor_id", F.lit("known").alias("factor_name"), F.lit(False).alias("is_valid"))
+    now = F.lit(NOW).cast("timestamp")
+    factors = bt.run_evaluation(values, bars, meta, listed, documents, runs, now, evaluation.HORIZON, evaluation.BUCKETS, "all_a")
+    written = spark.read.text(documents).select(F.from_json("value", DOCUMENT).alias("d"))
+    written = written.select("d.factor_id", F.col("d.key_metrics.ic_value").alias("document_ic"))
+    history_ = spark.read.parquet(runs).select("factor_id", "test_universe", "ic_value", "turnover", F.col("pass_standard").isNull().alias("undecided"))
+    both = factors.select("factor_id", "factor_name", "is_valid").join(history_, "factor_id", "full").join(written, "factor_id", "full")
+    return rounded(both, ["factor_id", "factor_name", "is_valid", "test_universe", "undecided"])
+
+
+SQL["persist_job"] = f"""{evaluation._SUMMARY}
+SELECT factor_id, CASE WHEN factor_id = 'trend_12' THEN 'known' ELSE upper(factor_id) END AS factor_name, factor_id <> 'trend_12' AS is_valid,
+  'ALL' AS test_universe, true AS undecided, {sr('ic_value')} AS ic_value, {sr('turnover')} AS turnover, {sr('ic_value')} AS document_ic
+FROM res"""
+
 for _q in (
-    asof_orders, values_newest_files, snapshot_retention, snapshot_latest, daily_job, batch_job, ingest_batches, recheck_table,
+    persist_job, asof_orders, values_newest_files, snapshot_retention, snapshot_latest, daily_job, batch_job, ingest_batches, recheck_table,
     reactivation_table, pointer_ranks,
 ):
     QUERIES[_q.__name__] = _q

@@ -121,7 +121,6 @@ def first_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def asof_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
-    days = days.where(F.weekday("d") < 5)
     asked = ("2000-06-11", "1990-01-01")
     found = [lt.latest_date_upto(days, "d", F.lit(a).cast("date")).withColumn("asked", F.lit(a)) for a in asked]
     return found[0].unionByName(found[1])
@@ -214,11 +213,10 @@ def update_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snaps = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderpriority", "o_orderstatus", F.to_date("o_orderdate").alias("as_of_date")
-    )
-    # low priority orders stop early, so their latest snapshot lies outside the kept days
-    snaps = snaps.where((F.col("o_orderpriority") != "5-LOW") | (F.col("as_of_date") < "1999-01-01"))
+    # low priority orders lie three years back, so their latest snapshot lies outside the kept days
+    day = F.to_date("o_orderdate")
+    day = F.when(F.col("o_orderpriority") == "5-LOW", F.date_sub(day, 1100)).otherwise(day)
+    snaps = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", day.alias("as_of_date"))
     kept = up.keep_recent(snaps, "as_of_date", ["o_orderpriority"], "2001-07-15", 30)
     return kept.select("o_orderkey", "o_orderpriority", "as_of_date")
 
@@ -254,7 +252,7 @@ for _q in (
 SQL["latest_per_key"] = f"WITH {_HISTORY}, l AS ({_LATEST})\nSELECT {', '.join(_KEEP)} FROM l"
 SQL["first_latest"] = f"WITH {_HISTORY},{_BASIC},{_FIRST_LAST}\nSELECT * FROM fl"
 SQL["asof_date"] = """
-WITH d AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE isodow(o_orderdate) <= 5)
+WITH d AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders)
 SELECT max(d) AS effective_date, '2000-06-11' AS asked FROM d WHERE d <= DATE '2000-06-11'
 UNION ALL SELECT min(d), '1990-01-01' FROM d"""
 SQL["threshold_pass"] = f"WITH {_HISTORY}, l AS ({_LATEST})\nSELECT factor_id, test_universe, id, {_PASS} AS passed FROM l"
@@ -322,8 +320,8 @@ SELECT old.o_custkey, old.o_orderkey, old.price, CASE WHEN new.price IS NOT NULL
 FROM old LEFT JOIN new ON old.o_custkey = new.o_custkey"""
 SQL["retention"] = """
 WITH s AS (
-  SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS as_of_date FROM orders
-  WHERE o_orderpriority <> '5-LOW' OR o_orderdate < DATE '1999-01-01'
+  SELECT o_orderkey, o_orderpriority,
+    CAST(o_orderdate AS DATE) - CASE WHEN o_orderpriority = '5-LOW' THEN 1100 ELSE 0 END AS as_of_date FROM orders
 )
 SELECT * FROM s
 WHERE as_of_date >= DATE '2001-07-15' - 30

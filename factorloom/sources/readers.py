@@ -209,6 +209,12 @@ def read_documents(spark: SparkSession, folder: str, glob: str = "*.{[mM][dD],tx
     return df.select(F.col("_metadata.file_path").alias("doc_path"), F.col("value").alias("text"))
 
 
+def read_document_table(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """Documents (doc_path, text) of a document table, all or the ``wanted`` paths (doc_path)."""
+    docs = spark.read.schema("doc_path string, text string").parquet(path)
+    return docs if wanted is None else docs.join(wanted.select("doc_path").distinct(), "doc_path", "left_semi")
+
+
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Whole HTML files below a folder as (url, html)."""
     return read_documents(spark, folder, "*.htm*").select(F.col("doc_path").alias("url"), F.col("text").alias("html"))

@@ -192,6 +192,22 @@ def write_documents(factors: DataFrame, path: str, title: str = "因子说明文
     overwrite_partitions(docs, path, ["factor_id"], "text")
 
 
+#: Bytes of text in a file of a document table.
+FILE_BYTES = 128 << 20
+
+
+def write_document_table(docs: DataFrame, path: str) -> None:
+    """Whole documents (doc_path, text) in few files: as many as their bytes ask for, however many documents there are.
+
+    They are sorted by path within and over the files, so the files' statistics are an index: a reader that asks for some
+    paths opens only the parts that can hold them.
+    """
+    docs = stored(docs.select("doc_path", "text"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranged = docs.repartitionByRange(max(1, -(-total // FILE_BYTES)), "doc_path").sortWithinPartitions("doc_path")
+    ranged.write.mode("overwrite").option("parquet.block.size", 8 << 20).parquet(path)
+
+
 def preview(df: DataFrame, keys: Sequence[str], rows: int = 5) -> DataFrame:
     """The first rows in key order."""
     return df.orderBy(*keys).limit(rows)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lineage import cut_lineage
+from ..operators.lineage import stored
 from . import bpe, collocations, decon, html, jaccard, linededup, mixing, packing, quality, resampling, secrets, shards, urls
 from .base import table
 
@@ -51,7 +51,7 @@ def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids in rows of 8192."""
     ids = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    return packing.pack(cut_lineage(ids.select("doc_id", "ids")), length=8192, width=4)
+    return packing.pack(stored(ids.select("doc_id", "ids")), length=8192, width=4)
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,3 +262,52 @@ def test_factor_values_against_pandas(bars):
     raw["z"] = raw.groupby("trade_date").x.transform(standard).fillna(0.0)
     both = got.merge(raw, on=["trade_date", "stock_code"])
     assert len(both) == len(got) == len(raw) and np.allclose(both.factor_value, both.z, atol=1e-7)
+
+
+def test_only_chosen_files_are_opened(spark, tmp_path):
+    folder = tmp_path / "by_universe" / "ALL"
+    folder.mkdir(parents=True)
+    for name in ("a [1]{x}_ALL_2024-01-01_2024-01-31.csv", "a [1]{x}_ALL_2024-01-01_2024-02-29.csv", "b%20+_ALL_2024-01-01_2024-01-15.csv", "odd.csv"):
+        (folder / name).write_text("trade_date,stock_code,factor_value\n2024-01-05,a,1.5\n2024-01-06,b,none\n")
+    got = readers.read_values_dir(spark, str(tmp_path), "all")
+    opened = sorted(f.rsplit("/", 1)[1] for f in got.inputFiles())
+    assert len(opened) == 2 and "2024-02-29" in opened[0]
+    rows = {(r["factor_id"], r["stock_code"]): r["factor_value"] for r in got.collect()}
+    assert rows == {(f, s): v for f in ("a [1]{x}", "b%20+") for s, v in (("a", 1.5), ("b", None))}
+    assert readers.read_values_dir(spark, str(tmp_path), "none").count() == 0
+    listed = readers.list_files(spark, str(folder), "*.csv")
+    assert listed.count() == 4 and listed.where("length > 0 and modified is not null").count() == 4
+
+
+def test_large_partitions_are_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(1000).select("id", F.when(F.col("id") < 900, "big").otherwise("small").alias("part"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it merges what is this small
+    try:
+        writers.overwrite_partitions(df, str(tmp_path / "t"), ["part"], rows=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {k: len(list((tmp_path / "t" / f"part={k}").glob("*.parquet"))) for k in ("big", "small")}
+    assert files["small"] == 1 and files["big"] > 1
+    assert spark.read.parquet(str(tmp_path / "t")).groupBy("part").count().orderBy("part").collect()[0][1] == 900
+
+
+def test_no_active_thresholds_is_an_error(spark):
+    from factorloom.operators import lifecycle as lc
+
+    config = spark.createDataFrame([(1, "prod", False, 0.1)], "id long, scene string, is_active boolean, ic_min double").withColumn("created_at", F.lit("2024-01-01").cast("timestamp"))
+    runs = spark.createDataFrame([("f", 0.2)], "factor_id string, ic_value double")
+    judged, limits = lc.with_limits(runs, lc.threshold_row(config, "prod"))
+    with pytest.raises(Exception, match="no active thresholds"):
+        judged.where(lc._holds([("ic_value", ">=", limits["ic_min"])])).collect()
+    judged, limits = lc.with_limits(runs, lc.threshold_row(config.withColumn("is_active", F.lit(True)), "prod"))
+    assert judged.where(lc._holds([("ic_value", ">=", limits["ic_min"])])).count() == 1
+
+
+def test_document_table(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(f"d{i:03}", f"text {i}") for i in range(300)], "doc_path string, text string").repartition(20)
+    monkeypatch.setattr(writers, "FILE_BYTES", 1000)
+    writers.write_document_table(docs, str(tmp_path / "d"))
+    assert 2 <= len(list((tmp_path / "d").glob("*.parquet"))) <= 4  # by bytes, not by documents
+    wanted = spark.createDataFrame([("d007",), ("d007",), ("none",)], "doc_path string")
+    assert [tuple(r) for r in readers.read_document_table(spark, str(tmp_path / "d"), wanted).collect()] == [("d007", "text 7")]
+    assert readers.read_document_table(spark, str(tmp_path / "d")).count() == 300

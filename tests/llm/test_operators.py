@@ -352,6 +352,26 @@ def test_shards(make, odd, none, n_shards):
     assert shards.assign(none, n_shards).count() == 0
 
 
+def test_shards_in_plain_python(make):
+    """Order and cuts: fractional ranks of rows shuffled within their source, from the same hashes."""
+    docs = [(i, f"text {i % 60}", f"s{i % 7 % 3}" if i % 10 else None) for i in range(300)]
+    table, seed, n_shards = make(docs), 5, 7
+    hashes = table.select("doc_id", "text", "source", F.xxhash64(F.lit(seed), "text"), F.xxhash64(F.lit(seed + 1), "doc_id")).collect()
+    sources = {}
+    for d, t, s, shuffled, tie in hashes:
+        sources.setdefault("" if s is None else "=" + s, []).append((shuffled, tie, d, zlib.crc32(t.encode()), len(t.encode()) + 1))
+    every = []
+    for s, mine in sources.items():
+        every += [((2 * r + 1) / (2 * len(mine)), s, *x) for r, x in enumerate(sorted(mine))]
+    want, used = {}, Counter()
+    for at, (_, _, _, _, d, *_rest) in enumerate(sorted(every)):
+        shard = at * n_shards // len(every)
+        want[d] = (shard, used[shard])
+        used[shard] += 1
+    got = {r.doc_id: (r.shard, r.slot) for r in shards.assign(table, n_shards, seed).collect()}
+    assert got == want
+
+
 def test_write_shards(spark, make, tmp_path):
     docs = make([(i, f"t{i}", "s") for i in range(30)]).select("doc_id", "text")
     shards.write_shards(docs, shards.assign(docs.withColumn("source", F.lit("s")), 4), str(tmp_path / "out"))

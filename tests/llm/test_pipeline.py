@@ -37,6 +37,26 @@ def test_whole_table(spark, name):
     assert got.count() == rows.get(name, got.count()) > 0
 
 
+def test_packed_rows_hold_the_ids(spark):
+    """The registered query's rows, taken apart, are the ids of every whole text."""
+    from factorloom.llm import packing
+
+    packed = queries.packed_rows(spark, SF)
+    got = {r.doc_id: bytes(r.ids) for r in packing.unpack(packed).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    coded = bpe.encode(docs, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).collect()
+    assert got == {r.doc_id: bytes(r.ids) for r in coded if r.n_tokens}
+    assert all(len(r.ids) == 4 * 8192 and r.cu_seqlens[-1] == r.n_tokens for r in packed.collect())
+
+
+def test_mix_meets_its_targets(spark):
+    out = queries.source_mix(spark, SF).toPandas()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source").toPandas()
+    sums = out.merge(docs, on="doc_id").groupby("source").agg({"taken": "sum", "target": "first", "size": "sum", "source_size": "first"})
+    assert ((sums.taken - sums.target).abs() <= 0.01 * sums.target + 1).all() and (sums["size"] == sums.source_size).all()
+    assert (out.taken <= 2 * out["size"]).all()
+
+
 def test_stages(spark):
     con = connect(SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")

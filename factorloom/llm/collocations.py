@@ -29,6 +29,8 @@ from .shingles import _STEP, _bytes, _powers, mixed, text_slices
 
 #: Bytes of text at a time; distinct n-grams, and words, a task holds before it hands them on.
 SLICE, HELD, WORDS = 1_000_000, 1_000_000, 150_000
+#: Words of the corpus for each prefix range, so that a range's n-grams fit a task at any size.
+RANGE_WORDS = 2_500_000
 #: Bits of the filter of frequent n-grams, and the parts it is merged in.
 FILTER_BITS, FILTER_PARTS = 1 << 25, 64
 #: Salts of a language's candidates, which are cut to the limit in each before they meet.
@@ -438,10 +440,11 @@ def collocations(
     table gives no rows. Only the two named columns are read.
     """
     spark = docs.sparkSession
-    n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(unknown)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counted = cut_lineage(word_counts(docs).where(F.col("word").isNull() | (F.col("f") >= least)))
     sums = counted.where(F.col("word").isNull()).select("lang", F.col("f").alias("n"))
+    n_words = sums.agg(F.sum("n")).first()[0] or 0
+    n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_words // RANGE_WORDS))
     vocabulary = cut_lineage(with_symbols(counted.where(F.col("word").isNotNull())))
     level = cut_lineage(_unigrams(vocabulary, n_ranges))
     known, found = level.withColumn("length", F.lit(1).cast("long")), None

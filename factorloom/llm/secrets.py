@@ -168,7 +168,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
 
     ``labelled`` has FEATURES and label; by default the findings themselves where ``rule_label`` is sure.
     ``secret`` is score >= 0.5. Without both labels the score is ``rule_label``'s, 0 where it has no opinion.
-    Rows stored twice are scanned twice.
+    Rows stored twice are scanned twice. Texts are scanned whole, however long; a NULL or empty text has no findings, nor has
+    an empty table. Other columns, whatever their names, are not read.
     """
     found = cut_lineage(rule_label(featured(findings(docs, id_col, text_col, path_col), docs, text_col)))
     forest = fit(found if labelled is None else labelled)

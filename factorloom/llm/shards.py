@@ -39,7 +39,8 @@ def assign(
 
     The law is ``rows``: shard counts differ by one at most. ``slot`` counts from 0 without gaps in each shard.
     NULL is a stratum of its own. A NULL text has size 1 and checksum 0, like the empty one. Rows that agree
-    in id and text are alike: which of them takes which slot makes no difference.
+    in id and text are alike: which of them takes which slot makes no difference. An empty table gives no rows. Other
+    columns, whatever their names, are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(

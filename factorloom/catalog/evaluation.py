@@ -53,7 +53,7 @@ def long_short(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buckets = stored(_buckets(spark, sf_dir))
+    buckets = _buckets(spark, sf_dir)
     return rounded(ev.turnover_daily(buckets, ev.daily_metrics(buckets, BUCKETS)), GROUP)
 
 

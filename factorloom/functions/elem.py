@@ -33,8 +33,11 @@ def finite(x) -> Column:
 def significant(x, digits: int = 12) -> Column:
     """Rounded to so many significant digits, whatever its size: what differs by less ties."""
     x = col(x)
-    p = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(F.abs(x))))
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.coalesce(finite(F.try_divide(F.round(x * p), p)), x))
+    p = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(F.abs(x))))  # infinite for 0 and where it is too large
+    # the condition names p twice, so that it is computed once a row; a scaled value is below 2^53, where floor halves up exactly
+    scaled = (p > 0) & (p < F.lit(float("inf"))) & (F.abs(x) < F.lit(float("inf")))
+    rounded = F.signum(x) * F.floor(F.abs(x * p) + 0.5) / p
+    return F.when(scaled, rounded).otherwise(F.when(x == 0, F.lit(0.0)).otherwise(x))
 
 
 def div(x, y) -> Column:

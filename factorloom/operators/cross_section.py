@@ -14,7 +14,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .groups import bucket_edges, bucket_of, cells_of, group_quantiles, join_keys, with_average_rank
+from .groups import EDGES, bucket_edges, bucket_of, cells_of, group_quantiles, join_keys, with_average_rank
 from .lineage import stored
 
 DATE = ("trade_date",)
@@ -61,7 +61,7 @@ def with_quantiles(
     return join_keys(df, group_quantiles(base, cells_of(base, value, by), probs, out), by, "left")
 
 
-def _clip(x: Column, q: Column) -> Column:
+def _clip(x: Column, q: Column | tuple[Column, Column]) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, q[0]), q[1]))
 
 
@@ -102,21 +102,24 @@ def winsorize_and_standardize(
     """
     df, base = _both(df, base)
     q = group_quantiles(base, cells_of(base, value, by), (0.01, 0.99), "_q")
-    clipped = join_keys(base.select(*by, value), q, by).withColumn("_c", _clip(F.col(value), F.col("_q")))
-    off = F.col("_c") - F.col("_q")[0]
+    ends = (F.col("_lo"), F.col("_hi"))  # plain numbers: an array in the aggregation would make it sort all rows
+    q = q.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(("_lo", "_hi"))])
+    clipped = join_keys(base.select(*by, value), q, by).withColumn("_c", _clip(F.col(value), ends))
+    off = F.col("_c") - F.col("_lo")
     sums = clipped.groupBy(*by).agg(
-        F.any_value("_q").alias("_q"), F.avg(off).alias("_off"), F.stddev_samp(off).alias("_sd"), F.min("_c").alias("_least"), F.max("_c").alias("_most")
+        *[F.any_value(name).alias(name) for name in ("_lo", "_hi")],
+        F.avg(off).alias("_off"), F.stddev_samp(off).alias("_sd"), F.min("_c").alias("_least"), F.max("_c").alias("_most")
     )
-    stats = sums.withColumn("_mean", F.col("_q")[0] + F.col("_off")).drop("_off")
-    z = _standard(_clip(F.col(value), F.col("_q")), undefined)
-    return join_keys(df, stats, by, "left").withColumn(out, z).drop("_q", "_mean", "_sd", "_least", "_most")
+    stats = sums.withColumn("_mean", F.col("_lo") + F.col("_off")).drop("_off")
+    z = _standard(_clip(F.col(value), ends), undefined)
+    return join_keys(df, stats, by, "left").withColumn(out, z).drop("_lo", "_hi", "_mean", "_sd", "_least", "_most")
 
 
 def quantile_bucket(df: DataFrame, value: str, n: int, out: str, by: Sequence[str] = DATE, base: DataFrame | None = None) -> DataFrame:
     """Bucket 0..n-1 by the group's quantile edges; right-closed, lowest edge included, equal edges merged."""
     df, base = _both(df, base)
     edges = bucket_edges(base, cells_of(base, value, by), n)
-    return join_keys(df, edges, by, "left").withColumn(out, bucket_of(F.col(value))).drop("_gaps", "_values", "_top", "_low")
+    return join_keys(df, edges, by, "left").withColumn(out, bucket_of(F.col(value))).drop(*EDGES)
 
 
 def extreme_buckets(df: DataFrame, bucket: str, by: Sequence[str] = DATE, base: DataFrame | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ts
 from ..functions.elem import significant
-from .groups import Cells, bucket_edges, bucket_of, cells_of, join_keys, with_average_rank
+from .groups import EDGES, Cells, bucket_edges, bucket_of, cells_of, in_outer, join_keys, with_average_rank
 from .lineage import stored
 
 GROUP = ("factor_id", "trade_date")
@@ -49,7 +49,8 @@ def pair_with_returns(values: DataFrame, bars: DataFrame, horizon: int = 5) -> D
     """
     spans = factor_spans(values).select("factor_id", "last_date")
     known = values.where(F.col("factor_value").isNotNull())
-    paired = known.join(forward_returns(bars, horizon).where(F.col("ret").isNotNull()), ["trade_date", "stock_code"])
+    # the instrument first: a sort by it seldom has to look at the date
+    paired = known.join(forward_returns(bars, horizon).where(F.col("ret").isNotNull()), ["stock_code", "trade_date"])
     return paired.join(spans, "factor_id").where(F.col("ret_date") <= F.col("last_date")).drop("ret_date", "last_date")
 
 
@@ -61,8 +62,9 @@ def ranked_pairs(paired: DataFrame, digits: int = 12) -> DataFrame:
     return _ranked(_keyed(paired, digits))[0]
 
 
-def _keyed(paired: DataFrame, digits: int = 12) -> DataFrame:
-    return stored(paired.withColumns({"factor_key": significant("factor_value", digits), "ret_key": significant("ret", digits)}))
+def _keyed(paired: DataFrame, digits: int = 12, drop: tuple[str, ...] = ()) -> DataFrame:
+    keys = {"factor_key": significant("factor_value", digits), "ret_key": significant("ret", digits)}
+    return stored(paired.withColumns(keys).drop(*drop))
 
 
 def _ranked(keyed: DataFrame) -> tuple[DataFrame, Cells]:
@@ -88,7 +90,7 @@ def ic_aggregates() -> dict[str, Column]:
 
 def ic_daily(paired: DataFrame) -> DataFrame:
     """Spearman IC per factor and date; dates with fewer than 2 distinct values on either side are left out."""
-    daily = ranked_pairs(paired).groupBy(*GROUP).agg(*[c.alias(k) for k, c in ic_aggregates().items()])
+    daily = ranked_pairs(paired.select(*GROUP, "factor_value", "ret")).groupBy(*GROUP).agg(*[c.alias(k) for k, c in ic_aggregates().items()])
     return daily.where("n_values >= 2 and n_rets >= 2 and ic is not null").select(*GROUP, "n", "ic")
 
 
@@ -98,18 +100,22 @@ def ic_metrics() -> dict[str, Column]:
 
 
 def bucketed(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
-    """``ranked_pairs`` with bucket ``q`` and the flags of the extreme occupied buckets."""
-    keyed = _keyed(paired)
-    ranked, by_factor = _ranked(keyed)
-    placed = join_keys(ranked, bucket_edges(keyed, by_factor, n_quantiles), GROUP).withColumn("q", bucket_of(F.col("factor_key")))
-    flags = {"in_top": F.col("q") == F.col("_top"), "in_bottom": F.col("q") == F.col("_low")}
-    return placed.withColumns(flags).drop("_gaps", "_values", "_top", "_low")
+    """``ranked_pairs`` with bucket ``q`` and the flags of the extreme occupied buckets; of the factor, ``factor_key`` only.
+
+    The ranked rows are written once: edges are looked up by rank, and the result may be read again.
+    """
+    ranked, by_factor = _ranked(_keyed(paired, drop=("factor_value",)))
+    ranked = stored(ranked.drop("ret_key"))
+    edges = stored(bucket_edges(ranked, by_factor, n_quantiles, ("factor_rank", "factor_ties")))
+    x = F.col("factor_key")
+    top, bottom = in_outer(x)
+    return join_keys(ranked, edges, GROUP).withColumns({"q": bucket_of(x), "in_top": top, "in_bottom": bottom}).drop(*EDGES)
 
 
 def quantile_returns(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
     """Mean return per factor, date and bucket, dates with fewer distinct values than buckets left out."""
     per_bucket = (
-        bucketed(paired, n_quantiles)
+        bucketed(paired.select(*GROUP, "factor_value", "ret"), n_quantiles)
         .groupBy(*GROUP, "q")
         .agg(F.avg("ret").alias("mean_ret"), F.count(F.lit(1)).alias("n"), F.sum(1 / F.col("factor_ties")).alias("_d"))
     )
@@ -178,10 +184,10 @@ def evaluate(
 
     Long-short returns are log returns compounded as if daily. Factors without usable dates get NULLs.
     ``values`` is read several times: pass a stored table (or one with its lineage cut), not a long plan.
-    The ranked and bucketed rows are written once, since both the daily metrics and the turnover need them.
+    The daily metrics are written once, since all parts need them.
     """
-    buckets = stored(bucketed(pair_with_returns(values, bars, horizon), n_quantiles).select(*BUCKET_COLUMNS))
-    daily = daily_metrics(buckets, n_quantiles)
+    buckets = bucketed(pair_with_returns(values, bars, horizon), n_quantiles).select(*BUCKET_COLUMNS)
+    daily = stored(daily_metrics(buckets, n_quantiles))
     turnover = turnover_daily(buckets, daily).groupBy("factor_id").agg(F.avg("turnover").alias("turnover"))
     ic = daily.groupBy("factor_id").agg(*[c.alias(k) for k, c in ic_metrics().items()])
     curve = with_curve(daily.where(F.col("ls_ret").isNotNull()))

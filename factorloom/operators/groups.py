@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def leading_bits(x: Column, dropped: int) -> Column:
 @dataclass(frozen=True)
 class Cells:
     """Where a group's values lie. ``table``: by, keys (NULL below the level a cell was cut to), _n rows, _first and _last
-    value, _start (rows of the group in lower cells), _rows of the group. ``cut``: the cells of each level that were cut."""
+    value, _start (rows of the group in lower cells), _rows of the group, a unique _id. ``cut``: the cells of each level that were cut."""
 
     value: str
     by: tuple[str, ...]
@@ -114,22 +115,25 @@ def cells_of(df: DataFrame, value: str, by: Sequence[str], limit: int | None = N
         inside = Window.partitionBy(*by, KEYS[0]).orderBy(*[F.col(k).asc_nulls_first() for k in keys[1:]])
         leading = join_keys(cells.withColumn("_within", before(inside, "_n")), leading, [*by, KEYS[0]])
         leading = leading.withColumn("_start", F.col("_start") + F.col("_within")).drop("_within")
-    return Cells(value, by, stored(leading), tuple(cut))
+    return Cells(value, by, stored(leading.withColumn("_id", F.monotonically_increasing_id())), tuple(cut))
 
 
 def with_average_rank(df: DataFrame, cells: Cells, out: str, ties: str) -> DataFrame:
     """``df`` with the average rank from 1 and the number of rows that share the value, both NULL where it is NULL.
 
-    Only rows of cells with more than one value are ordered; all others stay spread as they came.
+    Only rows of cells with more than one value are ordered; all others stay spread as they came. Rows are dealt and
+    sorted by the cell's number, and carry of their cell what they need.
     """
-    x, single = F.col(cells.value).cast("double"), F.col("_first") == F.col("_last")
-    spread = F.when(single | x.isNull(), F.spark_partition_id())
-    placed = cells.met(df, cells.table, "left").withColumn("_spread", spread)
-    order = Window.partitionBy(*cells.by, *cells.keys, "_spread").orderBy(x)
+    x, alike = F.col(cells.value).cast("double"), F.col("_alike")
+    one_value = F.when(F.col("_first") == F.col("_last"), F.col("_n"))
+    table = cells.table.select(*cells.by, *cells.keys, "_id", "_start", one_value.alias("_alike"))
+    spread = F.when(alike.isNotNull() | x.isNull(), F.spark_partition_id())
+    placed = cells.met(df, table, "left").withColumn("_spread", spread)
+    order = Window.partitionBy("_id", *cells.keys, "_spread").orderBy(x)
     peers = F.count(x).over(order.rangeBetween(Window.currentRow, Window.currentRow))
-    rank = F.when(single, (F.col("_n") + 1) / 2).otherwise(F.rank().over(order) + (peers - 1) / 2)
-    columns = {out: F.when(x.isNotNull(), F.col("_start") + rank), ties: F.when(x.isNotNull(), F.when(single, F.col("_n")).otherwise(peers))}
-    return placed.withColumns(columns).drop("_spread", "_n", "_first", "_last", "_start", "_rows", *cells.keys)
+    rank = F.when(alike.isNotNull(), (alike + 1) / 2).otherwise(F.rank().over(order) + (peers - 1) / 2)
+    columns = {out: F.when(x.isNotNull(), F.col("_start") + rank), ties: F.when(x.isNotNull(), F.coalesce(alike, peers))}
+    return placed.withColumns(columns).drop("_spread", "_id", "_alike", "_start", *cells.keys)
 
 
 def order_statistics(df: DataFrame, cells: Cells, positions: Callable[[Column], Sequence[Column]], out: str) -> DataFrame:
@@ -144,9 +148,12 @@ def order_statistics(df: DataFrame, cells: Cells, positions: Callable[[Column],
     columns = [*cells.by, "_rows"]
     known = held.where(single).select(*columns, F.explode("_wanted").alias("_at"), F.col("_first").alias("_x"))
     x = F.col(cells.value).cast("double")
-    rows = cells.met(df.where(x.isNotNull()).select(*cells.by, cells.value), held.where(~single))
-    place = F.col("_start") + F.row_number().over(Window.partitionBy(*cells.by, *cells.keys).orderBy(x)) - 1
-    ordered = rows.withColumn("_at", place).where(F.array_contains("_wanted", F.col("_at"))).select(*columns, "_at", x.alias("_x"))
+    # a row is moved and ordered as its cell's number and its value only
+    rows = cells.met(df.where(x.isNotNull()).select(*cells.by, cells.value), held.where(~single).select(*cells.by, *cells.keys, "_id"))
+    rows = rows.select("_id", x.alias("_x"))
+    rows = rows.withColumn("_at", F.row_number().over(Window.partitionBy("_id").orderBy("_x")) - 1)
+    ordered = rows.join(held.select(*columns, "_id", "_start", "_wanted"), "_id").withColumn("_at", F.col("_start") + F.col("_at"))
+    ordered = ordered.where(F.array_contains("_wanted", F.col("_at"))).select(*columns, "_at", "_x")
     picks = [F.max(F.when(F.col("_at") == p, F.col("_x"))) for p in positions(n)]
     return known.unionByName(ordered).groupBy(*columns).agg(F.array(*picks).alias(out))
 
@@ -160,19 +167,55 @@ def group_quantiles(df: DataFrame, cells: Cells, probs: Sequence[Fraction | floa
     return found.select(*cells.by, F.array(*q).alias(out))
 
 
-def bucket_edges(df: DataFrame, cells: Cells, n: int) -> DataFrame:
+def ranked_statistics(ranked: DataFrame, cells: Cells, rank: str, ties: str, positions: Callable[[Column], Sequence[Column]], out: str) -> DataFrame:
+    """``order_statistics`` from a stored table of rows with their ranks: a row's value fills the positions of its ties, so none is ordered."""
+    groups = cells.table.select(*cells.by, "_rows").distinct()
+    groups = groups.select("*", *[p.alias(f"_p{i}") for i, p in enumerate(positions(F.col("_rows")))])
+    wanted = [F.col(c) for c in groups.columns if c.startswith("_p")]
+    first = (F.col(rank) - (F.col(ties) + 1) / 2).cast("long")
+    rows = ranked.select(*cells.by, F.col(cells.value).cast("double").alias("_x"), first.alias("_a"), (first + F.col(ties) - 1).alias("_b"))
+    holds = lambda p: p.between(F.col("_a"), F.col("_b"))
+    rows = join_keys(rows, groups, cells.by).where(reduce(Column.__or__, [holds(p) for p in wanted]))
+    values = rows.groupBy(*cells.by, "_a", "_b").agg(F.max("_x").alias("_x"))  # a few per group from here on
+    picks = [F.max(F.when(holds(p), F.col("_x"))) for p in wanted]
+    return join_keys(values, groups, cells.by).groupBy(*cells.by, "_rows").agg(F.array(*picks).alias(out))
+
+
+def bucket_edges(df: DataFrame, cells: Cells, n: int, ranks: tuple[str, str] | None = None) -> DataFrame:
     """One row per group: the quantile edges of ``n`` buckets as ``_gaps`` and ``_values``, and the outer buckets ``_top``, ``_low``.
 
     An edge that falls between two unlike rows is below a value exactly when the upper of the two is not above
     it: ``_gaps`` holds these. An edge on a value is below larger ones only, and equal ones are one: ``_values``.
+    ``ranks``: the columns of ``df`` that hold rank and ties, if it has them. See ``in_outer`` for the last four columns.
     """
-    found = order_statistics(df, cells, lambda rows: [pos for k in range(n + 1) for pos in interpolate(rows, Fraction(k, n))[:2]], "_v")
+    ends = lambda rows: [pos for k in range(n + 1) for pos in interpolate(rows, Fraction(k, n))[:2]]
+    found = order_statistics(df, cells, ends, "_v") if ranks is None else ranked_statistics(df, cells, *ranks, ends, "_v")
     v = F.col("_v")
     edges = F.array(*[F.struct(v[2 * k].alias("lo"), v[2 * k + 1].alias("hi")) for k in range(n + 1)])
     gaps = F.transform(F.filter(edges, lambda e: e["lo"] < e["hi"]), lambda e: e["hi"])
     values = F.array_distinct(F.transform(F.filter(edges, lambda e: e["lo"] == e["hi"]), lambda e: e["lo"]))
     found = found.select(*cells.by, gaps.alias("_gaps"), values.alias("_values"), v[0].alias("_least"), v[2 * n].alias("_most"))
-    return found.select(*cells.by, "_gaps", "_values", bucket_of(F.col("_most")).alias("_top"), bucket_of(F.col("_least")).alias("_low"))
+    below = F.filter("_values", lambda e: e < F.col("_most"))
+    several = F.size("_gaps") + F.size(below) > 1  # else all rows are in the first bucket, which is the last
+    return found.select(
+        *cells.by, "_gaps", "_values", bucket_of(F.col("_most")).alias("_top"), bucket_of(F.col("_least")).alias("_low"),
+        F.when(several, F.array_max("_gaps")).alias("_top_gap"), F.when(several, F.array_max(below)).alias("_top_value"),
+        F.array_min("_gaps").alias("_low_gap"), F.array_min(F.filter("_values", lambda e: e > F.col("_least"))).alias("_low_value"),
+    )
+
+
+EDGES = ("_gaps", "_values", "_top", "_low", "_top_gap", "_top_value", "_low_gap", "_low_value")
+
+
+def in_outer(x: Column) -> tuple[Column, Column]:
+    """Whether a value's bucket is its group's highest, and its lowest, without looking through all edges.
+
+    In the highest no edge is between the value and the largest one; in the lowest at most the least value is below.
+    """
+    yes = F.lit(True)
+    top = F.coalesce(x >= F.col("_top_gap"), yes) & F.coalesce(x > F.col("_top_value"), yes)
+    low = F.coalesce(x < F.col("_low_gap"), yes) & F.coalesce(x <= F.col("_low_value"), yes)
+    return F.when(x.isNotNull(), top), F.when(x.isNotNull(), low)
 
 
 def bucket_of(x: Column) -> Column:

@@ -56,10 +56,11 @@ def rank_correlation(n: int = 10) -> Factor:
         base = stored(panel)
         df = xs.rank01(base, "close", "_rc", base=base)
         df = xs.rank01(df, "volume", "_rv", base=base)
-        df = df.withColumn("_c", F.round(ts.corr("_rc", "_rv", n), 10))
+        df = df.withColumn("_c", F.round(ts.corr("_rc", "_rv", n), 10)).drop("_rc", "_rv")
         df = xs.rank01(df, "_c", name)
-        return df.withColumn(name, -F.col(name)).drop("_rc", "_rv", "_c")
+        return df.withColumn(name, -F.col(name)).drop("_c")
 
+    build.inputs = ("close", "volume")
     return build
 
 
@@ -105,13 +106,17 @@ def wide_factors(
 ) -> DataFrame:
     """The panel's keys, the ``keep`` columns, and one column per factor.
 
-    Factors that are plain Columns are added together and share one exchange by instrument.
+    Factors that are plain Columns are added together and share one exchange by instrument. Functions may name the
+    columns they read as ``inputs``; when all do, no other column is computed and handed to them.
     """
-    df = with_derived(panel)
-    df = df.withColumns({n: f for n, f in factors.items() if isinstance(f, Column)})
-    for name, f in factors.items():
-        if not isinstance(f, Column):
-            df = add_factor(df, name, f)
+    plain = {n: f for n, f in factors.items() if isinstance(f, Column)}
+    built = {n: f for n, f in factors.items() if n not in plain}
+    df = with_derived(panel).withColumns(plain)
+    if all(hasattr(f, "inputs") for f in built.values()):
+        read = [c for f in built.values() for c in f.inputs]
+        df = df.select("trade_date", "stock_code", *dict.fromkeys([*keep, *plain, *read]))
+    for name, f in built.items():
+        df = add_factor(df, name, f)
     values = [elem.significant(F.col(n).cast("double")).alias(n) for n in factors]  # rounding noise ties
     return df.select("trade_date", "stock_code", *keep, *values)
 
@@ -126,8 +131,8 @@ def compute_factors(
     panel: DataFrame, factors: Mapping[str, Factor], keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Long values of many factors, winsorized and standardised per factor and date."""
-    raw = long_values(wide_factors(panel, factors, keep), factors, keep)
-    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP)
+    raw = long_values(stored(wide_factors(panel, factors, keep)), factors, keep)  # a stored row holds all factors
+    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, base=raw)
     return done.select("factor_id", "trade_date", "stock_code", *keep, F.col("_z").alias("factor_value"))
 
 
@@ -148,6 +153,6 @@ def compute_day(
     day = effective_date(bars, requested, days)
     target = F.lit(day).cast("date")
     panel = lookback(bars, target, days)
-    raw = long_values(wide_factors(panel, factors).where(F.col("trade_date") == target), factors)
-    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP)
+    raw = long_values(stored(wide_factors(panel, factors).where(F.col("trade_date") == target)), factors)
+    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, base=raw)
     return done.select("factor_id", "trade_date", "stock_code", F.col("_z").alias("factor_value"))

@@ -154,3 +154,34 @@ def test_no_task_gets_a_group(spark):
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan
     ordered = re.findall(r"Window \[rank.*", plan)
     assert ordered and all("_cell0" in w and "_spread" in w for w in ordered)
+
+
+def test_ranked_rows_give_the_same_edges(spark, cell):
+    """Edges and outer buckets looked up by rank are those of the ordered rows, and the limits of the outer buckets agree with them."""
+    rng = np.random.default_rng(21)
+    groups_ = {0: rng.normal(size=211), 1: rng.integers(0, 4, 90), 2: [3.0], 3: [1.0] * 8 + [2.0], 4: [1.0] + [2.0] * 8, 5: range(11), 6: [5.0] * 7, 7: rng.integers(0, 30, 60)}
+    data = [(g, float(v)) for g, values in groups_.items() for v in values]
+    df = spark.createDataFrame(data, "g int, x double").repartition(5)
+    cells = cells_of(df, "x", ["g"])
+    ranked = with_average_rank(df, cells, "r", "n").cache()
+    plain, by_rank = groups.bucket_edges(df, cells, 10), groups.bucket_edges(ranked, cells, 10, ("r", "n"))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, by_rank.collect()))
+    x = F.col("x")
+    top, low = groups.in_outer(x)
+    out = groups.join_keys(df, by_rank, ["g"]).withColumns({"q": groups.bucket_of(x), "top": top, "low": low})
+    assert out.count() == len(data)
+    assert out.where("not (top <=> (q = _top)) or not (low <=> (q = _low))").count() == 0
+
+
+def test_moments_do_not_sort_rows(df):
+    """A plain hash aggregation per group: no aggregate of the post-processing orders its rows."""
+    plan = xs.winsorize_and_standardize(df, "x", "y", base=df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_rows_are_ordered_by_their_cells_number(df, cell):
+    """What is moved to be ordered is the cell's number and the value, not the group's keys."""
+    cells = cells_of(df, "x", ["trade_date"])
+    plan = group_quantiles(df, cells, [0.5])._jdf.queryExecution().executedPlan().toString()
+    ordered = re.findall(r"Window \[row_number.*", plan)
+    assert ordered and all("_id" in w and "trade_date" not in w for w in ordered)

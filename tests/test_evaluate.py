@@ -208,3 +208,24 @@ def test_asof_join(spark, monkeypatch):
         assert got[i] == (None if day is None or not mine else (upto or first)[-1]), (i, key, day)
     assert len(got) == len(asked)
     assert latest.asof_join(a, k.limit(0), ["k"], "day").where("asof is not null").count() == 0
+
+
+def test_wide_rows_are_stored_and_only_what_is_read(spark, bars, monkeypatch):
+    """Raw factors are written a row per bar, not per factor; a function's unread columns are not written."""
+    written = []
+    real = plan.stored
+    monkeypatch.setattr(plan, "stored", lambda df: written.append(real(df)) or written[-1])
+    out = plan.compute_factors(bars, plan.library("momentum_20", "trend_12"))
+    assert [w.count() for w in written] == [bars.count()] and out.count() == 2 * bars.count()
+    written.clear()
+    plan.wide_factors(bars, plan.library("rank_corr_10"))
+    assert set(written[0].columns) == {"trade_date", "stock_code", "close", "volume"}
+
+
+def test_significant_digits(spark):
+    odd = [None, 0.0, -0.0, 5e-324, 1e-310, -1e-300, 1.7e308, 123456789012.5, -123456789012.5, 1.23456789012349, -0.000123456789012351, math.inf, -math.inf]
+    rows = spark.createDataFrame([(v,) for v in odd], "x double").select("x", ev.significant("x").alias("y")).collect()
+    want = [None, 0.0, 0.0, 5e-324, 1e-310, -1e-300, 1.7e308, 123456789013.0, -123456789013.0, 1.23456789012, -0.000123456789012, math.inf, -math.inf]
+    assert [r["y"] for r in rows] == want
+    plan_ = spark.range(3).select(ev.significant(F.rand())).where("1 = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "round(" not in plan_.lower().replace("bround(", "")  # which takes each value through a decimal

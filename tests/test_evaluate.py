@@ -229,3 +229,9 @@ def test_significant_digits(spark):
     assert [r["y"] for r in rows] == want
     plan_ = spark.range(3).select(ev.significant(F.rand())).where("1 = 1")._jdf.queryExecution().executedPlan().toString()
     assert "round(" not in plan_.lower().replace("bround(", "")  # which takes each value through a decimal
+
+
+def test_values_are_not_sorted_to_meet_returns(values, bars):
+    """A bar's return serves all factors, so the values are hashed to it and only the returns' own window sorts."""
+    plan_ = ev.pair_with_returns(values, bars, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [stock_code" not in plan_ and "ShuffledHashJoin [stock_code" in plan_

@@ -2,7 +2,8 @@
 
 The merges come from a rank file: a token's parts are what the lower ranks make of its bytes. The
 ``tokenizers`` library applies them to each match of the split pattern; a worker keeps the ids of short
-matches it has seen, as words repeat far more often than new ones turn up.
+matches it has seen, as words repeat far more often than new ones turn up. Matches of the pattern ``SPLIT``
+are found for many texts at once by the classes of their characters, and each distinct one is looked up once.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,12 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A worker's cache: matches up to this many characters, and so many of them before it starts anew.
-CACHED_CHARS, CACHED = 48, 150_000
+#: A worker's cache: matches up to this many characters, and so many of them before it keeps only those met again.
+CACHED_CHARS, CACHED = 48, 100_000
 #: Rows an output batch holds at most, and the characters after which it ends.
 BATCH_ROWS, BATCH_CHARS = 512, 1_000_000
-#: Matches of a text encoded at a time if the text makes a batch of its own.
-MATCHES = 200_000
+#: Matches and characters of a text encoded at a time if the text makes a batch of its own.
+MATCHES, PART = 200_000, 1_000_000
+#: The pattern whose matches are found by classes of characters; any other is left to the ``regex`` library.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+OTHER, LETTER, NUMBER, SPACE = range(4)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -50,6 +55,49 @@ def split_token(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+@functools.cache
+def character_classes() -> np.ndarray:
+    """The class of each code point, as the ``regex`` library has it."""
+    import regex
+
+    classes = np.full(0x110000, OTHER, np.uint8)
+    characters = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+        classes[list(map(ord, regex.findall(pattern, characters)))] = kind
+    return classes
+
+
+def match_starts(points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Where the matches of ``SPLIT`` start in texts laid end to end: their code points, and the place where each begins.
+
+    Matches leave nothing out, so each ends where the next one starts.
+    """
+    n, kind = len(points), character_classes()[points]
+    opens = np.zeros(n + 2, bool)  # a text begins here, or all have ended
+    opens[firsts] = opens[n:] = True
+    change = opens[: n + 1].copy()
+    change[1:n] |= kind[1:] != kind[:-1]
+    starts = change[:n].copy()
+    # white space that something follows leaves its last character, which joins what follows if it is a blank
+    last = np.flatnonzero((kind == SPACE) & change[1:] & ~opens[1 : n + 1])
+    starts[last] = True
+    starts[last[points[last] == ord(" ")] + 1] = False
+    # a contraction counts only where a match starts with its apostrophe; the letters after it are a match of their own
+    at = np.flatnonzero(starts & (points == ord("'")))
+    at = at[~opens[at + 1]]
+    one, two = points[at + 1], np.where(opens[at + 2], 0, points[np.minimum(at + 2, n - 1)])
+    pair = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    hit = pair | np.isin(one, [ord(c) for c in "stmd"])
+    starts[at[hit] + 1] = False
+    past = (at + 2 + pair)[hit]
+    starts[past[past < n]] = True
+    return np.flatnonzero(starts)
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
 class Codec:
     """Encoder and decoder of one rank file; ids are little-endian unsigned 32-bit integers."""
 
@@ -73,35 +121,81 @@ class Codec:
         for token, rank in ranks.items():
             self.bytes[rank] = bytes(map(back.__getitem__, shown(token)))
         self.lengths = np.array([len(t) for t in self.bytes], np.int64)
+        self.shown = dict(enumerate(self.char))
         self.seen: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        return [self.encode_long(t) for t in texts] if len(texts) == 1 else self.joined([self.matches(t) for t in texts])
+        return self.encode_column(pa.array(texts, pa.string())).to_pylist()
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text of a column of strings without NULLs."""
+        if len(texts) == 1 and len(text := texts[0].as_py()) > PART:
+            return pa.array([self.encode_long(text)], pa.binary())
+        if self.pattern.pattern == SPLIT:
+            return self.encode_split(texts)
+        return pa.array(self.joined([self.matches(t) for t in texts.to_pylist()]), pa.binary())
 
     def encode_long(self, text: str) -> bytes:
         """The ids of one text, some matches at a time."""
-        found = (m.group() for m in self.pattern.finditer(text))
-        return b"".join(self.joined([list(p)])[0] for p in itertools.batched(found, MATCHES))
+        if self.pattern.pattern != SPLIT:
+            found = (m.group() for m in self.pattern.finditer(text))
+            return b"".join(self.joined([list(p)])[0] for p in itertools.batched(found, MATCHES))
+        out, at, size = [], 0, PART
+        while at < len(text):
+            part = text[at : at + size]
+            if at + size < len(text):
+                points = code_points(part)
+                cuts = match_starts(points, np.zeros(1, np.int64))[1:-1]  # what follows may change the last two matches
+                cuts = cuts[character_classes()[points[cuts - 1]] != SPACE]  # and white space before the cut
+                if not len(cuts):
+                    size *= 2
+                    continue
+                part = part[: cuts[-1]]
+            out.append(self.encode_split(pa.array([part], pa.string()))[0].as_py())
+            at, size = at + len(part), PART
+        return b"".join(out)
+
+    def encode_split(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text by the matches of ``SPLIT``, each distinct match looked up once."""
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        if ends[0] == ends[-1]:
+            return pa.array([b""] * len(texts), pa.binary())
+        data, ends = texts.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])), ends - ends[0]
+        character = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)  # the first byte of each
+        firsts = np.searchsorted(character, ends[:-1][ends[:-1] < ends[1:]])
+        starts = character[match_starts(code_points(data.to_pybytes().decode()), firsts)]
+        bounds = np.append(starts, ends[-1]).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), data).dictionary_encode()
+        ids = pa.array(self.looked_up(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary()).take(words.indices)
+        past = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset + np.searchsorted(bounds, ends)]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(past), ids.buffers()[2]])
 
     def merged(self, match: str) -> bytes:
         """The ids of one match."""
-        shown = "".join(map(self.char.__getitem__, match.encode()))
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        shown = match.encode().decode("latin-1").translate(self.shown)
+        found = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(found)}I", *found)
 
-    def joined(self, parts: list[list[str]]) -> list[bytes]:
-        """The ids of each list of matches."""
+    def looked_up(self, matches: list[str]) -> list[bytes]:
+        """The ids of each of distinct matches."""
         if len(self.seen) > CACHED:
-            self.seen.clear()
-        new = list(set().union(*parts).difference(self.seen))
-        if new:
-            self.seen.update((match, self.merged(match)) for match in new)
-        ids = [b"".join(map(self.seen.__getitem__, p)) for p in parts]
-        for match in new:
-            if len(match) > CACHED_CHARS:
-                del self.seen[match]
+            self.before, self.seen = self.seen, {}
+        ids = list(map(self.seen.get, matches))
+        for i, match in enumerate(matches):
+            if ids[i] is None:
+                ids[i] = self.before.get(match) or self.merged(match)
+                if len(match) <= CACHED_CHARS:
+                    self.seen[match] = ids[i]
         return ids
 
+    def joined(self, parts: list[list[str]]) -> list[bytes]:
+        """The ids of each list of matches."""
+        distinct = list(set().union(*parts))
+        ids = dict(zip(distinct, self.looked_up(distinct)))
+        return [b"".join(map(ids.__getitem__, p)) for p in parts]
+
     def decode(self, ids: bytes) -> bytes:
         """The bytes the ids stand for; characters split over tokens come out whole as their bytes meet."""
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -158,8 +252,9 @@ def encode(
         for batch in batches:
             key, text = batch.column(0), batch.column(1)
             for s in pieces(text, pc.utf8_length(text).to_numpy(zero_copy_only=False)):
-                ids = c.encode(text[s].to_pylist())
-                out = [key[s], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                coded = c.encode_column(text[s])
+                out = [key[s], pc.divide(pc.binary_length(coded).cast(pa.int64()), 4), coded]
+                ids = coded.to_pylist() if offsets or decoded else []
                 if offsets:
                     spans = [c.offsets(x) for x in ids]
                     out += [pa.array([x[k] for x in spans], pa.list_(pa.int32())) for k in (0, 1)]

@@ -94,6 +94,29 @@ def test_bpe_like_tiktoken(tiktoken_encoding):
         assert codec.decode(ids) == text.encode() and codec.encode([text]) == [ids]
 
 
+def test_bpe_split_like_the_pattern(monkeypatch):
+    import regex
+
+    assert PATTERN == bpe.SPLIT  # else all is left to the regex engine
+    rng = random.Random(9)
+    pools = [" \n\t\xa0\u3000a1'sé.", "' strevmldTL", [chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000]]
+    texts = ["".join(rng.choice(pools[i % 3]) for _ in range(rng.choice([0, 1, 2, 5, 60]))) for i in range(3000)]
+    texts += ["", "a \n\n", "\n\nb", "'re'll 's''s", " 's", "x  's", "'l", "l'", "  ", "it's"]
+    ends = np.cumsum([len(t) for t in texts])
+    starts = bpe.match_starts(bpe.code_points("".join(texts)), np.array([e - len(t) for e, t in zip(ends, texts) if t]))
+    want = [e - len(t) + m.start() for e, t in zip(ends.tolist(), texts) for m in regex.finditer(PATTERN, t)]
+    assert starts.tolist() == want
+    codec, other = bpe.codec(RANKS, PATTERN), bpe.Codec(RANKS, f"(?:{PATTERN})")  # the second is found match by match
+    calls = []
+    monkeypatch.setattr(codec, "looked_up", lambda m: calls.append(len(m)) or bpe.Codec.looked_up(codec, m))
+    assert codec.encode(["a b a b"] * 50) == other.encode(["a b a b"] * 50) and calls == [3]
+    assert codec.encode(texts) == other.encode(texts) == [x for t in texts for x in other.encode([t])]
+    monkeypatch.setattr(bpe, "PART", 7)
+    monkeypatch.setattr(bpe, "MATCHES", 3)
+    monkeypatch.setattr(bpe, "CACHED", 20)
+    assert [x for t in texts for x in codec.encode([t])] == other.encode(texts) == [x for t in texts for x in other.encode([t])]
+
+
 def test_bpe_offsets(odd, none):
     coded = bpe.encode(odd, RANKS, PATTERN, offsets=True, decoded=True)
     texts = Counter((d, t or "") for d, t, _ in ODD)

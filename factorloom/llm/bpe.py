@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,12 +19,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A worker's cache: matches up to this many characters, and so many of them before it keeps only those met again.
-CACHED_CHARS, CACHED = 48, 100_000
-#: Rows an output batch holds at most, and the characters after which it ends.
+#: Rows encoded at a time at most, and the characters after which no more are taken; the same of an output batch.
+ROWS, CHARS = 4096, 4_000_000
 BATCH_ROWS, BATCH_CHARS = 512, 1_000_000
-#: Matches and characters of a text encoded at a time if the text makes a batch of its own.
+#: Characters of a batch that are split at a time, so that arrays stay small.
+SPLIT_CHARS = 250_000
+#: Matches and characters of a text encoded at a time if the text is longer; it makes a batch of its own.
 MATCHES, PART = 200_000, 1_000_000
+#: Matches whose ids are held as lists at a time.
+CACHED = 1024
 #: The pattern whose matches are found by classes of characters; any other is left to the ``regex`` library.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -43,18 +45,6 @@ def byte_characters() -> list[str]:
     return [chr(dict(zip(shown + hidden, shown + list(range(256, 256 + len(hidden)))))[b]) for b in range(256)]
 
 
-def split_token(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
-    """The two parts that are merged last when ``token`` is built from lower ranks."""
-    parts, below = [bytes([b]) for b in token], ranks[token]
-    while len(parts) > 2:
-        near = [ranks.get(a + b, below) for a, b in zip(parts, parts[1:])]
-        i = min(range(len(near)), key=near.__getitem__)
-        if near[i] >= below:
-            break
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-    return parts
-
-
 @functools.cache
 def character_classes() -> np.ndarray:
     """The class of each code point, as the ``regex`` library has it."""
@@ -103,17 +93,13 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         import regex
-        from tokenizers import models
+        import tiktoken
 
         ranks = read_ranks(path)
         self.char = byte_characters()
         shown = lambda token: "".join(map(self.char.__getitem__, token))
-        merges = []
-        for token in sorted((t for t in ranks if len(t) > 1), key=ranks.__getitem__):
-            parts = split_token(token, ranks)
-            if len(parts) == 2:
-                merges.append((shown(parts[0]), shown(parts[1])))
-        self.model = models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=merges)
+        core = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.merged = core.encode_single_piece  # the ids of one match
         self.pattern = regex.compile(pattern)
         self.matches = self.pattern.findall
         back = {c: b for b, c in enumerate(self.char)}  # the byte table reversed
@@ -121,9 +107,6 @@ class Codec:
         for token, rank in ranks.items():
             self.bytes[rank] = bytes(map(back.__getitem__, shown(token)))
         self.lengths = np.array([len(t) for t in self.bytes], np.int64)
-        self.shown = dict(enumerate(self.char))
-        self.seen: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -157,43 +140,47 @@ class Codec:
             at, size = at + len(part), PART
         return b"".join(out)
 
-    def encode_split(self, texts: pa.Array) -> pa.Array:
-        """The ids of each text by the matches of ``SPLIT``, each distinct match looked up once."""
+    def split(self, texts: pa.Array) -> tuple[pa.StringArray, np.ndarray]:
+        """The matches of ``SPLIT`` in texts laid end to end, and how many there are before each text and in all."""
         ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
         if ends[0] == ends[-1]:
-            return pa.array([b""] * len(texts), pa.binary())
+            return pa.array([], pa.string()), np.zeros(len(ends), np.int64)
         data, ends = texts.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])), ends - ends[0]
         character = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)  # the first byte of each
         firsts = np.searchsorted(character, ends[:-1][ends[:-1] < ends[1:]])
         starts = character[match_starts(code_points(data.to_pybytes().decode()), firsts)]
         bounds = np.append(starts, ends[-1]).astype(np.int32)
-        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), data).dictionary_encode()
-        ids = pa.array(self.looked_up(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary()).take(words.indices)
-        past = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset + np.searchsorted(bounds, ends)]
-        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(past), ids.buffers()[2]])
-
-    def merged(self, match: str) -> bytes:
-        """The ids of one match."""
-        shown = match.encode().decode("latin-1").translate(self.shown)
-        found = [t.id for t in self.model.tokenize(shown)]
-        return struct.pack(f"<{len(found)}I", *found)
-
-    def looked_up(self, matches: list[str]) -> list[bytes]:
+        return pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), data), np.searchsorted(bounds, ends)
+
+    def encode_split(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text by the matches of ``SPLIT``, each distinct match looked up once."""
+        if not len(texts):
+            return pa.array([], pa.binary())
+        sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+        words, cuts = zip(*[self.split(texts[s]) for s in pieces(texts, sizes, len(texts), SPLIT_CHARS)])
+        # distinct in each part first, whose hash table is small, then in all
+        coded = pa.chunked_array([w.dictionary_encode() for w in words]).unify_dictionaries()
+        known, out = self.looked_up(coded.chunk(0).dictionary), []
+        for chunk, cut in zip(coded.chunks, cuts):
+            ids = known.take(chunk.indices)
+            past = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset + cut] if len(ids) else np.zeros(len(cut), np.int32)
+            out.append(pa.BinaryArray.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(past), ids.buffers()[2]]))
+        return pa.concat_arrays(out)
+
+    def looked_up(self, matches: pa.Array) -> pa.Array:
         """The ids of each of distinct matches."""
-        if len(self.seen) > CACHED:
-            self.before, self.seen = self.seen, {}
-        ids = list(map(self.seen.get, matches))
-        for i, match in enumerate(matches):
-            if ids[i] is None:
-                ids[i] = self.before.get(match) or self.merged(match)
-                if len(match) <= CACHED_CHARS:
-                    self.seen[match] = ids[i]
-        return ids
+        sizes, ids = [np.zeros(1, np.int32)], [np.zeros(0, np.uint32)]
+        for part in itertools.batched(matches.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist(), CACHED):
+            found = list(map(self.merged, part))
+            sizes.append(np.fromiter(map(len, found), np.int32, len(found)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), "<u4", int(sizes[-1].sum())))
+        ends = (4 * np.cumsum(np.concatenate(sizes))).astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(matches), [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(ids))])
 
     def joined(self, parts: list[list[str]]) -> list[bytes]:
         """The ids of each list of matches."""
         distinct = list(set().union(*parts))
-        ids = dict(zip(distinct, self.looked_up(distinct)))
+        ids = dict(zip(distinct, self.looked_up(pa.array(distinct, pa.string())).to_pylist()))
         return [b"".join(map(ids.__getitem__, p)) for p in parts]
 
     def decode(self, ids: bytes) -> bytes:
@@ -214,14 +201,14 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def pieces(column: pa.Array, sizes: np.ndarray) -> Iterator[slice]:
-    """Slices of a batch that stay within BATCH_ROWS and, beyond the first row, BATCH_CHARS."""
-    start = held = 0
+def pieces(column: pa.Array, sizes: np.ndarray, rows: int, chars: int) -> Iterator[slice]:
+    """Slices of a batch that stay within so many rows and, beyond the first row, characters; a row longer than PART is alone."""
+    start = held = last = 0
     for i, n in enumerate(sizes.tolist()):
-        if i > start and (i - start >= BATCH_ROWS or held + n > BATCH_CHARS):
+        if i > start and (i - start >= rows or held + n > chars or max(last, n) > PART):
             yield slice(start, i)
             start, held = i, 0
-        held += n
+        held, last = held + n, n
     if start < len(column):
         yield slice(start, len(column))
 
@@ -251,16 +238,21 @@ def encode(
         c = codec(path, pattern)
         for batch in batches:
             key, text = batch.column(0), batch.column(1)
-            for s in pieces(text, pc.utf8_length(text).to_numpy(zero_copy_only=False)):
-                coded = c.encode_column(text[s])
-                out = [key[s], pc.divide(pc.binary_length(coded).cast(pa.int64()), 4), coded]
-                ids = coded.to_pylist() if offsets or decoded else []
-                if offsets:
-                    spans = [c.offsets(x) for x in ids]
-                    out += [pa.array([x[k] for x in spans], pa.list_(pa.int32())) for k in (0, 1)]
-                if decoded:
-                    out.append(pa.array(map(c.decode, ids), pa.binary()))
-                yield pa.RecordBatch.from_arrays(out, names=names)
+            sizes = pc.utf8_length(text).to_numpy(zero_copy_only=False)
+            for group in pieces(text, sizes, ROWS, CHARS):
+                coded, keys = c.encode_column(text[group]), key[group]
+                for s in pieces(coded, sizes[group], BATCH_ROWS, BATCH_CHARS):
+                    yield rows(c, keys[s], coded[s])
+
+    def rows(c: Codec, key: pa.Array, coded: pa.Array) -> pa.RecordBatch:
+        out = [key, pc.divide(pc.binary_length(coded).cast(pa.int64()), 4), coded]
+        ids = coded.to_pylist() if offsets or decoded else []
+        if offsets:
+            spans = [c.offsets(x) for x in ids]
+            out += [pa.array([x[k] for x in spans], pa.list_(pa.int32())) for k in (0, 1)]
+        if decoded:
+            out.append(pa.array(map(c.decode, ids), pa.binary()))
+        return pa.RecordBatch.from_arrays(out, names=names)
 
     narrow = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     done = narrow.mapInArrow(run, f"key {kind}, n_tokens long, ids binary{more}")

@@ -68,15 +68,17 @@ def best_fit(sizes: list[int], length: int) -> list[list[int]]:
 
 
 def pack(
-    tokens: DataFrame, length: int, width: int = 4, pad: int = 0, id_col: str = "doc_id", ids_col: str = "ids", block_tokens: int = BLOCK_TOKENS
-) -> DataFrame:
+    tokens: DataFrame, length: int, width: int = 4, pad: int = 0, id_col: str = "doc_id", ids_col: str = "ids", block_tokens: int = BLOCK_TOKENS,
+    size_col: str | None = None,
+) -> DataFrame:
     """Rows of ``length`` ids from documents' ids (binary, ``width`` little-endian bytes each).
 
     Columns: block, bin (NULL both for a row cut whole out of a long document), n_tokens, ids (binary,
     padded with ``pad`` to the full length), cu_seqlens (segment bounds, from 0 to n_tokens), resets (where
     the position count returns to 0: each segment's start), doc_ids and doc_starts (each segment's document
     and its first token's place there). Every token is in one row: nothing is cut off. Documents with NULL or
-    no ids are in no row. Rows of ``tokens`` that are equal are packed each; other columns are not read.
+    no ids are in no row. Rows of ``tokens`` that are equal are packed each; other columns are not read. ``size_col``
+    names a column with the number of ids, if there is one, so that they are not read just to be counted.
     """
     kind = tokens.schema[id_col].dataType.simpleString()
     long = F.lit(length * width)
@@ -93,7 +95,8 @@ def pack(
     rests = docs.where(F.octet_length("ids") % long > 0).select(
         "key", (full * F.lit(length).cast("long")).alias("start"), F.substring("ids", full * length * width + 1, length * width).alias("ids")
     )
-    n = docs.agg(F.sum(F.octet_length("ids") % long)).first()[0] or 0
+    size = F.octet_length(ids_col) if size_col is None else F.col(size_col) * width
+    n = int(tokens.agg(F.sum(size % long)).first()[0] or 0)
     blocks = max(1, -(-n // (block_tokens * width)))
     rests = rests.withColumn("block", F.pmod(F.xxhash64("key", "ids"), F.lit(blocks)))
     pad_bytes = pad.to_bytes(width, "little")

@@ -94,6 +94,45 @@ def test_bpe_like_tiktoken(tiktoken_encoding):
         assert codec.decode(ids) == text.encode() and codec.encode([text]) == [ids]
 
 
+def split_token(token, ranks):
+    """The two parts that are merged last when ``token`` is built from lower ranks."""
+    parts, below = [bytes([b]) for b in token], ranks[token]
+    while len(parts) > 2:
+        near = [ranks.get(a + b, below) for a, b in zip(parts, parts[1:])]
+        i = min(range(len(near)), key=near.__getitem__)
+        if near[i] >= below:
+            break
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
+def test_bpe_like_merges():
+    """Each match as a BPE model of the ``tokenizers`` library has it, whose merges are made from the ranks."""
+    from tokenizers import models
+
+    ranks, char, rng = bpe.read_ranks(RANKS), bpe.byte_characters(), random.Random(6)
+    shown = lambda token: "".join(char[b] for b in token)
+    pairs = [split_token(t, ranks) for t in sorted((t for t in ranks if len(t) > 1), key=ranks.__getitem__)]
+    model = models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=[(shown(p[0]), shown(p[1])) for p in pairs if len(p) == 2])
+    words = ["".join(rng.choice("etaoinéßñ一") for _ in range(rng.randint(1, 12))) for _ in range(3000)] + ["x" * 5000]
+    for word, ids in zip(words, bpe.codec(RANKS, PATTERN).encode(words)):
+        assert np.frombuffer(ids, "<u4").tolist() == [t.id for t in model.tokenize(shown(word.encode()))]
+
+
+def test_bpe_merges_a_match_once_a_batch(monkeypatch):
+    codec, calls = bpe.Codec(RANKS, PATTERN), []
+    merge = codec.merged
+    codec.merged = lambda m: calls.append(m) or merge(m)
+    monkeypatch.setattr(bpe, "SPLIT_CHARS", 20)  # several parts a batch
+    texts = ["a b a b", "", "b a"] * 50
+    assert codec.encode(texts) == codec.encode(texts[:3]) * 50
+    assert sorted(calls) == sorted([b"a", b" b", b" a", b"b"] * 2)
+    assert codec.encode([]) == [] and codec.encode(["", ""]) == [b"", b""]
+    sizes = np.array([1000] * 3000 + [bpe.PART + 1, 5])
+    cuts = [(s.start, s.stop) for s in bpe.pieces(sizes, sizes, bpe.ROWS, bpe.CHARS)]
+    assert cuts == [(0, 3000), (3000, 3001), (3001, 3002)]  # a long text is encoded by parts
+
+
 def test_bpe_split_like_the_pattern(monkeypatch):
     import regex
 
@@ -173,6 +212,13 @@ def test_packing_repeated_rows_and_null_ids(spark):
     assert sum(r.n_tokens for r in packing.pack(df, 8, 1).collect()) == 12
 
 
+def test_packing_by_a_column_of_sizes(spark):
+    docs = [(i, bytes(4 * (i % 37))) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, ids binary").withColumn("n", F.octet_length("ids") / 4)
+    packed = [packing.pack(df, 16, block_tokens=200, size_col=c) for c in (None, "n")]
+    assert rows(packed[0], *packed[0].columns) == rows(packed[1], *packed[1].columns)
+
+
 # --- decontamination ---
 
 

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import batches_by_rows, stored
+
 #: Factors of a block on average; rows of a chunk; rows of a matrix product.
 BLOCK, CHUNK_ROWS, SLICE = 128, 1_000_000, 4096
 SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
@@ -22,9 +24,9 @@ _PAIRS = "factor_a string, factor_b string, x0 double, y0 double, " + ", ".join(
 
 def _gram(factors: np.ndarray, cells: np.ndarray, x: np.ndarray, k: int, center: np.ndarray) -> np.ndarray:
     """SUMS, each k x k, of values x of factors (0..k-1) in cells, after ``center`` is subtracted."""
-    _, cell = np.unique(cells, return_inverse=True)
-    order = np.argsort(cell, kind="stable")
-    factors, cell, x = factors[order], cell[order], x[order] - center[factors[order]]
+    order = np.argsort(cells, kind="stable")
+    factors, cells, x = factors[order], cells[order], x[order] - center[factors[order]]
+    cell = np.cumsum(np.append(False, cells[1:] != cells[:-1]))
     out, last = np.zeros((len(SUMS), k, k)), int(cell[-1]) + 1
     cuts = np.searchsorted(cell, np.arange(0, last + SLICE, SLICE))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -51,7 +53,9 @@ def gram(values: DataFrame, blocks: int, chunks: int) -> DataFrame:
     own = F.pmod(F.xxhash64("factor_id"), F.lit(blocks)).cast("int").alias("own")
     chunk = F.pmod(F.xxhash64(F.lit(1), "cell"), F.lit(chunks)).cast("int").alias("chunk")
     rows = values.select("factor_id", "cell", "x", own, chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = rows.select("factor_id", "cell", "x", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "chunk")
+    # one number for tile and chunk: rows are sorted by it as a number, not by comparing columns of which most are equal
+    tile = F.least("own", "other").cast("long") * blocks + F.greatest("own", "other")
+    rows = rows.select("factor_id", "cell", "x", "own", (tile * chunks + F.col("chunk")).alias("part"))
 
     def reduce(key: tuple, table: pa.Table) -> pa.Table:
         names = table.column("factor_id").combine_chunks().dictionary_encode()
@@ -61,11 +65,13 @@ def gram(values: DataFrame, blocks: int, chunks: int) -> DataFrame:
         sums = _gram(at, table.column("cell").to_numpy(), x, len(ids), center)
         owner = np.zeros(len(ids), np.int32)
         owner[at] = table.column("own").to_numpy()
-        found = [key[0].as_py(), key[1].as_py(), ids, owner.tolist(), center.tolist(), sums.tobytes()]
+        found = [*divmod(key[0].as_py() // chunks, blocks), ids, owner.tolist(), center.tolist(), sums.tobytes()]
         return pa.table([pa.array([x], kind) for x, kind in zip(found, kinds)], names=names_)
 
     names_, kinds = ["a", "b", "ids", "own", "center", "sums"], [pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.binary()]
-    partial = rows.groupBy("a", "b", "chunk").applyInArrow(reduce, "a int, b int, ids array<string>, own array<int>, center array<double>, sums binary")
+    partial = rows.groupBy("part").applyInArrow(reduce, "a int, b int, ids array<string>, own array<int>, center array<double>, sums binary")
+    with batches_by_rows(values.sparkSession):
+        partial = stored(partial)
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place: dict[str, int] = {}
@@ -102,10 +108,10 @@ def _tiling(values: DataFrame) -> tuple[int, int]:
     return max(1, -(-factors // BLOCK)), max(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // CHUNK_ROWS))
 
 
-def overlap_days(values: DataFrame) -> DataFrame:
+def overlap_days(values: DataFrame, tiling: tuple[int, int] | None = None) -> DataFrame:
     """Dates on which both factors of a pair have a value, not necessarily for the same instrument."""
     days = values.where(F.col("factor_value").isNotNull()).select("factor_id", F.xxhash64("trade_date").alias("cell"), F.lit(1.0).alias("x")).distinct()
-    blocks, chunks = _tiling(values)
+    blocks, chunks = tiling or _tiling(values)
     return gram(days, blocks, chunks).select("factor_a", "factor_b", F.col("n").cast("long").alias("overlap_days"))
 
 
@@ -129,7 +135,7 @@ def correlation_pairs(values: DataFrame) -> DataFrame:
     # greatest and least skip NULLs, so the bounds stand inside the condition
     corr = F.when(known, F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))
     pairs = sums.select("factor_a", "factor_b", corr.alias("corr"), n.cast("long").alias("n"))
-    return overlap_days(values).join(pairs, ["factor_a", "factor_b"], "left").select(
+    return overlap_days(values, (blocks, chunks)).join(pairs, ["factor_a", "factor_b"], "left").select(
         "factor_a", "factor_b", "corr", "overlap_days", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
 

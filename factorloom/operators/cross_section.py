@@ -93,25 +93,35 @@ def zscore(df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefi
     return join_keys(df, stats, by).withColumn(out, _standard(x, undefined)).drop("_mean", "_sd", "_least", "_most")
 
 
-def winsorize_and_standardize(
-    df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero", base: DataFrame | None = None
-) -> DataFrame:
-    """The post-processing of a factor: clip to the 1 % and 99 % quantiles, then z-score the clipped values.
+def clip_statistics(base: DataFrame, value: str, by: Sequence[str] = DATE) -> DataFrame:
+    """A row per group of a stored table: the 1 % and 99 % quantiles (_lo, _hi), and _mean, _sd, _least, _most of the clipped values.
 
     Mean and deviation are of distances from the lower quantile, which keep their digits.
     """
-    df, base = _both(df, base)
     q = group_quantiles(base, cells_of(base, value, by), (0.01, 0.99), "_q")
     ends = (F.col("_lo"), F.col("_hi"))  # plain numbers: an array in the aggregation would make it sort all rows
-    q = q.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(("_lo", "_hi"))])
+    # a stored table's size is known, so that the planner need not move all rows to meet a row per group
+    q = stored(q.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(("_lo", "_hi"))]))
     clipped = join_keys(base.select(*by, value), q, by).withColumn("_c", _clip(F.col(value), ends))
     off = F.col("_c") - F.col("_lo")
     sums = clipped.groupBy(*by).agg(
         *[F.any_value(name).alias(name) for name in ("_lo", "_hi")],
         F.avg(off).alias("_off"), F.stddev_samp(off).alias("_sd"), F.min("_c").alias("_least"), F.max("_c").alias("_most")
     )
-    stats = sums.withColumn("_mean", F.col("_lo") + F.col("_off")).drop("_off")
-    z = _standard(_clip(F.col(value), ends), undefined)
+    return sums.withColumn("_mean", F.col("_lo") + F.col("_off")).drop("_off")
+
+
+def winsorize_and_standardize(
+    df: DataFrame, value: str, out: str, by: Sequence[str] = DATE, undefined: str = "zero", base: DataFrame | None = None, apart: bool = False
+) -> DataFrame:
+    """The post-processing of a factor: clip to the 1 % and 99 % quantiles, then z-score the clipped values.
+
+    ``apart``: the groups' statistics are stored first, so that rows meet them unmoved; else they are part of the plan.
+    """
+    df, base = _both(df, base)
+    stats = clip_statistics(base, value, by)
+    stats = stored(stats) if apart else stats
+    z = _standard(_clip(F.col(value), (F.col("_lo"), F.col("_hi"))), undefined)
     return join_keys(df, stats, by, "left").withColumn(out, z).drop("_lo", "_hi", "_mean", "_sd", "_least", "_most")
 
 

@@ -132,7 +132,7 @@ def compute_factors(
 ) -> DataFrame:
     """Long values of many factors, winsorized and standardised per factor and date."""
     raw = long_values(stored(wide_factors(panel, factors, keep)), factors, keep)  # a stored row holds all factors
-    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, base=raw)
+    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, base=raw, apart=True)
     return done.select("factor_id", "trade_date", "stock_code", *keep, F.col("_z").alias("factor_value"))
 
 
@@ -154,5 +154,5 @@ def compute_day(
     target = F.lit(day).cast("date")
     panel = lookback(bars, target, days)
     raw = long_values(stored(wide_factors(panel, factors).where(F.col("trade_date") == target)), factors)
-    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, base=raw)
+    done = xs.winsorize_and_standardize(raw, "factor_value", "_z", GROUP, base=raw, apart=True)
     return done.select("factor_id", "trade_date", "stock_code", F.col("_z").alias("factor_value"))

@@ -166,6 +166,22 @@ def test_correlation_against_pandas(values, spark, monkeypatch, block):
     assert tuple(counts) == (12, 6, 0)
 
 
+def test_rows_of_correlations_go_to_python_without_measuring_batches(spark, values, monkeypatch):
+    key, seen, write = "spark.sql.execution.arrow.maxBytesPerBatch", [], co.stored
+    before = spark.conf.get(key)
+    monkeypatch.setattr(co, "stored", lambda df: seen.append(spark.conf.get(key)) or write(df))
+    co.correlation_pairs(values)
+    assert set(seen) == {str(2**31 - 1)} and spark.conf.get(key) == before
+    with pytest.raises(ValueError), co.batches_by_rows(spark):
+        raise ValueError
+    assert spark.conf.get(key) == before
+
+
+def test_standardising_moves_no_rows_to_meet_a_row_per_group(bars):
+    text = plan.compute_factors(bars, plan.library("momentum_20"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
 def test_no_window_without_partitions(values, bars):
     """No plan collects all rows into one partition for a window."""
     for df in (plan.compute_factors(bars, plan.library()), ev.with_curve(ev.daily_metrics(ev.bucketed(ev.pair_with_returns(values, bars, 2), 5), 5))):

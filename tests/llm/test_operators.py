@@ -500,6 +500,37 @@ def test_sets_are_one_for_each_node(spark, make, monkeypatch):
     assert Counter(r.node for r in made[0].collect()).most_common(1)[0][1] == 1 and made[0].count() == 4
 
 
+def test_nothing_that_grows_with_the_documents_is_broadcast(make, monkeypatch):
+    rng, held = random.Random(5), []
+    monkeypatch.setattr(jaccard, "small_side", lambda df, n, limit: held.append(n) or df)
+    texts = [" ".join(near(rng, [""] * 60, 1)) for _ in range(40)]
+    docs = [(i, t + end, "s") for i, t in enumerate(texts * 2) for end in (["", " more"] if i < 40 else [""])]
+    got = rows(jaccard.components(make(docs)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.components([(d, t) for d, t, _ in docs], 4, 85), key=repr)
+    assert max(held, default=0) < 10  # at most nodes that several tasks left
+
+
+def test_filters_that_let_others_pass(make, monkeypatch):
+    monkeypatch.setattr(jaccard, "FILTER_LEAST", 3)
+    monkeypatch.setattr(jaccard, "FILTER_MOST", 6)
+    monkeypatch.setattr(jaccard, "FILTER_PART", 16)
+    rng = random.Random(6)
+    texts = [" ".join(near(rng, [""] * 40, 1)) for _ in range(20)]
+    texts = [t + end for t in texts for end in ("", "", " more")] + [" ".join(near(rng, [""] * 30, 1)) for _ in range(30)]
+    docs = [(i // 2, t, "s") for i, t in enumerate(texts * 2)] + [(3, texts[0], "s")] * 20
+    got = rows(jaccard.components(make(docs, 7)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.components([(d, t) for d, t, _ in docs], 4, 85), key=repr)
+
+
+def test_filter_passes_its_values(spark):
+    df = spark.range(0, 5000, 1, 6).select(F.xxhash64("id").alias("h"))
+    bits = jaccard._filter(df, 5000)
+    assert len(bits) == 1 << 14 and jaccard._filter(df.limit(0), 0) == bytes(1 << 13)
+    here, other = (np.array([r.h for r in x.collect()], np.int64) for x in (df, spark.range(5000, 25000).select(F.xxhash64("id").alias("h"))))
+    passes = lambda x: jaccard._passes(x, np.frombuffer(bits, np.uint8))
+    assert passes(here).all() and passes(other).mean() < 0.03
+
+
 def test_graph(spark):
     rng = random.Random(9)
     pairs = [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("star", f"s{i}") for i in range(30)] + [("loop", "loop")]

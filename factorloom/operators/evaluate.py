@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ts
 from ..functions.elem import significant
-from .groups import EDGES, Cells, bucket_edges, bucket_of, cells_of, in_outer, join_keys, with_average_rank
+from .groups import EDGES, bucket_edges, bucket_of, cells_of, in_outer, join_keys, with_average_rank
 from .lineage import stored
 
 GROUP = ("factor_id", "trade_date")
@@ -60,7 +60,10 @@ def ranked_pairs(paired: DataFrame, digits: int = 12) -> DataFrame:
 
     Values that agree to ``digits`` significant digits tie: ``factor_key`` and ``ret_key`` are what is ranked.
     """
-    return _ranked(_keyed(paired, digits))[0]
+    keyed = _keyed(paired, digits)
+    by_factor, by_ret = (cells_of(keyed, c, GROUP) for c in ("factor_key", "ret_key"))
+    ranked = with_average_rank(keyed, by_factor, "factor_rank", "factor_ties")
+    return with_average_rank(ranked, by_ret, "ret_rank", "ret_ties")
 
 
 def _keyed(paired: DataFrame, digits: int = 12, drop: tuple[str, ...] = ()) -> DataFrame:
@@ -68,13 +71,6 @@ def _keyed(paired: DataFrame, digits: int = 12, drop: tuple[str, ...] = ()) -> D
     return stored(paired.withColumns(keys).drop(*drop))
 
 
-def _ranked(keyed: DataFrame) -> tuple[DataFrame, Cells]:
-    """The stored pairs with their ranks, and the cells of the factor's values."""
-    by_factor, by_ret = (cells_of(keyed, c, GROUP) for c in ("factor_key", "ret_key"))
-    ranked = with_average_rank(keyed, by_factor, "factor_rank", "factor_ties")
-    return with_average_rank(ranked, by_ret, "ret_rank", "ret_ties"), by_factor
-
-
 def _distinct(ties: str) -> Column:
     return F.round(F.sum(1 / F.col(ties))).cast("int")
 
@@ -103,14 +99,17 @@ def ic_metrics() -> dict[str, Column]:
 def bucketed(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
     """``ranked_pairs`` with bucket ``q`` and the flags of the extreme occupied buckets; of the factor, ``factor_key`` only.
 
-    The ranked rows are written once: edges are looked up by rank, and the result may be read again.
+    The pairs are written once, the ranks are part of the plan: who reads no ranks moves no rows for them, and who reads
+    them moves only the columns it reads.
     """
-    ranked, by_factor = _ranked(_keyed(paired, drop=("factor_value",)))
-    ranked = stored(ranked.drop("ret_key"))
-    edges = stored(bucket_edges(ranked, by_factor, n_quantiles, ("factor_rank", "factor_ties")))
+    keyed = _keyed(paired, drop=("factor_value",))
+    by_factor, by_ret = (cells_of(keyed, c, GROUP) for c in ("factor_key", "ret_key"))
+    edges = stored(bucket_edges(keyed, by_factor, n_quantiles))
     x = F.col("factor_key")
     top, bottom = in_outer(x)
-    return join_keys(ranked, edges, GROUP).withColumns({"q": bucket_of(x), "in_top": top, "in_bottom": bottom}).drop(*EDGES)
+    flagged = join_keys(keyed, edges, GROUP).withColumns({"q": bucket_of(x), "in_top": top, "in_bottom": bottom}).drop(*EDGES)
+    ranked = with_average_rank(flagged, by_factor, "factor_rank", "factor_ties")
+    return with_average_rank(ranked, by_ret, "ret_rank", "ret_ties").drop("ret_key")
 
 
 def quantile_returns(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
@@ -127,12 +126,12 @@ def quantile_returns(paired: DataFrame, n_quantiles: int = 10) -> DataFrame:
 def daily_metrics(buckets: DataFrame, n_quantiles: int = 10) -> DataFrame:
     """IC, long-short return and the date's place among the dates with enough distinct values.
 
-    ``ls_ret`` and ``ordinal`` are NULL on dates with fewer distinct values than buckets.
+    ``ls_ret`` and ``ordinal`` are NULL on dates with fewer distinct values than buckets. Returns of the outer buckets are
+    summed apart from the ranks, so that no row takes its return and its flags along while it is ranked.
     """
     top, bottom = F.when(F.col("in_top"), F.col("ret")), F.when(F.col("in_bottom"), F.col("ret"))
-    daily = buckets.groupBy(*GROUP).agg(
-        *[c.alias(k) for k, c in ic_aggregates().items()], (F.avg(top) - F.avg(bottom)).alias("ls_ret")
-    )
+    outer = buckets.groupBy(*GROUP).agg((F.avg(top) - F.avg(bottom)).alias("ls_ret"))
+    daily = join_keys(buckets.groupBy(*GROUP).agg(*[c.alias(k) for k, c in ic_aggregates().items()]), outer, GROUP)
     enough = F.col("n_values") >= n_quantiles
     usable = (F.col("n_values") >= 2) & (F.col("n_rets") >= 2)
     so_far = Window.partitionBy("factor_id").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)

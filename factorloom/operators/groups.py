@@ -128,13 +128,13 @@ def with_average_rank(df: DataFrame, cells: Cells, out: str, ties: str) -> DataF
     one_value = F.when(F.col("_first") == F.col("_last"), F.col("_n"))
     table = cells.table.select(*cells.by, *cells.keys, "_id", "_start", one_value.alias("_alike"))
     spread = F.when(alike.isNotNull() | x.isNull(), F.spark_partition_id())
-    placed = cells.met(df, table, "left").withColumn("_spread", spread)
-    order = Window.partitionBy("_id", *cells.keys, "_spread").orderBy(x)
+    placed = cells.met(df, table, "left").withColumn("_spread", spread).drop(*cells.keys)
+    order = Window.partitionBy("_id", "_spread").orderBy(x)
     # both frames grow with the rows; one of the ties alone would be copied row by row
     first, last = F.rank().over(order), F.count(x).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     rank = F.when(alike.isNotNull(), (alike + 1) / 2).otherwise((first + last) / 2)
     columns = {out: F.when(x.isNotNull(), F.col("_start") + rank), ties: F.when(x.isNotNull(), F.coalesce(alike, last - first + 1))}
-    return placed.withColumns(columns).drop("_spread", "_id", "_alike", "_start", *cells.keys)
+    return placed.withColumns(columns).drop("_spread", "_id", "_alike", "_start")
 
 
 def order_statistics(df: DataFrame, cells: Cells, positions: Callable[[Column], Sequence[Column]], out: str) -> DataFrame:
